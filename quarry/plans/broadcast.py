@@ -1,0 +1,17 @@
+"""Size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only when its row count was measured and is below this bound.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       known_rows: int | None = None) -> DataFrame:
+    """Hint a broadcast only behind a measured row count; otherwise leave the
+    join to the planner (sort-merge / shuffle-hash, AQE may still convert)."""
+    n = known_rows if known_rows is not None else df.count()
+    return F.broadcast(df) if n <= max_rows else df
