@@ -1 +1,67 @@
-"""Registered checks."""
+"""Column profiles (E rows)."""
+
+from __future__ import annotations
+
+from quarry.catalog import register
+from quarry.catalog.fixtures import finish, fx, r, with_fx
+from quarry.operators import profiles as E
+
+_NUM = ["qty", "price", "disc", "tax"]
+
+
+def _describe_sql(c: str) -> str:
+    return (f"SELECT '{c}' AS column, COUNT({c}) AS count, " + ", ".join([
+        r(f"AVG({c})", "mean"), r(f"VAR_SAMP({c})", "variance"), r(f"STDDEV_SAMP({c})", "std"),
+        r(f"MIN({c})", "min"), r(f"QUANTILE_CONT({c}, 0.25)", "q1"), r(f"QUANTILE_CONT({c}, 0.5)", "median"),
+        r(f"QUANTILE_CONT({c}, 0.75)", "q3"), r(f"MAX({c})", "max")]) + " FROM fx_num")
+
+
+@register("describe_columns", with_fx("fx_num") + " UNION ALL ".join(_describe_sql(c) for c in _NUM))
+def q_describe(spark, sf):
+    return finish(E.describe_columns(fx(spark, sf, "fx_num"), _NUM))
+
+
+def _box_sql(c: str) -> str:
+    return f"""SELECT '{c}' AS column, {r('q1', 'q1')}, {r('med', 'median')}, {r('q3', 'q3')}, {r('q3 - q1', 'iqr')},
+  {r('q1 - 1.5 * (q3 - q1)', 'lower_fence')}, {r('q3 + 1.5 * (q3 - q1)', 'upper_fence')},
+  (SELECT COUNT(*) FROM fx_num WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS n_outliers
+FROM (SELECT QUANTILE_CONT({c}, 0.25) AS q1, QUANTILE_CONT({c}, 0.5) AS med, QUANTILE_CONT({c}, 0.75) AS q3 FROM fx_num)"""
+
+
+_BOX_COLS = ["qty", "price", "disc", "y_reg"]
+
+
+@register("box_stats", with_fx("fx_num") + " UNION ALL ".join(_box_sql(c) for c in _BOX_COLS))
+def q_box(spark, sf):
+    return finish(E.box_stats(fx(spark, sf, "fx_num"), _BOX_COLS))
+
+
+_HIST_COLS = ["qty", "price", "disc", "tax", "const_col"]
+
+
+def _hist_sql(c: str) -> str:
+    return f"""SELECT '{c}' AS column, b.bin::INTEGER AS bin, {r('s.lo + b.bin * s.w', 'lo')},
+  {r('CASE WHEN b.bin = s.nb - 1 THEN s.lo + s.nb * s.w ELSE s.lo + (b.bin + 1) * s.w END', 'hi')},
+  (SELECT COUNT(*) FROM fx_num WHERE (CASE WHEN s.w = 0 THEN 0 ELSE LEAST(FLOOR(({c} - s.lo) / s.w), s.nb - 1) END) = b.bin)::BIGINT AS n
+FROM (SELECT MIN({c}) AS lo, LEAST(10, COUNT(DISTINCT {c})) AS nb,
+             (MAX({c}) - MIN({c})) / LEAST(10, COUNT(DISTINCT {c})) AS w FROM fx_num) s,
+     LATERAL (SELECT UNNEST(RANGE(0, s.nb)) AS bin) b"""
+
+
+@register("histogram", with_fx("fx_num") + " UNION ALL ".join(_hist_sql(c) for c in _HIST_COLS))
+def q_histogram(spark, sf):
+    return finish(E.histogram(fx(spark, sf, "fx_num"), _HIST_COLS, 10))
+
+
+@register("density")
+def q_density(spark, sf):
+    return finish(E.density(fx(spark, sf, "fx_num"), ["qty", "y_reg"], grid=100))
+
+
+@register("series", """WITH p AS (SELECT ROW_NUMBER() OVER (ORDER BY ts, event_id) - 1 AS pos, value FROM events),
+n AS (SELECT COUNT(*) AS n FROM events)
+SELECT 'value' AS column, CAST(FLOOR(pos * 50 / n) AS INTEGER) AS bucket, MIN(pos) AS first_row, MAX(pos) AS last_row, """
+          + ", ".join([r("MIN(value)", "min"), r("AVG(value)", "avg"), r("MAX(value)", "max")]) +
+          " FROM p, n GROUP BY 1, 2")
+def q_series(spark, sf):
+    return finish(E.series(fx(spark, sf, "events"), ["value"], ["ts", "event_id"], buckets=50))
