@@ -132,14 +132,14 @@ def _offset_table(spark, parts_schema, rows, parts, value_names, max_state_rows)
 
 def row_number_global(df: DataFrame, order_cols: Sequence, partition_cols: Sequence[str] = (),
                       out: str = "rn", n_buckets: int | None = None, seed: int = 17,
-                      max_state_rows: int = 1_000_000) -> DataFrame:
+                      max_state_rows: int = 1_000_000, n_rows: int | None = None) -> DataFrame:
     """0-based row number in ``order_cols`` order (within ``partition_cols``),
     computed without an unpartitioned window. ``partition_cols`` should be of
     low cardinality (a class label): the per-(partition, bucket) count table is
     pulled to the driver and is size-checked."""
     spec = _spec(order_cols)
     parts = list(partition_cols)
-    b = assign_buckets(df, spec, n_buckets=n_buckets, seed=seed)
+    b = assign_buckets(df, spec, n_buckets=n_buckets, seed=seed, n_rows=n_rows)
     counts = b.groupBy(*parts, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     rows = counts.limit(max_state_rows + 1).collect()
     offsets = _offset_table(df.sparkSession, df.schema, rows, parts, {"_n": T.LongType()}, max_state_rows)
