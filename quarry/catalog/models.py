@@ -1 +1,153 @@
-"""Registered checks."""
+"""Forest, SVR, explanation and search (T, R, X, M6-M8, Y rows)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarry.catalog import register
+from quarry.catalog.fixtures import finish, fx, r, with_fx
+from quarry.functions.hashing import md5_sql
+from quarry.operators import forest, scoring
+from quarry.operators.splits import train_test
+
+KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+FEATS = ["qty", "price", "disc", "tax"]
+
+
+def _num(spark, sf):
+    return fx(spark, sf, "fx_num")
+
+
+# ---------------------------------------------------------------- T1, T2, T4, T5
+
+def _gini(a, b):
+    return f"CASE WHEN ({a}) + ({b}) > 0 THEN 1 - POWER(({a}) / (({a}) + ({b})), 2) - POWER(({b}) / (({a}) + ({b})), 2) ELSE 0 END"
+
+
+def _ent(a, b):
+    def t(p):
+        return f"CASE WHEN {p} > 0 THEN -{p} * LOG2({p}) ELSE 0 END"
+    n = f"(({a}) + ({b}))"
+    return f"CASE WHEN {n} > 0 THEN {t(f'(({a}) / {n})')} + {t(f'(({b}) / {n})')} ELSE 0 END"
+
+
+@register("impurity", with_fx("fx_num") + f"""SELECT flag3, SUM(1 - y_cls)::BIGINT AS c0, SUM(y_cls)::BIGINT AS c1,
+  {r(_gini('SUM(1 - y_cls)::DOUBLE', 'SUM(y_cls)::DOUBLE'), 'gini')},
+  {r(_ent('SUM(1 - y_cls)::DOUBLE', 'SUM(y_cls)::DOUBLE'), 'entropy')},
+  {r("CASE WHEN COUNT(*) > 0 THEN 1 - POWER(SUM(1 - y_cls) / COUNT(*), 2) - POWER(SUM(y_cls) / COUNT(*), 2) END", 'gini_array')}
+FROM fx_num GROUP BY flag3""")
+def q_impurity(spark, sf):
+    c = _num(spark, sf).groupBy("flag3").agg(F.sum(1 - F.col("y_cls")).cast("long").alias("c0"),
+                                             F.sum("y_cls").cast("long").alias("c1"))
+    return finish(c.select("flag3", "c0", "c1",
+                           forest.impurity_expr(F.col("c0").cast("double"), F.col("c1").cast("double"), "gini").alias("gini"),
+                           forest.impurity_expr(F.col("c0").cast("double"), F.col("c1").cast("double"), "entropy").alias("entropy"),
+                           forest.impurity_counts(F.array(F.col("c0").cast("double"), F.col("c1").cast("double")), "gini")
+                           .alias("gini_array")))
+
+
+def _poisson_sql(u: str) -> str:
+    edges = forest._poisson_edges()
+    return "CASE " + " ".join(f"WHEN {u} < {e!r} THEN {k}" for k, e in enumerate(edges)) + f" ELSE {len(edges)} END"
+
+
+_BOOT = f"""SELECT c_custkey, t.tree_id::INTEGER AS tree_id,
+  ({_poisson_sql(md5_sql(['c_custkey', 'tree_id'], 7) + ' / 4294967296.0')})::INTEGER AS weight
+FROM customer, (SELECT UNNEST(RANGE(0, 3)) AS tree_id) t"""
+
+
+@register("bootstrap", _BOOT)
+def q_bootstrap(spark, sf):
+    return forest.bootstrap(fx(spark, sf, "customer").select("c_custkey"), "c_custkey", 3, 7, hash_method="md5")
+
+
+@register("out_of_bag", f"SELECT c_custkey, tree_id FROM ({_BOOT}) WHERE weight = 0")
+def q_oob(spark, sf):
+    return forest.oob(fx(spark, sf, "customer").select("c_custkey"), "c_custkey", 3, 7, hash_method="md5")
+
+
+_SPLIT_FEATS = ["qty", "disc", "tax"]
+_CAND = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {i} AS ford, {c} AS val, SUM(1 - y_cls)::DOUBLE AS c0, SUM(y_cls)::DOUBLE AS c1 "
+    f"FROM fx_num GROUP BY {c}" for i, c in enumerate(_SPLIT_FEATS))
+
+
+@register("best_split", with_fx("fx_num") + f""", cand AS ({_CAND}),
+cum AS (SELECT feature, ford, val, LEAD(val) OVER (PARTITION BY feature ORDER BY val) AS nxt,
+  SUM(c0) OVER (PARTITION BY feature ORDER BY val) AS l0, SUM(c1) OVER (PARTITION BY feature ORDER BY val) AS l1,
+  SUM(c0) OVER (PARTITION BY feature) AS t0, SUM(c1) OVER (PARTITION BY feature) AS t1 FROM cand),
+sc AS (SELECT feature, ford, (val + nxt) / 2 AS threshold, l0 + l1 AS nl, t0 - l0 + t1 - l1 AS nr,
+  ((l0 + l1) * ({_gini('l0', 'l1')}) + (t0 - l0 + t1 - l1) * ({_gini('t0 - l0', 't1 - l1')})) / (t0 + t1) AS cost,
+  {_gini('t0', 't1')} AS parent FROM cum WHERE nxt IS NOT NULL)
+SELECT feature, {r('threshold', 'threshold')}, nl AS n_left, nr AS n_right, {r('parent - cost', 'gain')}
+FROM sc WHERE nl >= 2 AND nr >= 2 AND parent - cost > 1e-12 ORDER BY cost, ford, threshold LIMIT 1""")
+def q_best_split(spark, sf):
+    m = forest.fit_forest(_num(spark, sf), _SPLIT_FEATS, "y_cls", KEY, n_trees=1, max_depth=1, min_samples_split=2,
+                          min_samples_leaf=2, impurity="gini", max_features="all", max_bins=64, bootstrap_rows=False)
+    nodes = m.node_table(spark)
+    root = nodes.filter("node_id = 0").alias("p")
+    kids = nodes.filter("node_id > 0")
+    lj = root.join(kids.alias("l"), F.col("p.left") == F.col("l.node_id"))
+    j = lj.join(kids.alias("q"), F.col("p.right") == F.col("q.node_id"))
+    return finish(j.select(F.col("p.feature").alias("feature"), F.col("p.threshold").alias("threshold"),
+                           F.col("l.n").alias("n_left"), F.col("q.n").alias("n_right"),
+                           (F.col("p.impurity") - (F.col("l.n") * F.col("l.impurity") + F.col("q.n") * F.col("q.impurity"))
+                            / F.col("p.n")).alias("gain")))
+
+
+# ---------------------------------------------------------------- T6-T14, F13
+
+def _fit_small(spark, sf, **kw):
+    d = train_test(_num(spark, sf), KEY, 0.2, 42)
+    params = dict(n_trees=20, max_depth=8, min_samples_split=5, min_samples_leaf=2, impurity="entropy")
+    params.update(kw)
+    m = forest.fit_forest(d.filter(~F.col("is_test")), FEATS, "y_cls", KEY, **params)
+    return d, m
+
+
+@register("forest_nodes")
+def q_forest_nodes(spark, sf):
+    _, m = _fit_small(spark, sf)
+    return finish(m.node_table(spark))
+
+
+@register("forest_predict_soft")
+def q_forest_soft(spark, sf):
+    d, m = _fit_small(spark, sf)
+    p = forest.predict_forest(d.filter(F.col("is_test")).select(*KEY, *FEATS, "y_cls"), m, "soft", 0.6)
+    return finish(p.withColumn("p1", F.element_at("probability", 2)).drop("probability"))
+
+
+@register("forest_predict_hard")
+def q_forest_hard(spark, sf):
+    d, m = _fit_small(spark, sf)
+    p = forest.predict_forest(d.filter(F.col("is_test")).select(*KEY, *FEATS, "y_cls"), m, "hard")
+    return finish(p.drop("probability"))
+
+
+@register("forest_importances")
+def q_forest_importances(spark, sf):
+    _, m = _fit_small(spark, sf)
+    return finish(forest.importances(spark, m))
+
+
+@register("select_from_model")
+def q_select_from_model(spark, sf):
+    _, m = _fit_small(spark, sf)
+    return finish(scoring.select_from_model(forest.importances(spark, m)))
+
+
+@register("forest_library_baseline")
+def q_forest_ml(spark, sf):
+    d = train_test(_num(spark, sf), KEY, 0.2, 42)
+    model = forest.fit_forest_ml(d.filter(~F.col("is_test")), FEATS, "y_cls", n_trees=20, max_depth=8)
+    p = model.transform(d.filter(F.col("is_test")))
+    return p.select(*KEY, "y_cls", F.col("prediction").cast("int").alias("prediction"))
+
+
+@register("forest_documents")
+def q_forest_docs(spark, sf):
+    """Forest on real labels: document quality from length features."""
+    df = fx(spark, sf, "fx_doc")
+    m = forest.fit_forest(df, ["n_chars", "n_spaces"], "quality", "doc_id", n_trees=20, max_depth=6)
+    return finish(forest.predict_forest(df, m).drop("probability"))
