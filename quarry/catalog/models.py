@@ -151,3 +151,105 @@ def q_forest_docs(spark, sf):
     df = fx(spark, sf, "fx_doc")
     m = forest.fit_forest(df, ["n_chars", "n_spaces"], "quality", "doc_id", n_trees=20, max_depth=6)
     return finish(forest.predict_forest(df, m).drop("probability"))
+
+
+# ---------------------------------------------------------------- R rows
+
+from quarry.operators import svr  # noqa: E402
+
+_SVR_COLS = ["qty", "disc", "tax"]
+
+
+@register("svr_gamma_scale", with_fx("fx_num") + f"""SELECT {r(
+    "CASE WHEN (SUM(qty*qty + disc*disc + tax*tax) / (3.0 * COUNT(*)) - POWER(SUM(qty + disc + tax) / (3.0 * COUNT(*)), 2)) < 1e-12 "
+    "THEN 1.0 ELSE 1.0 / (3 * (SUM(qty*qty + disc*disc + tax*tax) / (3.0 * COUNT(*)) - "
+    "POWER(SUM(qty + disc + tax) / (3.0 * COUNT(*)), 2))) END", 'gamma', 9)}, {r('1.0 / 3', 'gamma_auto', 9)} FROM fx_num""")
+def q_gamma(spark, sf):
+    df = _num(spark, sf)
+    return finish(spark.createDataFrame([(svr.resolve_gamma(df, _SVR_COLS, "scale"),
+                                          svr.resolve_gamma(df, _SVR_COLS, "auto"))], "gamma double, gamma_auto double"), 9)
+
+
+@register("svr_epsilon_auto", with_fx("fx_num") + f"SELECT {r('GREATEST(0.1 * STDDEV_POP(y_reg), 1e-12)', 'epsilon')} FROM fx_num")
+def q_eps(spark, sf):
+    return finish(spark.createDataFrame([(svr.resolve_epsilon(_num(spark, sf), "y_reg", "auto"),)], "epsilon double"))
+
+
+@register("epsilon_insensitive_loss", with_fx("fx_reg") + f"""SELECT grp,
+  {r('SUM(GREATEST(ABS(y_true - y_pred) - 5000.0, 0))', 'loss', 4)}, {r('AVG(GREATEST(ABS(y_true - y_pred) - 5000.0, 0))', 'mean_loss')},
+  SUM(CASE WHEN ABS(y_true - y_pred) - 5000.0 > 0 THEN 1 ELSE 0 END)::BIGINT AS n_outside FROM fx_reg GROUP BY grp""")
+def q_loss(spark, sf):
+    l = svr.epsilon_insensitive_loss(fx(spark, sf, "fx_reg"), "y_true", "y_pred", 5000.0, "grp")
+    return finish(finish(l.select("grp", "loss", "n_outside"), 4).join(finish(l.select("grp", "mean_loss")), "grp"))
+
+
+@register("support_rows", with_fx("fx_reg") + "SELECT id, grp FROM fx_reg WHERE ABS(y_true - y_pred) >= 5000.0 - 0.001")
+def q_support(spark, sf):
+    return svr.support_rows(fx(spark, sf, "fx_reg"), "y_true", "y_pred", 5000.0).select("id", "grp")
+
+
+_LM = f"""lm AS (SELECT qty AS lq, disc AS ld, tax AS lt, ROW_NUMBER() OVER (ORDER BY {md5_sql(KEY, 5)}, {', '.join(KEY)}) - 1 AS landmark
+  FROM fx_num ORDER BY {md5_sql(KEY, 5)}, {', '.join(KEY)} LIMIT 3)"""
+
+
+@register("kernel_features", with_fx("fx_num") + f", {_LM}\nSELECT {', '.join(KEY)}, landmark::INTEGER AS landmark, " +
+          r("EXP(-0.01 * GREATEST(POWER(qty - lq, 2) + POWER(disc - ld, 2) + POWER(tax - lt, 2), 0))", "k") +
+          " FROM fx_num, lm")
+def q_kernel_features(spark, sf):
+    df = _num(spark, sf).select(*KEY, *_SVR_COLS)
+    L = svr.hash_landmarks(df, _SVR_COLS, 3, KEY, 5, hash_method="md5")
+    k = svr.kernel_features(df, _SVR_COLS, L, "rbf", 0.01)
+    return finish(k.select(*KEY, F.posexplode("k").alias("landmark", "k")))
+
+
+def _svr_fit(spark, sf, kernel="rbf"):
+    d = train_test(_num(spark, sf), KEY, 0.2, 42)
+    m = svr.fit_svr(d.filter(~F.col("is_test")), _SVR_COLS, "y_reg", kernel=kernel, C=1.0, epsilon="auto",
+                    gamma="scale", n_landmarks=100, key=KEY)
+    return d, m
+
+
+@register("svr_fit_predict")
+def q_svr(spark, sf):
+    d, m = _svr_fit(spark, sf)
+    return finish(svr.predict_svr(d.filter(F.col("is_test")).select(*KEY, *_SVR_COLS, "y_reg"), m))
+
+
+@register("svr_objective_trace")
+def q_svr_obj(spark, sf):
+    _, m = _svr_fit(spark, sf)
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(m.objective)], "iteration int, objective double")
+
+
+@register("svr_kernel_stats")
+def q_kstats(spark, sf):
+    _, m = _svr_fit(spark, sf)
+    return finish(svr.kernel_stats(_num(spark, sf), m))
+
+
+@register("svr_prediction_grid")
+def q_grid(spark, sf):
+    d, m = _svr_fit(spark, sf)
+    return finish(svr.prediction_grid(d, m, "qty", "disc", 20))
+
+
+@register("svr_stratified_support")
+def q_strat(spark, sf):
+    d, m = _svr_fit(spark, sf)
+    p = svr.predict_svr(d.select(*KEY, *_SVR_COLS, "y_reg"), m)
+    p = p.withColumn("excess", F.abs(F.col("y_reg") - F.col("prediction")) - F.lit(m.epsilon))
+    return finish(svr.stratified_top(svr.support_rows(p, "y_reg", "prediction", m.epsilon), "prediction", "excess", 5, 10))
+
+
+@register("svr_compare_grids")
+def q_cmp(spark, sf):
+    d, m1 = _svr_fit(spark, sf, "rbf")
+    _, m2 = _svr_fit(spark, sf, "linear")
+    return finish(svr.compare_grids(d, {"rbf": m1, "linear": m2}, "qty", "disc", 10))
+
+
+@register("svr_library_baseline")
+def q_svr_ml(spark, sf):
+    d = train_test(_num(spark, sf), KEY, 0.2, 42)
+    model = svr.fit_baseline_regressor(d.filter(~F.col("is_test")), _SVR_COLS, "y_reg", "huber")
+    return finish(model.transform(d.filter(F.col("is_test"))).select(*KEY, "y_reg", "prediction"))

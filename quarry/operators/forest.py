@@ -126,11 +126,13 @@ def fit_bins(df: DataFrame, features: Sequence[str], max_bins: int = 64) -> dict
     out = {}
     small = [c for c in features if nd[c] <= 2 * max_bins]
     exact = {}
-    for c in small:
-        vals = (df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull()).distinct()
-                .limit(max_bins + 1).collect())
-        if len(vals) <= max_bins:
-            exact[c] = np.array(sorted(r["v"] for r in vals))
+    if small:
+        # approx count <= 2 x max_bins bounds every set collected here
+        sets = df.agg(*[F.collect_set(F.col(c).cast("double")).alias(c) for c in small]).first()
+        for c in small:
+            vals = [v for v in sets[c] if v is not None and not math.isnan(v)]
+            if len(vals) <= max_bins:
+                exact[c] = np.array(sorted(vals))
     big = [c for c in features if c not in exact]
     if big:
         probs = [i / max_bins for i in range(1, max_bins)]
