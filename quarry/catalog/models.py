@@ -253,3 +253,83 @@ def q_svr_ml(spark, sf):
     d = train_test(_num(spark, sf), KEY, 0.2, 42)
     model = svr.fit_baseline_regressor(d.filter(~F.col("is_test")), _SVR_COLS, "y_reg", "huber")
     return finish(model.transform(d.filter(F.col("is_test"))).select(*KEY, "y_reg", "prediction"))
+
+
+# ---------------------------------------------------------------- X rows
+
+from quarry.operators import explain  # noqa: E402
+
+_W = {"qty": 0.8123457, "price": 0.0001234567, "disc": 201.2345678, "tax": -49.87654321}
+_B0 = 1.2345
+_BGSQL = f"bg AS (SELECT qty, price, disc, tax FROM fx_num ORDER BY {md5_sql(KEY, 3)}, {', '.join(KEY)} LIMIT 50), " \
+         "mb AS (SELECT AVG(qty) AS m_qty, AVG(price) AS m_price, AVG(disc) AS m_disc, AVG(tax) AS m_tax FROM bg)"
+_BASE = " + ".join(f"{w} * m_{c}" for c, w in _W.items()) + f" + {_B0}"
+_PRED = " + ".join(f"{w} * {c}" for c, w in _W.items()) + f" + {_B0}"
+_SHAP = with_fx("fx_num") + ", " + _BGSQL + ", sh AS (" + " UNION ALL ".join(
+    f"SELECT {', '.join(KEY)}, '{c}' AS feature, {w} * ({c} - m_{c}) AS shap_value, {_BASE} AS base_value, "
+    f"{_PRED} AS prediction, {c} AS value FROM fx_num, mb" for c, w in _W.items()) + ")\n"
+
+
+def _linear_shap(spark, sf):
+    df = _num(spark, sf).select(*KEY, *FEATS)
+    bg = explain.background(df, FEATS, 50, KEY, 3, hash_method="md5")
+    f = explain.LinearScorer([_W[c] for c in FEATS], _B0)
+    return df, explain.shapley(df, f, FEATS, bg, KEY, n_permutations=2, seed=1)
+
+
+@register("shapley_linear", _SHAP + f"SELECT {', '.join(KEY)}, feature, {r('shap_value', 'shap_value', 4)}, "
+          f"{r('base_value', 'base_value', 4)}, {r('prediction', 'prediction', 4)} FROM sh")
+def q_shap_lin(spark, sf):
+    return finish(_linear_shap(spark, sf)[1], 4)
+
+
+@register("shap_importance", _SHAP + f"SELECT feature, {r('AVG(ABS(shap_value))', 'mean_abs_shap', 4)} FROM sh GROUP BY feature")
+def q_shap_imp(spark, sf):
+    return finish(explain.shap_importance(_linear_shap(spark, sf)[1]), 4)
+
+
+@register("shap_waterfall", _SHAP + f""", rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY {', '.join(KEY)}
+  ORDER BY ABS(shap_value) DESC, feature) AS pos FROM sh)
+SELECT {', '.join(KEY)}, feature, {r('shap_value', 'shap_value', 4)}, pos::INTEGER AS position FROM rk WHERE pos < 3
+UNION ALL SELECT {', '.join(KEY)}, 'rest', {r('SUM(shap_value)', 'shap_value', 4)}, 3 FROM rk WHERE pos >= 3 GROUP BY {', '.join(KEY)}""")
+def q_waterfall(spark, sf):
+    return finish(explain.shap_waterfall(_linear_shap(spark, sf)[1], KEY, 3), 4)
+
+
+@register("shap_decision", _SHAP + f"""SELECT {', '.join(KEY)}, feature, {r('shap_value', 'shap_value', 4)},
+  {r(f"base_value + SUM(shap_value) OVER (PARTITION BY {', '.join(KEY)} ORDER BY ABS(shap_value), feature ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)", 'path_value', 4)}
+FROM sh""")
+def q_decision(spark, sf):
+    return finish(explain.shap_decision(_linear_shap(spark, sf)[1], KEY), 4)
+
+
+@register("shap_dependence", _SHAP + f""", top AS (SELECT feature FROM sh GROUP BY feature ORDER BY AVG(ABS(shap_value)) DESC, feature LIMIT 2)
+SELECT {', '.join(KEY)}, feature, {r('value', 'value', 4)}, {r('shap_value', 'shap_value', 4)} FROM sh WHERE feature IN (SELECT feature FROM top)""")
+def q_dependence(spark, sf):
+    df, sh = _linear_shap(spark, sf)
+    return finish(explain.shap_dependence(sh, df, KEY, 2), 4)
+
+
+def _forest_shap(spark, sf):
+    d, m = _fit_small(spark, sf, n_trees=10, max_depth=6)
+    te = d.filter(F.col("is_test")).select(*KEY, *FEATS)
+    bg = explain.background(d.filter(~F.col("is_test")), FEATS, 50, KEY, 3)
+    return te, m, bg
+
+
+@register("shapley_forest")
+def q_shap_forest(spark, sf):
+    te, m, bg = _forest_shap(spark, sf)
+    return finish(explain.shapley(te, explain.ForestScorer(m), FEATS, bg, KEY, n_permutations=4, seed=2))
+
+
+@register("shap_distribution")
+def q_shap_dist(spark, sf):
+    df, sh = _linear_shap(spark, sf)
+    return finish(explain.shap_distribution(sh, df, KEY, 10))
+
+
+@register("shap_interactions")
+def q_shap_inter(spark, sf):
+    te, m, bg = _forest_shap(spark, sf)
+    return finish(explain.shap_interactions(te, explain.ForestScorer(m), FEATS, bg[:20], n_permutations=2, seed=3))
