@@ -333,3 +333,128 @@ def q_shap_dist(spark, sf):
 def q_shap_inter(spark, sf):
     te, m, bg = _forest_shap(spark, sf)
     return finish(explain.shap_interactions(te, explain.ForestScorer(m), FEATS, bg[:20], n_permutations=2, seed=3))
+
+
+# ---------------------------------------------------------------- M6-M8, Y, S11, S12
+
+from quarry.operators import experiments, metrics as Mx, search, splits as Sp  # noqa: E402
+from quarry.catalog.preparation import _scratch  # noqa: E402
+from quarry.sources import readers as Rd  # noqa: E402
+from quarry.catalog.evaluation import _REG, _REG_SQL  # noqa: E402
+
+_CV_IN = """SELECT id, grp, y_true, y_pred, y_true * (0.95 + 0.001 * (id % 97)) AS y_alt FROM fx_reg"""
+_FOLD = f"NTILE(5) OVER (ORDER BY {md5_sql('id', 11)}, id) - 1"
+
+
+def _cv_table(spark, sf):
+    fx(spark, sf, "fx_reg")  # registers the derived views
+    df = Sp.kfold(spark.sql(_CV_IN), 5, "id", 11, hash_method="md5")
+    parts = []
+    for cid, col in ((0, "y_pred"), (1, "y_alt")):
+        t = Mx.regression_report(df, "y_true", col, "fold").select(
+            F.lit(cid).alias("candidate_id"), "fold",
+            F.expr("stack(2, 'mean_absolute_error', mean_absolute_error, 'root_mean_squared_error', "
+                   "root_mean_squared_error) AS (metric, value)"))
+        parts.append(t)
+    return parts[0].unionByName(parts[1])
+
+
+_CV_SQL = with_fx("fx_reg") + f""", d AS (SELECT *, {_FOLD} AS fold FROM ({_CV_IN})),
+f AS (SELECT 0 AS candidate_id, fold, AVG(ABS(y_true - y_pred)) AS mae, SQRT(AVG(POWER(y_true - y_pred, 2))) AS rmse FROM d GROUP BY fold
+      UNION ALL SELECT 1, fold, AVG(ABS(y_true - y_alt)), SQRT(AVG(POWER(y_true - y_alt, 2))) FROM d GROUP BY fold),
+cv AS (SELECT candidate_id, fold, 'mean_absolute_error' AS metric, mae AS value FROM f
+       UNION ALL SELECT candidate_id, fold, 'root_mean_squared_error', rmse FROM f)
+"""
+_T4 = "2.7764451051977734"  # Student t 0.975 quantile, 4 degrees of freedom (5 folds)
+
+
+@register("cv_results", _CV_SQL + "SELECT candidate_id, metric, COUNT(*) AS n, " + ", ".join([
+    r("AVG(value)", "mean"), r("STDDEV_SAMP(value)", "std"), r("STDDEV_SAMP(value) / SQRT(COUNT(*))", "std_error"),
+    r("QUANTILE_CONT(value, 0.5)", "median"), r("MIN(value)", "min"), r("MAX(value)", "max"),
+    r("QUANTILE_CONT(value, 0.25)", "q1"), r("QUANTILE_CONT(value, 0.75)", "q3"),
+    r("QUANTILE_CONT(value, 0.75) - QUANTILE_CONT(value, 0.25)", "iqr"),
+    r("CASE WHEN ABS(AVG(value)) > 1e-10 THEN STDDEV_SAMP(value) / ABS(AVG(value)) * 100 ELSE 0 END", "coefficient_of_variation"),
+    r(f"AVG(value) - {_T4} * STDDEV_SAMP(value) / SQRT(COUNT(*))", "lower"),
+    r(f"AVG(value) + {_T4} * STDDEV_SAMP(value) / SQRT(COUNT(*))", "upper"),
+    r(f"{_T4} * STDDEV_SAMP(value) / SQRT(COUNT(*))", "margin_of_error")]) + " FROM cv GROUP BY candidate_id, metric")
+def q_cv_results(spark, sf):
+    return finish(search.cv_results(_cv_table(spark, sf)))
+
+
+@register("best_candidate", _CV_SQL + f"""SELECT candidate_id, {r('AVG(value)', 'mean')} FROM cv
+WHERE metric = 'root_mean_squared_error' GROUP BY candidate_id ORDER BY AVG(value), candidate_id LIMIT 1""")
+def q_best_candidate(spark, sf):
+    t = _cv_table(spark, sf).withColumn("params", F.create_map(F.lit("candidate"), F.col("candidate_id").cast("string")))
+    return finish(search.best_candidate(t, "root_mean_squared_error").select("candidate_id", "mean"))
+
+
+def _doc_folds(spark, sf):
+    return fx(spark, sf, "fx_doc").select("doc_id", "n_chars", "n_spaces", "quality")
+
+
+@register("cross_validate_forest")
+def q_cv_forest(spark, sf):
+    d = Sp.stratified_kfold(_doc_folds(spark, sf), "quality", 5, "doc_id", 42)
+    return finish(search.cross_validate(d, "fold", "random_forest", ["n_chars", "n_spaces"], "quality", "doc_id",
+                                        dict(n_trees=10, max_depth=5), "classification", prep={"scaler": "robust"}))
+
+
+@register("grid_search_forest")
+def q_grid_forest(spark, sf):
+    d = Sp.stratified_kfold(_doc_folds(spark, sf), "quality", 3, "doc_id", 42)
+    cv, best, _ = search.grid_search(d, "fold", "random_forest", ["n_chars", "n_spaces"], "quality", "doc_id",
+                                     {"n_trees": [5], "max_depth": [3, 5], "vote": ["soft", "hard"]},
+                                     "classification", "f1", refit=False)
+    return finish(search.cv_results(cv))
+
+
+@register("grid_search_svr")
+def q_grid_svr(spark, sf):
+    d = Sp.kfold(_num(spark, sf).select(*KEY, *_SVR_COLS, "y_reg"), 3, KEY, 42)
+    cv, best, _ = search.grid_search(d, "fold", "svr", _SVR_COLS, "y_reg", KEY,
+                                     [{"kernel": ["linear"], "C": [1.0]}, {"kernel": ["rbf"], "C": [0.5, 2.0],
+                                                                          "n_landmarks": [50]}],
+                                     "regression", "root_mean_squared_error", parallelism=3, refit=False)
+    return finish(cv)
+
+
+def _experiment(spark, sf):
+    d = Sp.train_test(_num(spark, sf), KEY, 0.2, 42)
+    b, _ = experiments.run_experiment(d.filter(~F.col("is_test")), "random_forest", FEATS, "y_cls", KEY,
+                                      dict(n_trees=10, max_depth=6), prep={"scaler": "robust"})
+    return d.filter(F.col("is_test")), b
+
+
+@register("experiment_predict")
+def q_exp_predict(spark, sf):
+    te, b = _experiment(spark, sf)
+    return finish(experiments.predict(te.select(*KEY, *FEATS, "y_cls"), b))
+
+
+@register("experiment_score_json")
+def q_exp_score(spark, sf):
+    te, b = _experiment(spark, sf)
+    path = _scratch(spark) + "/metrics"
+    experiments.score(te, b, json_path=path)
+    return finish(Rd.read_table(spark, path, fmt="json").select("metric", "value"))
+
+
+@register("write_json_roundtrip", _REG + "SELECT grp, COUNT(*) AS n, " + ", ".join(
+    r(e, n) for n, e in _REG_SQL.items()) + " FROM fx_reg JOIN m USING (grp) GROUP BY grp")
+def q_json_roundtrip(spark, sf):
+    path = _scratch(spark) + "/report"
+    from quarry.sources import writers
+    writers.write_json(Mx.regression_report(fx(spark, sf, "fx_reg"), "y_true", "y_pred", "grp"), path)
+    return finish(Rd.read_table(spark, path, fmt="json"))
+
+
+@register("bundle_roundtrip")
+def q_bundle(spark, sf):
+    te, b = _experiment(spark, sf)
+    path = _scratch(spark) + "/bundle"
+    experiments.save_bundle(b, path, spark)
+    b2 = experiments.load_bundle(spark, path)
+    p1 = experiments.predict(te.select(*KEY, *FEATS), b).select(*KEY, F.col("prediction").alias("a"), F.col("p1").alias("pa"))
+    p2 = experiments.predict(te.select(*KEY, *FEATS), b2).select(*KEY, F.col("prediction").alias("b"), F.col("p1").alias("pb"))
+    return p1.join(p2, KEY).select(*KEY, "a", "b", (F.col("a") == F.col("b")).alias("same_prediction"),
+                                   (F.abs(F.col("pa") - F.col("pb")) < 1e-12).alias("same_probability"))
