@@ -65,3 +65,42 @@ SELECT 'value' AS column, CAST(FLOOR(pos * 50 / n) AS INTEGER) AS bucket, MIN(po
           " FROM p, n GROUP BY 1, 2")
 def q_series(spark, sf):
     return finish(E.series(fx(spark, sf, "events"), ["value"], ["ts", "event_id"], buckets=50))
+
+
+# ---------------------------------------------------------------- E6-E8
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from quarry.functions.hashing import md5_sql  # noqa: E402
+from quarry.operators import neighbors as N  # noqa: E402
+
+
+@register("pca_projection")
+def q_pca(spark, sf):
+    proj, _ = N.pca(fx(spark, sf, "fx_num"), ["qty", "price", "disc", "tax"], 2,
+                    ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
+    return finish(proj, 4)
+
+
+@register("pca_variance")
+def q_pca_var(spark, sf):
+    _, var = N.pca(fx(spark, sf, "embeddings"), "embedding", 3, ["vec_id"])
+    return finish(var)
+
+
+@register("knn_graph", """WITH e AS (SELECT vec_id, embedding FROM embeddings),
+p AS (SELECT a.vec_id AS id, b.vec_id AS nbr,
+        SQRT(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: POWER(z[1]::DOUBLE - z[2]::DOUBLE, 2)))) AS dist
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY dist, nbr) AS rank FROM p)
+SELECT id, nbr, """ + r("dist", "dist", 4) + ", rank::INTEGER AS rank FROM r WHERE rank <= 5")
+def q_knn(spark, sf):
+    g = N.knn_graph(fx(spark, sf, "embeddings"), "vec_id", "embedding", 5, block_rows=128)
+    return finish(g.withColumn("rank", F.col("rank").cast("int")), 4)
+
+
+@register("scatter_sample", "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders ORDER BY " +
+          md5_sql("o_orderkey", 9) + ", o_orderkey LIMIT 200")
+def q_scatter(spark, sf):
+    return N.scatter_sample(fx(spark, sf, "orders"), ["o_totalprice", "o_orderpriority"], 200, "o_orderkey", 9,
+                            hash_method="md5")
