@@ -268,3 +268,33 @@ def q_feature_ranking(spark, sf):
     enc = encoding.fit_encoder(df, ["flag3"], "label")
     prep = encoding.transform(scaling.transform(df, st), enc)
     return finish(voting.select_best_features(prep, "y_reg", "regression", methods=_METHODS, features=_FLAG_FEATS))
+
+
+# ---------------------------------------------------------------- F14
+
+from quarry.functions.hashing import md5_sql  # noqa: E402
+from quarry.operators import relief  # noqa: E402
+
+_RELIEF = f"""WITH long AS (SELECT vec_id, label, t.i, embedding[t.i]::DOUBLE AS x FROM embeddings, range(1, 65) t(i)),
+rg AS (SELECT i, MAX(x) - MIN(x) AS rg FROM long GROUP BY i),
+anc AS (SELECT vec_id AS aid, label AS alab FROM embeddings ORDER BY {md5_sql('vec_id', 4)}, vec_id LIMIT 40),
+pri AS (SELECT label, COUNT(*) / (SELECT COUNT(*) FROM embeddings)::DOUBLE AS prior FROM embeddings GROUP BY label),
+dist AS (SELECT a.aid, a.alab, le.vec_id, le.label,
+           SUM(CASE WHEN rg.rg = 0 THEN 0 ELSE ABS(la.x - le.x) / rg.rg END) AS dist
+         FROM anc a JOIN long la ON la.vec_id = a.aid JOIN long le ON le.i = la.i AND le.vec_id <> a.aid
+         JOIN rg ON rg.i = la.i GROUP BY a.aid, a.alab, le.vec_id, le.label),
+nn AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY aid, label ORDER BY dist, vec_id) AS rk FROM dist) WHERE rk <= 5),
+contrib AS (SELECT la.i, CASE WHEN nn.label = nn.alab THEN -1.0 ELSE p.prior / (1 - pa.prior) END / (40 * 5)
+             * CASE WHEN rg.rg = 0 THEN 0 ELSE ABS(la.x - le.x) / rg.rg END AS c
+            FROM nn JOIN long la ON la.vec_id = nn.aid JOIN long le ON le.vec_id = nn.vec_id AND le.i = la.i
+            JOIN rg ON rg.i = la.i JOIN pri p ON p.label = nn.label JOIN pri pa ON pa.label = nn.alab),
+w AS (SELECT 'embedding_' || (i - 1)::VARCHAR AS feature, SUM(c) AS weight FROM contrib GROUP BY i)
+SELECT feature, {r('weight', 'weight')}, ROW_NUMBER() OVER (ORDER BY weight DESC, feature)::INTEGER AS rank,
+  ROW_NUMBER() OVER (ORDER BY weight DESC, feature) <= 10 AS selected FROM w"""
+
+
+@register("relief_weights", _RELIEF)
+def q_relief(spark, sf):
+    w = relief.relief_weights(fx(spark, sf, "embeddings"), "embedding", "label", "vec_id", n_anchors=40, k=5,
+                              seed=4, hash_method="md5")
+    return finish(w.withColumn("rank", F.col("rank").cast("int")))
