@@ -326,11 +326,11 @@ def compare_variants(df: DataFrame, key: str, variant: str, value: str, a_name,
                                 F.first(F.when(F.col(variant) == b_name, F.col(value)), ignorenulls=True).alias("_b"),
                                 F.sum((F.col(variant) == a_name).cast("int")).alias("_na"),
                                 F.sum((F.col(variant) == b_name).cast("int")).alias("_nb")))
-    pv = pv.withColumn("_chk", F.when((F.col("_na") > 1) | (F.col("_nb") > 1),
-                                      F.raise_error(F.lit("a key holds more than one value per variant")))
-                       .otherwise(F.lit(0))).filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
-    means = _agg(pv, g, F.count(F.lit(1)).alias("n"), F.avg("_a").alias("mean_a"), F.avg("_b").alias("mean_b"),
-                 F.max("_chk").alias("_chk"))
+    # a filter cannot be pruned away, so the duplicate check always runs
+    dup = (F.col("_na") > 1) | (F.col("_nb") > 1)
+    pv = pv.filter(F.when(dup, F.raise_error(F.lit("a key holds more than one value per variant")).cast("boolean"))
+                   .otherwise(F.lit(True))).filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    means = _agg(pv, g, F.count(F.lit(1)).alias("n"), F.avg("_a").alias("mean_a"), F.avg("_b").alias("mean_b"))
     means = means.withColumn("mean_difference", F.col("mean_a") - F.col("mean_b"))
     t = paired_ttest(pv, "_a", "_b", g, with_p=with_p).select(
         *g, F.col("statistic").alias("t_statistic"), *([F.col("p_value").alias("t_p_value")] if with_p else []))
@@ -338,7 +338,7 @@ def compare_variants(df: DataFrame, key: str, variant: str, value: str, a_name,
     w = wilcoxon(pv, "_a", "_b", g, with_p=with_p).select(
         *g, F.col("statistic").alias("wilcoxon_statistic"), *([F.col("p_value").alias("wilcoxon_p_value")] if with_p else []))
     out = join_groups(join_groups(join_groups(means, t, g), dz, g), w, g)
-    out = out.withColumn("n", F.col("n").cast("long")).drop("_chk")
+    out = out.withColumn("n", F.col("n").cast("long"))
     if with_p:
         out = out.withColumn("t_significant", F.col("t_p_value") < F.lit(alpha))
     return out
