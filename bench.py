@@ -56,6 +56,7 @@ def main() -> None:
         t0 = time.time()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
+        print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
     print(json.dumps({"metric": "headline_queries_total_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))
 

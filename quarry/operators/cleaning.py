@@ -43,20 +43,22 @@ def interpolate(df: DataFrame, cols: Sequence[str], order_by: Sequence, partitio
         .alias(f"_f{i}") for i, c in enumerate(cols)], *[
         F.max(F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v"))))
         .alias(f"_l{i}") for i, c in enumerate(cols)])
-    wb = Window.partitionBy(*parts).orderBy("_bucket")
+    wb = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    wr = Window.partitionBy(*parts).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     carry = summ.select(*parts, "_bucket", *[
-        F.last(F.col(f"_l{i}"), ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_ci{i}")
-        for i in range(len(cols))], *[
-        F.first(F.col(f"_f{i}"), ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing)).alias(f"_co{i}")
-        for i in range(len(cols))])
+        F.last(F.col(f"_l{i}"), ignorenulls=True).over(wb).alias(f"_ci{i}") for i in range(len(cols))], *[
+        F.last(F.col(f"_f{i}"), ignorenulls=True).over(wr).alias(f"_co{i}") for i in range(len(cols))])
     # the carry table has one row per (partition, bucket): the same cells as the size-checked offsets
     out = pos.join(F.broadcast(carry), on=[*parts, "_bucket"])
+    # both directions are running frames (unbounded preceding -> current row), which
+    # Spark evaluates incrementally; "next valid" is "last valid" in reversed order
     w_prev = w_in.rowsBetween(Window.unboundedPreceding, 0)
-    w_next = w_in.rowsBetween(0, Window.unboundedFollowing)
+    rev = [F.col(n).desc() if a else F.col(n).asc() for n, a in spec]
+    w_next = Window.partitionBy(*parts, "_bucket").orderBy(*rev).rowsBetween(Window.unboundedPreceding, 0)
     for i, c in enumerate(cols):
         pv = F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v"))
         prev = F.coalesce(F.last(F.when(F.col(c).isNotNull(), pv), ignorenulls=True).over(w_prev), F.col(f"_ci{i}"))
-        nxt = F.coalesce(F.first(F.when(F.col(c).isNotNull(), pv), ignorenulls=True).over(w_next), F.col(f"_co{i}"))
+        nxt = F.coalesce(F.last(F.when(F.col(c).isNotNull(), pv), ignorenulls=True).over(w_next), F.col(f"_co{i}"))
         out = out.withColumn(f"_p{i}", prev).withColumn(f"_n{i}", nxt)
         lin = (F.col(f"_p{i}.v") + (F.col(f"_n{i}.v") - F.col(f"_p{i}.v")) *
                (F.col("_pos") - F.col(f"_p{i}.p")) / (F.col(f"_n{i}.p") - F.col(f"_p{i}.p")))
@@ -76,10 +78,17 @@ def fill_category(df: DataFrame, cols: Sequence[str], value: str = NAN_CATEGORY)
 
 
 def fit_mode(df: DataFrame, cols: Sequence[str]) -> dict:
-    """P3 fit: most common value per column (smallest on ties); one aggregation,
-    one row to the driver. All-NULL columns get no entry."""
-    row = df.agg(*[F.mode(F.col(c), True).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    return {c: row[f"m{i}"] for i, c in enumerate(cols) if row[f"m{i}"] is not None}
+    """P3 fit: most common value per column (smallest on ties). Each column is a
+    distributed count per value (partial aggregation before the shuffle) and a
+    ``min_by`` over (-count, value): no per-group value map, so a column with
+    billions of distinct values is fine. All-NULL columns get no entry."""
+    out = {}
+    for c in cols:
+        cnt = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+        row = cnt.agg(F.min_by(F.col(c), F.struct(-F.col("_n"), F.col(c))).alias("m")).first()
+        if row["m"] is not None:
+            out[c] = row["m"]
+    return out
 
 
 def fill_mode(df: DataFrame, cols: Sequence[str], modes: Mapping | None = None) -> DataFrame:

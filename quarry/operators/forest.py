@@ -280,9 +280,17 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, key: Sequence
                     idx = ((li[m][:, None] * len(fs) + np.arange(len(fs))[None, :]) * nb + sub).ravel()
                     ww = np.repeat(wt[m, t], len(fs))
                     yy = np.repeat(y[m], len(fs))
-                    uniq, inv = np.unique(idx, return_inverse=True)
-                    c0 = np.bincount(inv, weights=ww * (yy == 0), minlength=len(uniq))
-                    c1 = np.bincount(inv, weights=ww * (yy == 1), minlength=len(uniq))
+                    dense = len(nodes) * len(fs) * nb
+                    if dense <= (1 << 22):
+                        # small cell space: dense bincount, keep the non-empty cells
+                        c0 = np.bincount(idx, weights=ww * (yy == 0), minlength=dense)
+                        c1 = np.bincount(idx, weights=ww * (yy == 1), minlength=dense)
+                        uniq = np.nonzero((c0 > 0) | (c1 > 0))[0]
+                        c0, c1 = c0[uniq], c1[uniq]
+                    else:
+                        uniq, inv = np.unique(idx, return_inverse=True)
+                        c0 = np.bincount(inv, weights=ww * (yy == 0), minlength=len(uniq))
+                        c1 = np.bincount(inv, weights=ww * (yy == 1), minlength=len(uniq))
                     b = uniq % nb
                     fl = (uniq // nb) % len(fs)
                     nl = uniq // nb // len(fs)

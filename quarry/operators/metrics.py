@@ -203,13 +203,9 @@ def log_loss(df: DataFrame, y_true: str, proba: str, group_by=None, eps: float =
     dt = df.schema[proba].dataType.simpleString()
     y = F.col(y_true).cast("double")
     if dt.startswith("array"):
-        if classes is None:
-            cls = df.select(F.col(y_true).cast("long").alias("_c")).distinct()
-            cls = cls.withColumn("_i", F.dense_rank().over(Window.orderBy("_c")))
-        else:
-            cls = df.sparkSession.createDataFrame([(int(c), i + 1) for i, c in enumerate(sorted(classes))],
-                                                  "_c long, _i int")
-        j = df.join(F.broadcast(cls), F.col(y_true).cast("long") == F.col("_c"), "inner")
+        classes = sorted(classes) if classes is not None else class_list(df, y_true)
+        idx = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(int(c)), F.lit(i + 1))])
+        j = df.withColumn("_i", F.try_element_at(idx, F.col(y_true).cast("long")))
         pt = F.element_at(F.col(proba), F.col("_i")).cast("double")
         pt = F.least(F.greatest(pt, F.lit(eps)), F.lit(1 - eps))
         return _agg(j, g, (-F.avg(F.ln(pt))).alias("value"))
@@ -217,6 +213,17 @@ def log_loss(df: DataFrame, y_true: str, proba: str, group_by=None, eps: float =
     return _agg(df, g, (-F.avg(y * F.ln(p) + (1 - y) * F.ln(1 - p))).alias("value"))
 
 
+MAX_CLASSES = 10_000
+
+
+def class_list(df: DataFrame, y_true: str, max_classes: int = MAX_CLASSES) -> list[int]:
+    """Sorted distinct classes (a size-checked list: class counts are small)."""
+    rows = df.select(F.col(y_true).cast("long").alias("c")).distinct().limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"more than {max_classes} classes in {y_true}")
+    return sorted(r["c"] for r in rows if r["c"] is not None)
+
+
 # ----------------------------------------------------------------------------- curves
 
 def _score_counts(df: DataFrame, y_true: str, score: str, g: list[str]) -> DataFrame:
@@ -272,10 +279,10 @@ def average_precision_score(df: DataFrame, y_true: str, score: str, group_by=Non
 def roc_auc_ovr(df: DataFrame, y_true: str, proba: str, group_by=None, n_buckets=None) -> DataFrame:
     """Q21: mean one-vs-rest AUC; array positions follow the sorted distinct classes."""
     g = _g(group_by)
-    cls = df.select(F.col(y_true).cast("long").alias("_c")).distinct()
-    cls = cls.withColumn("_pos", F.dense_rank().over(Window.orderBy("_c")) - 1)
+    classes = class_list(df, y_true)
+    cmap = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(i), F.lit(int(c)))])
     ex = df.select(*g, F.col(y_true).cast("long").alias("_y"), F.posexplode(F.col(proba)).alias("_pos", "_p"))
-    ex = ex.join(F.broadcast(cls), on="_pos", how="inner") \
+    ex = ex.withColumn("_c", F.try_element_at(cmap, F.col("_pos"))).filter(F.col("_c").isNotNull()) \
            .withColumn("_yb", (F.col("_y") == F.col("_c")).cast("int"))
     per = roc_auc_score(ex, "_yb", "_p", group_by=[*g, "_c"], n_buckets=n_buckets)
     return _agg(per, g, F.avg("value").alias("value"))

@@ -32,8 +32,12 @@ def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int =
     d, names = _vector_cols(df, cols)
     tdt = df.schema[target].dataType.simpleString()
     if tdt not in ("int", "bigint", "smallint", "tinyint"):
-        codes = d.select(target).distinct().withColumn("_cls", F.dense_rank().over(Window.orderBy(target)) - 1)
-        d = d.join(F.broadcast(codes), target)  # one row per class
+        vals = d.select(F.col(target).cast("string").alias("v")).distinct().limit(100_001).collect()
+        if len(vals) > 100_000:
+            raise ValueError("too many target values to label-encode")
+        cats = sorted(r["v"] for r in vals if r["v"] is not None)
+        codes = F.create_map(*[x for i, v in enumerate(cats) for x in (F.lit(v), F.lit(i))])
+        d = d.withColumn("_cls", F.try_element_at(codes, F.col(target).cast("string")).cast("long"))
     else:
         d = d.withColumn("_cls", F.col(target).cast("long"))
     d = d.select(F.col(key).alias("_key"), "_cls", *[F.col(c).cast("double").alias(c) for c in names])
@@ -97,7 +101,8 @@ def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int =
         / F.lit(float(m * k))
     body = ", ".join(f"'{nm}', diff[{i}]" for i, nm in enumerate(names))
     long = nn.select(fac.alias("fac"), F.expr(f"stack({len(names)}, {body}) AS (feature, dv)"))
-    wts = long.groupBy("feature").agg(F.sum(F.col("fac") * F.col("dv")).alias("weight"))
-    rk = Window.partitionBy(F.lit(0)).orderBy(F.desc("weight"), "feature")   # one row per feature
-    return wts.withColumn("rank", F.row_number().over(rk)) \
-              .withColumn("selected", F.col("rank") <= F.lit(n_features))
+    wts = long.groupBy("feature").agg(F.sum(F.col("fac") * F.col("dv")).alias("weight")).collect()  # d rows
+    ranked = sorted(((r["feature"], r["weight"]) for r in wts), key=lambda t: (-t[1], t[0]))
+    return df.sparkSession.createDataFrame(
+        [(f, float(w), i + 1, i < n_features) for i, (f, w) in enumerate(ranked)],
+        "feature string, weight double, rank int, selected boolean")

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark import StorageLevel
+
 from quarry.plans.parallel import spread
 
 SCALERS = ("standard", "min_max", "max_abs", "robust", "power", "quantile")
@@ -130,7 +132,7 @@ def _yj_col(x: Column, lam: Column) -> Column:
     return F.when(x >= 0, pos).otherwise(neg)
 
 
-def _fit_power(df: DataFrame, cols: list[str], rounds: int = 3, grid: int = 41) -> ScalerState:
+def _fit_power(df: DataFrame, cols: list[str], rounds: int = 4, grid: int = 17) -> ScalerState:
     """Maximum likelihood lambda by grid refinement. Each round is ONE grouped
     aggregation: every value meets the (column, lambda) grid of its column
     through a broadcast of that small grid table, and partial aggregation keeps
@@ -138,7 +140,8 @@ def _fit_power(df: DataFrame, cols: list[str], rounds: int = 3, grid: int = 41)
     the variance of the transform and sum(sign(x) * log1p(|x|))."""
     spark = df.sparkSession
     body = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    long = spread(df.select(F.expr(f"stack({len(cols)}, {body}) AS (column, x)")).filter(F.col("x").isNotNull()))
+    long = spread(df.select(F.expr(f"stack({len(cols)}, {body}) AS (column, x)")).filter(F.col("x").isNotNull())) \
+        .persist(StorageLevel.MEMORY_AND_DISK)   # reused by every search round
     base = {r["column"]: r for r in long.groupBy("column").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.signum("x") * F.log1p(F.abs("x"))).alias("sl"),
         F.var_pop("x").alias("vx")).collect()}
@@ -162,6 +165,7 @@ def _fit_power(df: DataFrame, cols: list[str], rounds: int = 3, grid: int = 41)
                 best[c] = max(cand)[2]
             step = (hi[c] - lo[c]) / (grid - 1)
             lo[c], hi[c] = best[c] - step, best[c] + step
+    long.unpersist()
     st = ScalerState("power", lam=best)
     r = df.agg(*[F.avg(yeo_johnson(_x(c), best[c])).alias(f"m{i}") for i, c in enumerate(cols)],
                *[F.stddev_pop(yeo_johnson(_x(c), best[c])).alias(f"s{i}") for i, c in enumerate(cols)]).first()
