@@ -156,9 +156,12 @@ def state_from_tables(tables: dict[str, DataFrame], meta: dict) -> PreprocessorS
 
 def save_preprocessor(st: PreprocessorState, path: str, spark: SparkSession) -> None:
     tables, meta = state_tables(spark, st)
-    writers.save_tables(tables, meta, path) if tables else \
-        spark.createDataFrame([(pd.io.json.dumps(meta),)], "manifest string").write.mode("overwrite").text(
-            f"{path}/_manifest")
+    if tables:
+        writers.save_tables(tables, meta, path)
+    else:
+        import json
+        spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "manifest string") \
+             .coalesce(1).write.mode("overwrite").text(f"{path}/_manifest")
 
 
 def load_preprocessor(spark: SparkSession, path: str) -> PreprocessorState:
