@@ -125,47 +125,79 @@ def yeo_johnson_inverse(y: Column, lam: float) -> Column:
     return F.when(y >= 0, pos).otherwise(neg)
 
 
-def _yj_col(x: Column, lam: Column) -> Column:
-    """Yeo-Johnson with lambda given as a column (used in the lambda search)."""
-    pos = F.when(F.abs(lam) < 1e-12, F.log1p(x)).otherwise((F.pow(x + 1.0, lam) - 1.0) / lam)
-    neg = F.when(F.abs(lam - 2.0) < 1e-12, -F.log1p(-x)).otherwise(-(F.pow(1.0 - x, 2.0 - lam) - 1.0) / (2.0 - lam))
-    return F.when(x >= 0, pos).otherwise(neg)
+def _yj_np(x: np.ndarray, lam: float) -> np.ndarray:
+    out = np.empty_like(x)
+    pos = x >= 0
+    if abs(lam) < 1e-12:
+        out[pos] = np.log1p(x[pos])
+    else:
+        out[pos] = (np.power(x[pos] + 1.0, lam) - 1.0) / lam
+    if abs(lam - 2.0) < 1e-12:
+        out[~pos] = -np.log1p(-x[~pos])
+    else:
+        out[~pos] = -(np.power(1.0 - x[~pos], 2.0 - lam) - 1.0) / (2.0 - lam)
+    return out
 
 
 def _fit_power(df: DataFrame, cols: list[str], rounds: int = 4, grid: int = 17) -> ScalerState:
-    """Maximum likelihood lambda by grid refinement. Each round is ONE grouped
-    aggregation: every value meets the (column, lambda) grid of its column
-    through a broadcast of that small grid table, and partial aggregation keeps
-    one (count, var) state per (column, lambda). The log-likelihood needs only
-    the variance of the transform and sum(sign(x) * log1p(|x|))."""
+    """Maximum likelihood lambda by grid refinement. Each round is ONE pass: every
+    Arrow batch evaluates the transform for all (column, lambda) pairs in NumPy
+    and emits shifted sums (shift = transform of the column mean, for a stable
+    variance); a grouped sum merges them (a table of columns x grid rows). The
+    log-likelihood needs only that variance and sum(sign(x) * log1p(|x|))."""
     spark = df.sparkSession
-    body = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    long = spread(df.select(F.expr(f"stack({len(cols)}, {body}) AS (column, x)")).filter(F.col("x").isNotNull())) \
+    data = spread(df.select(*[F.col(c).cast("double").alias(c) for c in cols])) \
         .persist(StorageLevel.MEMORY_AND_DISK)   # reused by every search round
-    base = {r["column"]: r for r in long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.signum("x") * F.log1p(F.abs("x"))).alias("sl"),
-        F.var_pop("x").alias("vx")).collect()}
-    cols_fit = [c for c in cols if c in base and (base[c]["vx"] or 0) > 0]  # constant columns keep lambda 1
-    lo = {c: -4.0 for c in cols}
-    hi = {c: 4.0 for c in cols}
+    base = data.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+                    *[F.avg(F.col(c)).alias(f"m{i}") for i, c in enumerate(cols)],
+                    *[F.var_pop(F.col(c)).alias(f"v{i}") for i, c in enumerate(cols)],
+                    *[F.sum(F.signum(F.col(c)) * F.log1p(F.abs(F.col(c)))).alias(f"s{i}")
+                      for i, c in enumerate(cols)]).first()
+    fit = [i for i, c in enumerate(cols) if (base[f"v{i}"] or 0) > 0]   # constant columns keep lambda 1
+    lo = {i: -4.0 for i in fit}
+    hi = {i: 4.0 for i in fit}
     best = {c: 1.0 for c in cols}
     for _ in range(rounds):
-        if not cols_fit:
+        if not fit:
             break
-        rows = [(c, float(l)) for c in cols_fit for l in np.linspace(lo[c], hi[c], grid)]
-        lam = F.broadcast(spark.createDataFrame(rows, "column string, lam double"))  # cols x grid rows
-        res = (long.join(lam, on="column")
-               .groupBy("column", "lam").agg(F.var_pop(_yj_col(F.col("x"), F.col("lam"))).alias("v"))
+        lams = {i: np.linspace(lo[i], hi[i], grid) for i in fit}
+        shifts = {i: [float(_yj_np(np.array([base[f"m{i}"]]), float(l))[0]) for l in lams[i]] for i in fit}
+        bc = spark.sparkContext.broadcast((lams, shifts))
+
+        def kern(batches, bc=bc):
+            lm, sh = bc.value
+            for pdf in batches:
+                rows = []
+                for i in lm:
+                    x = pdf[cols[i]].to_numpy(dtype=np.float64)
+                    x = x[~np.isnan(x)]
+                    if not len(x):
+                        continue
+                    for j, l in enumerate(lm[i]):
+                        d = _yj_np(x, float(l)) - sh[i][j]
+                        rows.append((i, j, float(len(x)), float(d.sum()), float((d * d).sum())))
+                if rows:
+                    yield pd.DataFrame(rows, columns=["i", "j", "n", "s1", "s2"])
+
+        res = (data.mapInPandas(kern, "i int, j int, n double, s1 double, s2 double")
+               .groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum("s1").alias("s1"), F.sum("s2").alias("s2"))
                .collect())
-        for c in cols_fit:
-            n, sl = base[c]["n"], base[c]["sl"] or 0.0
-            cand = [(-n / 2.0 * np.log(r["v"]) + (r["lam"] - 1.0) * sl, -abs(r["lam"] - 1.0), r["lam"])
-                    for r in res if r["column"] == c and r["v"] and r["v"] > 0 and np.isfinite(r["v"])]
+        bc.unpersist()
+        for i in fit:
+            n, sl = base[f"n{i}"], base[f"s{i}"] or 0.0
+            cand = []
+            for r in res:
+                if r["i"] != i or not r["n"]:
+                    continue
+                v = r["s2"] / r["n"] - (r["s1"] / r["n"]) ** 2
+                lam = float(lams[i][r["j"]])
+                if v > 0 and np.isfinite(v):
+                    cand.append((-n / 2.0 * np.log(v) + (lam - 1.0) * sl, -abs(lam - 1.0), lam))
             if cand:
-                best[c] = max(cand)[2]
-            step = (hi[c] - lo[c]) / (grid - 1)
-            lo[c], hi[c] = best[c] - step, best[c] + step
-    long.unpersist()
+                best[cols[i]] = max(cand)[2]
+            step = (hi[i] - lo[i]) / (grid - 1)
+            lo[i], hi[i] = best[cols[i]] - step, best[cols[i]] + step
+    data.unpersist()
     st = ScalerState("power", lam=best)
     r = df.agg(*[F.avg(yeo_johnson(_x(c), best[c])).alias(f"m{i}") for i, c in enumerate(cols)],
                *[F.stddev_pop(yeo_johnson(_x(c), best[c])).alias(f"s{i}") for i, c in enumerate(cols)]).first()
