@@ -17,6 +17,8 @@
 from __future__ import annotations
 
 import math
+import os
+import time
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -122,7 +124,7 @@ def _weights_array(keys: list[str], n_trees: int, seed: int, hash_method: str) -
 def fit_bins(df: DataFrame, features: Sequence[str], max_bins: int = 64) -> dict[str, np.ndarray]:
     """Split candidates per feature: midpoints of adjacent distinct values when
     there are at most ``max_bins`` of them, else approximate quantile edges."""
-    nd = df.agg(*[F.approx_count_distinct(F.col(c), 0.01).alias(c) for c in features]).first()
+    nd = df.agg(*[F.approx_count_distinct(F.col(c), 0.05).alias(c) for c in features]).first()
     out = {}
     small = [c for c in features if nd[c] <= 2 * max_bins]
     exact = {}
@@ -218,10 +220,21 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, key: Sequence
         raise ValueError(f"unknown impurity {impurity!r}")
     features = list(features)
     keys = [key] if isinstance(key, str) else list(key)
+    _dbg = os.environ.get("QUARRY_DEBUG")
+    _t0 = time.time()
+
+    def tick(msg):
+        if _dbg:
+            print(f"[forest] {msg}: {time.time() - _t0:.2f}s", flush=True)
     labels = [r[0] for r in df.select(label).distinct().limit(3).collect()]
+    tick("labels")
     if not set(labels) <= {0, 1}:
         raise ValueError("labels must be exactly 0 and 1")
-    th = fit_bins(df, features, max_bins)
+    # one parallel, persisted copy of the needed columns feeds binning and weights
+    raw = spread(df.select(*features, label, *[k_ for k_ in keys if k_ not in features and k_ != label])) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    th = fit_bins(raw, features, max_bins)
+    tick("bins")
     d = len(features)
     k = max(1, int(math.floor(math.sqrt(d)))) if max_features == "sqrt" else \
         (d if max_features in (None, "all") else int(max_features))
@@ -229,17 +242,19 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, key: Sequence
     tree_feats = [np.sort(rng.choice(d, size=min(k, d), replace=False)) for _ in range(n_trees)]
     w = _weights_array(keys, n_trees, seed, hash_method) if bootstrap_rows else \
         F.array_repeat(F.lit(1), n_trees).cast("array<tinyint>")
-    binned = (spread(df.select(F.array(*[_bin_expr(c, th[c]) for c in features]).alias("xb"),
-                               F.col(label).cast("byte").alias("y"), w.alias("w")))
+    binned = (raw.select(F.array(*[_bin_expr(c, th[c]) for c in features]).alias("xb"),
+                         F.col(label).cast("byte").alias("y"), w.alias("w"))
               .persist(StorageLevel.MEMORY_AND_DISK))
     model = Forest(features, th, impurity, [_new_tree() for _ in range(n_trees)],
                    [list(map(int, f)) for f in tree_feats])
     spark = df.sparkSession
-    # root counts: one aggregation over the weights
+    # root counts: one aggregation over the weights (this also materialises `binned`)
     root = binned.select("y", F.posexplode("w").alias("t", "wt")).groupBy("t").agg(
         F.sum(F.when(F.col("y") == 0, F.col("wt")).otherwise(0)).alias("c0"),
         F.sum(F.when(F.col("y") == 1, F.col("wt")).otherwise(0)).alias("c1")).collect()
     rc = {r["t"]: (float(r["c0"]), float(r["c1"])) for r in root}
+    raw.unpersist()
+    tick("root")
     active = []  # (tree, node)
     for t in range(n_trees):
         c0, c1 = rc.get(t, (0.0, 0.0))
@@ -303,6 +318,7 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, key: Sequence
         hist = (binned.mapInPandas(kernel, hist_schema)
                 .groupBy("tree", "node", "feature", "bin").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")))
         best = _best_splits(hist, impurity, min_samples_leaf).collect()
+        tick(f"level {depth}")
         bc.unpersist()
         split_of = {(r["tree"], r["node"]): r for r in best}
         nxt = []

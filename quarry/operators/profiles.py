@@ -63,7 +63,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = DEFAULT_BINS) -> D
     long = _stack(df, cols).filter(F.col("value").isNotNull())
     # exact distinct count is only needed when it is below `bins`
     rng = long.groupBy("column").agg(F.min("value").alias("lo_all"), F.max("value").alias("hi_all"),
-                                     F.approx_count_distinct("value", 0.02).alias("_ad"))
+                                     F.approx_count_distinct("value", 0.05).alias("_ad"))
     small = rng.filter(F.col("_ad") <= 2 * bins).select("column")
     exact = (long.join(F.broadcast(small), on="column", how="left_semi")
              .groupBy("column").agg(F.count_distinct("value").alias("_nd")))

@@ -18,7 +18,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark import StorageLevel
+
 from quarry.functions import special
+from quarry.plans.parallel import spread
 from quarry.plans.joins import join_groups
 
 DEFAULT_BINS = 10
@@ -342,6 +345,9 @@ def feature_scores(df: DataFrame, target: str, task: str, methods: Sequence[str]
     aggregation; each bin-count score is one grouped count."""
     feats = _features(df, target, features, label_cols)
     methods = [m for m in methods if m in METHODS[task]]
+    # several passes follow: keep one narrow, parallel copy of the feature frame
+    # (every scorer below is eager, so it is released before returning)
+    df = spread(df.select(*feats, target)).persist(StorageLevel.MEMORY_AND_DISK)
     need_mom = any(m in ("correlation", "variance") or (m == "f_score" and task == "regression") for m in methods)
     row = _moments(df, target, feats) if need_mom else None
     parts = []
@@ -361,4 +367,6 @@ def feature_scores(df: DataFrame, target: str, task: str, methods: Sequence[str]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    out = df.sparkSession.createDataFrame(out.collect(), out.schema)   # methods x features rows
+    df.unpersist()
     return out
