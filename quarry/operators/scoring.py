@@ -347,7 +347,7 @@ def feature_scores(df: DataFrame, target: str, task: str, methods: Sequence[str]
     methods = [m for m in methods if m in METHODS[task]]
     # several passes follow: keep one narrow, parallel copy of the feature frame
     # (every scorer below is eager, so it is released before returning)
-    df = spread(df.select(*feats, target)).persist(StorageLevel.MEMORY_AND_DISK)
+    df = df.select(*feats, target).persist(StorageLevel.MEMORY_AND_DISK)
     need_mom = any(m in ("correlation", "variance") or (m == "f_score" and task == "regression") for m in methods)
     row = _moments(df, target, feats) if need_mom else None
     parts = []
