@@ -85,12 +85,15 @@ def with_fx(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({FIXTURES[n]})" for n in names) + "\n"
 
 
-def finish(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round doubles (and normalise -0.0) so engines agree on the last digits."""
+def finish(df: DataFrame, digits: int = 6, per_column: dict | None = None) -> DataFrame:
+    """Round doubles (and normalise -0.0) so engines agree on the last digits;
+    ``per_column`` overrides the digits of large-magnitude columns."""
+    per_column = per_column or {}
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append((F.round(F.col(f.name).cast("double"), digits) + F.lit(0.0)).alias(f.name))
+            d = per_column.get(f.name, digits)
+            cols.append((F.round(F.col(f.name).cast("double"), d) + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

@@ -277,7 +277,7 @@ def _linear_shap(spark, sf):
     return df, explain.shapley(df, f, FEATS, bg, KEY, n_permutations=2, seed=1)
 
 
-@register("shapley_linear", _SHAP + f"SELECT {', '.join(KEY)}, feature, {r('shap_value', 'shap_value', 4)}, "
+@register("shapley_linear", _SHAP + f"SELECT {', '.join(KEY)}, feature, {r('value', 'value', 4)}, {r('shap_value', 'shap_value', 4)}, "
           f"{r('base_value', 'base_value', 4)}, {r('prediction', 'prediction', 4)} FROM sh")
 def q_shap_lin(spark, sf):
     return finish(_linear_shap(spark, sf)[1], 4)
@@ -306,8 +306,8 @@ def q_decision(spark, sf):
 @register("shap_dependence", _SHAP + f""", top AS (SELECT feature FROM sh GROUP BY feature ORDER BY AVG(ABS(shap_value)) DESC, feature LIMIT 2)
 SELECT {', '.join(KEY)}, feature, {r('value', 'value', 4)}, {r('shap_value', 'shap_value', 4)} FROM sh WHERE feature IN (SELECT feature FROM top)""")
 def q_dependence(spark, sf):
-    df, sh = _linear_shap(spark, sf)
-    return finish(explain.shap_dependence(sh, df, KEY, 2), 4)
+    _, sh = _linear_shap(spark, sf)
+    return finish(explain.shap_dependence(sh, KEY, 2), 4)
 
 
 def _forest_shap(spark, sf):
@@ -325,8 +325,8 @@ def q_shap_forest(spark, sf):
 
 @register("shap_distribution")
 def q_shap_dist(spark, sf):
-    df, sh = _linear_shap(spark, sf)
-    return finish(explain.shap_distribution(sh, df, KEY, 10))
+    _, sh = _linear_shap(spark, sf)
+    return finish(explain.shap_distribution(sh, 10))
 
 
 @register("shap_interactions")

@@ -11,14 +11,14 @@ _NUM = ["qty", "price", "disc", "tax"]
 
 def _describe_sql(c: str) -> str:
     return (f"SELECT '{c}' AS column, COUNT({c}) AS count, " + ", ".join([
-        r(f"AVG({c})", "mean"), r(f"VAR_SAMP({c})", "variance"), r(f"STDDEV_SAMP({c})", "std"),
+        r(f"AVG({c})", "mean"), r(f"VAR_SAMP({c})", "variance", 2), r(f"STDDEV_SAMP({c})", "std"),
         r(f"MIN({c})", "min"), r(f"QUANTILE_CONT({c}, 0.25)", "q1"), r(f"QUANTILE_CONT({c}, 0.5)", "median"),
         r(f"QUANTILE_CONT({c}, 0.75)", "q3"), r(f"MAX({c})", "max")]) + " FROM fx_num")
 
 
 @register("describe_columns", with_fx("fx_num") + " UNION ALL ".join(_describe_sql(c) for c in _NUM))
 def q_describe(spark, sf):
-    return finish(E.describe_columns(fx(spark, sf, "fx_num"), _NUM))
+    return finish(E.describe_columns(fx(spark, sf, "fx_num"), _NUM), 6, {"variance": 2})
 
 
 def _box_sql(c: str) -> str:

@@ -93,13 +93,16 @@ def _shap_block(f: Callable, x: np.ndarray, bg: np.ndarray, perms: list[np.ndarr
 
 def shapley(df: DataFrame, f: Callable, cols: Sequence[str], bg: np.ndarray, id_cols: Sequence[str],
             n_permutations: int = 10, seed: int = 0, block_rows: int = 256) -> DataFrame:
-    """Long table (id..., feature, shap_value, base_value, prediction)."""
+    """Long table (id..., feature, value, shap_value, base_value, prediction);
+    ``value`` is the explained row's feature value, so the per-feature views
+    below need no join back to the data."""
     cols = list(cols)
     ids = list(id_cols)
     perms = _permutations(len(cols), n_permutations, seed)
     bc = df.sparkSession.sparkContext.broadcast((f, np.asarray(bg, dtype=np.float64), perms))
     id_fields = [df.schema[c] for c in ids]
     schema = T.StructType(id_fields + [T.StructField("feature", T.StringType()),
+                                       T.StructField("value", T.DoubleType()),
                                        T.StructField("shap_value", T.DoubleType()),
                                        T.StructField("base_value", T.DoubleType()),
                                        T.StructField("prediction", T.DoubleType())])
@@ -120,6 +123,7 @@ def shapley(df: DataFrame, f: Callable, cols: Sequence[str], bg: np.ndarray, id_
                 for j, c in enumerate(cols):
                     o = blk[ids].copy()
                     o["feature"] = c
+                    o["value"] = xb[:, j]
                     o["shap_value"] = phi[:, j]
                     o["base_value"] = base
                     o["prediction"] = pred
@@ -134,15 +138,10 @@ def shap_importance(shap: DataFrame) -> DataFrame:
     return shap.groupBy("feature").agg(F.avg(F.abs("shap_value")).alias("mean_abs_shap"))
 
 
-def shap_distribution(shap: DataFrame, values: DataFrame, id_cols: Sequence[str], bins: int = 10) -> DataFrame:
+def shap_distribution(shap: DataFrame, bins: int = 10) -> DataFrame:
     """Shap quantiles per (feature, equal-width value bin) - beeswarm data."""
-    ids = list(id_cols)
-    feats = [r["feature"] for r in shap.select("feature").distinct().collect()]
-    body = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in feats)
-    long = values.select(*ids, F.expr(f"stack({len(feats)}, {body}) AS (feature, value)"))
-    j = shap.join(long, on=[*ids, "feature"])
-    mm = j.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    j = j.join(F.broadcast(mm), "feature")  # one row per feature
+    mm = shap.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    j = shap.join(F.broadcast(mm), "feature")  # one row per feature
     w = (F.col("hi") - F.col("lo")) / bins
     b = F.when(w == 0, F.lit(0)).otherwise(F.least(F.floor((F.col("value") - F.col("lo")) / w), F.lit(bins - 1)))
     return (j.withColumn("bin", b.cast("int")).groupBy("feature", "bin")
@@ -174,16 +173,12 @@ def shap_decision(shap: DataFrame, id_cols: Sequence[str]) -> DataFrame:
                .select(*ids, "feature", "shap_value", "path_value")
 
 
-def shap_dependence(shap: DataFrame, values: DataFrame, id_cols: Sequence[str], k: int = 10) -> DataFrame:
+def shap_dependence(shap: DataFrame, id_cols: Sequence[str], k: int = 10) -> DataFrame:
     """Feature value against shap value for the top-k features by mean |shap|."""
     ids = list(id_cols)
     imp = shap_importance(shap).collect()  # one row per feature
     feats = [r["feature"] for r in sorted(imp, key=lambda r: (-r["mean_abs_shap"], r["feature"]))[:k]]
-    if not feats:
-        return shap.limit(0)
-    body = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in feats)
-    long = values.select(*ids, F.expr(f"stack({len(feats)}, {body}) AS (feature, value)"))
-    return shap.join(long, on=[*ids, "feature"]).select(*ids, "feature", "value", "shap_value")
+    return shap.filter(F.col("feature").isin(feats)).select(*ids, "feature", "value", "shap_value")
 
 
 def shap_interactions(df: DataFrame, f: Callable, cols: Sequence[str], bg: np.ndarray, n_permutations: int = 6,
