@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.plans.ranks import _offset_table, _order_exprs, _spec, assign_buckets
+from quarry.plans.ranks import (MAX_BUCKETS, ROWS_PER_BUCKET, _offset_table, _order_exprs, _spec,
+                                assign_buckets)
 
 # Fixed value: default category for missing text.
 NAN_CATEGORY = "Unknown"
@@ -28,28 +29,38 @@ def interpolate(df: DataFrame, cols: Sequence[str], order_by: Sequence, partitio
     spec = _spec(order_by)
     parts = list(partition_by)
     cols = list(cols)
-    b = assign_buckets(df, spec, n_buckets=n_buckets)
-    # positions: per-(partition, bucket) counts -> offsets
-    counts = b.groupBy(*parts, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    rows = counts.limit(max_state_rows + 1).collect()
-    offsets = _offset_table(df.sparkSession, df.schema, rows, parts, {"_n": T.LongType()}, max_state_rows)
+    n = df.count()
+    nb = n_buckets or max(1, min(MAX_BUCKETS, -(-n // ROWS_PER_BUCKET)))
+    b = assign_buckets(df, spec, n_buckets=nb, n_rows=n)
     w_in = Window.partitionBy(*parts, "_bucket").orderBy(*_order_exprs(df, spec))
-    pos = (b.withColumn("_rn", F.row_number().over(w_in) - 1)
-           .join(offsets, on=[*parts, "_bucket"]).withColumn("_pos", F.col("_o__n") + F.col("_rn"))
-           .drop("_rn", "_o__n"))
-    # per bucket: first and last valid (pos, value) of every column
-    summ = pos.groupBy(*parts, "_bucket").agg(*[
-        F.min(F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v"))))
-        .alias(f"_f{i}") for i, c in enumerate(cols)], *[
-        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v"))))
-        .alias(f"_l{i}") for i, c in enumerate(cols)])
-    wb = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    wr = Window.partitionBy(*parts).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summ.select(*parts, "_bucket", *[
-        F.last(F.col(f"_l{i}"), ignorenulls=True).over(wb).alias(f"_ci{i}") for i in range(len(cols))], *[
-        F.last(F.col(f"_f{i}"), ignorenulls=True).over(wr).alias(f"_co{i}") for i in range(len(cols))])
-    # the carry table has one row per (partition, bucket): the same cells as the size-checked offsets
-    out = pos.join(F.broadcast(carry), on=[*parts, "_bucket"])
+    if nb <= 1:
+        # one bucket (at most ROWS_PER_BUCKET rows per partition): no offsets, no carries
+        pos = b.withColumn("_pos", (F.row_number().over(w_in) - 1).cast("long"))
+        out = pos
+        for i, c in enumerate(cols):
+            out = out.withColumn(f"_ci{i}", F.lit(None).cast("struct<p:bigint,v:double>")) \
+                     .withColumn(f"_co{i}", F.lit(None).cast("struct<p:bigint,v:double>"))
+    else:
+        # positions: per-(partition, bucket) counts -> offsets
+        counts = b.groupBy(*parts, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+        rows = counts.limit(max_state_rows + 1).collect()
+        offsets = _offset_table(df.sparkSession, df.schema, rows, parts, {"_n": T.LongType()}, max_state_rows)
+        pos = (b.withColumn("_rn", F.row_number().over(w_in) - 1)
+               .join(offsets, on=[*parts, "_bucket"]).withColumn("_pos", F.col("_o__n") + F.col("_rn"))
+               .drop("_rn", "_o__n"))
+        # per bucket: first and last valid (pos, value) of every column
+        summ = pos.groupBy(*parts, "_bucket").agg(*[
+            F.min(F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v"))))
+            .alias(f"_f{i}") for i, c in enumerate(cols)], *[
+            F.max(F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v"))))
+            .alias(f"_l{i}") for i, c in enumerate(cols)])
+        wb = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        wr = Window.partitionBy(*parts).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+        carry = summ.select(*parts, "_bucket", *[
+            F.last(F.col(f"_l{i}"), ignorenulls=True).over(wb).alias(f"_ci{i}") for i in range(len(cols))], *[
+            F.last(F.col(f"_f{i}"), ignorenulls=True).over(wr).alias(f"_co{i}") for i in range(len(cols))])
+        # the carry table has one row per (partition, bucket): the same cells as the size-checked offsets
+        out = pos.join(F.broadcast(carry), on=[*parts, "_bucket"])
     # both directions are running frames (unbounded preceding -> current row), which
     # Spark evaluates incrementally; "next valid" is "last valid" in reversed order
     w_prev = w_in.rowsBetween(Window.unboundedPreceding, 0)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-ROWS_PER_BUCKET = 2_000_000
+ROWS_PER_BUCKET = 100_000
 MAX_BUCKETS = 4096
 
 
@@ -139,7 +139,13 @@ def row_number_global(df: DataFrame, order_cols: Sequence, partition_cols: Seque
     pulled to the driver and is size-checked."""
     spec = _spec(order_cols)
     parts = list(partition_cols)
-    b = assign_buckets(df, spec, n_buckets=n_buckets, seed=seed, n_rows=n_rows)
+    n = n_rows if n_rows is not None else df.count()
+    if (n_buckets or max(1, -(-n // ROWS_PER_BUCKET))) <= 1:
+        # at most ROWS_PER_BUCKET rows: one window (per partition), no offsets needed
+        w1 = Window.partitionBy(*parts).orderBy(*_order_exprs(df, spec)) if parts else \
+            Window.orderBy(*_order_exprs(df, spec))
+        return df.withColumn(out, (F.row_number().over(w1) - 1).cast("long"))
+    b = assign_buckets(df, spec, n_buckets=n_buckets, seed=seed, n_rows=n)
     counts = b.groupBy(*parts, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     rows = counts.limit(max_state_rows + 1).collect()
     offsets = _offset_table(df.sparkSession, df.schema, rows, parts, {"_n": T.LongType()}, max_state_rows)
@@ -161,12 +167,20 @@ def running_sums(df: DataFrame, order_cols: Sequence, value_cols: Sequence[str],
     """
     spec = _spec(order_cols)
     parts = list(partition_cols)
-    b = assign_buckets(df, spec, n_buckets=n_buckets, seed=seed)
+    end = Window.currentRow if inclusive else -1
+    n = df.count()
+    if (n_buckets or max(1, -(-n // ROWS_PER_BUCKET))) <= 1:
+        w1 = (Window.partitionBy(*parts) if parts else Window).orderBy(*_order_exprs(df, spec)) \
+            .rowsBetween(Window.unboundedPreceding, end)
+        res = df
+        for v in value_cols:
+            res = res.withColumn(f"{prefix}{v}", F.coalesce(F.sum(v).over(w1), F.lit(0)))
+        return res
+    b = assign_buckets(df, spec, n_buckets=n_buckets, seed=seed, n_rows=n)
     tot = b.groupBy(*parts, "_bucket").agg(*[F.sum(v).alias(v) for v in value_cols])
     rows = tot.limit(max_state_rows + 1).collect()
     vtypes = {v: tot.schema[v].dataType for v in value_cols}
     offsets = _offset_table(df.sparkSession, df.schema, rows, parts, vtypes, max_state_rows)
-    end = Window.currentRow if inclusive else -1
     w = (Window.partitionBy(*parts, "_bucket").orderBy(*_order_exprs(df, spec))
          .rowsBetween(Window.unboundedPreceding, end))
     inner = b
