@@ -47,12 +47,12 @@ def select_top_percentile(scores: DataFrame, p: float) -> DataFrame:
 def vote(selected: DataFrame) -> DataFrame:
     """V4: votes per feature and mean rank; a feature missing from a method gets
     the worst rank (largest feature count of any method)."""
-    methods = selected.select("method").distinct()
-    worst = selected.groupBy("method").agg(F.count(F.lit(1)).alias("d")).agg(F.max("d").alias("worst"))
+    # worst rank and method count in one aggregate over the (methods x features) table
+    stats = selected.groupBy("method").agg(F.count(F.lit(1)).alias("d")) \
+                    .agg(F.max("d").alias("worst"), F.count(F.lit(1)).alias("n_methods"))
     per = selected.groupBy("feature").agg(F.sum(F.col("selected").cast("int")).alias("votes"),
                                           F.sum("rank").alias("_rs"), F.count(F.lit(1)).alias("_nm"))
-    nm = methods.agg(F.count(F.lit(1)).alias("n_methods"))
-    out = join_groups(join_groups(per, worst, []), nm, [])
+    out = join_groups(per, stats, [])
     avg_rank = (F.col("_rs") + (F.col("n_methods") - F.col("_nm")) * F.col("worst")) / F.col("n_methods")
     return out.select("feature", F.col("votes").cast("long").alias("votes"), avg_rank.alias("avg_rank"),
                       "n_methods")
