@@ -53,7 +53,19 @@ def q_histogram(spark, sf):
     return finish(E.histogram(fx(spark, sf, "fx_num"), _HIST_COLS, 10))
 
 
-@register("density")
+_DENS = with_fx("fx_num") + """, long AS (SELECT 'qty' AS column, qty AS value FROM fx_num UNION ALL SELECT 'y_reg', y_reg FROM fx_num),
+st AS (SELECT "column", COUNT(*) AS n, MIN(value) AS lo, MAX(value) AS hi,
+         STDDEV_SAMP(value) * POWER(COUNT(*)::DOUBLE, -0.2) AS bw, (MAX(value) - MIN(value)) / 2048 AS w
+       FROM long GROUP BY "column"),
+h AS (SELECT l."column", CASE WHEN w = 0 THEN 0 ELSE LEAST(FLOOR((value - lo) / w), 2047) END AS fb,
+         COUNT(*) AS c, AVG(value) AS xc FROM long l JOIN st USING ("column") GROUP BY 1, 2),
+g AS (SELECT "column", t.gi, lo + (hi - lo) * t.gi / 99 AS x, n, bw FROM st, range(0, 100) t(gi))
+SELECT g."column", g.gi::INTEGER AS gi, """ + r("g.x", "x") + ", " + r(
+    "SUM(h.c * EXP(-0.5 * POWER((g.x - h.xc) / g.bw, 2))) / (MAX(g.n) * MAX(g.bw) * SQRT(2 * PI()))", "density") + \
+    ' FROM g JOIN h USING ("column") GROUP BY g."column", g.gi, g.x'
+
+
+@register("density", _DENS)
 def q_density(spark, sf):
     return finish(E.density(fx(spark, sf, "fx_num"), ["qty", "y_reg"], grid=100))
 
