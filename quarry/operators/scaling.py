@@ -61,11 +61,15 @@ def _x(c: str) -> Column:
 
 
 def fit_scaler(df: DataFrame, cols: Sequence[str], method: str = DEFAULT_SCALER,
-               approx: bool = False) -> ScalerState:
+               approx: bool | str = False) -> ScalerState:
     """P5 standard (population std; constant -> 1), P6 min-max (constant -> 0),
     P7 max-abs, P8 robust ((x - median)/IQR, linear quantiles; IQR 0 -> 1),
     P9 power (Yeo-Johnson, lambda by maximum likelihood, then standardised),
-    P10 quantile (uniform output, <= 1000 knots)."""
+    P10 quantile (uniform output, <= 1000 knots).
+
+    Quantiles: exact SQL ``percentile`` by default; ``approx=True`` uses
+    ``percentile_approx``; ``approx="sort"`` (robust) is exact through a bucketed
+    distributed sort, for continuous columns too large for a value map."""
     if method not in SCALERS:
         raise ValueError(f"unknown scaler {method!r}; expected one of {SCALERS}")
     cols = list(cols)
@@ -89,9 +93,15 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], method: str = DEFAULT_SCALER,
             st.center[c] = 0.0
             st.scale[c] = r[f"a{i}"] if r[f"a{i}"] else 1.0
     elif method == "robust":
-        pct = (lambda e: F.percentile_approx(e, [0.25, 0.5, 0.75], 10000)) if approx else \
-              (lambda e: F.percentile(e, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-        r = df.agg(*[pct(_x(c)).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+        if approx == "sort":
+            # exact, via a bucketed distributed sort: no value map per aggregation buffer
+            from quarry.plans.quantiles import sorted_quantiles
+            r = {f"q{i}": sorted_quantiles(df, c, [0.25, 0.5, 0.75]) for i, c in enumerate(cols)}
+            r = {k: (None if v[0] is None else v) for k, v in r.items()}
+        else:
+            pct = (lambda e: F.percentile_approx(e, [0.25, 0.5, 0.75], 10000)) if approx else \
+                  (lambda e: F.percentile(e, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
+            r = df.agg(*[pct(_x(c)).alias(f"q{i}") for i, c in enumerate(cols)]).first()
         for i, c in enumerate(cols):
             q = r[f"q{i}"]
             if q is None:

@@ -42,3 +42,17 @@ def test_stratified_needs_two_classes(spark):
     df = spark.createDataFrame([(i, "a") for i in range(10)], "k int, c string")
     with pytest.raises(ValueError):
         splits.stratified_kfold(df, "c", 2, "k", 1)
+
+
+def test_sorted_quantiles_equal_percentile(spark):
+    from quarry.operators import scaling
+    from quarry.plans.quantiles import sorted_quantiles
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    want = df.agg(F.percentile("l_extendedprice", F.array(*[F.lit(p) for p in probs]))).first()[0]
+    for nb in (None, 4):
+        got = sorted_quantiles(df, "l_extendedprice", probs, n_buckets=nb)
+        assert all(abs(a - b) < 1e-9 for a, b in zip(got, want))
+    a = scaling.fit_scaler(df, ["l_quantity", "l_extendedprice"], "robust")
+    b = scaling.fit_scaler(df, ["l_quantity", "l_extendedprice"], "robust", approx="sort")
+    assert a.center == b.center and a.scale == b.scale
