@@ -40,8 +40,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+        d = d.replace("file:", "", 1) if d and d.startswith("file:") else d
+    if not d:
+        # only for local runs and tests: the setting is unset, so use a scratch folder
         d = tempfile.mkdtemp(prefix="quarry-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - some sessions treat it as a static setting
+            pass
     spark.sparkContext.setCheckpointDir(d)
     return d
 
