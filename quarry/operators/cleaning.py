@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.plans.ranks import (MAX_BUCKETS, ROWS_PER_BUCKET, _offset_table, _order_exprs, _spec,
+from quarry.plans.ranks import (MAX_BUCKETS, ROWS_PER_BUCKET, _offsets, _order_exprs, _spec,
                                 assign_buckets)
 
 # Fixed value: default category for missing text.
@@ -43,8 +43,8 @@ def interpolate(df: DataFrame, cols: Sequence[str], order_by: Sequence, partitio
     else:
         # positions: per-(partition, bucket) counts -> offsets
         counts = b.groupBy(*parts, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        rows = counts.limit(max_state_rows + 1).collect()
-        offsets = _offset_table(df.sparkSession, df.schema, rows, parts, {"_n": T.LongType()}, max_state_rows)
+        small = counts.limit(max_state_rows + 1).count() <= max_state_rows
+        offsets = _offsets(df, counts, parts, {"_n": T.LongType()}, max_state_rows)
         pos = (b.withColumn("_rn", F.row_number().over(w_in) - 1)
                .join(offsets, on=[*parts, "_bucket"]).withColumn("_pos", F.col("_o__n") + F.col("_rn"))
                .drop("_rn", "_o__n"))
@@ -59,8 +59,9 @@ def interpolate(df: DataFrame, cols: Sequence[str], order_by: Sequence, partitio
         carry = summ.select(*parts, "_bucket", *[
             F.last(F.col(f"_l{i}"), ignorenulls=True).over(wb).alias(f"_ci{i}") for i in range(len(cols))], *[
             F.last(F.col(f"_f{i}"), ignorenulls=True).over(wr).alias(f"_co{i}") for i in range(len(cols))])
-        # the carry table has one row per (partition, bucket): the same cells as the size-checked offsets
-        out = pos.join(F.broadcast(carry), on=[*parts, "_bucket"])
+        # the carry table has one row per (partition, bucket): the same cells as the offsets,
+        # so it is broadcast under the same measured bound
+        out = pos.join(F.broadcast(carry) if small else carry, on=[*parts, "_bucket"])
     # both directions are running frames (unbounded preceding -> current row), which
     # Spark evaluates incrementally; "next valid" is "last valid" in reversed order
     w_prev = w_in.rowsBetween(Window.unboundedPreceding, 0)

@@ -130,6 +130,20 @@ def _offset_table(spark, parts_schema, rows, parts, value_names, max_state_rows)
     return F.broadcast(df)
 
 
+def _offsets(df: DataFrame, totals: DataFrame, parts: list[str], value_types: dict,
+             max_state_rows: int) -> DataFrame:
+    """Exclusive prefix of per-(partition, bucket) totals. Up to ``max_state_rows``
+    cells: computed on the driver and broadcast (the measured size is the
+    bound). Beyond that: a window over the totals table partitioned by the
+    partition columns, joined back by a shuffle join - no broadcast at all."""
+    rows = totals.limit(max_state_rows + 1).collect()
+    if len(rows) <= max_state_rows:
+        return _offset_table(df.sparkSession, df.schema, rows, parts, value_types, max_state_rows)
+    w = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(*parts, "_bucket", *[F.coalesce(F.sum(v).over(w), F.lit(0)).cast(t).alias(f"_o_{v}")
+                                              for v, t in value_types.items()])
+
+
 def row_number_global(df: DataFrame, order_cols: Sequence, partition_cols: Sequence[str] = (),
                       out: str = "rn", n_buckets: int | None = None, seed: int = 17,
                       max_state_rows: int = 1_000_000, n_rows: int | None = None) -> DataFrame:
@@ -147,8 +161,7 @@ def row_number_global(df: DataFrame, order_cols: Sequence, partition_cols: Seque
         return df.withColumn(out, (F.row_number().over(w1) - 1).cast("long"))
     b = assign_buckets(df, spec, n_buckets=n_buckets, seed=seed, n_rows=n)
     counts = b.groupBy(*parts, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    rows = counts.limit(max_state_rows + 1).collect()
-    offsets = _offset_table(df.sparkSession, df.schema, rows, parts, {"_n": T.LongType()}, max_state_rows)
+    offsets = _offsets(df, counts, parts, {"_n": T.LongType()}, max_state_rows)
     w = Window.partitionBy(*parts, "_bucket").orderBy(*_order_exprs(df, spec))
     ranked = b.withColumn("_rn_in", F.row_number().over(w) - 1)
     return (ranked.join(offsets, on=[*parts, "_bucket"], how="inner")
@@ -178,9 +191,8 @@ def running_sums(df: DataFrame, order_cols: Sequence, value_cols: Sequence[str],
         return res
     b = assign_buckets(df, spec, n_buckets=n_buckets, seed=seed, n_rows=n)
     tot = b.groupBy(*parts, "_bucket").agg(*[F.sum(v).alias(v) for v in value_cols])
-    rows = tot.limit(max_state_rows + 1).collect()
     vtypes = {v: tot.schema[v].dataType for v in value_cols}
-    offsets = _offset_table(df.sparkSession, df.schema, rows, parts, vtypes, max_state_rows)
+    offsets = _offsets(df, tot, parts, vtypes, max_state_rows)
     w = (Window.partitionBy(*parts, "_bucket").orderBy(*_order_exprs(df, spec))
          .rowsBetween(Window.unboundedPreceding, end))
     inner = b

@@ -56,3 +56,10 @@ def test_sorted_quantiles_equal_percentile(spark):
     a = scaling.fit_scaler(df, ["l_quantity", "l_extendedprice"], "robust")
     b = scaling.fit_scaler(df, ["l_quantity", "l_extendedprice"], "robust", approx="sort")
     assert a.center == b.center and a.scale == b.scale
+
+
+def test_offsets_beyond_the_broadcast_bound(spark):
+    df = spark.read.parquet(EV)
+    a = row_number_global(df, ["ts", "event_id"], ["event_type"], n_buckets=4, max_state_rows=3)
+    b = df.withColumn("rn2", F.row_number().over(Window.partitionBy("event_type").orderBy("ts", "event_id")) - 1)
+    assert a.join(b, "event_id").filter(F.col("rn") != F.col("rn2")).count() == 0
