@@ -16,17 +16,18 @@ import base64
 import hashlib
 import heapq
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import small_batches
+from quarry.llm.common import from_texts
 
 #: Words that a worker remembers with their ids; beyond, it starts anew. Bounds memory only.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: Words of more bytes are folded with a heap, and never remembered.
 LONG_WORD = 64
 
@@ -83,45 +84,108 @@ def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class _Encoder:
-    """One worker's view: the rank map and the distinct words met lately."""
-
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.words = ranks, {}
-        self.find = regex.compile(pattern).findall
-
-    def __call__(self, text: str) -> list[list[int]]:
-        words, ranks, out = self.words, self.ranks, []
-        if len(words) > REMEMBERED:
-            words.clear()
-        for w in self.find(text):
-            ids = words.get(w)
-            if ids is None:
-                ids = fold(w.encode("utf-8", "replace"), ranks)
-                if len(w) <= LONG_WORD:
-                    words[w] = ids
-            out.append(ids)
+class PairRanks:
+    """The rank map as a table over pairs of ids: the rank (and id) of two pieces joined, where that is a piece."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        pairs = {}
+        for piece, rank in ranks.items():
+            for i in range(1, len(piece)):
+                a, b = ranks.get(piece[:i]), ranks.get(piece[i:])
+                if a is not None and b is not None:
+                    pairs[a << 32 | b] = rank
+        self.keys = np.array(sorted(pairs), np.int64)
+        self.values = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        self.none = max(ranks.values(), default=0) + 1
+        self.bytes = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(a), self.none)
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.values[at], self.none)
+
+    def fold(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of many words at once: each round merges, in every word, the leftmost pair of least rank."""
+        if not words:
+            return []
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        ids = self.bytes[np.frombuffer(b"".join(words), np.uint8)]
+        word = np.repeat(np.arange(len(words)), size)
+        rank = np.full(len(ids), self.none)  # of a piece with the next of its word
+        pair = np.flatnonzero(word[:-1] == word[1:])
+        rank[pair] = self(ids[pair], ids[pair + 1])
+        out: list[list[int]] = [[]] * len(words)
+        while len(ids):
+            start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            least = np.minimum.reduceat(rank, start)
+            size = np.diff(np.r_[start, len(ids)])
+            done = least == self.none
+            if done.any():
+                for s, n in zip(start[done].tolist(), size[done].tolist()):
+                    out[word[s]] = ids[s:s + n].tolist()
+                keep = np.repeat(~done, size)
+                ids, word, rank = ids[keep], word[keep], rank[keep]
+                least, size = least[~done], size[~done]
+                if not len(ids):
+                    break
+            hit = np.flatnonzero(rank == np.repeat(least, size))
+            at = hit[np.r_[True, word[hit[1:]] != word[hit[:-1]]]]  # the leftmost of each word
+            ids[at] = rank[at]
+            rank[at] = rank[at + 1]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            now = at - np.arange(len(at))  # where the merged pieces stand once the others are gone
+            ids, word, rank = ids[keep], word[keep], rank[keep]
+            for left in (now - 1, now):  # the pairs that a merge has changed
+                left = left[(left >= 0) & (left + 1 < len(ids))]
+                left = left[word[left] == word[left + 1]]
+                rank[left] = self(ids[left], ids[left + 1])
+            last = now[(now + 1 >= len(ids)) | (word[np.minimum(now + 1, len(ids) - 1)] != word[now])]
+            rank[last] = self.none
         return out
 
 
-def _mapped(docs: DataFrame, text: str, schema: str, ranks: dict[bytes, int], pattern: str,
-            made: Callable[[_Encoder, dict[int, bytes], list], list[pa.Array]], names: list[str]) -> DataFrame:
-    """Append columns made of each text to the columns of ``docs`` but ``text``; clashing names are replaced."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    shared = spark.sparkContext.broadcast(ranks)
-    keep = [c for c in docs.columns if c != text and c not in names]
+class _Encoder:
+    """One worker's view: the rank map and the distinct words met lately."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = shared.value
-        encoder, pieces = _Encoder(ranks, pattern), {i: p for p, i in ranks.items()}
-        for b in batches:
-            texts = b.column(len(keep)).to_pylist()
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], *made(encoder, pieces, texts)], [*keep, *names])
+    def __init__(self, ranks: dict[bytes, int], pairs: PairRanks, pattern: str):
+        self.ranks, self.pairs, self.words = ranks, pairs, {}
+        self.find = regex.compile(pattern).findall
 
-    kept = docs.select(*keep, F.col(text))
-    declared = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]], schema])
-    return kept.mapInArrow(run, declared)
+    def __call__(self, texts: list[str | None]) -> list[list[list[int]]]:
+        """Ids of each word of each text: distinct words are folded once."""
+        found = [self.find(t) if t else [] for t in texts]
+        known = self.words
+        if len(known) > REMEMBERED:
+            known.clear()
+        new = list({w for words in found for w in words if w not in known})
+        short, long = [], {}
+        for w in new:
+            b = w.encode("utf-8", "replace")
+            if (whole := self.ranks.get(b)) is not None:
+                known[w] = [whole]
+            elif len(b) <= LONG_WORD:
+                short.append((w, b))
+            else:
+                long[w] = fold(b, self.ranks)
+        known.update(zip([w for w, _ in short], self.pairs.fold([b for _, b in short])))
+        if long:
+            return [[long[w] if w in long else known[w] for w in words] for words in found]
+        return [[known[w] for w in words] for words in found]
+
+
+def _mapped(docs: DataFrame, column: str, declared: str, ranks: dict[bytes, int], pattern: str,
+            made: Callable[[_Encoder, dict[int, bytes], list], list[pa.Array]]) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, PairRanks(ranks)))
+
+    def start():
+        ranks, pairs = shared.value
+        encoder, pieces = _Encoder(ranks, pairs, pattern), {i: p for p, i in ranks.items()}
+        return lambda values: made(encoder, pieces, values)
+
+    return from_texts(docs, column, declared, start)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
@@ -131,8 +195,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     through, one named ``ids`` is replaced; repeated rows stay.
     """
     def made(encoder, pieces, texts):
-        return [pa.array([[i for w in encoder(t or "") for i in w] for t in texts], pa.list_(pa.int32()))]
-    return _mapped(docs, text, "ids array<int>", ranks, pattern, made, ["ids"])
+        return [pa.array([[i for w in words for i in w] for words in encoder(texts)], pa.list_(pa.int32()))]
+    return _mapped(docs, text, "ids array<int>", ranks, pattern, made)
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:
@@ -142,7 +206,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Dat
     """
     def made(encoder, pieces, lists):
         return [pa.array([b"".join([pieces[i] for i in x or ()]) for x in lists], pa.binary())]
-    return _mapped(encoded, ids, "bytes binary", ranks, "x", made, ["bytes"])
+    return _mapped(encoded, ids, "bytes binary", ranks, "x", made)
 
 
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
@@ -154,14 +218,13 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str
     """
     def made(encoder, pieces, texts):
         n, ids, back = [], [], []
-        for t in texts:
-            flat = [i for w in encoder(t or "") for i in w]
+        for words in encoder(texts):
+            flat = [i for w in words for i in w]
             n.append(len(flat))
             ids.append(hashlib.sha256(",".join(map(str, flat)).encode()).hexdigest())
             back.append(hashlib.sha256(b"".join([pieces[i] for i in flat])).hexdigest())
         return [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())]
-    names = ["n_tokens", "ids_sha256", "decoded_sha256"]
-    return _mapped(docs, text, "n_tokens long, ids_sha256 string, decoded_sha256 string", ranks, pattern, made, names)
+    return _mapped(docs, text, "n_tokens long, ids_sha256 string, decoded_sha256 string", ranks, pattern, made)
 
 
 #: Small maps that the literal rank map is dealt into: Spark searches a map from end to end.

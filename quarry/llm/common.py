@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -97,3 +98,25 @@ def positions(df: DataFrame, within: Sequence[str], order: Sequence[Column | str
         same = same & (F.col(c).eqNullSafe(F.col(f"_k{i}")))
     return (dealt.join(counts, same).withColumn(out, F.col("_base") + F.col("_at"))
             .drop("_part", "_at", "_base", *[f"_k{i}" for i in range(len(within) + 1)]))
+
+
+def from_texts(docs: DataFrame, text: str, declared: str, start: Callable[[], Callable[[list], list[pa.Array]]]) -> DataFrame:
+    """``docs`` with columns made from each text in the place of the text.
+
+    ``start`` is called in each task and gives the function from a list of
+    texts (null: None) to the arrays of the ``declared`` columns.  The other
+    columns stay in Arrow, so they pass through unchanged; those that bear a
+    declared name are replaced.
+    """
+    small_batches(docs.sparkSession)
+    names = [part.split()[0] for part in declared.split(", ")]
+    keep = [c for c in docs.columns if c != text and c not in names]
+    kept = docs.select(*keep, F.col(text))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = start()
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *made(b.columns[-1].to_pylist())], [*keep, *names])
+
+    before = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]]
+    return kept.mapInArrow(run, ", ".join([*before, declared]))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import bpe
+from quarry.llm import bpe, mixing, near_dup, pii, quality, sharding
 from quarry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +32,72 @@ def vocabulary() -> tuple[dict[bytes, int], str]:
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(docs, *vocabulary())
+
+
+@query
+def op2_setsketch_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+@query
+def op3_systematic_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mixture(docs)
+    return mixed.select("doc_id", "size", "source_size", "target",
+                        (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+ORACLES["op3_systematic_mixture"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+weighted AS (
+  SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3] AS weight
+  FROM sources),
+tried AS (  -- a level for each set of sources that stop at their cap
+  SELECT t.level FROM (
+    SELECT a.source_size * 2.0 / a.weight AS reach,
+      (1.5::DOUBLE * (SELECT sum(source_size) FROM weighted)
+        - coalesce(sum(CASE WHEN b.source_size * 2.0 / b.weight < a.source_size * 2.0 / a.weight THEN b.source_size * 2.0 END), 0.0))
+      / sum(CASE WHEN b.source_size * 2.0 / b.weight >= a.source_size * 2.0 / a.weight THEN b.weight END) AS level
+    FROM weighted a, weighted b GROUP BY a.source, a.source_size, a.weight) t
+  WHERE t.level <= t.reach),
+aims AS (
+  SELECT source, source_size, least(source_size * 2.0, coalesce((SELECT min(level) FROM tried), 'inf'::DOUBLE) * weight)::DOUBLE AS target
+  FROM weighted),
+placed AS (
+  SELECT s.doc_id, s.size, a.source_size, a.target,
+    row_number() OVER (PARTITION BY s.source ORDER BY s.size, s.doc_id) - 1 AS at,
+    CASE WHEN a.source_size > 0 THEN a.target / a.source_size ELSE 0.0 END AS expected,
+    ('0x' || substr(md5(concat_ws('|', coalesce(s.source, ''), '7')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS start
+  FROM sized s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source),
+taken AS (
+  SELECT *, least(floor(start + (at + 1) * expected) - floor(start + at * expected), ceil(expected))::BIGINT AS copies FROM placed)
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM taken
+"""
+
+
+@query
+def op9_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(docs, shards=40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op6_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+#: Key of the pseudonyms in the registered queries; a production job passes its own secret.
+PSEUDONYM_KEY = "quarry-registered-query"
+
+
+@query
+def op7_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)

@@ -18,6 +18,8 @@ TEXTS = [None, "", " ", "Hello, world's  end\n\n", "<|endoftext|>", "ñandú ß
 def test_fold_equals_the_library():
     rng = random.Random(5)
     words = ["".join(rng.choice("abcdefgh thein~!é漢") for _ in range(rng.randint(1, 120))) for _ in range(300)]
+    pairs = bpe.PairRanks(RANKS)
+    assert pairs.fold([w.encode() for w in words]) == [bpe.fold(w.encode(), RANKS) for w in words] and pairs.fold([]) == []
     for w in [*words, *[t for t in TEXTS if t]]:
         got = [i for p in __import__("regex").findall(PATTERN, w) for i in bpe.fold(p.encode(), RANKS)]
         assert got == TIKTOKEN.encode_ordinary(w)
