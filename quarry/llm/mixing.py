@@ -50,9 +50,9 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: floa
     before, on = by_reach.rowsBetween(Window.unboundedPreceding, -1), by_reach.rowsBetween(0, Window.unboundedFollowing)
     level = ((F.lit(float(share)) * F.sum("source_size").over(Window.partitionBy())
               - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(on))
-    # the first source, by reach, whose cap the level leaves alone fixes the level
+    # the first source, by reach, whose cap its level leaves alone fixes the level; later ones have lower levels
     levels = ordered.withColumn("level", level)
-    fixed = F.min(F.when(F.col("level") <= F.col("reach"), F.col("level"))).over(Window.partitionBy())
+    fixed = F.max(F.when(F.col("level") <= F.col("reach"), F.col("level"))).over(Window.partitionBy())
     return levels.withColumn("target", F.least("cap", F.coalesce(fixed, F.lit(float("inf"))) * F.col("weight"))).select(
         "source", "source_size", "target")
 

@@ -65,16 +65,16 @@ tried AS (  -- a level for each set of sources that stop at their cap
     FROM weighted a, weighted b GROUP BY a.source, a.source_size, a.weight) t
   WHERE t.level <= t.reach),
 aims AS (
-  SELECT source, source_size, least(source_size * 2.0, coalesce((SELECT min(level) FROM tried), 'inf'::DOUBLE) * weight)::DOUBLE AS target
+  SELECT source, source_size, least(source_size * 2.0, coalesce((SELECT max(level) FROM tried), 'inf'::DOUBLE) * weight)::DOUBLE AS target
   FROM weighted),
 placed AS (
   SELECT s.doc_id, s.size, a.source_size, a.target,
-    row_number() OVER (PARTITION BY s.source ORDER BY s.size, s.doc_id) - 1 AS at,
+    row_number() OVER (PARTITION BY s.source ORDER BY s.size, s.doc_id) - 1 AS place,
     CASE WHEN a.source_size > 0 THEN a.target / a.source_size ELSE 0.0 END AS expected,
     ('0x' || substr(md5(concat_ws('|', coalesce(s.source, ''), '7')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS start
   FROM sized s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source),
 taken AS (
-  SELECT *, least(floor(start + (at + 1) * expected) - floor(start + at * expected), ceil(expected))::BIGINT AS copies FROM placed)
+  SELECT *, least(floor(start + (place + 1) * expected) - floor(start + place * expected), ceil(expected))::BIGINT AS copies FROM placed)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM taken
 """
 
