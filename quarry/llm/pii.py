@@ -238,6 +238,10 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
     return out
 
 
+def _is(kind: str):
+    return lambda k: k == kind
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", counts: bool = True) -> DataFrame:
     """``docs`` with every valid personal value in ``text`` replaced by its pseudonym.
 
@@ -257,5 +261,5 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", counts: bool = T
     joined = F.array_join(F.zip_with(between, new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     out = found.withColumn(text, F.when(F.col("_values").isNull(), F.col(text)).otherwise(joined))
     for k in KINDS if counts else []:
-        out = out.withColumn(f"n_{k}", F.coalesce(F.size(F.filter("_kinds", lambda x, k=k: x == k)), F.lit(0)))
+        out = out.withColumn(f"n_{k}", F.coalesce(F.size(F.filter("_kinds", _is(k))), F.lit(0)))
     return out.drop("_values", "_kinds")
