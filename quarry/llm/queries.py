@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, fingerprints, mixing, near_dup, pii, quality, sharding
+from quarry.llm import bpe, embed_dup, fingerprints, mixing, near_dup, pii, quality, sharding
 from quarry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,25 @@ def op7_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_pq_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op8_pq_near_vectors"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS low FROM reach GROUP BY a),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(l.low, e.vec_id)) AS component_id,
+  e.vec_id <= coalesce(l.low, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN counted c ON c.a = e.vec_id LEFT JOIN least l ON l.a = e.vec_id
+"""
