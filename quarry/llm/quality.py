@@ -208,8 +208,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def score(docs: DataFrame, labels: DataFrame, learned_rows: int = LEARNED_ROWS, doc_id: str = "doc_id",
-          text: str = "text", label: str = "quality") -> DataFrame:
-    """``docs`` without the text, with ``held_out``, ``score`` (0 to 1, higher: label 1 likelier) and ``predicted`` (score >= 0.5).
+          text: str = "text", label: str = "quality", keep_text: bool = False) -> DataFrame:
+    """``docs`` (without the text, unless ``keep_text``) with ``held_out``, ``score`` (0 to 1, higher: label 1 likelier) and ``predicted`` (score >= 0.5).
 
     Learns from the labels of rows that aren't held out: at most ``learned_rows``
     of them, those whose doc_id has the least hash.  A label given twice counts
@@ -251,5 +251,6 @@ def score(docs: DataFrame, labels: DataFrame, learned_rows: int = LEARNED_ROWS,
             return [pa.array(net(np.array(x, float).reshape(len(texts), 2 * DIMS + 1)))]
         return made
 
-    out = from_texts(docs.withColumn("_text", F.col(text)).drop(text), "_text", "score double", scored)
+    given = docs.withColumn("_text", F.col(text))
+    out = from_texts(given if keep_text else given.drop(text), "_text", "score double", scored)
     return out.withColumn("held_out", held_out(doc_id)).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

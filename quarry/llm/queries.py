@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, embed_dup, fingerprints, mixing, near_dup, pii, quality, sharding, suffix_dedup
+from quarry.llm import bpe, embed_dup, fingerprints, licenses, mixing, near_dup, pii, quality, sharding, suffix_dedup
 from quarry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +134,77 @@ FROM embeddings e LEFT JOIN counted c ON c.a = e.vec_id LEFT JOIN least l ON l.a
 @query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=50)
+
+
+def _document_paths(docs: DataFrame) -> DataFrame:
+    """Documents as files: source and language are the directories."""
+    return docs.select("doc_id", F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")),
+                                             F.col("doc_id").cast("string")).alias("path"), "text")
+
+
+@query
+def op4_tfidf_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licences(_document_paths(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", "path", "licence", "origin", "score", "licence_dir",
+                        F.concat_ws(",", "licences").alias("licences"))
+
+
+def _licence_sql() -> str:
+    phrases = ", ".join(f"('{name}', {k}, '{w}', {n}::DOUBLE)" for name, k, w, n in (
+        (name, k, w, n) for k, (name, p) in enumerate((name, p) for name, ps in licenses.PHRASES.items() for p in ps)
+        for w, n in Counter(licenses.words_of(p)).items()))
+    return rf"""
+WITH files AS (
+  SELECT doc_id, concat_ws('/', coalesce(source, '_'), coalesce(lang, '_'), doc_id::VARCHAR) AS path, coalesce(text, '') AS text
+  FROM documents),
+phrase(name, number, word, n) AS (VALUES {phrases}),
+total AS (SELECT count(*)::DOUBLE AS files FROM files),
+has AS (
+  SELECT word, count(*) AS files FROM (
+    SELECT unnest(list_distinct(regexp_extract_all(lower(text), '{licenses.WORD}'))) AS word FROM files)
+  WHERE word IN (SELECT word FROM phrase) GROUP BY word),
+idf AS (
+  SELECT DISTINCT p.word, ln((1 + t.files) / (1 + coalesce(h.files, 0))) + 1 AS idf
+  FROM phrase p CROSS JOIN total t LEFT JOIN has h ON h.word = p.word),
+unit AS (
+  SELECT name, number, word, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY number)) AS value
+  FROM phrase JOIN idf USING (word)),
+lines AS (
+  SELECT path, line FROM (
+    SELECT path, unnest(list_distinct(string_split_regex(text, '{licenses.LINE_END}'))) AS line FROM files)
+  WHERE regexp_matches(lower(line), 'licen|permission|redistribution|creative|gnu|apache|mit|cc')),
+counts AS (
+  SELECT path, line, word, count(*) AS n FROM (
+    SELECT path, line, unnest(regexp_extract_all(lower(line), '{licenses.WORD}')) AS word FROM lines)
+  GROUP BY ALL),
+weighed AS (
+  SELECT c.path, c.line, c.word, c.n, c.n * coalesce(i.idf, ln(1 + t.files) + 1) AS x
+  FROM counts c CROSS JOIN total t LEFT JOIN idf i ON i.word = c.word),
+sizes AS (SELECT path, line, sqrt(sum(x * x)) AS size, sum(n) AS line_words FROM weighed GROUP BY ALL),
+scores AS (
+  SELECT w.path, w.line, u.name, u.number, s.line_words, round(sum(w.x * u.value) / s.size, 6) AS score, count(*) AS shared
+  FROM weighed w JOIN unit u ON u.word = w.word JOIN sizes s ON s.path = w.path AND s.line = w.line
+  GROUP BY w.path, w.line, u.name, u.number, s.line_words, s.size),
+best AS (
+  SELECT path, line, name, score, line_words FROM scores WHERE score >= {licenses.THRESHOLD} AND shared >= {licenses.SHARED_WORDS}
+  QUALIFY row_number() OVER (PARTITION BY path, line ORDER BY score DESC, name) = 1),
+own AS (
+  SELECT b.path, first(b.name ORDER BY b.score DESC, b.name) AS licence, max(b.score) AS score,
+    list_sort(list_distinct(list(b.name))) AS licences,
+    sum(b.line_words) >= {licenses.LICENCE_PART} * any_value(len(regexp_extract_all(lower(f.text), '{licenses.WORD}'))) AS mostly
+  FROM best b JOIN files f ON f.path = b.path GROUP BY b.path),
+holders AS (
+  SELECT regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, first(licence ORDER BY score DESC, licence) AS from_dir
+  FROM own WHERE mostly GROUP BY 1),
+placed AS (
+  SELECT doc_id, path, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, regexp_extract(path, '^(.*)/[^/]*/[^/]*$', 1) AS up
+  FROM files)
+SELECT p.doc_id, p.path, coalesce(o.licence, h.from_dir, u.from_dir) AS licence,
+  CASE WHEN o.licence IS NOT NULL THEN 'own' WHEN coalesce(h.from_dir, u.from_dir) IS NOT NULL THEN 'inherited' END AS origin,
+  o.score AS score, CASE WHEN o.licence IS NULL THEN coalesce(h.dir, u.dir) END AS licence_dir,
+  coalesce(array_to_string(o.licences, ','), '') AS licences
+FROM placed p LEFT JOIN own o ON o.path = p.path LEFT JOIN holders h ON h.dir = p.dir LEFT JOIN holders u ON u.dir = p.up
+"""
+
+
+ORACLES["op4_tfidf_licences"] = _licence_sql()
