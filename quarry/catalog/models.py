@@ -238,7 +238,7 @@ def q_strat(spark, sf):
     d, m = _svr_fit(spark, sf)
     p = svr.predict_svr(d.select(*KEY, *_SVR_COLS, "y_reg"), m)
     p = p.withColumn("excess", F.abs(F.col("y_reg") - F.col("prediction")) - F.lit(m.epsilon))
-    return finish(svr.stratified_top(svr.support_rows(p, "y_reg", "prediction", m.epsilon), "prediction", "excess", 5, 10))
+    return finish(svr.stratified_top(svr.support_rows(p, "y_reg", "prediction", m.epsilon), "prediction", "excess", 5, 10, KEY))
 
 
 @register("svr_compare_grids")
@@ -332,7 +332,7 @@ def q_shap_dist(spark, sf):
 @register("shap_interactions")
 def q_shap_inter(spark, sf):
     te, m, bg = _forest_shap(spark, sf)
-    return finish(explain.shap_interactions(te, explain.ForestScorer(m), FEATS, bg[:20], n_permutations=2, seed=3))
+    return finish(explain.shap_interactions(te, explain.ForestScorer(m), FEATS, bg, n_permutations=2, seed=3))
 
 
 # ---------------------------------------------------------------- M6-M8, Y, S11, S12

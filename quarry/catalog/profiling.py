@@ -18,7 +18,7 @@ def _describe_sql(c: str) -> str:
 
 @register("describe_columns", with_fx("fx_num") + " UNION ALL ".join(_describe_sql(c) for c in _NUM))
 def q_describe(spark, sf):
-    return finish(E.describe_columns(fx(spark, sf, "fx_num"), _NUM), 6, {"variance": 2})
+    return finish(E.describe_columns(fx(spark, sf, "fx_num"), _NUM), 6, {"variance": 2, "mean": 7})
 
 
 def _box_sql(c: str) -> str:

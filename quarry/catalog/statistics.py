@@ -49,7 +49,7 @@ def q_confidence_interval(spark, sf):
 
 @register("shapiro_wilk")
 def q_shapiro(spark, sf):
-    return finish(G.shapiro(_events(spark, sf), "value", "event_type", key="event_id"))
+    return finish(G.shapiro(_events(spark, sf), "value", "event_type"))
 
 
 @register("analyze_groups")

@@ -8,65 +8,44 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.plans.ranks import (MAX_BUCKETS, ROWS_PER_BUCKET, _offsets, _order_exprs, _spec,
-                                assign_buckets)
+from quarry.plans.joins import join_null_safe
+from quarry.plans.ranks import deal, number
 
 # Fixed value: default category for missing text.
 NAN_CATEGORY = "Unknown"
 
 
 def interpolate(df: DataFrame, cols: Sequence[str], order_by: Sequence, partition_by: Sequence[str] = (),
-                n_buckets: int | None = None, max_state_rows: int = 1_000_000) -> DataFrame:
+                n_buckets: int | None = None) -> DataFrame:
     """Linear interpolation of numeric NULLs by row position (equal spacing);
     leading NULLs take the first valid value, trailing NULLs the last.
 
-    Rows are cut into range buckets of the order key (within each partition).
-    Windows run only inside a bucket; the last valid (position, value) before a
-    bucket and the first valid one after it come from a per-bucket summary
-    (partitions x buckets rows, size-checked) joined back by broadcast. So a
-    hot partition is spread over many tasks and nothing is global.
+    Rows are dealt into range buckets of (partition, order key). Windows run only
+    inside a bucket; the last valid (position, value) before a bucket and the
+    first valid one after it come from a table of one row per (partition,
+    bucket), joined back. So a hot partition is spread over many tasks and
+    nothing is global.
     """
-    spec = _spec(order_by)
     parts = list(partition_by)
     cols = list(cols)
-    n = df.count()
-    nb = n_buckets or max(1, min(MAX_BUCKETS, -(-n // ROWS_PER_BUCKET)))
-    b = assign_buckets(df, spec, n_buckets=nb, n_rows=n)
-    w_in = Window.partitionBy(*parts, "_bucket").orderBy(*_order_exprs(df, spec))
-    if nb <= 1:
-        # one bucket (at most ROWS_PER_BUCKET rows per partition): no offsets, no carries
-        pos = b.withColumn("_pos", (F.row_number().over(w_in) - 1).cast("long"))
-        out = pos
-        for i, c in enumerate(cols):
-            out = out.withColumn(f"_ci{i}", F.lit(None).cast("struct<p:bigint,v:double>")) \
-                     .withColumn(f"_co{i}", F.lit(None).cast("struct<p:bigint,v:double>"))
-    else:
-        # positions: per-(partition, bucket) counts -> offsets
-        counts = b.groupBy(*parts, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        small = counts.limit(max_state_rows + 1).count() <= max_state_rows
-        offsets = _offsets(df, counts, parts, {"_n": T.LongType()}, max_state_rows)
-        pos = (b.withColumn("_rn", F.row_number().over(w_in) - 1)
-               .join(offsets, on=[*parts, "_bucket"]).withColumn("_pos", F.col("_o__n") + F.col("_rn"))
-               .drop("_rn", "_o__n"))
-        # per bucket: first and last valid (pos, value) of every column
-        summ = pos.groupBy(*parts, "_bucket").agg(*[
-            F.min(F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v"))))
-            .alias(f"_f{i}") for i, c in enumerate(cols)], *[
-            F.max(F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v"))))
-            .alias(f"_l{i}") for i, c in enumerate(cols)])
-        wb = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-        wr = Window.partitionBy(*parts).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-        carry = summ.select(*parts, "_bucket", *[
-            F.last(F.col(f"_l{i}"), ignorenulls=True).over(wb).alias(f"_ci{i}") for i in range(len(cols))], *[
-            F.last(F.col(f"_f{i}"), ignorenulls=True).over(wr).alias(f"_co{i}") for i in range(len(cols))])
-        # the carry table has one row per (partition, bucket): the same cells as the offsets,
-        # so it is broadcast under the same measured bound
-        out = pos.join(F.broadcast(carry) if small else carry, on=[*parts, "_bucket"])
+    pos = number(deal(df, order_by, parts, n_buckets), parts, "_pos")
+    w_in = Window.partitionBy(*parts, "_bucket").orderBy("_pos")
+    # per bucket: first and last valid (pos, value) of every column
+    summ = pos.groupBy(*parts, "_bucket").agg(*[
+        F.min(F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v"))))
+        .alias(f"_f{i}") for i, c in enumerate(cols)], *[
+        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v"))))
+        .alias(f"_l{i}") for i, c in enumerate(cols)])
+    wb = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    wr = Window.partitionBy(*parts).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summ.select(*parts, "_bucket", *[
+        F.last(F.col(f"_l{i}"), ignorenulls=True).over(wb).alias(f"_ci{i}") for i in range(len(cols))], *[
+        F.last(F.col(f"_f{i}"), ignorenulls=True).over(wr).alias(f"_co{i}") for i in range(len(cols))])
+    out = join_null_safe(pos, carry, [*parts, "_bucket"])
     # both directions are running frames (unbounded preceding -> current row), which
     # Spark evaluates incrementally; "next valid" is "last valid" in reversed order
     w_prev = w_in.rowsBetween(Window.unboundedPreceding, 0)
-    rev = [F.col(n).desc() if a else F.col(n).asc() for n, a in spec]
-    w_next = Window.partitionBy(*parts, "_bucket").orderBy(*rev).rowsBetween(Window.unboundedPreceding, 0)
+    w_next = Window.partitionBy(*parts, "_bucket").orderBy(F.desc("_pos")).rowsBetween(Window.unboundedPreceding, 0)
     for i, c in enumerate(cols):
         pv = F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v"))
         prev = F.coalesce(F.last(F.when(F.col(c).isNotNull(), pv), ignorenulls=True).over(w_prev), F.col(f"_ci{i}"))

@@ -91,10 +91,27 @@ def transform(df: DataFrame, st: EncoderState, unseen: str = "unknown") -> DataF
 
 
 def inverse_transform(df: DataFrame, st: EncoderState, cols: Sequence[str] | None = None) -> DataFrame:
-    """P16 for label codes: code -> category via a reversed map literal."""
-    cols = [c for c in (cols or list(st.categories)) if c in df.columns]
+    """Label codes back to categories; the indicator columns of the other encoders
+    back to their category (one-hot, binarized) or to the array of categories (multi-label)."""
     if st.method != "label":
-        raise ValueError("inverse transform is defined for label codes")
+        wanted = [c for c in (cols or list(st.categories)) if c in st.categories]
+        made, used = {}, set()
+        for c in wanted:
+            cats = st.categories[c]
+            two = st.method == "binarize" and len(cats) == 2
+            names = {v: f"{c}_{_safe(v)}" for v in (cats[1:] if two else cats)}
+            used |= set(names.values())
+            if st.method == "multi_label":
+                made[c] = F.filter(F.array(*[F.when(F.col(n) == 1, F.lit(v)) for v, n in names.items()]),
+                                   lambda x: x.isNotNull())
+            elif two:
+                only = F.col(names[cats[1]])
+                made[c] = F.when(only == 1, F.lit(cats[1])).when(only == 0, F.lit(cats[0]))
+            else:
+                made[c] = F.coalesce(*[F.when(F.col(n) == 1, F.lit(v)) for v, n in names.items()], F.lit(None))
+        return df.select(*[F.col(c) for c in df.columns if c not in used and c not in made],
+                         *[e.alias(c) for c, e in made.items()])
+    cols = [c for c in (cols or list(st.categories)) if c in df.columns]
     out = []
     for c in df.columns:
         if c in cols:

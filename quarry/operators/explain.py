@@ -181,11 +181,38 @@ def shap_dependence(shap: DataFrame, id_cols: Sequence[str], k: int = 10) -> Dat
     return shap.filter(F.col("feature").isin(feats)).select(*ids, "feature", "value", "shap_value")
 
 
+#: Rows whose coalitions are laid out together.
+INTERACTION_ROWS = 128
+
+
+def _interactions(fn: Callable, B: np.ndarray, perms, x: np.ndarray) -> np.ndarray:
+    """Sum over rows of |mean index over the orders| for each feature pair."""
+    n, d = x.shape
+    out = np.zeros((d, d))
+    for i in range(d):
+        for j in range(i + 1, d):
+            index = np.zeros(n)
+            for p in perms:
+                pos = np.argsort(p)
+                z = np.broadcast_to(B[None], (n, len(B), d)).copy()
+                for s in p[:min(pos[i], pos[j])]:
+                    z[:, :, s] = x[:, s][:, None]
+                values = []
+                for held in ((), (i,), (i, j), (j,)):
+                    for s in (i, j):
+                        z[:, :, s] = x[:, s][:, None] if s in held else B[None, :, s]
+                    values.append(fn(z.reshape(-1, d)).reshape(n, len(B)).mean(axis=1))
+                index += values[2] - values[1] - values[3] + values[0]
+            out[i, j] = np.abs(index / len(perms)).sum()
+    return out
+
+
 def shap_interactions(df: DataFrame, f: Callable, cols: Sequence[str], bg: np.ndarray, n_permutations: int = 6,
                       seed: int = 0) -> DataFrame:
     """Sampled Shapley interaction index per feature pair,
     E[f(S+i+j) - f(S+i) - f(S+j) + f(S)] with S the features placed before
-    the pair in a random order; mean |index| over rows, divided by its max."""
+    the pair in a random order, averaged over the orders for each row; mean |index|
+    over rows, divided by its max."""
     cols = list(cols)
     d = len(cols)
     perms = _permutations(d, n_permutations, seed)
@@ -197,25 +224,10 @@ def shap_interactions(df: DataFrame, f: Callable, cols: Sequence[str], bg: np.nd
             if not len(pdf):
                 continue
             x = pdf[cols].to_numpy(dtype=np.float64)
-            n = len(x)
-            acc = np.zeros((d, d))
-            for p in pm:
-                pos = np.argsort(p)
-                for i in range(d):
-                    for j in range(i + 1, d):
-                        first = min(pos[i], pos[j])
-                        S = [p[t] for t in range(first)]
-                        z = np.broadcast_to(B[None], (n, len(B), d)).copy()
-                        for s in S:
-                            z[:, :, s] = x[:, s][:, None]
-                        zi, zj, zij = z.copy(), z.copy(), z.copy()
-                        zi[:, :, i] = x[:, i][:, None]
-                        zj[:, :, j] = x[:, j][:, None]
-                        zij[:, :, i] = x[:, i][:, None]
-                        zij[:, :, j] = x[:, j][:, None]
-                        v = [fn(a.reshape(-1, d)).reshape(n, len(B)).mean(axis=1) for a in (zij, zi, zj, z)]
-                        acc[i, j] += np.abs(v[0] - v[1] - v[2] + v[3]).sum()
-            rows = [(cols[i], cols[j], acc[i, j] / len(pm), n) for i in range(d) for j in range(i + 1, d)]
+            acc, n = np.zeros((d, d)), len(x)
+            for x in np.array_split(x, -(-n // INTERACTION_ROWS)):
+                acc += _interactions(fn, B, pm, x)
+            rows = [(cols[i], cols[j], acc[i, j], n) for i in range(d) for j in range(i + 1, d)]
             yield pd.DataFrame(rows, columns=["feature_a", "feature_b", "s", "n"])
 
     part = spread(df.select(*cols)).mapInPandas(kern, "feature_a string, feature_b string, s double, n long")

@@ -17,8 +17,6 @@
 from __future__ import annotations
 
 import math
-import os
-import time
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -147,8 +145,10 @@ def fit_bins(df: DataFrame, features: Sequence[str], max_bins: int = 64) -> dict
 
 
 def _bin_expr(c: str, th: np.ndarray) -> Column:
-    """bin = number of thresholds strictly below x (balanced CASE tree)."""
+    """bin = number of thresholds strictly below x (balanced CASE tree); a missing value
+    (NULL or NaN) is below all, so it goes left at every split, in training and prediction."""
     x = F.col(c).cast("double")
+    x = F.when(~F.isnan(x), x)
     th = list(map(float, th))
 
     def build(lo, hi):  # answer in [lo, hi]
@@ -220,21 +220,13 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, key: Sequence
         raise ValueError(f"unknown impurity {impurity!r}")
     features = list(features)
     keys = [key] if isinstance(key, str) else list(key)
-    _dbg = os.environ.get("QUARRY_DEBUG")
-    _t0 = time.time()
-
-    def tick(msg):
-        if _dbg:
-            print(f"[forest] {msg}: {time.time() - _t0:.2f}s", flush=True)
     labels = [r[0] for r in df.select(label).distinct().limit(3).collect()]
-    tick("labels")
     if not set(labels) <= {0, 1}:
         raise ValueError("labels must be exactly 0 and 1")
     # one parallel, persisted copy of the needed columns feeds binning and weights
     raw = spread(df.select(*features, label, *[k_ for k_ in keys if k_ not in features and k_ != label])) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     th = fit_bins(raw, features, max_bins)
-    tick("bins")
     d = len(features)
     k = max(1, int(math.floor(math.sqrt(d)))) if max_features == "sqrt" else \
         (d if max_features in (None, "all") else int(max_features))
@@ -254,7 +246,6 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, key: Sequence
         F.sum(F.when(F.col("y") == 1, F.col("wt")).otherwise(0)).alias("c1")).collect()
     rc = {r["t"]: (float(r["c0"]), float(r["c1"])) for r in root}
     raw.unpersist()
-    tick("root")
     active = []  # (tree, node)
     for t in range(n_trees):
         c0, c1 = rc.get(t, (0.0, 0.0))
@@ -318,7 +309,6 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, key: Sequence
         hist = (binned.mapInPandas(kernel, hist_schema)
                 .groupBy("tree", "node", "feature", "bin").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")))
         best = _best_splits(hist, impurity, min_samples_leaf).collect()
-        tick(f"level {depth}")
         bc.unpersist()
         split_of = {(r["tree"], r["node"]): r for r in best}
         nxt = []
@@ -379,7 +369,7 @@ def _tree_leaves(model: Forest, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             if not split.any():
                 break
             v = x[rows, np.where(split, f, 0)]
-            node = np.where(split, np.where(v <= tr["thr"][node], tr["left"][node], tr["right"][node]), node)
+            node = np.where(split, np.where(v > tr["thr"][node], tr["right"][node], tr["left"][node]), node)
         c0, c1 = tr["c0"][node], tr["c1"][node]
         labels[:, t] = (c1 > c0).astype(np.int8)
         p1[:, t] = np.where(c0 + c1 > 0, c1 / np.maximum(c0 + c1, 1e-300), 0.0)

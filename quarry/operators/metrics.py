@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quarry.plans.ranks import running_sums
 from quarry.plans.joins import join_groups
+from quarry.plans.quantiles import group_quantiles
 
 # Machine epsilon of float64 (MAPE denominator floor) and the log-loss clip.
 FLOAT64_EPS = 2.220446049250313e-16
@@ -39,23 +40,20 @@ def _agg(df: DataFrame, group_by, *exprs) -> DataFrame:
 # ----------------------------------------------------------------------------- regression
 
 def regression_report(df: DataFrame, y_true: str, y_pred: str, group_by=None,
-                      normalization: str = "mean", force_finite: bool = True,
-                      approx_median: bool = False) -> DataFrame:
-    """All regression metrics (Q1-Q11) in one aggregation pass."""
+                      normalization: str = "mean", force_finite: bool = True) -> DataFrame:
+    """All regression metrics (Q1-Q11) in one aggregation pass, and one sort for the median."""
     if normalization not in ("mean", "min-max", "euclidean"):
-        raise ValueError(f"Invalid normalization method: {normalization}")
+        raise ValueError(f"normalization must be mean, min-max or euclidean, not {normalization!r}")
     y = F.col(y_true).cast("double")
     p = F.col(y_pred).cast("double")
     d = y - p
     ad = F.abs(d)
-    med = (F.percentile_approx(ad, 0.5, 10000) if approx_median else F.percentile(ad, 0.5))
     base = _agg(
         df, group_by,
         F.count(F.lit(1)).alias("n"),
         F.max(ad).alias("max_error"),
         F.avg(ad).alias("mean_absolute_error"),
         F.avg(d * d).alias("mean_squared_error"),
-        med.alias("median_absolute_error"),
         (F.avg(ad / F.greatest(F.lit(FLOAT64_EPS), F.abs(y))) * 100.0).alias("mean_absolute_percentage_error"),
         F.var_pop(y).alias("_vy"),
         F.var_pop(d).alias("_vd"),
@@ -65,6 +63,9 @@ def regression_report(df: DataFrame, y_true: str, y_pred: str, group_by=None,
         F.least(F.min(y), F.min(p)).alias("_minyp"),
         F.avg(F.pow(F.log1p(y) - F.log1p(p), 2)).alias("_msle"),
     )
+    g = _g(group_by)
+    med = group_quantiles(df.select(*g, ad.alias("_ad")), "_ad", g, [0.5], "_q")
+    base = join_groups(base, med, g, how="left").withColumn("median_absolute_error", F.col("_q")[0])
     denom = {"mean": F.col("_my"), "min-max": F.col("_range"), "euclidean": F.col("_norm")}[normalization]
     bad = F.lit(-_INF) if force_finite else F.lit(float("nan"))
     rmse = F.sqrt(F.col("mean_squared_error"))
@@ -154,7 +155,7 @@ def classification_report(df: DataFrame, y_true: str, y_pred: str, group_by=None
     ``binary`` on more than two classes raises at execution time.
     """
     if average not in ("binary", "micro", "macro", "weighted"):
-        raise ValueError(f"Invalid average: {average}")
+        raise ValueError(f"average must be binary, micro, macro or weighted, not {average!r}")
     g = _g(group_by)
     acc = _agg(df, g, F.avg((F.col(y_true).cast("long") == F.col(y_pred).cast("long")).cast("double"))
                .alias("accuracy"), F.count(F.lit(1)).alias("n"))
@@ -237,7 +238,7 @@ def _curve(df: DataFrame, y_true: str, score: str, group_by=None, n_buckets=None
     c = _score_counts(df, y_true, score, g)
     r = running_sums(c, [("threshold", False)], ["pos", "neg"], partition_cols=g, n_buckets=n_buckets)
     tot = _agg(c, g, F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return join_groups(r, tot, g, small_right=True)
+    return join_groups(r, tot, g)
 
 
 def roc_curve(df: DataFrame, y_true: str, score: str, group_by=None, n_buckets=None) -> DataFrame:

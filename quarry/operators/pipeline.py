@@ -116,7 +116,7 @@ def inverse_transform(df: DataFrame, st: PreprocessorState, cols: Sequence[str]
         sc = [c for c in (cols or st.numeric) if c in st.numeric]
         if sc:
             df = scaling.inverse_transform(df, st.scaler, sc)
-    if st.encoder is not None and st.encoder.method == "label":
+    if st.encoder is not None:
         ec = [c for c in (cols or st.categorical) if c in st.categorical]
         if ec:
             df = encoding.inverse_transform(df, st.encoder, ec)
@@ -128,7 +128,7 @@ def inverse_transform(df: DataFrame, st: PreprocessorState, cols: Sequence[str]
 def state_tables(spark: SparkSession, st: PreprocessorState) -> tuple[dict[str, DataFrame], dict]:
     tables = {}
     if st.scaler is not None:
-        tables["scaler"] = spark.createDataFrame(st.scaler.to_pandas())
+        tables["scaler"] = st.scaler.to_table(spark)
     if st.encoder is not None:
         tables["encoder"] = encoding.encoder_table(spark, st.encoder)
     meta = dict(numeric=st.numeric, categorical=st.categorical, other=st.other,
@@ -145,7 +145,7 @@ def state_from_tables(tables: dict[str, DataFrame], meta: dict) -> PreprocessorS
                            nan_category=meta["nan_category"], unseen=meta["unseen"], narrow=meta["narrow"],
                            fitted=True)
     if "scaler" in tables:
-        st.scaler = scaling.ScalerState.from_pandas(tables["scaler"].toPandas())
+        st.scaler = scaling.ScalerState.from_rows(tables["scaler"].collect())
     if "encoder" in tables:
         pdf = tables["encoder"].toPandas().sort_values(["column", "code"])
         st.encoder = encoding.EncoderState(meta["encoder_method"], nan_category=meta["nan_category"])

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.plans.joins import join_groups
+from quarry.plans.quantiles import group_quantiles
 from quarry.plans.ranks import row_number_global
 
 DEFAULT_BINS = 10
@@ -22,32 +23,34 @@ def _stack(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> Data
     return df.select(*keep, F.expr(f"stack({len(cols)}, {body}) AS (column, value)"))
 
 
-def describe_columns(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
-    """Count, mean, sample variance/std, min, max, quartiles per column.
+def describe_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Count, mean, sample variance/std, min, max, quartiles per column; NaN counts as NULL.
 
-    One aggregation over all columns; the result is unpivoted on the one-row
-    aggregate, not on the data.
+    One aggregation over all columns, unpivoted on the one-row aggregate; the
+    quartiles come from one range shuffle of the stacked columns.
     """
     exprs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 10000) if approx
-             else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
+        x = F.when(~F.isnan(x), x)
         exprs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
                               F.var_samp(x).alias("variance"), F.stddev_samp(x).alias("std"),
-                              F.min(x).alias("min"), q[0].alias("q1"), q[1].alias("median"),
-                              q[2].alias("q3"), F.max(x).alias("max")).alias(f"s{i}"))
+                              F.min(x).alias("min"), F.max(x).alias("max")).alias(f"s{i}"))
     one = df.agg(*exprs)
-    return one.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("s")).select("s.*")
+    rows = one.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("s")).select("s.*")
+    q = group_quantiles(_stack(df, cols), "value", ["column"], [0.25, 0.5, 0.75], "_q")
+    return rows.join(q, "column", "left").select(
+        "column", "count", "mean", "variance", "std", "min", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
+        F.col("_q")[2].alias("q3"), "max")
 
 
-def box_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5, approx: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5) -> DataFrame:
     """Q1, median, Q3, fences at whisker*IQR, outlier count per column (two passes)."""
-    q = describe_columns(df, cols, approx).select(
+    q = describe_columns(df, cols).select(
         "column", "q1", "median", "q3", (F.col("q3") - F.col("q1")).alias("iqr"))
     q = q.withColumn("lower_fence", F.col("q1") - whisker * F.col("iqr")) \
          .withColumn("upper_fence", F.col("q3") + whisker * F.col("iqr"))
-    long = _stack(df, cols).filter(F.col("value").isNotNull())
+    long = _stack(df, cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     fences = F.broadcast(q.select("column", "lower_fence", "upper_fence"))  # one row per column
     out = (long.join(fences, on="column")
            .groupBy("column")
@@ -60,7 +63,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5, approx:
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = DEFAULT_BINS) -> DataFrame:
     """Equal-width histogram per column, bin count reduced to the distinct
     count; min == max gives one bin. Output (column, bin, lo, hi, n)."""
-    long = _stack(df, cols).filter(F.col("value").isNotNull())
+    long = _stack(df, cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     # exact distinct count is only needed when it is below `bins`
     rng = long.groupBy("column").agg(F.min("value").alias("lo_all"), F.max("value").alias("hi_all"),
                                      F.approx_count_distinct("value", 0.05).alias("_ad"))

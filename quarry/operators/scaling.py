@@ -20,10 +20,13 @@ from pyspark.sql import types as T
 from pyspark import StorageLevel
 
 from quarry.plans.parallel import spread
+from quarry.plans.quantiles import column_quantiles
 
 SCALERS = ("standard", "min_max", "max_abs", "robust", "power", "quantile")
 DEFAULT_SCALER = "robust"
 N_QUANTILES = 1000
+#: Where the search for a power stops: data that want more have no useful power.
+WIDEST_LAMBDA = 1e3
 
 
 @dataclass
@@ -34,42 +37,45 @@ class ScalerState:
     lam: dict = field(default_factory=dict)          # power: Yeo-Johnson lambda
     knots: dict = field(default_factory=dict)        # quantile: sorted knots
 
-    def to_pandas(self) -> pd.DataFrame:
-        cols = sorted(set(self.center) | set(self.knots))
-        return pd.DataFrame({
-            "column": cols, "method": self.method,
-            "center": [self.center.get(c) for c in cols], "scale": [self.scale.get(c) for c in cols],
-            "lam": [self.lam.get(c) for c in cols],
-            "knots": [list(map(float, self.knots[c])) if c in self.knots else None for c in cols]})
+    def to_table(self, spark) -> DataFrame:
+        """One row for each column."""
+        rows = [(c, self.method, _number(self.center.get(c)), _number(self.scale.get(c)), _number(self.lam.get(c)),
+                 list(map(float, self.knots[c])) if c in self.knots else None)
+                for c in sorted(set(self.center) | set(self.knots))]
+        return spark.createDataFrame(rows, STATE_SCHEMA)
 
     @staticmethod
-    def from_pandas(pdf: pd.DataFrame) -> "ScalerState":
-        st = ScalerState(pdf["method"].iloc[0] if len(pdf) else DEFAULT_SCALER)
-        for _, r in pdf.iterrows():
-            if r["center"] is not None and not pd.isna(r["center"]):
-                st.center[r["column"]] = float(r["center"])
-                st.scale[r["column"]] = float(r["scale"])
-            if r["lam"] is not None and not pd.isna(r["lam"]):
-                st.lam[r["column"]] = float(r["lam"])
-            if r["knots"] is not None and not (isinstance(r["knots"], float) and pd.isna(r["knots"])):
-                st.knots[r["column"]] = np.asarray(r["knots"], dtype=float)
+    def from_rows(rows) -> "ScalerState":
+        st = ScalerState(rows[0]["method"] if rows else DEFAULT_SCALER)
+        for r in rows:
+            c = r["column"]
+            if r["center"] is not None:
+                st.center[c], st.scale[c] = r["center"], r["scale"]
+            if r["lam"] is not None:
+                st.lam[c] = r["lam"]
+            if r["knots"] is not None:
+                st.knots[c] = np.asarray(r["knots"], dtype=float)
         return st
 
 
+STATE_SCHEMA = "column string, method string, center double, scale double, lam double, knots array<double>"
+
+
+def _number(x) -> float | None:
+    return None if x is None else float(x)
+
+
 def _x(c: str) -> Column:
     return F.col(c).cast("double")
 
 
-def fit_scaler(df: DataFrame, cols: Sequence[str], method: str = DEFAULT_SCALER,
-               approx: bool | str = False) -> ScalerState:
+def fit_scaler(df: DataFrame, cols: Sequence[str], method: str = DEFAULT_SCALER) -> ScalerState:
     """P5 standard (population std; constant -> 1), P6 min-max (constant -> 0),
     P7 max-abs, P8 robust ((x - median)/IQR, linear quantiles; IQR 0 -> 1),
     P9 power (Yeo-Johnson, lambda by maximum likelihood, then standardised),
     P10 quantile (uniform output, <= 1000 knots).
 
-    Quantiles: exact SQL ``percentile`` by default; ``approx=True`` uses
-    ``percentile_approx``; ``approx="sort"`` (robust) is exact through a bucketed
-    distributed sort, for continuous columns too large for a value map."""
+    Quantiles are exact (linear interpolation), from one range shuffle of all columns."""
     if method not in SCALERS:
         raise ValueError(f"unknown scaler {method!r}; expected one of {SCALERS}")
     cols = list(cols)
@@ -93,17 +99,9 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], method: str = DEFAULT_SCALER,
             st.center[c] = 0.0
             st.scale[c] = r[f"a{i}"] if r[f"a{i}"] else 1.0
     elif method == "robust":
-        if approx == "sort":
-            # exact, via a bucketed distributed sort: no value map per aggregation buffer
-            from quarry.plans.quantiles import sorted_quantiles
-            r = {f"q{i}": sorted_quantiles(df, c, [0.25, 0.5, 0.75]) for i, c in enumerate(cols)}
-            r = {k: (None if v[0] is None else v) for k, v in r.items()}
-        else:
-            pct = (lambda e: F.percentile_approx(e, [0.25, 0.5, 0.75], 10000)) if approx else \
-                  (lambda e: F.percentile(e, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-            r = df.agg(*[pct(_x(c)).alias(f"q{i}") for i, c in enumerate(cols)]).first()
-        for i, c in enumerate(cols):
-            q = r[f"q{i}"]
+        r = column_quantiles(df, list(cols), [0.25, 0.5, 0.75])
+        for c in cols:
+            q = r.get(c)
             if q is None:
                 st.center[c], st.scale[c] = 0.0, 1.0
                 continue
@@ -112,12 +110,9 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], method: str = DEFAULT_SCALER,
     elif method == "power":
         st = _fit_power(df, cols)
     else:
-        probs = [i / (N_QUANTILES - 1) for i in range(N_QUANTILES)]
-        pa = F.array(*[F.lit(p) for p in probs])
-        agg = (lambda e: F.percentile_approx(e, probs, 10000)) if approx else (lambda e: F.percentile(e, pa))
-        r = df.agg(*[agg(_x(c)).alias(f"q{i}") for i, c in enumerate(cols)]).first()
-        for i, c in enumerate(cols):
-            st.knots[c] = np.asarray(r[f"q{i}"] or [0.0], dtype=float)
+        r = column_quantiles(df, list(cols), [i / (N_QUANTILES - 1) for i in range(N_QUANTILES)])
+        for c in cols:
+            st.knots[c] = np.asarray(r.get(c, [0.0]), dtype=float)
     return st
 
 
@@ -167,7 +162,12 @@ def _fit_power(df: DataFrame, cols: list[str], rounds: int = 4, grid: int = 17)
     lo = {i: -4.0 for i in fit}
     hi = {i: 4.0 for i in fit}
     best = {c: 1.0 for c in cols}
-    for _ in range(rounds):
+    narrowed = dict.fromkeys(fit, False)
+    left = rounds
+    while left:
+        left -= all(narrowed.values())   # rounds count once every column's best lies inside its bracket
+        if max((abs(b) for b in best.values()), default=0) > WIDEST_LAMBDA:
+            break
         if not fit:
             break
         lams = {i: np.linspace(lo[i], hi[i], grid) for i in fit}
@@ -205,7 +205,11 @@ def _fit_power(df: DataFrame, cols: list[str], rounds: int = 4, grid: int = 17)
                     cand.append((-n / 2.0 * np.log(v) + (lam - 1.0) * sl, -abs(lam - 1.0), lam))
             if cand:
                 best[cols[i]] = max(cand)[2]
-            step = (hi[i] - lo[i]) / (grid - 1)
+            step, width = (hi[i] - lo[i]) / (grid - 1), hi[i] - lo[i]
+            if not narrowed[i] and best[cols[i]] in (lo[i], hi[i]):   # on the edge: look further out first
+                lo[i], hi[i] = (lo[i] - width, lo[i] + step) if best[cols[i]] == lo[i] else (hi[i] - step, hi[i] + width)
+                continue
+            narrowed[i] = True
             lo[i], hi[i] = best[cols[i]] - step, best[cols[i]] + step
     data.unpersist()
     st = ScalerState("power", lam=best)

@@ -21,7 +21,6 @@ from pyspark.sql import types as T
 from pyspark import StorageLevel
 
 from quarry.functions import special
-from quarry.plans.parallel import spread
 from quarry.plans.joins import join_groups
 
 DEFAULT_BINS = 10
@@ -85,6 +84,11 @@ def _bins_expr(lo, hi, c: str, n_bins: int) -> Column:
     return F.least(F.floor((_x(c) - F.lit(lo)) / F.lit(w)), F.lit(n_bins - 1)).cast("int")
 
 
+def _sd_with(a: str, b: str) -> Column:
+    """Population deviation of ``a`` over the rows that also have ``b``."""
+    return F.stddev_pop(F.when(F.col(b).isNotNull(), _x(a)))
+
+
 def _corr(cov: Column, sx: Column, sy: Column) -> Column:
     return F.try_divide(cov, sx * sy)
 
@@ -94,12 +98,11 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     columns (no division error). One aggregation of covariances."""
     cols = list(cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    row = df.agg(*[F.covar_pop(_x(a), _x(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)],
-                 *[F.stddev_pop(_x(c)).alias(f"s{j}") for j, c in enumerate(cols)])
-    sd = {c: F.col(f"s{j}") for j, c in enumerate(cols)}
+    row = df.agg(*[e for i, (a, b) in enumerate(pairs) for e in (
+        F.covar_pop(_x(a), _x(b)).alias(f"c{i}"), _sd_with(a, b).alias(f"s{i}"), _sd_with(b, a).alias(f"t{i}"))])
     cells = []
     for i, (a, b) in enumerate(pairs):
-        v = _corr(F.col(f"c{i}"), sd[a], sd[b])
+        v = _corr(F.col(f"c{i}"), F.col(f"s{i}"), F.col(f"t{i}"))
         cells.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), v.alias("corr")))
         if a != b:
             cells.append(F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"), v.alias("corr")))
@@ -110,9 +113,11 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def _moments(df: DataFrame, target: str, feats: list[str]):
     y = _x(target)
-    row = df.agg(F.count(y).alias("n"), F.stddev_pop(y).alias("sy"),
+    # rows that have both the feature and the target
+    row = df.agg(*[F.count(F.when(F.col(c).isNotNull(), y)).alias(f"n{i}") for i, c in enumerate(feats)],
                  *[F.covar_pop(_x(c), y).alias(f"c{i}") for i, c in enumerate(feats)],
-                 *[F.stddev_pop(_x(c)).alias(f"s{i}") for i, c in enumerate(feats)],
+                 *[_sd_with(c, target).alias(f"s{i}") for i, c in enumerate(feats)],
+                 *[_sd_with(target, c).alias(f"t{i}") for i, c in enumerate(feats)],
                  *[F.var_pop(_x(c)).alias(f"v{i}") for i, c in enumerate(feats)]).first()
     return row
 
@@ -122,7 +127,7 @@ def _table(spark, rows) -> DataFrame:
 
 
 def _r(row, i):
-    sx, sy, c = row[f"s{i}"], row["sy"], row[f"c{i}"]
+    sx, sy, c = row[f"s{i}"], row[f"t{i}"], row[f"c{i}"]
     if not sx or not sy or c is None:
         return float("nan")
     return c / (sx * sy)
@@ -158,10 +163,9 @@ def score_f_regression(df: DataFrame, target: str, features=None, label_cols=(),
     """F8: F = r^2 / (1 - r^2) * (n - 2), p from F(1, n - 2)."""
     feats = _features(df, target, features, label_cols)
     row = _row or _moments(df, target, feats)
-    n = row["n"]
     rows = []
     for i, c in enumerate(feats):
-        r = _r(row, i)
+        n, r = row[f"n{i}"], _r(row, i)
         if math.isnan(r):
             f, p = float("nan"), float("nan")
         elif r * r >= 1.0:

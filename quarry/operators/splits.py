@@ -27,7 +27,7 @@ def kfold(df: DataFrame, k: int, key: Sequence[str] | str, seed: int, shuffle: b
     d = df.withColumn("_h", h)
     n = d.count()
     order = (["_h"] if shuffle else []) + keys
-    r = row_number_global(d, order, out="_rn", n_buckets=n_buckets, n_rows=n)
+    r = row_number_global(d, order, out="_rn", n_buckets=n_buckets)
     q, rem = divmod(n, k)
     big = rem * (q + 1)
     fold = F.when(F.col("_rn") < big, F.floor(F.col("_rn") / (q + 1))) \

@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from quarry.functions import special
 from quarry.plans.joins import join_groups
-from quarry.plans.ranks import running_sums
+from quarry.plans.quantiles import group_quantiles
+from quarry.plans.ranks import row_number_global, running_sums
 
 # Thresholds of the effect-size labels and the near-zero guards.
 EFFECT_SMALL, EFFECT_MEDIUM, EFFECT_LARGE = 0.2, 0.5, 0.8
@@ -40,17 +41,16 @@ def _agg(df: DataFrame, g: list[str], *exprs) -> DataFrame:
 
 # ----------------------------------------------------------------------------- G1 / G2
 
-def describe_groups(df: DataFrame, value: str, by=None, approx: bool = False) -> DataFrame:
+def describe_groups(df: DataFrame, value: str, by=None) -> DataFrame:
     """G1: n, mean, sample std (0 when n = 1), standard error, median, min, max,
     Q1, Q3, IQR, coefficient of variation in % (0 when |mean| <= 1e-10)."""
     g = _g(by)
     x = F.col(value).cast("double")
-    q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 10000) if approx
-         else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
     s = _agg(df.filter(F.col(value).isNotNull()), g,
              F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean"),
              F.coalesce(F.stddev_samp(x), F.lit(0.0)).alias("std"),
-             F.min(x).alias("min"), F.max(x).alias("max"), q.alias("_q"))
+             F.min(x).alias("min"), F.max(x).alias("max"))
+    s = join_groups(s, group_quantiles(df, value, g, [0.25, 0.5, 0.75], "_q"), g, how="left")
     std = F.when(F.col("n") > 1, F.col("std")).otherwise(F.lit(0.0))
     return s.select(
         *g, F.col("n").cast("long").alias("n"), "mean", std.alias("std"),
@@ -108,85 +108,81 @@ def _poly(c, x):
     return sum(ci * x ** i for i, ci in enumerate(c))
 
 
-def shapiro_wilk(x) -> tuple[float, float]:
-    """W and p-value for one sample (3 <= n <= 5000)."""
-    x = np.sort(np.asarray(x, dtype=np.float64))
-    n = len(x)
-    if n < 3:
-        return math.nan, math.nan
-    if np.all(x == x[0]):
-        return 1.0, 1.0
-    if n == 3:
-        a = np.array([-math.sqrt(0.5), 0.0, math.sqrt(0.5)])
-    else:
-        m = np.array([special.norm_ppf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-        mm = float(np.dot(m, m))
-        u = 1.0 / math.sqrt(n)
-        a = np.zeros(n)
-        an = m[-1] / math.sqrt(mm) + _poly(_SW_C1, u)
-        if n > 5:
-            an1 = m[-2] / math.sqrt(mm) + _poly(_SW_C2, u)
-            phi = (mm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * an ** 2 - 2 * an1 ** 2)
-            a[2:-2] = m[2:-2] / math.sqrt(phi)
-            a[-2], a[1] = an1, -an1
-        else:
-            phi = (mm - 2 * m[-1] ** 2) / (1 - 2 * an ** 2)
-            a[1:-1] = m[1:-1] / math.sqrt(phi)
-        a[-1], a[0] = an, -an
-    xc = x - x.mean()
-    w = float(np.dot(a, x) ** 2 / np.dot(xc, xc))
-    w = min(w, 1.0)
+@F.pandas_udf(T.DoubleType())
+def _normal_score(i: pd.Series, n: pd.Series) -> pd.Series:
+    """Expected normal order statistic of rank i + 1 of n (Blom)."""
+    return pd.Series(special.norm_ppf_array((i.to_numpy() + 0.625) / (n.to_numpy() + 0.25)))
+
+
+def _shapiro_p(w: float, n: int) -> float:
+    """p of W for 3 <= n <= 5000."""
     if n == 3:
-        p = 6.0 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75)))
-        return w, max(p, 0.0)
+        return max(6.0 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))), 0.0)
+    if w >= 1.0:
+        return 1.0
     if n <= 11:
         gamma = _poly(_SW_G, n)
-        mu = _poly(_SW_C3, n)
-        sigma = math.exp(_poly(_SW_C4, n))
-        lw = 1.0 - w
-        if lw <= 0 or gamma - math.log(lw) <= 0:
-            return w, 1e-19 if lw > 0 else 1.0
-        z = (-math.log(gamma - math.log(lw)) - mu) / sigma
+        if gamma - math.log(1.0 - w) <= 0:
+            return 1e-19
+        z = (-math.log(gamma - math.log(1.0 - w)) - _poly(_SW_C3, n)) / math.exp(_poly(_SW_C4, n))
     else:
         ln = math.log(n)
-        mu = _poly(_SW_C5, ln)
-        sigma = math.exp(_poly(_SW_C6, ln))
-        z = (math.log(1.0 - w) - mu) / sigma
-    return w, special.norm_sf(z)
-
-
-def shapiro(df: DataFrame, value: str, by=None, max_n: int = SHAPIRO_MAX_N, seed: int = 7,
-            key: str | None = None) -> DataFrame:
-    """G3 per group. Groups larger than ``max_n`` are cut to a deterministic
-    hash sample of about ``max_n`` rows *before* the shuffle, so no task ever
-    holds more than ~max_n values of one group (the test's own validity limit)."""
+        z = (math.log(1.0 - w) - _poly(_SW_C5, ln)) / math.exp(_poly(_SW_C6, ln))
+    return special.norm_sf(z)
+
+
+@F.pandas_udf(T.StructType([T.StructField("statistic", T.DoubleType()), T.StructField("p_value", T.DoubleType())]))
+def _shapiro_result(n: pd.Series, ss: pd.Series, m2: pd.Series, mx: pd.Series, top: pd.Series, outer: pd.Series,
+                    inner: pd.Series, top1: pd.Series) -> pd.DataFrame:
+    """W and p of each group. ``m2``, ``mx``: sums of squared normal scores and of scores times values;
+    ``top``, ``top1``: the largest scores; ``outer``, ``inner``: largest less smallest value, second from both ends."""
+    rows = []
+    for k, s, q, c, m, o, i, m1 in zip(n, ss, m2, mx, top, outer, inner, top1):
+        if k < 3:
+            rows.append((None, None))
+            continue
+        if not s > 0:
+            rows.append((1.0, 1.0))
+            continue
+        if k == 3:
+            total = math.sqrt(0.5) * o
+        else:
+            u = 1.0 / math.sqrt(k)
+            an = m / math.sqrt(q) + _poly(_SW_C1, u)
+            if k > 5:
+                an1 = m1 / math.sqrt(q) + _poly(_SW_C2, u)
+                phi = (q - 2 * m * m - 2 * m1 * m1) / (1 - 2 * an * an - 2 * an1 * an1)
+                total = (c - m * o - m1 * i) / math.sqrt(phi) + an * o + an1 * i
+            else:
+                phi = (q - 2 * m * m) / (1 - 2 * an * an)
+                total = (c - m * o) / math.sqrt(phi) + an * o
+        w = min(total * total / s, 1.0)
+        rows.append((w, _shapiro_p(w, int(k)) if k <= SHAPIRO_MAX_N else None))
+    return pd.DataFrame(rows, columns=["statistic", "p_value"])
+
+
+def shapiro(df: DataFrame, value: str, by=None, n_buckets: int | None = None) -> DataFrame:
+    """G3 per group, over all rows: (group..., n, statistic, p_value).
+
+    Ranks come from one range shuffle, the weights from (rank, n), and W from one
+    aggregation, so a group of any size is spread over many tasks. The p-value's
+    approximation holds up to n = 5000; above it is null, as both are below n = 3.
+    """
     g = _g(by)
-    x = df.select(*g, F.col(value).cast("double").alias("_v"),
-                  *( [F.col(key).alias("_key")] if key else [])).filter(F.col("_v").isNotNull())
-    sizes = _agg(x, g, F.count(F.lit(1)).alias("_n"))
-    x = join_groups(x, sizes, g, small_right=True)
-    h = F.xxhash64(*( [F.col("_key")] if key else [F.col("_v")]), F.lit(seed))
-    u = (F.abs(h % 1000003).cast("double") / 1000003.0)
-    x = x.filter((F.col("_n") <= max_n) | (u < F.lit(float(max_n)) / F.col("_n")))
-    if not g:
-        x = x.withColumn("_grp", F.lit(0))
-        gg = ["_grp"]
-    else:
-        gg = g
-    schema = T.StructType([*[x.schema[c] for c in gg],
-                           T.StructField("n", T.LongType()), T.StructField("statistic", T.DoubleType()),
-                           T.StructField("p_value", T.DoubleType())])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, p = shapiro_wilk(pdf["_v"].to_numpy())
-        row = {c: pdf[c].iloc[0] for c in gg}
-        row.update(n=len(pdf), statistic=w, p_value=p)
-        return pd.DataFrame([row])
-
-    out = x.select(*gg, "_v").groupBy(*gg).applyInPandas(run, schema)
-    out = out.withColumn("statistic", F.when(F.col("n") >= 3, F.col("statistic"))) \
-             .withColumn("p_value", F.when(F.col("n") >= 3, F.col("p_value")))
-    return out.drop("_grp") if not g else out
+    x = df.select(*g, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    sizes = _agg(x, g, F.count(F.lit(1)).alias("n"), F.avg("_v").alias("_mean"))
+    r = join_groups(row_number_global(x, ["_v"], g, "_i", n_buckets), sizes, g)
+    r = r.withColumn("_m", _normal_score(F.col("_i"), F.col("n"))).withColumn("_d", F.col("_v") - F.col("_mean"))
+    at = lambda e, c: F.max(F.when(e, F.col(c)))
+    n, i = F.col("n"), F.col("_i")
+    s = _agg(r, g, F.max("n").alias("n"), F.sum(F.col("_d") * F.col("_d")).alias("ss"),
+             F.sum(F.col("_m") * F.col("_m")).alias("m2"), F.sum(F.col("_m") * F.col("_d")).alias("mx"),
+             at(i == n - 1, "_m").alias("top"), (at(i == n - 1, "_d") - at(i == 0, "_d")).alias("outer"),
+             (at(i == n - 2, "_d") - at(i == 1, "_d")).alias("inner"), at(i == n - 2, "_m").alias("top1"))
+    s = s.filter(F.col("n").isNotNull())
+    out = s.select(*g, F.col("n").cast("long").alias("n"),
+                   _shapiro_result("n", "ss", "m2", "mx", "top", "outer", "inner", "top1").alias("_r"))
+    return out.select(*g, "n", "_r.statistic", "_r.p_value")
 
 
 def analyze_groups(df: DataFrame, value: str, by=None, level: float = 0.95, alpha: float = 0.05) -> DataFrame:
@@ -226,7 +222,8 @@ def paired_ttest(df: DataFrame, a: str, b: str, by=None, with_p: bool = True) ->
     s = _agg(_paired(df, a, b, g), g, F.count(F.lit(1)).alias("n"), F.avg("_d").alias("mean_difference"),
              F.stddev_samp("_d").alias("std_difference"))
     t = F.col("mean_difference") / (F.col("std_difference") / F.sqrt(F.col("n")))
-    s = s.withColumn("statistic", F.when(F.col("std_difference") > 0, t)
+    s = s.withColumn("statistic", F.when(F.col("n") < 2, F.lit(None).cast("double"))
+                     .when(F.col("std_difference") > 0, t)
                      .when(F.col("mean_difference") > 0, F.lit(float("inf")))
                      .when(F.col("mean_difference") < 0, F.lit(float("-inf"))))
     s = s.withColumn("n", F.col("n").cast("long"))
@@ -302,7 +299,7 @@ def wilcoxon(df: DataFrame, a: str, b: str, by=None, with_p: bool = True, n_buck
              F.sum(avg_rank * F.col("npos")).alias("w_plus"),
              F.sum(avg_rank * (F.col("cnt") - F.col("npos"))).alias("w_minus"),
              F.sum(F.col("cnt")).alias("n_nonzero"),
-             F.sum(F.col("cnt") * F.col("cnt") * F.col("cnt") - F.col("cnt")).alias("tie_term"),
+             F.sum(F.pow(F.col("cnt").cast("double"), 3) - F.col("cnt")).alias("tie_term"),
              F.max(F.col("cnt")).alias("_maxcnt"))
     tot = _agg(p, g, F.count(F.lit(1)).alias("n"))
     s = join_groups(tot, s, g, how="left")
@@ -317,9 +314,10 @@ def wilcoxon(df: DataFrame, a: str, b: str, by=None, with_p: bool = True, n_buck
 
 
 def compare_variants(df: DataFrame, key: str, variant: str, value: str, a_name, b_name, by=None,
-                     alpha: float = 0.05, with_p: bool = True) -> DataFrame:
-    """Pair the two variants on ``key`` (inner pairing), then means, difference,
-    paired t, Cohen's dz and Wilcoxon per group. Groups with n < 2 pairs give null tests."""
+                     alpha: float = 0.05, with_p: bool = True, unpaired: str = "raise") -> DataFrame:
+    """Pair the two variants on ``key``, then means, difference, paired t, Cohen's dz
+    and Wilcoxon per group. Groups with n < 2 pairs give null tests. A key that has one
+    of the variants only ends the job, unless ``unpaired`` is "drop"."""
     g = _g(by)
     pv = (df.filter(F.col(variant).isin(a_name, b_name))
           .groupBy(*g, key).agg(F.first(F.when(F.col(variant) == a_name, F.col(value)), ignorenulls=True).alias("_a"),
@@ -329,7 +327,12 @@ def compare_variants(df: DataFrame, key: str, variant: str, value: str, a_name,
     # a filter cannot be pruned away, so the duplicate check always runs
     dup = (F.col("_na") > 1) | (F.col("_nb") > 1)
     pv = pv.filter(F.when(dup, F.raise_error(F.lit("a key holds more than one value per variant")).cast("boolean"))
-                   .otherwise(F.lit(True))).filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+                   .otherwise(F.lit(True)))
+    if unpaired == "raise":
+        alone = (F.col("_na") == 0) | (F.col("_nb") == 0)
+        pv = pv.filter(F.when(alone, F.raise_error(F.lit("a key lacks one of the variants")).cast("boolean"))
+                       .otherwise(F.lit(True)))
+    pv = pv.filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
     means = _agg(pv, g, F.count(F.lit(1)).alias("n"), F.avg("_a").alias("mean_a"), F.avg("_b").alias("mean_b"))
     means = means.withColumn("mean_difference", F.col("mean_a") - F.col("mean_b"))
     t = paired_ttest(pv, "_a", "_b", g, with_p=with_p).select(

@@ -258,31 +258,64 @@ def support_rows(df: DataFrame, y: str, pred: str, epsilon: float, tol: float =
     return df.filter(F.abs(F.col(y) - F.col(pred)) >= F.lit(float(epsilon) - tol))
 
 
+KERNEL_BINS = 4096
+
+
 def kernel_stats(df: DataFrame, model: SVRModel) -> DataFrame:
-    """Min, max, mean, std, var and (approximate) median of the row x
-    landmark kernel values; partial moments per batch, merged by Spark."""
+    """Min, max, mean, std, var and exact median of the row x landmark kernel
+    values: partial moments per batch, merged by Spark, then histograms that narrow
+    the range around the middle until one value is left in it."""
     if model.kernel == "linear" or model.landmarks is None:
         raise SVRError("kernel statistics need landmarks")
     bc = df.sparkSession.sparkContext.broadcast(model)
+    rows = df.select(*model.cols).dropna()
 
-    def kern(batches):
+    def values(pdf):
         m = bc.value
+        return kernel_matrix(pdf[m.cols].to_numpy(dtype=np.float64), m.landmarks, m.kernel, m.gamma, m.coef0,
+                             m.degree).ravel()
+
+    def moments(batches):
         for pdf in batches:
-            x = pdf[m.cols].to_numpy(dtype=np.float64)
-            K = kernel_matrix(x, m.landmarks, m.kernel, m.gamma, m.coef0, m.degree).ravel()
-            hist, edges = np.histogram(K, bins=256, range=(-1.0, 1.0) if m.kernel == "sigmoid" else
-                                       (min(0.0, K.min()), max(1.0, K.max())))
-            yield pd.DataFrame({"n": [float(K.size)], "s": [K.sum()], "ss": [(K * K).sum()],
-                                "mn": [K.min()], "mx": [K.max()], "med_est": [float(np.median(K))]})
-    part = spread(df.select(*model.cols)).mapInPandas(
-        kern, "n double, s double, ss double, mn double, mx double, med_est double")
-    a = part.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"),
-                 F.min("mn").alias("min"), F.max("mx").alias("max"),
-                 F.percentile_approx("med_est", 0.5).alias("median"))
+            if len(pdf):
+                K = values(pdf)
+                yield pd.DataFrame({"n": [K.size], "s": [K.sum()], "ss": [(K * K).sum()], "mn": [K.min()], "mx": [K.max()]})
+
+    a = rows.mapInPandas(moments, "n long, s double, ss double, mn double, mx double").agg(
+        F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"), F.min("mn").alias("min"),
+        F.max("mx").alias("max"))
+    r = a.first()
+
+    def nth(rank: int) -> float:
+        """The value of a rank; each pass keeps the bin that holds it."""
+        lo, hi, below = r["min"], r["max"], 0
+        while True:
+            def count(batches, lo=lo, hi=hi):
+                for pdf in batches:
+                    K = values(pdf) if len(pdf) else np.empty(0)
+                    K = K[(K >= lo) & (K <= hi)]
+                    if len(K):
+                        at = np.minimum(((K - lo) / max(hi - lo, 1e-300) * KERNEL_BINS).astype(int), KERNEL_BINS - 1)
+                        yield pd.DataFrame({"bin": at, "v": K}).groupby("bin", as_index=False).agg(
+                            n=("v", "size"), lo=("v", "min"), hi=("v", "max"))
+            bins = rows.mapInPandas(count, "bin int, n long, lo double, hi double").groupBy("bin").agg(
+                F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).orderBy("bin").collect()
+            for b in bins:   # KERNEL_BINS at most
+                if below + b["n"] > rank:
+                    break
+                below += b["n"]
+            if b["lo"] == b["hi"] or (b["lo"], b["hi"]) == (lo, hi):
+                return b["lo"]
+            lo, hi = b["lo"], b["hi"]
+
+    low, high = (r["n"] - 1) // 2, r["n"] // 2
+    median = None
+    if r["n"]:
+        median = nth(low) if low == high else (nth(low) + nth(high)) / 2
     mean = F.col("s") / F.col("n")
     var = F.col("ss") / F.col("n") - mean * mean
     return a.select("min", "max", mean.alias("mean"), F.sqrt(F.greatest(var, F.lit(0.0))).alias("std"),
-                    var.alias("var"), "median")
+                    var.alias("var"), F.lit(median).cast("double").alias("median"))
 
 
 # ----------------------------------------------------------------------------- R10-R13
@@ -309,15 +342,16 @@ def prediction_grid(df: DataFrame, model: SVRModel, f1: str, f2: str, resolution
             .withColumn("tube_high", F.col("prediction") + model.epsilon)
 
 
-def stratified_top(df: DataFrame, pred: str, weight: str, bins: int = 5, n: int = 10) -> DataFrame:
+def stratified_top(df: DataFrame, pred: str, weight: str, bins: int = 5, n: int = 10,
+                   key: Sequence[str] = ()) -> DataFrame:
     """Bin rows by prediction into max(bins, 5) equal-width bins, keep the
-    top n by |weight| in each bin (a per-bin top-k)."""
+    top n by |weight|, then ``key``, in each bin (a per-bin top-k)."""
     from pyspark.sql import Window
     nb = max(bins, 5)
     mm = df.agg(F.min(pred).alias("a"), F.max(pred).alias("b")).first()
     w = ((mm["b"] + 1e-9) - mm["a"]) / nb
     b = F.least(F.floor((F.col(pred) - F.lit(mm["a"])) / F.lit(w)), F.lit(nb - 1)).cast("int")
-    win = Window.partitionBy("bin").orderBy(F.desc(F.abs(F.col(weight))))
+    win = Window.partitionBy("bin").orderBy(F.desc(F.abs(F.col(weight))), *key)
     return df.withColumn("bin", b).withColumn("_r", F.row_number().over(win)).filter(F.col("_r") <= n).drop("_r")
 
 

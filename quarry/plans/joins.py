@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def join_groups(left: DataFrame, right: DataFrame, group_cols: Sequence[str], how: str = "inner",
-                small_right: bool = False) -> DataFrame:
-    """Join two tables keyed by the same group columns.
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys match each other; the keys are the left side's."""
+    names = {k: f"_right_{i}" for i, k in enumerate(keys)}
+    other = right.withColumnsRenamed(names)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return left.join(other, same, how).drop(*names.values())
+
+
+def join_groups(left: DataFrame, right: DataFrame, group_cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join two tables keyed by the same group columns; a null group is a group.
 
     With no group columns both sides are single-row aggregates: they are
     joined on a constant key so the plan stays an equi-join (a broadcast hash
-    join of one row) rather than a nested-loop product. ``small_right`` marks
-    the right side as a per-group aggregate whose size is bounded by the
-    number of groups of an aggregate already computed (hint broadcast).
+    join of one row) rather than a nested-loop product.
     """
     g = list(group_cols)
-    r = F.broadcast(right) if (small_right or not g) else right
     if g:
-        return left.join(r, on=g, how=how)
+        return join_null_safe(left, right, g, how)
     return (left.withColumn("_one", F.lit(1))
-            .join(r.withColumn("_one", F.lit(1)), on="_one", how=how).drop("_one"))
+            .join(F.broadcast(right.withColumn("_one", F.lit(1))), on="_one", how=how).drop("_one"))

@@ -1,35 +1,48 @@
 """Exact quantiles without a per-group value map.
 
 Spark's exact ``percentile`` keeps a value -> count map in one aggregation
-buffer, which is fine for columns with a bounded number of distinct values
-but not for a continuous column with billions of rows. Here the column is
-ranked with the bucketed global row number (a distributed sort cut into
-range buckets), and only the rows at the ranks that linear interpolation
-needs are brought back: 2 x len(probs) values.
+buffer, which a continuous column with billions of rows doesn't fit. Here rows
+are numbered by a range shuffle and only the rows at the positions that linear
+interpolation needs are brought together: two per group and probability.
 """
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.plans.joins import join_null_safe
 from quarry.plans.ranks import row_number_global
 
 
+def group_quantiles(df: DataFrame, value: str, by: Sequence[str], probs: Sequence[float],
+                    out: str = "quantiles", n_buckets: int | None = None) -> DataFrame:
+    """(by..., out array<double>): linear-interpolation quantiles (SQL ``percentile``) of each
+    group's values; nulls and NaN are left out, a group of only those has no row."""
+    by = list(by)
+    x = df.select(*by, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    ranked = row_number_global(x, ["_x"], by, "_rn", n_buckets)
+    sizes = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")) if by else ranked.agg(F.count(F.lit(1)).alias("_n"))
+    wanted = sizes.filter("_n > 0").select(*by, F.posexplode(F.transform(
+        F.array(*[F.lit(float(p)) for p in probs]), lambda p: p * (F.col("_n") - 1))).alias("_i", "_at"))
+    wanted = wanted.withColumn("_frac", F.col("_at") - F.floor("_at"))
+    ends = wanted.select(*by, "_i", "_frac", F.explode(F.array(F.floor("_at"), F.ceil("_at"))).alias("_rn")).distinct()
+    found = join_null_safe(ranked, ends, [*by, "_rn"])
+    q = found.groupBy(*by, "_i").agg((F.min("_x") + (F.max("_x") - F.min("_x")) * F.max("_frac")).alias("_q"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("_i", "_q"))), lambda s: s["_q"]).alias(out)
+    return q.groupBy(*by).agg(listed) if by else q.agg(listed).filter(F.size(out) > 0)
+
+
 def sorted_quantiles(df: DataFrame, col: str, probs: Sequence[float], n_buckets: int | None = None) -> list[float]:
-    """Linear-interpolation quantiles (the definition of SQL ``percentile``)."""
-    x = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    n = x.count()
-    if n == 0:
-        return [None] * len(probs)
-    want = {}
-    for p in probs:
-        r = p * (n - 1)
-        want[p] = (int(math.floor(r)), int(math.ceil(r)), r - math.floor(r))
-    ranks = sorted({k for lo, hi, _ in want.values() for k in (lo, hi)})
-    ranked = row_number_global(x, ["_x"], out="_rn", n_buckets=n_buckets, n_rows=n)
-    got = {r["_rn"]: r["_x"] for r in ranked.filter(F.col("_rn").isin(ranks)).collect()}
-    return [got[lo] + (got[hi] - got[lo]) * frac for lo, hi, frac in (want[p] for p in probs)]
+    """Quantiles of one column as a list; nulls for no values."""
+    row = group_quantiles(df, col, [], probs, "q", n_buckets).first()
+    return list(row["q"]) if row else [None] * len(probs)
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+    """Quantiles of each column, in one shuffle; columns without values have no entry."""
+    body = ", ".join(f"'{i}', CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
+    long = df.select(F.expr(f"stack({len(cols)}, {body}) AS (column, value)"))
+    return {cols[int(r["column"])]: list(r["q"]) for r in group_quantiles(long, "value", ["column"], probs, "q").collect()}

@@ -1,12 +1,14 @@
-"""Global order without a global window.
-
-A window without ``partitionBy`` moves every row into one task. The helpers
-here cut the order key into range buckets whose boundaries are *literals*
-taken from a deterministic sample, count rows per bucket (a table of at most
-partitions x buckets rows), turn the counts into offsets with a window on
-that small table, and then run the window only inside each bucket. The
-result is exact whatever the boundaries are; the boundaries only decide the
-balance of the buckets. Ties of the full order key never straddle buckets.
+"""Global order without a global window, the same way at every size.
+
+A window without ``partitionBy`` moves every row into one task. Here one range
+shuffle over (partition columns, order columns) puts neighbours together however
+large a partition value's share is; each row's place in its Spark partition plus a
+small table of counts per (Spark partition, partition value) gives its position.
+The shuffled rows are checkpointed, so that counting and numbering see the same
+partitions also after an executor is lost.
+
+Nulls in the partition columns form a group of their own. In the order columns
+nulls come first ascending and last descending.
 """
 
 from __future__ import annotations
@@ -15,190 +17,69 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from quarry.plans.joins import join_null_safe
+from quarry.session import cut_lineage
 
 
-ROWS_PER_BUCKET = 100_000
-MAX_BUCKETS = 4096
+def _spec(order_cols: Sequence) -> list[tuple[str, bool]]:
+    return [(o[0], bool(o[1])) if isinstance(o, tuple) else (o, True) for o in order_cols]
 
 
-def _orderable(df: DataFrame, name: str) -> Column:
-    """Map a column to a primitive that orders the same way and survives collect()."""
-    dt = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dt, T.TimestampType) or isinstance(dt, T.TimestampNTZType):
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c)
-    if isinstance(dt, T.BooleanType):
-        return c.cast("int")
-    if isinstance(dt, T.DecimalType):
-        return c.cast("double")
-    return c
+def order_exprs(spec: list[tuple[str, bool]], reverse: bool = False) -> list[Column]:
+    return [F.col(n).asc_nulls_first() if a != reverse else F.col(n).desc_nulls_last() for n, a in spec]
 
 
-def _spec(order_cols: Sequence) -> list[tuple[str, bool]]:
-    out = []
-    for o in order_cols:
-        if isinstance(o, tuple):
-            out.append((o[0], bool(o[1])))
-        else:
-            out.append((o, True))
-    return out
-
-
-def _key_struct(df: DataFrame, spec: list[tuple[str, bool]]) -> Column:
-    fields = []
-    for i, (name, asc) in enumerate(spec):
-        e = _orderable(df, name)
-        if not asc:
-            if isinstance(df.schema[name].dataType, T.StringType):
-                raise ValueError("descending order on a string key is not supported; pass a numeric key")
-            e = -e.cast("double")
-        fields.append(e.alias(f"k{i}"))
-    return F.struct(*fields)
-
-
-def _bucket_expr(key: Column, bounds: list[tuple], key_types: list[T.DataType]) -> Column:
-    """Balanced CASE tree over sorted literal boundaries: log2(B) comparisons per row."""
-    def lit_struct(vals):
-        return F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(vals, key_types))])
-
-    def build(lo: int, hi: int) -> Column:
-        # bucket index in [lo, hi]; bounds[i] is the lower edge of bucket i+1
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key >= lit_struct(bounds[mid - 1]), build(mid, hi)).otherwise(build(lo, mid - 1))
-
-    return build(0, len(bounds))
-
-
-def assign_buckets(df: DataFrame, order_cols: Sequence, n_buckets: int | None = None,
-                   seed: int = 17, out: str = "_bucket", n_rows: int | None = None) -> DataFrame:
-    """Add an int range-bucket column of the (multi-column) order key."""
-    spec = _spec(order_cols)
-    key = _key_struct(df, spec)
-    if n_buckets is None:
-        n = n_rows if n_rows is not None else df.count()
-        n_buckets = max(1, min(MAX_BUCKETS, -(-n // ROWS_PER_BUCKET)))
-    if n_buckets <= 1:
-        return df.withColumn(out, F.lit(0))
-    n = n_rows if n_rows is not None else df.count()
-    target = n_buckets * 64
-    frac = min(1.0, target / max(n, 1))
-    keyed = df.select(key.alias("_k"))
-    key_types = [f.dataType for f in keyed.schema["_k"].dataType.fields]
-    sample = [tuple(r["_k"]) for r in keyed.sample(False, frac, seed).collect()]
-    sample = sorted(s for s in sample if all(v is not None for v in s))
-    bounds: list[tuple] = []
-    for i in range(1, n_buckets):
-        if not sample:
-            break
-        b = sample[min(len(sample) - 1, i * len(sample) // n_buckets)]
-        if not bounds or b > bounds[-1]:
-            bounds.append(b)
-    if not bounds:
-        return df.withColumn(out, F.lit(0))
-    return df.withColumn(out, _bucket_expr(key, bounds, key_types))
-
-
-def _order_exprs(df: DataFrame, spec: list[tuple[str, bool]]) -> list[Column]:
-    return [F.col(n).asc() if a else F.col(n).desc() for n, a in spec]
-
-
-def _offset_table(spark, parts_schema, rows, parts, value_names, max_state_rows):
-    """Exclusive prefix of per-(partition, bucket) totals, computed on the driver
-    from a table bounded by partitions x buckets rows, returned as a small
-    DataFrame ready for a broadcast join."""
-    if len(rows) > max_state_rows:
-        raise ValueError(f"more than {max_state_rows} (partition, bucket) cells; "
-                         "use a partitioned window for high-cardinality partitions")
-    casts = [float if isinstance(t, (T.DoubleType, T.FloatType)) else int for t in value_names.values()]
-    rows = sorted(rows, key=lambda r: (tuple((v is None, v) for v in (r[p] for p in parts)), r["_bucket"]))
-    out, acc, prev = [], None, object()
-    for r in rows:
-        pk = tuple(r[p] for p in parts)
-        if pk != prev:
-            acc, prev = [0] * len(value_names), pk
-        out.append((*pk, r["_bucket"], *[c(a) for c, a in zip(casts, acc)]))
-        acc = [a + (r[v] or 0) for a, v in zip(acc, value_names)]
-    fields = [parts_schema[p] for p in parts] + [T.StructField("_bucket", T.IntegerType())]
-    for v, typ in value_names.items():
-        fields.append(T.StructField(f"_o_{v}", typ))
-    df = spark.createDataFrame(out, T.StructType(fields))
-    return F.broadcast(df)
-
-
-def _offsets(df: DataFrame, totals: DataFrame, parts: list[str], value_types: dict,
-             max_state_rows: int) -> DataFrame:
-    """Exclusive prefix of per-(partition, bucket) totals. Up to ``max_state_rows``
-    cells: computed on the driver and broadcast (the measured size is the
-    bound). Beyond that: a window over the totals table partitioned by the
-    partition columns, joined back by a shuffle join - no broadcast at all."""
-    rows = totals.limit(max_state_rows + 1).collect()
-    if len(rows) <= max_state_rows:
-        return _offset_table(df.sparkSession, df.schema, rows, parts, value_types, max_state_rows)
-    w = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(*parts, "_bucket", *[F.coalesce(F.sum(v).over(w), F.lit(0)).cast(t).alias(f"_o_{v}")
-                                              for v, t in value_types.items()])
+def deal(df: DataFrame, order_cols: Sequence, partition_cols: Sequence[str] = (),
+         n_buckets: int | None = None) -> DataFrame:
+    """Rows in range buckets ``_bucket`` of (partition_cols, order_cols), with their place
+    ``_at`` in the bucket; buckets follow each other in that order."""
+    keys = [*[F.col(p) for p in partition_cols], *order_exprs(_spec(order_cols))]
+    n = n_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_m", F.monotonically_increasing_id())
+    out = out.withColumn("_bucket", F.shiftright("_m", 33).cast("int")).withColumn(
+        "_at", F.col("_m").bitwiseAND(F.lit(2 ** 33 - 1))).drop("_m")
+    return cut_lineage(out)
 
 
-def row_number_global(df: DataFrame, order_cols: Sequence, partition_cols: Sequence[str] = (),
-                      out: str = "rn", n_buckets: int | None = None, seed: int = 17,
-                      max_state_rows: int = 1_000_000, n_rows: int | None = None) -> DataFrame:
-    """0-based row number in ``order_cols`` order (within ``partition_cols``),
-    computed without an unpartitioned window. ``partition_cols`` should be of
-    low cardinality (a class label): the per-(partition, bucket) count table is
-    pulled to the driver and is size-checked."""
-    spec = _spec(order_cols)
+def _before(partition_cols: Sequence[str]):
+    w = Window.partitionBy(*partition_cols) if partition_cols else Window.partitionBy()
+    return w.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def number(dealt: DataFrame, partition_cols: Sequence[str] = (), out: str = "rn") -> DataFrame:
+    """0-based positions of dealt rows within ``partition_cols``; keeps ``_bucket``."""
     parts = list(partition_cols)
-    n = n_rows if n_rows is not None else df.count()
-    if (n_buckets or max(1, -(-n // ROWS_PER_BUCKET))) <= 1:
-        # at most ROWS_PER_BUCKET rows: one window (per partition), no offsets needed
-        w1 = Window.partitionBy(*parts).orderBy(*_order_exprs(df, spec)) if parts else \
-            Window.orderBy(*_order_exprs(df, spec))
-        return df.withColumn(out, (F.row_number().over(w1) - 1).cast("long"))
-    b = assign_buckets(df, spec, n_buckets=n_buckets, seed=seed, n_rows=n)
-    counts = b.groupBy(*parts, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = _offsets(df, counts, parts, {"_n": T.LongType()}, max_state_rows)
-    w = Window.partitionBy(*parts, "_bucket").orderBy(*_order_exprs(df, spec))
-    ranked = b.withColumn("_rn_in", F.row_number().over(w) - 1)
-    return (ranked.join(offsets, on=[*parts, "_bucket"], how="inner")
-            .withColumn(out, (F.col("_o__n") + F.col("_rn_in")).cast("long"))
-            .drop("_bucket", "_rn_in", "_o__n"))
+    counts = dealt.groupBy(*parts, "_bucket").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(*parts, "_bucket", (F.coalesce(F.sum("_n").over(_before(parts)), F.lit(0)) - F.col("_first"))
+                            .alias("_o"))
+    return (join_null_safe(dealt, offsets, [*parts, "_bucket"])
+            .withColumn(out, (F.col("_o") + F.col("_at")).cast("long")).drop("_o", "_at"))
+
+
+def row_number_global(df: DataFrame, order_cols: Sequence, partition_cols: Sequence[str] = (),
+                      out: str = "rn", n_buckets: int | None = None) -> DataFrame:
+    """0-based row number in ``order_cols`` order (within ``partition_cols``)."""
+    return number(deal(df, order_cols, partition_cols, n_buckets), partition_cols, out).drop("_bucket")
 
 
 def running_sums(df: DataFrame, order_cols: Sequence, value_cols: Sequence[str],
                  partition_cols: Sequence[str] = (), prefix: str = "cum_",
-                 n_buckets: int | None = None, seed: int = 17, inclusive: bool = True,
-                 max_state_rows: int = 1_000_000) -> DataFrame:
-    """Cumulative sums of ``value_cols`` in order (per partition), bucketed.
+                 n_buckets: int | None = None, inclusive: bool = True) -> DataFrame:
+    """Cumulative sums of ``value_cols`` in order (per partition).
 
     Rows must be unique on (partition_cols, order_cols) for the running sum
     to be well defined; callers aggregate to distinct keys first.
     """
-    spec = _spec(order_cols)
     parts = list(partition_cols)
-    end = Window.currentRow if inclusive else -1
-    n = df.count()
-    if (n_buckets or max(1, -(-n // ROWS_PER_BUCKET))) <= 1:
-        w1 = (Window.partitionBy(*parts) if parts else Window).orderBy(*_order_exprs(df, spec)) \
-            .rowsBetween(Window.unboundedPreceding, end)
-        res = df
-        for v in value_cols:
-            res = res.withColumn(f"{prefix}{v}", F.coalesce(F.sum(v).over(w1), F.lit(0)))
-        return res
-    b = assign_buckets(df, spec, n_buckets=n_buckets, seed=seed, n_rows=n)
-    tot = b.groupBy(*parts, "_bucket").agg(*[F.sum(v).alias(v) for v in value_cols])
-    vtypes = {v: tot.schema[v].dataType for v in value_cols}
-    offsets = _offsets(df, tot, parts, vtypes, max_state_rows)
-    w = (Window.partitionBy(*parts, "_bucket").orderBy(*_order_exprs(df, spec))
-         .rowsBetween(Window.unboundedPreceding, end))
-    inner = b
-    for v in value_cols:
-        inner = inner.withColumn(f"_c_{v}", F.coalesce(F.sum(v).over(w), F.lit(0)))
-    res = inner.join(offsets, on=[*parts, "_bucket"], how="inner")
+    dealt = deal(df, order_cols, parts, n_buckets)
+    totals = dealt.groupBy(*parts, "_bucket").agg(*[F.sum(v).alias(v) for v in value_cols])
+    offsets = totals.select(*parts, "_bucket", *[F.coalesce(F.sum(v).over(_before(parts)), F.lit(0)).alias(f"_o_{v}")
+                                                 for v in value_cols])
+    w = (Window.partitionBy(*parts, "_bucket").orderBy("_at")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
+    inner = dealt.select("*", *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"_c_{v}") for v in value_cols])
+    res = join_null_safe(inner, offsets, [*parts, "_bucket"])
     for v in value_cols:
         res = res.withColumn(f"{prefix}{v}", F.col(f"_o_{v}") + F.col(f"_c_{v}"))
-    return res.drop("_bucket", *[f"_c_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])
+    return res.drop("_bucket", "_at", *[f"_c_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])

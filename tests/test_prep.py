@@ -112,10 +112,9 @@ def test_narrow_types(spark):
     assert t["a"].dataType.simpleString() == "tinyint" and t["b"].dataType.simpleString() == "int"
 
 
-def test_interpolation_beyond_the_broadcast_bound(spark):
+def test_interpolation_by_any_number_of_buckets(spark):
     rows = [(g, t, None if t % 3 == 0 else float(t * (g + 1))) for g in range(3) for t in range(30)]
     df = spark.createDataFrame(rows, "g int, t int, v double")
     a = {(r["g"], r["t"]): r["v"] for r in cleaning.interpolate(df, ["v"], ["t"], ["g"], n_buckets=4).collect()}
-    b = {(r["g"], r["t"]): r["v"] for r in cleaning.interpolate(df, ["v"], ["t"], ["g"], n_buckets=4,
-                                                                 max_state_rows=2).collect()}
+    b = {(r["g"], r["t"]): r["v"] for r in cleaning.interpolate(df, ["v"], ["t"], ["g"], n_buckets=1).collect()}
     assert a == b and all(v is not None for v in a.values())

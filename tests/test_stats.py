@@ -35,11 +35,12 @@ def test_golden_shapiro(folds):
     assert abs(r["p_value"] - 0.151595) < 1e-6
 
 
-def test_shapiro_edge_cases():
-    assert G.shapiro_wilk([1.0, 1.0, 1.0, 1.0]) == (1.0, 1.0)
-    assert all(math.isnan(v) for v in G.shapiro_wilk([1.0, 2.0]))
-    w, p = G.shapiro_wilk([1.0, 2.0, 4.0])
-    assert 0 < w <= 1 and 0 <= p <= 1
+def test_shapiro_edge_cases(spark):
+    rows = [("same", 1.0)] * 4 + [("two", 1.0), ("two", 2.0)] + [("three", v) for v in (1.0, 2.0, 4.0)] + [(None, v) for v in (3.0, 1.0, 2.5)]
+    got = {r["g"]: r for r in G.shapiro(spark.createDataFrame(rows, "g string, v double"), "v", "g").collect()}
+    assert (got["same"]["statistic"], got["same"]["p_value"]) == (1.0, 1.0)
+    assert got["two"]["statistic"] is None and got["two"]["p_value"] is None
+    assert 0 < got["three"]["statistic"] <= 1 and 0 <= got["three"]["p_value"] <= 1 and got[None]["n"] == 3
 
 
 def test_single_row_group_has_zero_std_and_width(spark):
