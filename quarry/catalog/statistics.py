@@ -109,13 +109,13 @@ _VAR_IN = "SELECT user_id, event_type, AVG(value) AS value FROM events GROUP BY
   {r('(SELECT LEAST(wp, wm) FROM w)', 'wilcoxon_statistic')} FROM fx_paired""")
 def q_compare_variants(spark, sf):
     long = fx(spark, sf, "events").sparkSession.sql(_VAR_IN)
-    return finish(G.compare_variants(long, "user_id", "event_type", "value", "click", "view", with_p=False))
+    return finish(G.compare_variants(long, "user_id", "event_type", "value", "click", "view", with_p=False, unpaired="drop"))
 
 
 @register("compare_variants_report")
 def q_compare_variants_p(spark, sf):
     long = fx(spark, sf, "events").sparkSession.sql(_VAR_IN)
-    return finish(G.compare_variants(long, "user_id", "event_type", "value", "click", "view", with_p=True))
+    return finish(G.compare_variants(long, "user_id", "event_type", "value", "click", "view", with_p=True, unpaired="drop"))
 
 
 @register("jarque_bera", """WITH m AS (SELECT event_type, AVG(value) AS mu, COUNT(*) AS n FROM events GROUP BY event_type),

@@ -65,7 +65,7 @@ def regression_report(df: DataFrame, y_true: str, y_pred: str, group_by=None,
     )
     g = _g(group_by)
     med = group_quantiles(df.select(*g, ad.alias("_ad")), "_ad", g, [0.5], "_q")
-    base = join_groups(base, med, g, how="left").withColumn("median_absolute_error", F.col("_q")[0])
+    base = join_groups(base, med, g, how="left").withColumn("median_absolute_error", F.col("_q")[0]).drop("_q")
     denom = {"mean": F.col("_my"), "min-max": F.col("_range"), "euclidean": F.col("_norm")}[normalization]
     bad = F.lit(-_INF) if force_finite else F.lit(float("nan"))
     rmse = F.sqrt(F.col("mean_squared_error"))
