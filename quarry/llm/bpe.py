@@ -235,6 +235,11 @@ def _bucket(piece_hex: Column) -> Column:
     return F.pmod(F.crc32(piece_hex), F.lit(RANK_BUCKETS)) + 1
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once; null where the value is null."""
+    return F.get(F.transform(F.filter(F.array(value), lambda v: v.isNotNull()), body), F.lit(0))
+
+
 def encode_words(spark: SparkSession, words: DataFrame, ranks: dict[bytes, int], word: str = "word") -> DataFrame:
     """``words`` with ``ids array<int>`` by Spark's own functions: for tables of distinct words.
 
@@ -253,14 +258,16 @@ def encode_words(spark: SparkSession, words: DataFrame, ranks: dict[bytes, int],
     def rank(piece: Column) -> Column:
         return F.try_element_at(F.element_at(literal, _bucket(piece).cast("int")), piece)
 
+    def merged(parts: Column, pairs: Column) -> Column:
+        """``parts`` with the leftmost pair of least rank joined; as they are where no pair has a rank."""
+        at = F.nullif(F.array_position(pairs, F.array_min(pairs)).cast("int"), F.lit(0))
+        return F.coalesce(_let(at, lambda i: F.concat(
+            F.slice(parts, F.lit(1), i - 1), F.array(F.concat(F.element_at(parts, i), F.element_at(parts, i + 1))),
+            F.slice(parts, i + 2, F.size(parts)))), parts)
+
     def step(parts: Column, _: Column) -> Column:
         pairs = F.transform(F.slice(parts, 2, F.size(parts)), lambda b, i: rank(F.concat(F.get(parts, i), b)))
-        least = F.array_min(pairs)
-        at = F.array_position(pairs, least).cast("int")
-        merged = F.concat(F.slice(parts, F.lit(1), at - 1),
-                          F.array(F.concat(F.element_at(parts, at), F.element_at(parts, at + 1))),
-                          F.slice(parts, at + 2, F.size(parts)))
-        return F.when((F.size(parts) < 2) | least.isNull(), parts).otherwise(merged)
+        return _let(pairs, lambda ranks: merged(parts, ranks))
 
     h = F.hex(F.encode(F.coalesce(F.col(word), F.lit("")), "UTF-8"))
     n = (F.length(h) / 2).cast("int")
