@@ -13,9 +13,10 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.plans.ranks import running_sums
-from quarry.plans.joins import join_groups
+from quarry.plans.joins import join_groups, join_null_safe
 from quarry.plans.quantiles import group_quantiles
 
 # Machine epsilon of float64 (MAPE denominator floor) and the log-loss clip.
@@ -122,16 +123,22 @@ def target_diagnostics(df: DataFrame, cols: Sequence[str], group_by=None) -> Dat
 
 # ----------------------------------------------------------------------------- classification
 
+def _label(df: DataFrame, c: str) -> Column:
+    """Class labels: numbers as whole numbers, any other type as it is."""
+    kind = df.schema[c].dataType
+    return F.col(c).cast("long") if isinstance(kind, (T.NumericType, T.BooleanType)) else F.col(c)
+
+
 def confusion_counts(df: DataFrame, y_true: str, y_pred: str, group_by=None) -> DataFrame:
     """Q13: per (group, class) tp, fp, fn, support; classes come from y_true."""
     g = _g(group_by)
-    pairs = (df.select(*g, F.col(y_true).cast("long").alias("t"), F.col(y_pred).cast("long").alias("p"))
+    pairs = (df.select(*g, _label(df, y_true).alias("t"), _label(df, y_pred).alias("p"))
              .groupBy(*g, "t", "p").agg(F.count(F.lit(1)).alias("n")))
     by_true = pairs.groupBy(*g, F.col("t").alias("class")).agg(
         F.sum("n").alias("support"),
         F.sum(F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0)).alias("tp"))
     by_pred = pairs.groupBy(*g, F.col("p").alias("class")).agg(F.sum("n").alias("predicted"))
-    return (by_true.join(by_pred, on=[*g, "class"], how="left")
+    return (join_null_safe(by_true, by_pred, [*g, "class"], "left")
             .select(*g, "class", F.col("tp").cast("long").alias("tp"),
                     (F.coalesce(F.col("predicted"), F.lit(0)) - F.col("tp")).cast("long").alias("fp"),
                     (F.col("support") - F.col("tp")).cast("long").alias("fn"),
@@ -149,7 +156,7 @@ def _fbeta(prec: Column, rec: Column, beta: float) -> Column:
 
 def classification_report(df: DataFrame, y_true: str, y_pred: str, group_by=None,
                           average: str = "binary", beta: float = DEFAULT_BETA,
-                          pos_label: int = 1) -> DataFrame:
+                          pos_label=1) -> DataFrame:
     """Q12, Q14-Q17: accuracy, precision, recall, f1, fbeta for one averaging mode.
 
     ``binary`` on more than two classes raises at execution time.
@@ -157,7 +164,7 @@ def classification_report(df: DataFrame, y_true: str, y_pred: str, group_by=None
     if average not in ("binary", "micro", "macro", "weighted"):
         raise ValueError(f"average must be binary, micro, macro or weighted, not {average!r}")
     g = _g(group_by)
-    acc = _agg(df, g, F.avg((F.col(y_true).cast("long") == F.col(y_pred).cast("long")).cast("double"))
+    acc = _agg(df, g, F.avg((_label(df, y_true) == _label(df, y_pred)).cast("double"))
                .alias("accuracy"), F.count(F.lit(1)).alias("n"))
     cc = confusion_counts(df, y_true, y_pred, g)
     per = (cc.withColumn("precision", _ratio(F.col("tp"), F.col("tp") + F.col("fp")))
@@ -205,8 +212,8 @@ def log_loss(df: DataFrame, y_true: str, proba: str, group_by=None, eps: float =
     y = F.col(y_true).cast("double")
     if dt.startswith("array"):
         classes = sorted(classes) if classes is not None else class_list(df, y_true)
-        idx = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(int(c)), F.lit(i + 1))])
-        j = df.withColumn("_i", F.try_element_at(idx, F.col(y_true).cast("long")))
+        idx = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(i + 1))])
+        j = df.withColumn("_i", F.try_element_at(idx, _label(df, y_true)))
         pt = F.element_at(F.col(proba), F.col("_i")).cast("double")
         pt = F.least(F.greatest(pt, F.lit(eps)), F.lit(1 - eps))
         return _agg(j, g, (-F.avg(F.ln(pt))).alias("value"))
@@ -217,9 +224,9 @@ def log_loss(df: DataFrame, y_true: str, proba: str, group_by=None, eps: float =
 MAX_CLASSES = 10_000
 
 
-def class_list(df: DataFrame, y_true: str, max_classes: int = MAX_CLASSES) -> list[int]:
+def class_list(df: DataFrame, y_true: str, max_classes: int = MAX_CLASSES) -> list:
     """Sorted distinct classes (a size-checked list: class counts are small)."""
-    rows = df.select(F.col(y_true).cast("long").alias("c")).distinct().limit(max_classes + 1).collect()
+    rows = df.select(_label(df, y_true).alias("c")).distinct().limit(max_classes + 1).collect()
     if len(rows) > max_classes:
         raise ValueError(f"more than {max_classes} classes in {y_true}")
     return sorted(r["c"] for r in rows if r["c"] is not None)
@@ -281,8 +288,8 @@ def roc_auc_ovr(df: DataFrame, y_true: str, proba: str, group_by=None, n_buckets
     """Q21: mean one-vs-rest AUC; array positions follow the sorted distinct classes."""
     g = _g(group_by)
     classes = class_list(df, y_true)
-    cmap = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(i), F.lit(int(c)))])
-    ex = df.select(*g, F.col(y_true).cast("long").alias("_y"), F.posexplode(F.col(proba)).alias("_pos", "_p"))
+    cmap = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(i), F.lit(c))])
+    ex = df.select(*g, _label(df, y_true).alias("_y"), F.posexplode(F.col(proba)).alias("_pos", "_p"))
     ex = ex.withColumn("_c", F.try_element_at(cmap, F.col("_pos"))).filter(F.col("_c").isNotNull()) \
            .withColumn("_yb", (F.col("_y") == F.col("_c")).cast("int"))
     per = roc_auc_score(ex, "_yb", "_p", group_by=[*g, "_c"], n_buckets=n_buckets)

@@ -208,8 +208,8 @@ def _binned_counts(df: DataFrame, target: str, feats: list[str], n_bins: int, bi
     """ONE grouped count over (feature, bin, class) for every feature."""
     mm = df.agg(*[F.min(_x(c)).alias(f"a{i}") for i, c in enumerate(feats)],
                 *[F.max(_x(c)).alias(f"b{i}") for i, c in enumerate(feats)],
-                F.min(_x(target)).alias("ya"), F.max(_x(target)).alias("yb")).first()
-    cls = _bins_expr(mm["ya"], mm["yb"], target, n_bins) if bin_target else F.col(target).cast("long")
+                *([F.min(_x(target)).alias("ya"), F.max(_x(target)).alias("yb")] if bin_target else [])).first()
+    cls = _bins_expr(mm["ya"], mm["yb"], target, n_bins) if bin_target else F.col(target)  # a class of any type
     bins = [_bins_expr(mm[f"a{i}"], mm[f"b{i}"], c, n_bins) for i, c in enumerate(feats)]
     body = ", ".join(f"'{c}', b{i}" for i, c in enumerate(feats))
     long = (df.select(cls.alias("cls"), *[b.alias(f"b{i}") for i, b in enumerate(bins)])

@@ -158,3 +158,17 @@ def test_null_scores_in_curves(spark):
     df = spark.createDataFrame(rows, "y int, s double")
     assert metrics.roc_auc_score(df, "y", "s", n_buckets=1).first()["value"] == pytest.approx(
         metrics.roc_auc_score(df, "y", "s", n_buckets=6).first()["value"])
+
+
+def test_classes_of_any_type(spark):
+    names = {0: "none", 1: "mild", 2: "severe"}
+    rows = [(float(i % 7), i % 3, (i * 5) % 3 if i % 4 else i % 3) for i in range(400)]
+    df = spark.createDataFrame(rows, "x double, y int, p int")
+    named = spark.createDataFrame([(x, names[y], names[p]) for x, y, p in rows], "x double, y string, p string")
+    for average in ("macro", "weighted", "micro"):
+        a, b = (metrics.classification_report(d, "y", "p", average=average).first() for d in (df, named))
+        assert a["f1"] == pytest.approx(b["f1"]) and a["accuracy"] == b["accuracy"]
+    for score in (scoring.score_chi2, scoring.chi2_contingency, scoring.score_mi_classif):
+        a, b = (score(d, "y", ["x"]).first()["raw"] for d in (df, named))
+        assert a == pytest.approx(b)
+    assert metrics.class_list(named, "y") == ["mild", "none", "severe"]
