@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from quarry.plans.ranks import running_sums
 from quarry.plans.joins import join_groups, join_null_safe
 from quarry.plans.quantiles import group_quantiles
+from quarry.session import cut_lineage
 
 # Machine epsilon of float64 (MAPE denominator floor) and the log-loss clip.
 FLOAT64_EPS = 2.220446049250313e-16
@@ -300,8 +301,12 @@ def roc_auc_ovr(df: DataFrame, y_true: str, proba: str, group_by=None, n_buckets
 
 def score_table(df: DataFrame, task: str, y_true: str, y_pred: str, proba: str | None = None,
                 group_by=None, beta: float = DEFAULT_BETA) -> DataFrame:
-    """Q22: all metrics of the task as a long table (group..., metric, value)."""
+    """Q22: all metrics of the task as a long table (group..., metric, value).
+
+    The few columns that the metrics read are checkpointed first, so whatever
+    predicted them runs once per row."""
     g = _g(group_by)
+    df = cut_lineage(df.select(*dict.fromkeys([*g, y_true, y_pred, *([proba] if proba else [])])))
     if task == "regression":
         r = regression_report(df, y_true, y_pred, g)
         names = ["max_error", "mean_absolute_error", "mean_absolute_percentage_error", "mean_squared_error",
@@ -309,9 +314,9 @@ def score_table(df: DataFrame, task: str, y_true: str, y_pred: str, proba: str |
                  "r2", "explained_variance", "mean_squared_log_error", "root_mean_squared_log_error"]
         return _long(r, g, names)
     if task != "classification":
-        raise ValueError(f"Invalid task type: {task}")
+        raise ValueError(f"task must be regression or classification, not {task!r}")
     k = _agg(df.select(*g, y_true).distinct(), g, F.count(F.lit(1)).alias("_k"))
-    n_classes = max(r["_k"] for r in k.collect())  # one small row per group
+    n_classes = k.agg(F.max("_k")).first()[0] or 0
     parts = []
     if n_classes > 2:
         for avg_ in ("micro", "macro", "weighted"):

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import forest, svr
+from quarry.operators import forest, pipeline, svr
 
 MODELS = ("random_forest", "random_forest_ml", "svr", "huber_regression")
 TASK_OF = {"random_forest": "classification", "random_forest_ml": "classification", "svr": "regression",
@@ -26,6 +26,7 @@ class Fitted:
     model: object
     features: list
     params: dict
+    prep: object = None    # fitted preprocessor that predictions need first
 
 
 def fit_model(df: DataFrame, kind: str, features: Sequence[str], label: str, key, params: dict | None = None) -> Fitted:
@@ -51,6 +52,8 @@ def fit_model(df: DataFrame, kind: str, features: Sequence[str], label: str, key
 def predict_model(df: DataFrame, fitted: Fitted) -> DataFrame:
     """Adds ``prediction`` (and ``p1`` = P(1) for classifiers; NULL when the
     model has no probabilities)."""
+    if fitted.prep is not None:
+        df = pipeline.apply_preprocessor(df, fitted.prep)
     k = fitted.kind
     if k == "random_forest":
         out = forest.predict_forest(df, fitted.model, fitted.params.get("vote", "soft"),

@@ -16,9 +16,11 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators import metrics, models, pipeline, stattests
 from quarry.plans.joins import join_groups
+from quarry.session import cut_lineage
 
 HIGHER_IS_BETTER = {"accuracy", "precision", "recall", "f1", "fbeta", "roc_auc", "average_precision", "r2",
                     "explained_variance"}
@@ -35,6 +37,18 @@ def expand_grid(grid: dict | Sequence[dict]) -> list[dict]:
     return out
 
 
+def _prepared(df: DataFrame, features: Sequence[str], prep: dict):
+    """``df`` through a preprocessor fitted on its feature columns, the features that come out
+    (an encoder may make several of one) and the preprocessor. Other columns stay, for an order or a key."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    numeric = [c for c in features if isinstance(kinds[c], T.NumericType)]
+    categorical = [c for c in features if isinstance(kinds[c], T.StringType)]
+    st = pipeline.fit_preprocessor(df, numeric=numeric, categorical=categorical,
+                                   exclude=[c for c in df.columns if c not in features], **prep)
+    out = pipeline.apply_preprocessor(df, st)
+    return out, [c for c in out.columns if c in features or c not in df.columns], st
+
+
 def cross_validate(df: DataFrame, fold_col: str, kind: str, features: Sequence[str], label: str, key,
                    params: dict, task: str, prep: dict | None = None, fitted_cache: dict | None = None) -> DataFrame:
     """M6: per fold - preprocessor fitted on the other folds, model fitted,
@@ -45,16 +59,15 @@ def cross_validate(df: DataFrame, fold_col: str, kind: str, features: Sequence[s
     for k in folds:
         train = df.filter(F.col(fold_col) != k)
         test = df.filter(F.col(fold_col) == k)
+        used = list(features)
         if prep is not None:
-            st = pipeline.fit_preprocessor(train.select(*features), numeric=features, **prep)
-            keep = [c for c in df.columns if c not in features]
-            train = pipeline.apply_preprocessor(train.select(*keep, *features), st)
-            test = pipeline.apply_preprocessor(test.select(*keep, *features), st)
+            train, used, st = _prepared(train, features, prep)
+            test = pipeline.apply_preprocessor(test, st)
         ck = (k, json.dumps({kk: v for kk, v in params.items() if kk not in ("vote", "threshold")}, sort_keys=True))
         if fitted_cache is not None and ck in fitted_cache:
-            fitted = models.Fitted(kind, fitted_cache[ck].model, list(features), params)
+            fitted = models.Fitted(kind, fitted_cache[ck].model, used, params)
         else:
-            fitted = models.fit_model(train, kind, features, label, key, params)
+            fitted = models.fit_model(train, kind, used, label, key, params)
             if fitted_cache is not None:
                 fitted_cache[ck] = fitted
         p = models.predict_model(test, fitted).select(F.lit(k).alias("fold"), label, "prediction", "p1")
@@ -75,7 +88,7 @@ def grid_search(df: DataFrame, fold_col: str, kind: str, features: Sequence[str]
     def run(i):
         t = cross_validate(df, fold_col, kind, features, label, key, cands[i], task, prep, cache)
         pm = F.create_map(*[x for k_, v in sorted(cands[i].items()) for x in (F.lit(k_), F.lit(str(v)))])
-        return t.select(F.lit(i).alias("candidate_id"), pm.alias("params"), "fold", "metric", "value").cache()
+        return cut_lineage(t.select(F.lit(i).alias("candidate_id"), pm.alias("params"), "fold", "metric", "value"))
 
     # forest candidates that share fit parameters must run in order to reuse fits
     par = 1 if kind == "random_forest" else max(1, parallelism)
@@ -93,7 +106,13 @@ def grid_search(df: DataFrame, fold_col: str, kind: str, features: Sequence[str]
     best = min(means, key=lambda r: (sign * r["m"] if r["m"] is not None and not math.isnan(r["m"]) else math.inf,
                                      r["candidate_id"]))
     best_params = cands[best["candidate_id"]]
-    model = models.fit_model(df, kind, features, label, key, best_params) if refit else None
+    model = None
+    if refit:
+        used, st = list(features), None
+        if prep is not None:
+            df, used, st = _prepared(df, features, prep)
+        model = models.fit_model(df, kind, used, label, key, best_params)
+        model.prep = st
     return cv, best_params, model
 
 

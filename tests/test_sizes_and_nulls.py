@@ -172,3 +172,28 @@ def test_classes_of_any_type(spark):
         a, b = (score(d, "y", ["x"]).first()["raw"] for d in (df, named))
         assert a == pytest.approx(b)
     assert metrics.class_list(named, "y") == ["mild", "none", "severe"]
+
+
+def test_preprocessing_inside_folds(spark):
+    from quarry.operators import search
+    rows = [(i, float(i % 11) if i % 5 else None, "abc"[i % 3], i // 3 % 3, float(i % 3)) for i in range(240)]
+    df = spark.createDataFrame(rows, "k int, x double, c string, fold int, y double")
+    for prep in ({"encoder": "one_hot"}, {"encoder": "label", "order_by": ["k"]}):
+        cv, best, model = search.grid_search(df, "fold", "svr", ["x", "c"], "y", "k", {"C": [1.0]}, "regression",
+                                             refit_metric="mean_absolute_error",
+                                             prep={"scaler": "standard", "order_by": ["k"], **prep})
+        assert cv.select("fold").distinct().count() == 3
+        from quarry.operators import models
+        assert models.predict_model(df, model).count() == 240
+
+
+def test_predictions_run_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            calls.add(len(b))
+            yield b
+    df = spark.createDataFrame([(i % 2, (i // 2) % 2, (i % 7) / 7) for i in range(100)], "y int, p int, s double")
+    out = metrics.score_table(df.mapInPandas(counted, df.schema), "classification", "y", "p", "s").collect()
+    assert calls.value == 100 and len(out) == 8
