@@ -227,6 +227,32 @@ def q_kstats(spark, sf):
     return finish(svr.kernel_stats(_num(spark, sf), m))
 
 
+_LM20 = _LM.replace("LIMIT 3)", "LIMIT 20)")
+
+
+@register("kernel_stats_rbf", with_fx("fx_num") + f""", {_LM20},
+k AS (SELECT EXP(-0.01 * GREATEST(POWER(qty - lq, 2) + POWER(disc - ld, 2) + POWER(tax - lt, 2), 0)) AS k FROM fx_num, lm)
+SELECT {', '.join([r('MIN(k)', 'min'), r('MAX(k)', 'max'), r('AVG(k)', 'mean'), r('STDDEV_POP(k)', 'std'), r('VAR_POP(k)', 'var'),
+                   r('QUANTILE_CONT(k, 0.5)', 'median')])} FROM k""")
+def q_kstats_rbf(spark, sf):
+    """R8 with fixed landmarks and width, which SQL can follow."""
+    df = _num(spark, sf).select(*KEY, *_SVR_COLS)
+    marks = svr.hash_landmarks(df, _SVR_COLS, 20, KEY, 5, hash_method="md5")
+    m = svr.SVRModel(_SVR_COLS, "rbf", 0.01, 0.0, 3, 1.0, 0.1, marks, None, None, 0.0, [])
+    return finish(svr.kernel_stats(df, m))
+
+
+@register("stratified_top_errors", with_fx("fx_reg") + f""", mm AS (SELECT MIN(y_pred) AS a, MAX(y_pred) AS b FROM fx_reg),
+x AS (SELECT id, grp, y_pred, y_true - y_pred AS excess,
+             LEAST(FLOOR((y_pred - a) / (((b + 1e-9) - a) / 6)), 5)::INTEGER AS bin FROM fx_reg, mm)
+SELECT id, grp, {r('y_pred', 'y_pred', 4)}, {r('excess', 'excess', 4)}, bin FROM x
+QUALIFY ROW_NUMBER() OVER (PARTITION BY bin ORDER BY ABS(excess) DESC, id) <= 10""")
+def q_strat_fixed(spark, sf):
+    """R11 over given predictions."""
+    d = fx(spark, sf, "fx_reg").select("id", "grp", "y_pred", (F.col("y_true") - F.col("y_pred")).alias("excess"))
+    return finish(svr.stratified_top(d, "y_pred", "excess", 6, 10, ["id"]), 4)
+
+
 @register("svr_prediction_grid")
 def q_grid(spark, sf):
     d, m = _svr_fit(spark, sf)
@@ -323,10 +349,14 @@ def q_shap_forest(spark, sf):
     return finish(explain.shapley(te, explain.ForestScorer(m), FEATS, bg, KEY, n_permutations=4, seed=2))
 
 
-@register("shap_distribution")
+@register("shap_distribution", _SHAP + f""", mm AS (SELECT feature, MIN(value) AS lo, MAX(value) AS hi FROM sh GROUP BY feature),
+b AS (SELECT sh.feature, shap_value, CASE WHEN hi = lo THEN 0 ELSE LEAST(FLOOR((value - lo) / ((hi - lo) / 10)), 9) END::INTEGER AS bin
+      FROM sh JOIN mm ON sh.feature = mm.feature)
+SELECT feature, bin, COUNT(*) AS n, {', '.join(r(f'QUANTILE_CONT(shap_value, {p / 100})', f'p{p}', 4) for p in (5, 25, 50, 75, 95))}
+FROM b GROUP BY feature, bin""")
 def q_shap_dist(spark, sf):
     _, sh = _linear_shap(spark, sf)
-    return finish(explain.shap_distribution(sh, 10))
+    return finish(explain.shap_distribution(sh, 10), 4)
 
 
 @register("shap_interactions")

@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.hashing import row_hash
+from quarry.plans.joins import join_groups
 from quarry.plans.parallel import spread
+from quarry.plans.quantiles import group_quantiles
+from quarry.session import cut_lineage
 
 # Reference sizes for the background sample, waterfall length and decision rows.
 BACKGROUND_SAMPLES = 50
@@ -139,15 +142,16 @@ def shap_importance(shap: DataFrame) -> DataFrame:
 
 
 def shap_distribution(shap: DataFrame, bins: int = 10) -> DataFrame:
-    """Shap quantiles per (feature, equal-width value bin) - beeswarm data."""
+    """Exact shap quantiles per (feature, equal-width value bin) - beeswarm data."""
     mm = shap.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     j = shap.join(F.broadcast(mm), "feature")  # one row per feature
     w = (F.col("hi") - F.col("lo")) / bins
     b = F.when(w == 0, F.lit(0)).otherwise(F.least(F.floor((F.col("value") - F.col("lo")) / w), F.lit(bins - 1)))
-    return (j.withColumn("bin", b.cast("int")).groupBy("feature", "bin")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx("shap_value", [0.05, 0.25, 0.5, 0.75, 0.95], 10000).alias("q"))
-            .select("feature", "bin", "n", *[F.col("q")[i].alias(f"p{p}") for i, p in enumerate((5, 25, 50, 75, 95))]))
+    binned = cut_lineage(j.select("feature", b.cast("int").alias("bin"), "shap_value"))
+    q = group_quantiles(binned, "shap_value", ["feature", "bin"], [0.05, 0.25, 0.5, 0.75, 0.95], "q")
+    n = binned.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    return join_groups(n, q, ["feature", "bin"], "left").select(
+        "feature", "bin", "n", *[F.col("q")[i].alias(f"p{p}") for i, p in enumerate((5, 25, 50, 75, 95))])
 
 
 def shap_waterfall(shap: DataFrame, id_cols: Sequence[str], max_display: int = WATERFALL_MAX_DISPLAY) -> DataFrame:
@@ -233,6 +237,5 @@ def shap_interactions(df: DataFrame, f: Callable, cols: Sequence[str], bg: np.nd
     part = spread(df.select(*cols)).mapInPandas(kern, "feature_a string, feature_b string, s double, n long")
     agg = part.groupBy("feature_a", "feature_b").agg((F.sum("s") / F.sum("n")).alias("strength"))
     mx = agg.agg(F.max("strength").alias("_m"))
-    from quarry.plans.joins import join_groups
     return join_groups(agg, mx, []).withColumn(
         "strength", F.when(F.col("_m") > 0, F.col("strength") / F.col("_m")).otherwise(F.col("strength"))).drop("_m")
