@@ -17,7 +17,7 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import cut
@@ -89,6 +89,12 @@ def _anchors(rows: list, threshold: float) -> list[str]:
     return sorted(out)
 
 
+def _constants(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small table of literals (Python rows would start Python workers)."""
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows]
+    return spark.range(1).select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+
+
 def _directory(path: Column) -> Column:
     return F.regexp_extract(path, "^(.*)/[^/]*$", 1)
 
@@ -128,8 +134,8 @@ def scan_licences(files: DataFrame, phrases: dict[str, list[str]] | None = None,
     lined = cut(lined.withColumn("line_key", F.xxhash64("_path", "at", "line")))
     word_rows = lined.select("_path", "at", "line_key", F.explode(_words(F.col("line"))).alias("word"))
     counts = word_rows.groupBy("_path", "at", "line_key", "word").agg(F.count(F.lit(1)).alias("n"))
-    weight = spark.createDataFrame(list(idf.items()) or [("", 0.0)], "word string, idf double")
-    unit = spark.createDataFrame(vectors, "name string, phrase int, word string, value double")
+    weight = _constants(spark, list(idf.items()), ["word", "idf"])
+    unit = _constants(spark, vectors, ["name", "phrase", "word", "value"])
     weighed = counts.join(F.broadcast(weight), "word", "left").withColumn("x", F.col("n") * F.coalesce("idf", F.lit(other)))
     line = ["_path", "at", "line_key"]
     size = weighed.groupBy(*line).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size"), F.sum("n").alias("line_words"))
