@@ -14,10 +14,12 @@ Steps, all on Spark:
    combined before the shuffle), so groups of copies of any size cost one row.
 2. Candidates in two rounds.  First each class is paired with the least class (hub)
    of each of its bands and the confirmed pairs are joined into components; a band
-   whose members are all in one component then needs nothing more.  Second, in the
-   other bands, each pair in different components is tried.  So a big group of near
-   copies gives links in proportion to its size, not to the square.
-3. Confirmation joins the full sets of the classes that are candidates.
+   whose members are all in one component then needs nothing more.  Second, the
+   members of each other band meet with their full sets, block by block, where
+   products of incidence matrices compare all of them.  So a big group of near
+   copies gives rows in proportion to its size, not to the square.
+3. Confirmation of the first round joins the full sets of the classes that are
+   candidates; nothing is linked otherwise.
 """
 
 from __future__ import annotations
@@ -26,11 +28,12 @@ import hashlib
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut, from_texts
+from quarry.llm.common import cut, from_texts, shuffle_partitions
 from quarry.llm.components import components
 from quarry.llm.words import WordHashes, mix, shingles, split_words
 
@@ -40,6 +43,8 @@ BASE, TOP = 1.001, 65535
 RATE = 20.0
 #: A pair is dropped before confirmation when the registers make the threshold e^-40 times as likely as the best estimate.
 HOPELESS = 40.0
+#: Members of a band in one block of the search inside bands, on average at most.
+BAND_BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -148,9 +153,9 @@ def _likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFra
     return both.select("a", "b", "na", "nb", "ra", "rb").mapInPandas(run, "a binary, b binary")
 
 
-def _full_sets(docs: DataFrame, found: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """(set_key, items) of the classes in ``pairs``, from the text of one document of each."""
-    wanted = pairs.select(F.col("a").alias("set_key")).union(pairs.select(F.col("b").alias("set_key"))).distinct()
+def _full_sets(docs: DataFrame, found: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(set_key, items) of the classes in the one column of ``wanted``, from the text of one document of each."""
+    wanted = wanted.toDF("set_key").distinct()
     some = (found.filter("set_key is not null").join(wanted, "set_key", "left_semi")
             .groupBy("set_key").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())
 
@@ -183,6 +188,74 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         run, "a binary, b binary")
 
 
+def _linked_within(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """The least member, by place, that links reach among ``sets``; exact, by products of incidence blocks."""
+    n = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), n)
+    items = np.concatenate(sets)
+    order = np.argsort(items, kind="stable")
+    items, owner = items[order], owner[order]
+    new = np.r_[True, items[1:] != items[:-1]]
+    column = np.cumsum(new) - 1
+    often = np.bincount(column) > 1            # the others meet nobody
+    column, owner = (np.cumsum(often) - 1)[column[often[column]]], owner[often[column]]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for at in range(0, int(often.sum()), 2048):
+        a, z = np.searchsorted(column, [at, at + 2048])
+        part = np.zeros((len(sets), 2048), np.float32)
+        part[owner[a:z], column[a:z] - at] = 1
+        both += part @ part.T
+    linked = 100 * both.astype(np.int64) >= percent * (n[:, None] + n - both.astype(np.int64))
+    root = np.arange(len(sets))
+    while True:
+        least = np.where(linked, root[None, :], len(sets)).min(axis=1)
+        least = np.minimum(root, least)[np.minimum(root, least)]
+        if (least == root).all():
+            return root
+        root = least
+
+
+def _links_within(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a forest of them) among the ``members`` (band, a) of each band.
+
+    Bands with the same members count once.  A band is dealt into blocks by a
+    hash, and each pair of its blocks is one bounded piece of work, so a big band
+    is spread over many tasks and gives a row for each member, not for each pair.
+    """
+    spark = members.sparkSession
+    same = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("a")).alias("x"),
+                                       F.bit_xor(F.xxhash64(F.lit(1), "a")).alias("y"))
+    kept = same.groupBy("size", "x", "y").agg(F.min("band").alias("band")).filter("size > 1").select(
+        "band", F.ceil(F.col("size") / BAND_BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(kept, "band").withColumn("own", F.pmod(F.hash("a"), F.col("blocks"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("band", "a", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+    rows = dealt.join(sets.withColumnsRenamed({"set_key": "a"}), "a").select("band", "p", "q", "a", "items")
+    group = ["band", "p", "q"]
+
+    def run(batches):
+        now, keys, sets = None, [], []
+
+        def ended() -> pd.DataFrame:
+            root = _linked_within(sets, percent)
+            hit = np.flatnonzero(root != np.arange(len(sets)))
+            return pd.DataFrame({"a": [keys[i] for i in hit], "b": [keys[root[i]] for i in hit]})
+
+        for b in batches:
+            for band, p, q, key, items in zip(*(b[c] for c in b.columns)):
+                if (band, p, q) != now:
+                    if len(sets) > 1:
+                        yield ended()
+                    now, keys, sets = (band, p, q), [], []
+                keys.append(key)
+                sets.append(np.frombuffer(items, np.uint64))
+        if len(sets) > 1:
+            yield ended()
+
+    return (rows.repartition(shuffle_partitions(spark), *group).sortWithinPartitions(*group)
+            .mapInPandas(run, "a binary, b binary"))
+
+
 def _band_keys(bands: Bands) -> Column:
     width = 2 * bands.rows
     return F.array(*[F.xxhash64(F.lit(j), F.substring("registers", j * width + 1, width)) for j in range(bands.bands)])
@@ -217,18 +290,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: Bands
     hubs = cut(hubs.filter("size > 1").select("band", F.col("hub.set_key").alias("b"), F.col("hub.n").alias("nb")))
     shared = cut(banded.join(hubs, "band").select("band", F.col("set_key").alias("a"), F.col("n").alias("na"), "b", "nb"))
     pairs = cut(_likely_pairs(near_in_size(shared.filter("a <> b")), classes, percent))
-    links = cut(_confirmed(pairs, _full_sets(docs, found, pairs, k), percent))
+    both = pairs.select("a").union(pairs.select("b"))
+    links = cut(_confirmed(pairs, _full_sets(docs, found, both, k), percent))
 
     first = cut(components(links))
     of = first.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     placed = shared.join(of, "a", "left").select("band", "a", "na", "b", F.coalesce("ca", "a").alias("ca"))
     mixed = placed.groupBy("band").agg(F.min("ca").alias("low"), F.max("ca").alias("high")).filter("low <> high")
-    rest = cut(placed.join(mixed.select("band"), "band", "left_semi").filter("a <> b"))
-    one = rest.select("band", "a", "na", "ca")
-    two = rest.select("band", F.col("a").alias("b"), F.col("na").alias("nb"), F.col("ca").alias("cb"))
-    more = near_in_size(one.join(two, "band").filter("a < b and ca <> cb")).join(pairs, ["a", "b"], "left_anti")
-    more = cut(_likely_pairs(more, classes, percent))
-    links = links.union(_confirmed(more, _full_sets(docs, found, more, k), percent))
+    rest = cut(placed.join(mixed.select("band"), "band", "left_semi").filter("a <> b").select("band", "a"))
+    links = links.union(_links_within(rest, _full_sets(docs, found, rest.select("a"), k), percent))
 
     joined = components(links).withColumnsRenamed({"node": "set_key"})
     ids = found.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("low"))

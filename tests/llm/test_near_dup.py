@@ -77,3 +77,29 @@ def test_registers():
     best, loss = joint_estimate(ra[None].astype(int), rb[None].astype(int), np.array([2000.0]), np.array([2000.0]), 0.85)
     assert abs(best[0] - 1 / 3) < 0.03 and loss[0] > near_dup.HOPELESS
     assert Bands.for_threshold(0.85) == Bands(30, 6) and Bands.for_threshold(0.8) == Bands(36, 5)
+
+
+def test_search_within_bands(spark, monkeypatch):
+    """Loose near copies: few links, many candidates, bands in several blocks."""
+    monkeypatch.setattr(near_dup, "BAND_BLOCK", 8)
+    rng = random.Random(9)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(150)]
+    texts = {}
+    for i in range(120):
+        w = list(base)
+        for at in rng.sample(range(150), rng.choice((1, 4, 5))):
+            w[at] = f"w{rng.randrange(10 ** 6)}"
+        texts[i] = " ".join(w)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check(near_duplicates(df, 3, 85).collect(), brute(texts, 3, 85))
+    sets = [np.array(sorted(rng.sample(range(40), 20)), np.uint64) for _ in range(60)]
+    root = near_dup._linked_within(sets, 60)
+    of = {}
+    for i, a in enumerate(sets):
+        of[i] = i
+        for j in range(i):
+            n = len(set(a.tolist()) & set(sets[j].tolist()))
+            if 100 * n >= 60 * (40 - n):
+                old, new = max(of[i], of[j]), min(of[i], of[j])
+                of = {k: new if v == old else v for k, v in of.items()}
+    assert root.tolist() == [of[i] for i in range(60)]
