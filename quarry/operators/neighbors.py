@@ -48,6 +48,25 @@ def pca(df: DataFrame, cols, k: int = DEFAULT_COMPONENTS, id_cols: Sequence[str]
     return proj, var
 
 
+def _nearest_pairs(qi, qv, ci, cv, k: int):
+    """(query row, candidate row, distance) of the k nearest of each query, by distance, then id.
+
+    A matrix product selects, with slack for its rounding and all ties; the selected
+    distances are then taken exactly."""
+    qq, cc = (qv * qv).sum(axis=1), (cv * cv).sum(axis=1)
+    d2 = qq[:, None] + cc[None, :] - 2.0 * (qv @ cv.T)
+    d2[qi[:, None] == ci[None, :]] = np.inf
+    kk = min(k, len(ci))
+    slack = 1e-9 * (qq[:, None] + cc.max(initial=0.0) + 1e-300)
+    i, j = np.nonzero((d2 <= np.partition(d2, kk - 1, axis=1)[:, [kk - 1]] + slack) & np.isfinite(d2))
+    dist = np.sqrt(np.square(qv[i] - cv[j]).sum(axis=1))
+    order = np.lexsort((ci[j], dist, i))
+    i, j, dist = i[order], j[order], dist[order]
+    first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else np.empty(0, int)
+    place = np.arange(len(i)) - np.repeat(first, np.diff(np.r_[first, len(i)]))
+    return i[place < k], j[place < k], dist[place < k]
+
+
 def knn_graph(df: DataFrame, id_col: str, vec_col: str, k: int = 10, block_rows: int = 2048,
               n_blocks: int | None = None) -> DataFrame:
     """Exact k-nearest-neighbour graph (Euclidean), (id, nbr, rank, dist).
@@ -67,7 +86,8 @@ def knn_graph(df: DataFrame, id_col: str, vec_col: str, k: int = 10, block_rows:
         .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
     q = packed.select(F.col("b").alias("qb"), F.col("rows").alias("qrows"))
     c = packed.select(F.col("b").alias("cb"), F.col("rows").alias("crows"))
-    work = pairs.join(q, "qb").join(c, "cb").repartition(max(1, nb * nb))
+    tasks = min(nb * nb, max(df.sparkSession.sparkContext.defaultParallelism * 4, 2 * nb))
+    work = pairs.join(q, "qb").join(c, "cb").repartition(tasks)
     id_type = df.schema[id_col].dataType.simpleString()
 
     def kern(batches):
@@ -78,15 +98,8 @@ def knn_graph(df: DataFrame, id_col: str, vec_col: str, k: int = 10, block_rows:
                 qv = np.array([r["v"] for r in qr], dtype=np.float64)
                 ci = np.array([r["id"] for r in cr])
                 cv = np.array([r["v"] for r in cr], dtype=np.float64)
-                dist = np.sqrt(((qv[:, None, :] - cv[None, :, :]) ** 2).sum(axis=2))
-                dist[qi[:, None] == ci[None, :]] = np.inf
-                kk = min(k, len(ci))
-                idx = np.argpartition(dist, kk - 1, axis=1)[:, :kk] if kk < len(ci) else \
-                    np.tile(np.arange(len(ci)), (len(qi), 1))
-                dd = np.take_along_axis(dist, idx, axis=1)
-                keep = np.isfinite(dd)
-                outs.append(pd.DataFrame({"id": np.repeat(qi, idx.shape[1])[keep.ravel()],
-                                          "nbr": ci[idx].ravel()[keep.ravel()], "dist": dd.ravel()[keep.ravel()]}))
+                i, j, dist = _nearest_pairs(qi, qv, ci, cv, k)
+                outs.append(pd.DataFrame({"id": qi[i], "nbr": ci[j], "dist": dist}))
             if outs:
                 yield pd.concat(outs, ignore_index=True)
 

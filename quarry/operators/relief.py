@@ -63,7 +63,9 @@ def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int =
             X = pdf[names].to_numpy(dtype=np.float64)
             keys = pdf["_key"].to_numpy()
             cls = pdf["_cls"].to_numpy()
-            D = (np.abs(A_[:, None, :] - X[None, :, :]) / rg_[None, None, :]).sum(axis=2)   # m x rows
+            D = np.zeros((len(A_), len(X)))                                                   # m x rows
+            for j in range(len(names)):
+                D += np.abs(A_[:, j, None] - X[None, :, j]) / rg_[j]
             D[ak[:, None] == keys[None, :]] = np.inf                                          # not itself
             out = []
             for c in np.unique(cls):

@@ -197,3 +197,10 @@ def test_predictions_run_once(spark):
     df = spark.createDataFrame([(i % 2, (i // 2) % 2, (i % 7) / 7) for i in range(100)], "y int, p int, s double")
     out = metrics.score_table(df.mapInPandas(counted, df.schema), "classification", "y", "p", "s").collect()
     assert calls.value == 100 and len(out) == 8
+
+
+def test_neighbours_of_equal_distance(spark):
+    from quarry.operators import neighbors
+    df = spark.createDataFrame([(i, [float(i % 2), 0.0]) for i in range(60)], "id long, v array<double>")
+    got = [{(r["id"], r["rank"]): r["nbr"] for r in neighbors.knn_graph(df, "id", "v", 4, n_blocks=b).collect()} for b in (1, 2, 5)]
+    assert got[0] == got[1] == got[2] and [got[0][7, r] for r in (1, 2, 3, 4)] == [1, 3, 5, 9]
