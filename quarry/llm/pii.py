@@ -38,7 +38,12 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9])",
 }
 KINDS = list(PATTERNS)
-ANY = "|".join(PATTERNS.values())
+#: The kinds that begin with a digit, a sign or a bracket share one look ahead, so letters cost one test.
+_NUMERIC = ("ip", "date", "ssn", "phone", "card")
+ANY = "|".join([PATTERNS["email"], PATTERNS["secret"], "(?=[0-9a-f])" + PATTERNS["hex"],
+                "(?=[0-9(+])(?:" + "|".join(PATTERNS[k] for k in _NUMERIC) + ")"])
+#: What each kind contains at the least: texts without any of it are done after one cheap scan.
+NEEDED = ("[0-9@]", "[a-f]{32}|(?:token|secret|password|api_key)[ ]?[=:]")
 
 #: Days from the first of 1900: this many are permuted among themselves, the rest of 2099 likewise.
 FIRST_DAY, DAYS, SIDE, REST = "1900-01-01", 72_900, 270, 149
@@ -253,7 +258,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", counts: bool = T
     """
     made = [f"n_{k}" for k in KINDS] if counts else []
     docs = docs.drop(*[c for c in made if c != text])
-    hit = F.col(text).rlike(ANY)
+    hit = (F.col(text).rlike(NEEDED[0]) | F.col(text).rlike(NEEDED[1])) & F.col(text).rlike(ANY)
     found = docs.withColumn("_values", F.when(hit, F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))))
     found = found.withColumn("_kinds", F.transform("_values", _kind))
     new = F.zip_with("_values", "_kinds", lambda v, k: pseudonym(v, k, key))
