@@ -58,7 +58,8 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: floa
 
 
 def mixture(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0,
-            seed: int = 7, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+            seed: int = 7, doc_id: str = "doc_id", source: str = "source", text: str = "text",
+            keep_text: bool = True) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``copies``, how often the mix takes each row.
 
     A null text has size 0; null sources form one source; documents of size 0
@@ -71,6 +72,7 @@ def mixture(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
     docs = docs.drop(*[c for c in made if c not in (doc_id, source, text)])
     sized = docs.withColumn("size", word_count(text)).withColumn("_source", F.col(source)).withColumn(
         "_text", F.xxhash64(text))
+    sized = sized if keep_text else sized.drop(text)  # then no text is shuffled
     sizes = sized.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
     aims = targets(sizes, weights, share, most)
     aims = aims.select(F.col("source").alias("_aim"), "source_size", "target")

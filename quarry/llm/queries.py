@@ -43,7 +43,7 @@ def op2_setsketch_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_systematic_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    mixed = mixing.mixture(docs)
+    mixed = mixing.mixture(docs, keep_text=False)
     return mixed.select("doc_id", "size", "source_size", "target",
                         (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
