@@ -42,9 +42,11 @@ from quarry.llm.common import cut, shuffle_partitions, small_batches
 from quarry.llm.words import mix
 
 #: Period of each cover -> its residues, whose differences are all residues (perfect difference sets).
-COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 31: (1, 5, 11, 24, 25, 27)}
+COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
 #: Bytes of a block; a longer document is cut into pieces of so many.
 BLOCK_BYTES = 2 << 20
+#: Compression of a block's text, which is written once and shuffled twice.
+TEXT_LEVEL = 1
 #: Names in a bucket on average, at most.
 BUCKET_NAMES = 4_000_000
 
@@ -54,11 +56,12 @@ _BASE, _BASE2 = np.uint64(0xD1342543DE82EF95), np.uint64(0xAF251AF3B0F025B5)
 
 
 def cover_for(length: int) -> tuple[int, tuple[int, ...]]:
-    """The longest period that leaves names of a quarter of ``length`` or more."""
-    fits = [p for p in COVERS if length - p + 1 >= max(4, length // 4)]
-    if not fits:
+    """The longest period that leaves names of six tenths of ``length``: a short name is shared by chance, and
+    then the suffixes around it are sorted for nothing."""
+    if length < 10:
         raise ValueError(f"passages of {length} bytes are too short; 10 is the least")
-    return max(fits), COVERS[max(fits)]
+    period = max((p for p in COVERS if 10 * (length - p + 1) >= 6 * length), default=min(COVERS))
+    return period, COVERS[period]
 
 
 def names(values: np.ndarray, length: int, base: np.uint64) -> np.ndarray:
@@ -92,37 +95,53 @@ class Block:
     def ends(self) -> np.ndarray:
         return np.cumsum(self.size)
 
-    def starts_with_room(self, length: int) -> np.ndarray:
-        """For each position, whether ``length`` bytes from there lie in its piece."""
-        ends = np.repeat(self.ends(), self.size)
-        return np.arange(len(self.data)) + length <= ends
-
     def samples(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Sample positions and their names."""
         period, cover = cover_for(length)
         room = length - period + 1
         all_ = names(_BYTE[self.data], room, _BASE)
-        at = np.flatnonzero(np.isin(np.arange(period), cover)[np.arange(len(all_)) % period]
-                            & self.starts_with_room(room)[:len(all_)])
+        at = (np.arange(0, len(all_) + period, period)[:, None] + np.array(cover)).ravel()
+        at = at[at < len(all_)]
+        at = at[at + room <= self.ends()[self.piece_of(at)]]
         return at, all_[at]
 
+    def piece_of(self, at: np.ndarray) -> np.ndarray:
+        """The piece of each position, for rising positions."""
+        first = np.searchsorted(at, self.ends() - self.size)
+        return np.repeat(np.arange(len(self.size)), np.diff(np.r_[first, len(at)]))
+
     def suffixes(self, length: int, shared: np.ndarray) -> "Suffixes":
         """The suffixes ahead of which a sample is ``shared`` (one flag for each distinct sample name, in order)."""
         period, _ = cover_for(length)
         at, sample = self.samples(length)
-        order = np.unique(sample)
-        good = at[shared[np.searchsorted(order, sample)]] if len(order) else at
+        order = np.argsort(sample, kind="stable")
+        new = np.r_[True, sample[order][1:] != sample[order][:-1]][:len(sample)]
+        good = np.sort(at[order[shared[np.cumsum(new) - 1]]]) if len(at) else at
         n = max(0, len(self.data) - length + 1)
-        step = np.zeros(n + period + 1, np.int32)  # a shared sample vouches for the period's suffixes that end on it
-        np.add.at(step, np.maximum(good - period + 1, 0), 1)
-        np.add.at(step, np.minimum(good + 1, len(step) - 1), -1)
-        first = np.repeat(self.ends() - self.size, self.size)
-        mine = np.arange(len(self.data)) - first < np.repeat(self.own, self.size)
-        take = np.flatnonzero((np.cumsum(step)[:n] > 0) & self.starts_with_room(length)[:n] & mine[:n])
+        # a shared sample vouches for the suffixes of the last period up to it
+        low, high = np.maximum(good - period + 1, 0), np.minimum(good + 1, n)
+        step = np.bincount(low[low < n], minlength=n + 1) - np.bincount(np.maximum(high, 0), minlength=n + 1)[:n + 1]
+        take = np.flatnonzero(np.cumsum(step)[:n] > 0)
+        piece = self.piece_of(take)
+        end = self.ends()[piece]
+        fits = (take + length <= end) & (take < end - self.size[piece] + self.own[piece])
+        take, piece = take[fits], piece[fits]
         name = names(_BYTE[self.data], length, _BASE)[take]
         tag = (names(_BYTE2[self.data], length, _BASE2)[take] >> np.uint64(48)).astype(np.uint16)
-        piece = np.repeat(np.arange(len(self.size)), self.size)[take]
-        return Suffixes.grouped(take, name, tag, self.doc[piece])
+        docs, index = np.unique(self.doc, return_inverse=True)
+        return Suffixes.grouped(take, name, tag, index.astype(np.int32)[piece], docs)
+
+
+def _by_name(name: np.ndarray, tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by (name, tag), and where a new pair begins in it."""
+    order = np.argsort(name, kind="stable")
+    a, t = name[order], tag[order]
+    same = a[1:] == a[:-1]
+    if (same & (t[1:] != t[:-1])).any():  # one name for different strings: hardly ever
+        order = np.lexsort((tag, name))
+        a, t = name[order], tag[order]
+        same = (a[1:] == a[:-1]) & (t[1:] == t[:-1])
+    return order, np.r_[True, ~same][:len(name)]
 
 
 @dataclass
@@ -133,17 +152,18 @@ class Suffixes:
     group: np.ndarray    # the group of each
     name: np.ndarray     # of each group
     tag: np.ndarray
-    doc: np.ndarray      # of each suffix
-    least: np.ndarray    # least document of each group
+    docs: np.ndarray     # the block's documents, rising
+    doc: np.ndarray      # of each suffix, as an index of docs
+    least: np.ndarray    # least document of each group, likewise
 
     @staticmethod
-    def grouped(at, name, tag, doc) -> Suffixes:
-        order = np.lexsort((tag, name))
-        at, name, tag, doc = at[order], name[order], tag[order], doc[order]
-        new = np.r_[True, (name[1:] != name[:-1]) | (tag[1:] != tag[:-1])] if len(at) else np.empty(0, bool)
+    def grouped(at, name, tag, doc, docs) -> "Suffixes":
+        order, new = _by_name(name, tag)
         starts = np.flatnonzero(new)
+        doc = doc[order]
         least = np.minimum.reduceat(doc, starts) if len(starts) else doc
-        return Suffixes(at, np.cumsum(new) - 1, name[starts], tag[starts], doc, least)
+        first = order[starts]
+        return Suffixes(at[order], np.cumsum(new) - 1, name[first], tag[first], docs, doc, least)
 
 
 def _bucket(name: np.ndarray, buckets: int) -> np.ndarray:
@@ -186,7 +206,7 @@ def _blocks(texts: DataFrame, length: int) -> DataFrame:
             docs, keys, parts, owns, data = zip(*held)
             row = [n, np.array(docs, np.int64).tobytes(), b"".join(keys),
                    np.array([len(d) for d in data], np.int64).tobytes(), np.array(owns, np.int64).tobytes(),
-                   np.array(parts, np.int64).tobytes(), zstandard.compress(b"".join(data), 1)]
+                   np.array(parts, np.int64).tobytes(), zstandard.compress(b"".join(data), TEXT_LEVEL)]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, [pa.int64()] + [pa.binary()] * 6)],
                                               [f.split()[0] for f in _BLOCK.split(", ")])
 
@@ -264,12 +284,11 @@ def _older_suffixes(blocks: DataFrame, shared: DataFrame, length: int, buckets:
         rows = []
         for row in b.itertuples():
             s = _block(row).suffixes(length, _bits(flags))
-            of = _bucket(s.name, buckets)
+            of, docs = _bucket(s.name, buckets), _pack(s.docs)
             for k in np.unique(of):
                 a, z = np.searchsorted(of, [k, k + 1])
-                docs, at = np.unique(s.least[a:z], return_inverse=True)
-                rows.append((k, row.block, _pack(s.name[a:z]), _pack(s.tag[a:z]), docs.tobytes(),
-                             _pack(at.astype(np.uint32))))
+                rows.append((k, row.block, _pack(s.name[a:z]), _pack(s.tag[a:z]), docs,
+                             _pack(s.least[a:z].astype(np.uint32))))
         return pd.DataFrame(rows, columns=["bucket", "block", "names", "tags", "docs", "least"])
 
     def sort(key, rows: pd.DataFrame) -> pd.DataFrame:
@@ -278,16 +297,11 @@ def _older_suffixes(blocks: DataFrame, shared: DataFrame, length: int, buckets:
         for r in rows.itertuples():
             name.append(_unpack(r.names, np.uint64))
             tag.append(_unpack(r.tags, np.uint16))
-            doc.append(np.frombuffer(r.docs, np.int64)[_unpack(r.least, np.uint32)])
+            doc.append(_unpack(r.docs, np.int64)[_unpack(r.least, np.uint32)])
             n.append(len(name[-1]))
         of = np.repeat(np.arange(len(rows)), n)
         name, tag, doc = np.concatenate(name), np.concatenate(tag), np.concatenate(doc)
-        order = np.argsort(name, kind="stable")
-        same = name[order][1:] == name[order][:-1]
-        if (same & (tag[order][1:] != tag[order][:-1])).any():  # one name for different strings: hardly ever
-            order = np.lexsort((tag, name))
-            same = (name[order][1:] == name[order][:-1]) & (tag[order][1:] == tag[order][:-1])
-        new = np.r_[True, ~same]
+        order, new = _by_name(name, tag)
         least = np.minimum.reduceat(doc[order], np.flatnonzero(new))
         flag = np.empty(len(order), bool)
         flag[order] = least[np.cumsum(new) - 1] < doc[order]
