@@ -46,7 +46,7 @@ COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11,
 #: Bytes of a block; a longer document is cut into pieces of so many.
 BLOCK_BYTES = 2 << 20
 #: Compression of a block's text, which is written once and shuffled twice.
-TEXT_LEVEL = 1
+TEXT_LEVEL = 5
 #: Names in a bucket on average, at most.
 BUCKET_NAMES = 4_000_000
 
