@@ -28,7 +28,7 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: character are possessive behind a look-behind, so a long run is read once.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[A-Za-z0-9\-]+\.){1,16}[A-Za-z]{2,}",
-    "secret": r"(?:token|secret|password|api_key)[ ]?[=:][ ]?\"[^\"\s]{8,256}\"",
+    "secret": r"(?:token|secret|password|api_key)[ ]?[=:][ ]?\"[^\"\s]{8,}+\"",
     "hex": r"(?<![0-9A-Za-z])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})(?![0-9A-Za-z])",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9./\-])(?:(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])"
@@ -76,31 +76,37 @@ def _rounds(digits: Column, radices: Column, tweak: Column, forward: bool) -> Co
 
 def permuted(digits: Column, radices: Column, tweak: Column) -> Column:
     """A one-to-one image of ``digits`` that never equals them; every radix must be 2 or more."""
-    n = F.size(digits)
-    there = _rounds(digits, radices, tweak, True)
-    next_ = _let(there, lambda s: F.concat(F.slice(s, F.lit(1), n - 1),
-                                           F.array(F.pmod(F.element_at(s, n) + 1, F.element_at(radices, n)))))
-    return _rounds(next_, radices, tweak, False)
+    def with_radices(radix: Column) -> Column:
+        n = F.size(radix)
+        there = _rounds(digits, radix, tweak, True)
+        next_ = _let(there, lambda s: F.concat(F.slice(s, F.lit(1), n - 1),
+                                               F.array(F.pmod(F.element_at(s, n) + 1, F.element_at(radix, n)))))
+        return _rounds(next_, radix, tweak, False)
+    return _let(radices, with_radices)
 
 
 def _in_alphabets(value: Column, alphabets: Column, tweak: Column) -> Column:
     """``value`` with the characters permuted whose alphabet (array<string>, one for each) isn't empty."""
     chars = F.filter(F.split(value, ""), lambda c: c != "")
-    places = F.filter(F.sequence(F.lit(1), F.size(alphabets)), lambda i: F.length(F.element_at(alphabets, i)) > 1)
-
-    def made(c: Column) -> Column:
-        def with_places(p: Column) -> Column:
-            digits = F.transform(p, lambda i: _locate(F.element_at(alphabets, i), F.element_at(c, i)))
-            radices = F.transform(p, lambda i: F.length(F.element_at(alphabets, i)))
-            return _let(permuted(digits, radices, tweak), lambda out: F.array_join(F.transform(c, lambda x, i: F.coalesce(
-                _nth(F.element_at(alphabets, i + 1), F.try_element_at(out, _place(p, i + 1))), x)), ""))
-        return _let(places, with_places)
-    return F.when(F.size(places) == 0, value).otherwise(_let(chars, made))
 
+    # what a lambda uses is bound before it: it would be made anew for each character
+    def made(c: Column, a: Column) -> Column:
+        at = F.sequence(F.lit(1), F.size(a))
+        fixed = F.filter(at, lambda i: F.length(F.element_at(a, i)) <= 1)
 
-def _place(places: Column, i: Column) -> Column:
-    """Where ``i`` stands in ``places``; null where it doesn't."""
-    return F.nullif(F.array_position(places, i).cast("int"), F.lit(0))
+        def with_places(p: Column) -> Column:
+            digits = F.transform(p, lambda i: _locate(F.element_at(a, i), F.element_at(c, i)))
+            radices = F.transform(p, lambda i: F.length(F.element_at(a, i)))
+            moved = F.zip_with(p, permuted(digits, radices, tweak), lambda i, d: _at(i, _nth(F.element_at(a, i), d)))
+            kept = F.transform(fixed, lambda i: _at(i, F.element_at(c, i)))
+            whole = F.array_join(F.transform(F.array_sort(F.concat(moved, kept)), lambda x: x["char"]), "")
+            return F.when(F.size(p) == 0, value).otherwise(whole)
+        return _let(F.filter(at, lambda i: F.length(F.element_at(a, i)) > 1), with_places)
+    return _let(chars, lambda c: _let(alphabets, lambda a: made(c, a)))
+
+
+def _at(place: Column, char: Column) -> Column:
+    return F.struct(place.alias("place"), char.alias("char"))
 
 
 def _nth(alphabet: Column, digit: Column) -> Column:

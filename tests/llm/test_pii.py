@@ -152,3 +152,16 @@ def test_query(spark, sf):
         for m in re.findall(r"\S+@mail\S+", texts[r.doc_id]):
             assert m not in r.text
     assert sum(r.n_email for r in rows) > 0
+
+
+def test_long_secrets(spark):
+    rng = random.Random(5)
+    body = lambda n: "".join(rng.choice("abcXYZ019-_.") for _ in range(n))
+    secrets = [body(n) for n in (8, 256, 257, 300, 5_000, 40_000)] + ["0123456789abcdef" * 100, "ü" * 600]
+    df = spark.createDataFrame([(i, f'x token="{s}" y') for i, s in enumerate(secrets)], "i long, text string")
+    for r in pii.pseudonymise(df, "k").collect():
+        s = secrets[r.i]
+        if re.search("[0-9a-z]", s):
+            alphabets = [pii.HEX] * len(s) if re.fullmatch("[0-9a-f]+", s) else [by_class(c) for c in s]
+            assert r.text == f'x token="{in_alphabets(s, alphabets, "k|hex")}" y'
+        assert s not in r.text and r.n_secret == 1
