@@ -40,8 +40,20 @@ PATTERNS = {
 KINDS = list(PATTERNS)
 #: The kinds that begin with a digit, a sign or a bracket share one look ahead, so letters cost one test.
 _NUMERIC = ("ip", "date", "ssn", "phone", "card")
-ANY = "|".join([PATTERNS["email"], PATTERNS["secret"], "(?=[0-9a-f])" + PATTERNS["hex"],
-                "(?=[0-9(+])(?:" + "|".join(PATTERNS[k] for k in _NUMERIC) + ")"])
+
+
+def _any(numeric: list[str]) -> str:
+    return "|".join([PATTERNS["email"], PATTERNS["secret"], "(?=[0-9a-f])" + PATTERNS["hex"],
+                     "(?=[0-9(+])(?:" + "|".join(numeric) + ")"])
+
+
+ANY = _any([PATTERNS[k] for k in _NUMERIC])
+#: The same without cards, and around the card numbers of one text, longest first.
+NO_CARDS = _any([PATTERNS[k] for k in _NUMERIC if k != "card"])
+THESE_CARDS = _any([*[PATTERNS[k] for k in _NUMERIC if k != "card"], r"(?<![0-9])(?:<cards>)(?![0-9])"]).split("<cards>")
+#: Runs of so many digits from each place where digits begin, to a place where digits end: the match is
+#: only the first digit, so runs that overlap are all found.
+CARD_RUNS = [rf"(?<![0-9])(?=([0-9](?:[ \-]?[0-9]){{{n - 1}}})(?![0-9]))[0-9]" for n in range(19, 12, -1)]
 #: What each kind contains at the least: texts without any of it are done after one cheap scan.
 NEEDED = ("[0-9@]", "[a-f]{32}|(?:token|secret|password|api_key)[ ]?[=:]")
 
@@ -253,6 +265,23 @@ def _is(kind: str):
     return lambda k: k == kind
 
 
+def _scan(text: Column) -> Column:
+    """The pattern that finds the values of ``text`` where a card pattern's longest run fails the Luhn sum.
+
+    A shorter run in it may be a card: its numbers beside an expiry date, an order
+    number and so on.  All runs of 13 to 19 digits that begin and end with a block
+    of digits are tried, and those that pass stand in the pattern, longest first.
+    """
+    runs = F.array_distinct(F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in CARD_RUNS]))
+    return _let(F.filter(runs, lambda r: luhn_valid(_digits(r))), lambda cards: F.when(
+        F.size(cards) > 0, F.concat(F.lit(THESE_CARDS[0]), F.array_join(cards, "|"), F.lit(THESE_CARDS[1]))).otherwise(
+            F.lit(NO_CARDS)))
+
+
+def _failed_card(value: Column, kind: Column) -> Column:
+    return kind.isNull() & F.length(_digits(value)).between(13, 19)
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", counts: bool = True) -> DataFrame:
     """``docs`` with every valid personal value in ``text`` replaced by its pseudonym.
 
@@ -260,17 +289,27 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", counts: bool = T
     names are replaced, and nothing else changes.  A text without such values,
     an empty and a null text stay as they are (all counts 0).  Numbers that fail
     their validity rule (a card's Luhn sum, a day that the calendar lacks) stay.
+    Of the runs of digit blocks that pass as cards the first counts, then the longest.
     Repeated rows and repeated values change alike, in all documents.
     """
     made = [f"n_{k}" for k in KINDS] if counts else []
     docs = docs.drop(*[c for c in made if c != text])
     hit = (F.col(text).rlike(NEEDED[0]) | F.col(text).rlike(NEEDED[1])) & F.col(text).rlike(ANY)
-    found = docs.withColumn("_values", F.when(hit, F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))))
-    found = found.withColumn("_kinds", F.transform("_values", _kind))
-    new = F.zip_with("_values", "_kinds", lambda v, k: pseudonym(v, k, key))
-    between = F.split(F.col(text), ANY, -1)
+
+    def found(pattern: Column, where: Column) -> Column:
+        """The values and their kinds."""
+        values = F.regexp_extract_all(F.col(text), pattern, F.lit(0))
+        return F.when(where, _let(values, lambda vs: F.struct(vs.alias("values"), F.transform(vs, _kind).alias("kinds"))))
+
+    first = docs.withColumn("_found", found(F.lit(ANY), hit))
+    again = F.exists(F.arrays_zip("_found.values", "_found.kinds"), lambda x: _failed_card(x["values"], x["kinds"]))
+    first = first.withColumn("_scan", F.when(again, _scan(F.col(text))))
+    second = first.withColumn("_found", F.coalesce(found(F.col("_scan"), F.col("_scan").isNotNull()), "_found"))
+    new = F.transform(F.arrays_zip("_found.values", "_found.kinds"), lambda x: pseudonym(x["values"], x["kinds"], key))
+    between = F.when(F.col("_scan").isNull(), F.split(F.col(text), ANY, -1)).otherwise(
+        F.split(F.col(text), F.col("_scan"), -1))
     joined = F.array_join(F.zip_with(between, new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    out = found.withColumn(text, F.when(F.col("_values").isNull(), F.col(text)).otherwise(joined))
+    out = second.withColumn(text, F.when(F.col("_found").isNull(), F.col(text)).otherwise(joined))
     for k in KINDS if counts else []:
-        out = out.withColumn(f"n_{k}", F.coalesce(F.size(F.filter("_kinds", _is(k))), F.lit(0)))
-    return out.drop("_values", "_kinds")
+        out = out.withColumn(f"n_{k}", F.coalesce(F.size(F.filter("_found.kinds", _is(k))), F.lit(0)))
+    return out.drop("_found", "_scan")
