@@ -1,12 +1,12 @@
 """ReliefF feature weights (F14), re-aimed for scale.
 
-The reference runs ReliefF with every row as an anchor (n^2 distances, and
-it was skipped in the report for memory reasons). Here ``m`` anchor rows are
-chosen by hash and broadcast; each Arrow batch computes anchor x row
-distances (range-normalised Manhattan) and keeps, per (anchor, class), its
-exact partial top-k under the (distance, key) order; a row_number per
-(anchor, class) merges the partial lists exactly; one aggregation turns the
-neighbour differences into weights. Misses are weighted by class prior.
+As in the reference every row is an anchor (n^2 distances), unless a number of
+anchors is given, which are then chosen by hash. Anchors are broadcast batch by
+batch; each Arrow batch computes anchor x row distances (range-normalised
+Manhattan) and keeps, per (anchor, class), its exact partial top-k under the
+(distance, key) order; a row_number per (anchor, class) merges the partial lists
+exactly; one aggregation turns the neighbour differences into sums, and the
+batches' sums add up to the weights. Misses are weighted by class prior.
 """
 
 from __future__ import annotations
@@ -21,13 +21,19 @@ from pyspark.sql import functions as F
 from quarry.functions.hashing import row_hash
 from quarry.operators.neighbors import _vector_cols
 from quarry.plans.parallel import spread
+from quarry.plans.ranks import row_number_global
+from quarry.session import cut_lineage
 
 DEFAULT_N_FEATURES = 10
+#: Anchors that are broadcast at once.
+ANCHOR_BATCH = 256
 
 
-def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int = 100, k: int = 10,
-                   seed: int = 0, hash_method: str = "xxhash64", n_features: int = DEFAULT_N_FEATURES) -> DataFrame:
+def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int | None = None, k: int = 10,
+                   seed: int = 0, hash_method: str = "xxhash64", n_features: int = DEFAULT_N_FEATURES,
+                   anchor_batch: int = ANCHOR_BATCH) -> DataFrame:
     """(feature, weight, rank, selected) with the top ``n_features`` selected.
+    Every row is an anchor, or the first ``n_anchors`` in the order of their hashes.
     A non-integer target is label-encoded (dense rank of its distinct values)."""
     d, names = _vector_cols(df, cols)
     tdt = df.schema[target].dataType.simpleString()
@@ -47,13 +53,33 @@ def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int =
     pri = {r["_cls"]: r["n"] for r in d.groupBy("_cls").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = float(sum(pri.values()))
     prior = {c: v / total for c, v in pri.items()}
-    anc = (d.withColumn("_h", row_hash("_key", seed, hash_method)).orderBy("_h", "_key").limit(n_anchors)
-           .collect())
+    hashed = d.withColumn("_h", row_hash("_key", seed, hash_method))
+    if n_anchors is not None and n_anchors <= anchor_batch:
+        batches = [hashed.orderBy("_h", "_key").limit(n_anchors).collect()]
+        m = len(batches[0])
+    else:
+        placed = cut_lineage(row_number_global(hashed, ["_h", "_key"], out="_place"))
+        d = placed.select(*d.columns)
+        m = int(total) if n_anchors is None else min(n_anchors, int(total))
+        batches = (placed.filter(F.col("_place").between(at, min(at + anchor_batch, m) - 1)).orderBy("_place").collect()
+                   for at in range(0, m, anchor_batch))
+    sums: dict[str, float] = {}
+    for anc in batches:
+        for f, w in _weight_sums(d, names, anc, rg, prior, k, m):
+            sums[f] = sums.get(f, 0.0) + w
+    ranked = sorted(sums.items(), key=lambda t: (-t[1], t[0]))
+    return df.sparkSession.createDataFrame(
+        [(f, float(w), i + 1, i < n_features) for i, (f, w) in enumerate(ranked)],
+        "feature string, weight double, rank int, selected boolean")
+
+
+def _weight_sums(d: DataFrame, names: Sequence[str], anc: list, rg: np.ndarray, prior: dict, k: int, m: int) -> list:
+    """(feature, weight) rows of a batch of the ``m`` anchors."""
+    spark = d.sparkSession
     A = np.array([[r[c] for c in names] for r in anc], dtype=np.float64)
     akey = np.array([r["_key"] for r in anc])
     acls = np.array([r["_cls"] for r in anc])
-    m = len(anc)
-    bc = df.sparkSession.sparkContext.broadcast((A, akey, acls, rg))
+    bc = spark.sparkContext.broadcast((A, akey, acls, rg))
 
     def kern(batches):
         A_, ak, ac, rg_ = bc.value
@@ -94,8 +120,8 @@ def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int =
     cand = spread(d).mapInPandas(kern, f"a int, cls long, dist double, key {key_t}, diff array<double>")
     w = Window.partitionBy("a", "cls").orderBy("dist", "key")   # at most partitions x k rows each
     nn = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-    amap = df.sparkSession.createDataFrame([(i, int(c)) for i, c in enumerate(acls)], "a int, acls long")
-    pmap = df.sparkSession.createDataFrame([(int(c), float(p)) for c, p in prior.items()], "cls long, prior double")
+    amap = spark.createDataFrame([(i, int(c)) for i, c in enumerate(acls)], "a int, acls long")
+    pmap = spark.createDataFrame([(int(c), float(p)) for c, p in prior.items()], "cls long, prior double")
     nn = nn.join(F.broadcast(amap), "a").join(F.broadcast(pmap), "cls")     # anchors / classes: small
     ap = F.broadcast(pmap.select(F.col("cls").alias("acls"), F.col("prior").alias("aprior")))
     nn = nn.join(ap, "acls")
@@ -104,7 +130,5 @@ def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int =
     body = ", ".join(f"'{nm}', diff[{i}]" for i, nm in enumerate(names))
     long = nn.select(fac.alias("fac"), F.expr(f"stack({len(names)}, {body}) AS (feature, dv)"))
     wts = long.groupBy("feature").agg(F.sum(F.col("fac") * F.col("dv")).alias("weight")).collect()  # d rows
-    ranked = sorted(((r["feature"], r["weight"]) for r in wts), key=lambda t: (-t[1], t[0]))
-    return df.sparkSession.createDataFrame(
-        [(f, float(w), i + 1, i < n_features) for i, (f, w) in enumerate(ranked)],
-        "feature string, weight double, rank int, selected boolean")
+    bc.unpersist()
+    return [(r["feature"], r["weight"]) for r in wts]
