@@ -1,8 +1,10 @@
 """Encoders (P11-P15, P16 for codes).
 
-Fitting pulls only the sorted distinct categories of each column - a list
-whose length is checked against ``max_categories`` - and encodes with map
-literals (no join at all), so the data are never shuffled to encode them.
+Fitting pulls only the sorted distinct categories of each column - a list of
+``max_categories`` at most - and encodes with map literals (no join at all), so
+the data are never shuffled to encode them. Label codes of a column with more
+categories stay in a table, which is joined for codes and inverses; an indicator
+column for each of so many categories can't be made.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.cleaning import NAN_CATEGORY
+from quarry.plans.ranks import row_number_global
+from quarry.session import cut_lineage
 
 ENCODERS = ("label", "one_hot", "binarize", "multi_label")
 DEFAULT_ENCODER = "label"
@@ -25,6 +29,7 @@ class EncoderState:
     method: str
     categories: dict = field(default_factory=dict)   # column -> sorted list of categories
     nan_category: str = NAN_CATEGORY
+    tables: dict = field(default_factory=dict)       # column -> (category, code), beyond max_categories
 
     def to_rows(self):
         return [(c, self.method, i, str(v)) for c, vals in self.categories.items() for i, v in enumerate(vals)]
@@ -37,8 +42,12 @@ def fit_encoder(df: DataFrame, cols: Sequence[str], method: str = DEFAULT_ENCODE
     st = EncoderState(method, nan_category=nan_category)
     for c in cols:
         src = df.select(F.explode(F.col(c)).alias("v")) if method == "multi_label" else df.select(F.col(c).alias("v"))
-        vals = (src.select(F.col("v").cast("string").alias("v")).filter(F.col("v").isNotNull()).distinct()
-                .limit(max_categories + 1).collect())
+        distinct = src.select(F.col("v").cast("string").alias("v")).filter(F.col("v").isNotNull()).distinct()
+        vals = distinct.limit(max_categories + 1).collect()
+        if len(vals) > max_categories and method == "label":
+            st.tables[c] = cut_lineage(row_number_global(distinct, ["v"], out="code").select(
+                F.col("v").alias("category"), F.col("code").cast("int").alias("code")))
+            continue
         if len(vals) > max_categories:
             raise ValueError(f"column {c} has more than {max_categories} categories")
         st.categories[c] = sorted(r["v"] for r in vals)
@@ -61,7 +70,22 @@ def transform(df: DataFrame, st: EncoderState, unseen: str = "unknown") -> DataF
     fit to the code of ``nan_category`` when that category was seen in fit,
     and raises otherwise; ``unseen='error'`` always raises (P15)."""
     out = []
+    joined = {}
+    for c in [c for c in df.columns if c in st.tables]:
+        t, joined[c] = st.tables[c], f"_code_{c}"
+        given, same = f"_category_{c}", F.col(c).cast("string")
+        nan = t.filter(F.col("category") == st.nan_category).first() if unseen == "unknown" else None
+        fallback = F.lit(nan["code"]) if nan else F.raise_error(
+            F.concat(F.lit(f"unseen category in {c}: "), same)).cast("int")
+        df = df.join(t.select(F.col("category").alias(given), F.col("code").alias(joined[c])),
+                     same == F.col(given), "left").drop(given).withColumn(
+            joined[c], F.when(F.col(c).isNull(), F.lit(None).cast("int")).otherwise(F.coalesce(F.col(joined[c]), fallback)))
     for c in df.columns:
+        if c in joined:
+            out.append(F.col(joined[c]).alias(c))
+            continue
+        if c in joined.values():
+            continue
         if c not in st.categories:
             out.append(F.col(c))
             continue
@@ -111,8 +135,12 @@ def inverse_transform(df: DataFrame, st: EncoderState, cols: Sequence[str] | Non
                 made[c] = F.coalesce(*[F.when(F.col(n) == 1, F.lit(v)) for v, n in names.items()], F.lit(None))
         return df.select(*[F.col(c) for c in df.columns if c not in used and c not in made],
                          *[e.alias(c) for c, e in made.items()])
-    cols = [c for c in (cols or list(st.categories)) if c in df.columns]
-    out = []
+    cols = [c for c in (cols or [*st.categories, *st.tables]) if c in df.columns]
+    order, out = df.columns, []
+    for c in [c for c in cols if c in st.tables]:
+        t = st.tables[c].select(F.col("category").alias("_category"), F.col("code").alias("_code"))
+        df = df.join(t, F.col(c).cast("int") == F.col("_code"), "left").drop(c, "_code").withColumnRenamed("_category", c)
+    df, cols = df.select(*order), [c for c in cols if c not in st.tables]
     for c in df.columns:
         if c in cols:
             kv = []
@@ -125,4 +153,19 @@ def inverse_transform(df: DataFrame, st: EncoderState, cols: Sequence[str] | Non
 
 
 def encoder_table(spark, st: EncoderState) -> DataFrame:
-    return spark.createDataFrame(st.to_rows(), "column string, method string, code int, category string")
+    out = spark.createDataFrame(st.to_rows(), "column string, method string, code int, category string")
+    for c, t in st.tables.items():
+        out = out.unionByName(t.select(F.lit(c).alias("column"), F.lit(st.method).alias("method"), "code", "category"))
+    return out
+
+
+def encoder_from_table(table: DataFrame, method: str, nan_category: str,
+                       max_categories: int = MAX_CATEGORIES) -> EncoderState:
+    st = EncoderState(method, nan_category=nan_category)
+    for r in table.groupBy("column").count().collect():
+        c, own = r["column"], table.filter(F.col("column") == r["column"])
+        if r["count"] > max_categories and method == "label":
+            st.tables[c] = own.select("category", "code")
+        else:
+            st.categories[c] = [x["category"] for x in own.orderBy("code").collect()]
+    return st

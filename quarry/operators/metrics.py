@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.plans.ranks import running_sums
+from quarry.plans.ranks import row_number_global, running_sums
 from quarry.plans.joins import join_groups, join_null_safe
 from quarry.plans.quantiles import group_quantiles
 from quarry.session import cut_lineage
@@ -212,9 +212,13 @@ def log_loss(df: DataFrame, y_true: str, proba: str, group_by=None, eps: float =
     dt = df.schema[proba].dataType.simpleString()
     y = F.col(y_true).cast("double")
     if dt.startswith("array"):
-        classes = sorted(classes) if classes is not None else class_list(df, y_true)
-        idx = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(i + 1))])
-        j = df.withColumn("_i", F.try_element_at(idx, _label(df, y_true)))
+        places = _class_places(df, y_true) if classes is None else None
+        if places is None:
+            classes = sorted(classes) if classes is not None else class_list(df, y_true)
+            idx = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(i + 1))])
+            j = df.withColumn("_i", F.try_element_at(idx, _label(df, y_true)))
+        else:
+            j = df.join(places, _label(df, y_true) == F.col("_class"), "left").withColumn("_i", F.col("_place") + 1)
         pt = F.element_at(F.col(proba), F.col("_i")).cast("double")
         pt = F.least(F.greatest(pt, F.lit(eps)), F.lit(1 - eps))
         return _agg(j, g, (-F.avg(F.ln(pt))).alias("value"))
@@ -233,6 +237,14 @@ def class_list(df: DataFrame, y_true: str, max_classes: int = MAX_CLASSES) -> li
     return sorted(r["c"] for r in rows if r["c"] is not None)
 
 
+def _class_places(df: DataFrame, y_true: str) -> DataFrame | None:
+    """(_class, _place from 0) of the sorted distinct classes where they are too many for a list, else none."""
+    found = df.select(_label(df, y_true).alias("_class")).filter(F.col("_class").isNotNull()).distinct()
+    if found.limit(MAX_CLASSES + 1).count() <= MAX_CLASSES:
+        return None
+    return cut_lineage(row_number_global(found, ["_class"], out="_place").select("_class", F.col("_place").cast("int").alias("_place")))
+
+
 # ----------------------------------------------------------------------------- curves
 
 def _score_counts(df: DataFrame, y_true: str, score: str, g: list[str]) -> DataFrame:
@@ -288,11 +300,15 @@ def average_precision_score(df: DataFrame, y_true: str, score: str, group_by=Non
 def roc_auc_ovr(df: DataFrame, y_true: str, proba: str, group_by=None, n_buckets=None) -> DataFrame:
     """Q21: mean one-vs-rest AUC; array positions follow the sorted distinct classes."""
     g = _g(group_by)
-    classes = class_list(df, y_true)
-    cmap = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(i), F.lit(c))])
+    places = _class_places(df, y_true)
     ex = df.select(*g, _label(df, y_true).alias("_y"), F.posexplode(F.col(proba)).alias("_pos", "_p"))
-    ex = ex.withColumn("_c", F.try_element_at(cmap, F.col("_pos"))).filter(F.col("_c").isNotNull()) \
-           .withColumn("_yb", (F.col("_y") == F.col("_c")).cast("int"))
+    if places is None:
+        classes = class_list(df, y_true)
+        cmap = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(i), F.lit(c))])
+        ex = ex.withColumn("_c", F.try_element_at(cmap, F.col("_pos"))).filter(F.col("_c").isNotNull())
+    else:
+        ex = ex.join(places.withColumnRenamed("_class", "_c"), F.col("_pos") == F.col("_place"))
+    ex = ex.withColumn("_yb", (F.col("_y") == F.col("_c")).cast("int"))
     per = roc_auc_score(ex, "_yb", "_p", group_by=[*g, "_c"], n_buckets=n_buckets)
     return _agg(per, g, F.avg("value").alias("value"))
 

@@ -147,10 +147,7 @@ def state_from_tables(tables: dict[str, DataFrame], meta: dict) -> PreprocessorS
     if "scaler" in tables:
         st.scaler = scaling.ScalerState.from_rows(tables["scaler"].collect())
     if "encoder" in tables:
-        pdf = tables["encoder"].toPandas().sort_values(["column", "code"])
-        st.encoder = encoding.EncoderState(meta["encoder_method"], nan_category=meta["nan_category"])
-        for c, g in pdf.groupby("column"):
-            st.encoder.categories[c] = list(g["category"])
+        st.encoder = encoding.encoder_from_table(tables["encoder"], meta["encoder_method"], meta["nan_category"])
     return st
 
 

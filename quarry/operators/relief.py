@@ -38,21 +38,17 @@ def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int |
     d, names = _vector_cols(df, cols)
     tdt = df.schema[target].dataType.simpleString()
     if tdt not in ("int", "bigint", "smallint", "tinyint"):
-        vals = d.select(F.col(target).cast("string").alias("v")).distinct().limit(100_001).collect()
-        if len(vals) > 100_000:
-            raise ValueError("too many target values to label-encode")
-        cats = sorted(r["v"] for r in vals if r["v"] is not None)
-        codes = F.create_map(*[x for i, v in enumerate(cats) for x in (F.lit(v), F.lit(i))])
-        d = d.withColumn("_cls", F.try_element_at(codes, F.col(target).cast("string")).cast("long"))
+        names_of = d.select(F.col(target).cast("string").alias("_name")).filter("_name is not null").distinct()
+        codes = cut_lineage(row_number_global(names_of, ["_name"], out="_cls"))
+        d = d.join(codes, F.col(target).cast("string") == F.col("_name"), "left").drop("_name")
     else:
         d = d.withColumn("_cls", F.col(target).cast("long"))
     d = d.select(F.col(key).alias("_key"), "_cls", *[F.col(c).cast("double").alias(c) for c in names])
     rng = d.agg(*[(F.max(c) - F.min(c)).alias(c) for c in names]).first()
     rg = np.array([rng[c] or 0.0 for c in names], dtype=np.float64)
     rg[rg == 0] = np.inf                                 # constant feature: diff 0
-    pri = {r["_cls"]: r["n"] for r in d.groupBy("_cls").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = float(sum(pri.values()))
-    prior = {c: v / total for c, v in pri.items()}
+    total = d.count()
+    prior = cut_lineage(d.groupBy(F.col("_cls").alias("cls")).agg((F.count(F.lit(1)) / F.lit(float(total))).alias("prior")))
     hashed = d.withColumn("_h", row_hash("_key", seed, hash_method))
     if n_anchors is not None and n_anchors <= anchor_batch:
         batches = [hashed.orderBy("_h", "_key").limit(n_anchors).collect()]
@@ -60,7 +56,7 @@ def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int |
     else:
         placed = cut_lineage(row_number_global(hashed, ["_h", "_key"], out="_place"))
         d = placed.select(*d.columns)
-        m = int(total) if n_anchors is None else min(n_anchors, int(total))
+        m = total if n_anchors is None else min(n_anchors, total)
         batches = (placed.filter(F.col("_place").between(at, min(at + anchor_batch, m) - 1)).orderBy("_place").collect()
                    for at in range(0, m, anchor_batch))
     sums: dict[str, float] = {}
@@ -73,7 +69,7 @@ def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int |
         "feature string, weight double, rank int, selected boolean")
 
 
-def _weight_sums(d: DataFrame, names: Sequence[str], anc: list, rg: np.ndarray, prior: dict, k: int, m: int) -> list:
+def _weight_sums(d: DataFrame, names: Sequence[str], anc: list, rg: np.ndarray, prior: DataFrame, k: int, m: int) -> list:
     """(feature, weight) rows of a batch of the ``m`` anchors."""
     spark = d.sparkSession
     A = np.array([[r[c] for c in names] for r in anc], dtype=np.float64)
@@ -121,9 +117,8 @@ def _weight_sums(d: DataFrame, names: Sequence[str], anc: list, rg: np.ndarray,
     w = Window.partitionBy("a", "cls").orderBy("dist", "key")   # at most partitions x k rows each
     nn = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
     amap = spark.createDataFrame([(i, int(c)) for i, c in enumerate(acls)], "a int, acls long")
-    pmap = spark.createDataFrame([(int(c), float(p)) for c, p in prior.items()], "cls long, prior double")
-    nn = nn.join(F.broadcast(amap), "a").join(F.broadcast(pmap), "cls")     # anchors / classes: small
-    ap = F.broadcast(pmap.select(F.col("cls").alias("acls"), F.col("prior").alias("aprior")))
+    nn = nn.join(F.broadcast(amap), "a").join(prior, "cls")     # anchors: small
+    ap = prior.select(F.col("cls").alias("acls"), F.col("prior").alias("aprior"))
     nn = nn.join(ap, "acls")
     fac = F.when(F.col("cls") == F.col("acls"), F.lit(-1.0)).otherwise(F.col("prior") / (1.0 - F.col("aprior"))) \
         / F.lit(float(m * k))
