@@ -154,7 +154,10 @@ def _likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFra
 
 
 def _full_sets(docs: DataFrame, found: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(set_key, items) of the classes in the one column of ``wanted``, from the text of one document of each."""
+    """(set_key, items) of the classes in the one column of ``wanted``, from the text of one document of each.
+
+    Documents without a doc_id can't be fetched by it: their texts are all read, without a join.
+    """
     wanted = wanted.toDF("set_key").distinct()
     some = (found.filter("set_key is not null").join(wanted, "set_key", "left_semi")
             .groupBy("set_key").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())
@@ -167,8 +170,9 @@ def _full_sets(docs: DataFrame, found: DataFrame, wanted: DataFrame, k: int) ->
             return [pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
         return made
 
-    texts = docs.join(some, "doc_id", "left_semi").select("text")
-    return from_texts(texts, "text", "set_key binary, items binary", start).dropDuplicates(["set_key"])
+    texts = docs.join(some, "doc_id", "left_semi").select("text").union(docs.filter("doc_id is null").select("text"))
+    sets = from_texts(texts, "text", "set_key binary, items binary", start)
+    return sets.join(wanted, "set_key", "left_semi").dropDuplicates(["set_key"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -271,7 +275,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: Bands
     smallest doc_id that links reach, ``kept`` marks that document.  Null, empty
     or blank texts have empty sets and link with nothing.  Rows with one doc_id
     and text (repeated rows) are all in one component and kept alike; other
-    columns are ignored; no rows give no rows.  A pair at the threshold goes
+    columns are ignored; no rows give no rows.  Rows without a doc_id link like
+    others, and a component of such rows only has none and keeps them all.  A pair at the threshold goes
     unseen with a chance of 1e-6 at most (``Bands.for_threshold``); nothing that
     isn't confirmed on full sets is linked.
     """

@@ -103,3 +103,14 @@ def test_search_within_bands(spark, monkeypatch):
                 old, new = max(of[i], of[j]), min(of[i], of[j])
                 of = {k: new if v == old else v for k, v in of.items()}
     assert root.tolist() == [of[i] for i in range(60)]
+
+
+def test_null_doc_ids(spark):
+    words = [f"w{i}" for i in range(240)]
+    part = lambda a: " ".join(words[a:a + 200])
+    other = [f"v{i}" for i in range(100)]
+    rows = [(1, part(0)), (None, part(12)), (3, part(24)), (None, " ".join(other)), (None, " ".join(other[1:])), (7, "alone"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(df, 3, 85).collect()), key=str)
+    assert got == sorted([(1, 198, 1, True), (None, 198, 1, False), (3, 198, 1, False), (None, 98, None, True),
+                          (None, 97, None, True), (7, 1, 7, True), (None, 0, None, True)], key=str)
