@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, embed_dup, fingerprints, licenses, mixing, near_dup, pii, quality, sharding, suffix_dedup
+from quarry.llm import (bpe, chat, embed_dup, filter_audit, fingerprints, licenses, mixing, near_dup, pii, quality, search, sharding,
+                        suffix_dedup)
 from quarry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +209,98 @@ FROM placed p LEFT JOIN own o ON o.path = p.path LEFT JOIN holders h ON h.dir =
 
 
 ORACLES["op4_tfidf_licences"] = _licence_sql()
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op11_filter_audit"] = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+flags AS (
+  SELECT t.part, coalesce(m.good, 0) AS good, coalesce(m.toxic, 0) AS toxic,
+    CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN t.doc_id > min(t.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS failed
+  FROM texts t LEFT JOIN marks m ON m.doc_id = t.doc_id),
+letters(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT filter_order, s::INTEGER AS step, filter_order[s] AS f, filter_order[1:s - 1] AS before FROM orders, range(1, 6) AS r(s)),
+patterns AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM flags GROUP BY ALL),
+counted AS (
+  SELECT p.part, s.filter_order, s.step, s.f, p.n, p.good, p.toxic, contains(p.failed, s.f) AS fails,
+    translate(p.failed, s.before, '') <> p.failed AS gone, p.failed = s.f AS alone
+  FROM patterns p, steps s),
+audited AS (
+  SELECT part, filter_order, step, f, sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed, sum(CASE WHEN fails AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN alone THEN n ELSE 0 END)::BIGINT AS unique_fails, sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM counted GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM audited
+"""
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
+ORACLES["op12_ranked_search"] = r"""
+WITH split AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM split GROUP BY ALL),
+size AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM size),
+norm AS (SELECT doc_id, 25 + (75 * n * docs) // terms AS m FROM size, total),
+weight AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY term, docs),
+asked AS (
+  SELECT item_id, term, count(*) AS repeats FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+scores AS (
+  SELECT a.item_id, t.doc_id, sum(a.repeats * w.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * n.m)))::BIGINT AS score
+  FROM asked a JOIN tf t USING (term) JOIN weight w USING (term) JOIN norm n ON n.doc_id = t.doc_id GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+#: A conversation that says the template's own control strings, added to the given ones.
+CONTROL_CONVERSATION = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+@query
+def op13_prefix_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string")
+    return chat.read_back(*chat.prefix_trees(given.unionByName(added)))
+
+
+ORACLES["op13_prefix_tree_chat"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+marked AS (  -- a turn: "### ", role, ": ", text, "</turn>" and a line end; a backslash before each control string
+  SELECT *, length(role) + len(regexp_extract_all(role, '[\\:]')) + 14 + length(text) + len(regexp_extract_all(text, '\\|</turn>'))
+    + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{3,}'), lambda x: length(x) - 2)), 0) AS chars
+  FROM turns)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
