@@ -16,6 +16,7 @@ import base64
 import hashlib
 import heapq
 import json
+import sys
 from collections.abc import Callable
 
 import numpy as np
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import from_texts
 
-#: Words that a worker remembers with their ids; beyond, it starts anew. Bounds memory only.
-REMEMBERED = 400_000
+#: About what the words that a worker remembers with their ids take; beyond, it starts anew. Bounds memory only.
+REMEMBERED_BYTES = 64 << 20
 #: Words of more bytes are folded with a heap, and never remembered.
 LONG_WORD = 64
 
@@ -106,8 +107,8 @@ class PairRanks:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.values[at], self.none)
 
-    def fold(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of many words at once: each round merges, in every word, the leftmost pair of least rank."""
+    def fold(self, words: list[bytes]) -> list[bytes]:
+        """Ids of many words at once, as 32-bit integers: each round merges, in every word, the leftmost pair of least rank."""
         if not words:
             return []
         size = np.fromiter(map(len, words), np.int64, len(words))
@@ -116,15 +117,16 @@ class PairRanks:
         rank = np.full(len(ids), self.none)  # of a piece with the next of its word
         pair = np.flatnonzero(word[:-1] == word[1:])
         rank[pair] = self(ids[pair], ids[pair + 1])
-        out: list[list[int]] = [[]] * len(words)
+        out = [b""] * len(words)
         while len(ids):
             start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             least = np.minimum.reduceat(rank, start)
             size = np.diff(np.r_[start, len(ids)])
             done = least == self.none
             if done.any():
-                for s, n in zip(start[done].tolist(), size[done].tolist()):
-                    out[word[s]] = ids[s:s + n].tolist()
+                flat = ids.astype(np.int32).tobytes()
+                for w, s, n in zip(word[start[done]].tolist(), start[done].tolist(), size[done].tolist()):
+                    out[w] = flat[4 * s:4 * (s + n)]
                 keep = np.repeat(~done, size)
                 ids, word, rank = ids[keep], word[keep], rank[keep]
                 least, size = least[~done], size[~done]
@@ -148,44 +150,63 @@ class PairRanks:
 
 
 class _Encoder:
-    """One worker's view: the rank map and the distinct words met lately."""
+    """One worker's view: the rank map and the distinct words met lately, with their ids as 32-bit integers."""
 
     def __init__(self, ranks: dict[bytes, int], pairs: PairRanks, pattern: str):
-        self.ranks, self.pairs, self.words = ranks, pairs, {}
+        self.ranks, self.pairs, self.words, self.held = ranks, pairs, {}, 0
         self.find = regex.compile(pattern).findall
 
-    def __call__(self, texts: list[str | None]) -> list[list[list[int]]]:
-        """Ids of each word of each text: distinct words are folded once."""
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text: distinct words are folded once."""
         found = [self.find(t) if t else [] for t in texts]
         known = self.words
-        if len(known) > REMEMBERED:
+        if self.held > REMEMBERED_BYTES:
             known.clear()
-        new = list({w for words in found for w in words if w not in known})
+            self.held = 0
         short, long = [], {}
-        for w in new:
+        for w in {w for words in found for w in words if w not in known}:
             b = w.encode("utf-8", "replace")
             if (whole := self.ranks.get(b)) is not None:
-                known[w] = [whole]
+                known[w] = whole.to_bytes(4, sys.byteorder)
             elif len(b) <= LONG_WORD:
                 short.append((w, b))
             else:
-                long[w] = fold(b, self.ranks)
+                long[w] = np.array(fold(b, self.ranks), np.int32).tobytes()
         known.update(zip([w for w, _ in short], self.pairs.fold([b for _, b in short])))
-        if long:
-            return [[long[w] if w in long else known[w] for w in words] for words in found]
-        return [[known[w] for w in words] for words in found]
+        self.held += sum(len(b) for _, b in short) * 6 + 200 * len(short)  # about what the dictionary holds
+        known = {**known, **long} if long else known
+        return [b"".join([known[w] for w in words]) for words in found]
 
 
-def _mapped(docs: DataFrame, column: str, declared: str, ranks: dict[bytes, int], pattern: str,
-            made: Callable[[_Encoder, dict[int, bytes], list], list[pa.Array]]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, PairRanks(ranks)))
+class _Decoder:
+    """The byte pieces by id, in one buffer."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        pieces = [b""] * (max(ranks.values(), default=-1) + 1)
+        for piece, i in ranks.items():
+            pieces[i] = piece
+        self.size = np.array([len(p) for p in pieces] or [0], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(pieces), np.uint8)
+
+    def __call__(self, ids: np.ndarray) -> bytes:
+        """The pieces of ``ids`` concatenated."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.size) or not self.size[ids].all()):
+            raise ValueError("id outside the vocabulary")
+        size = self.size[ids]
+        at = np.repeat(self.start[ids] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return self.flat[at].tobytes()
+
+
+def _mapped(docs: DataFrame, column: str, declared: str, shared: tuple, start: Callable) -> DataFrame:
+    """``docs`` with what the function that ``start`` makes of the broadcast values gives for the column."""
+    sent = docs.sparkSession.sparkContext.broadcast(shared)
+    return from_texts(docs, column, declared, lambda: start(*sent.value))
 
-    def start():
-        ranks, pairs = shared.value
-        encoder, pieces = _Encoder(ranks, pairs, pattern), {i: p for p, i in ranks.items()}
-        return lambda values: made(encoder, pieces, values)
 
-    return from_texts(docs, column, declared, start)
+def _id_lists(ids: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
@@ -194,9 +215,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     A null text counts as empty and gives an empty list; other columns pass
     through, one named ``ids`` is replaced; repeated rows stay.
     """
-    def made(encoder, pieces, texts):
-        return [pa.array([[i for w in words for i in w] for words in encoder(texts)], pa.list_(pa.int32()))]
-    return _mapped(docs, text, "ids array<int>", ranks, pattern, made)
+    def start(ranks, pairs):
+        encoder = _Encoder(ranks, pairs, pattern)
+        return lambda texts: [_id_lists(encoder(texts))]
+    return _mapped(docs, text, "ids array<int>", (ranks, PairRanks(ranks)), start)
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:
@@ -204,9 +226,27 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Dat
 
     Null ids give empty bytes; an id outside the vocabulary ends the job.
     """
-    def made(encoder, pieces, lists):
-        return [pa.array([b"".join([pieces[i] for i in x or ()]) for x in lists], pa.binary())]
-    return _mapped(encoded, ids, "bytes binary", ranks, "x", made)
+    def start(ranks):
+        decoder = _Decoder(ranks)
+        return lambda lists: [pa.array([decoder(np.array(x or (), np.int64)) for x in lists], pa.binary())]
+    return _mapped(encoded, ids, "bytes binary", (ranks,), start)
+
+
+def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
+    """Encode and decode in one pass: ``docs`` with ``decoded string`` (what the ids decode to), ``ids array<int>``
+    and ``n_tokens long`` in the place of the text.
+
+    A null text counts as empty; other columns pass through, those of these names are replaced; repeated rows stay.
+    """
+    def start(ranks, pairs):
+        encoder, decoder = _Encoder(ranks, pairs, pattern), _Decoder(ranks)
+
+        def made(texts):
+            ids = encoder(texts)
+            back = [decoder(np.frombuffer(x, np.int32)) for x in ids]
+            return [pa.array(back, pa.binary()).cast(pa.string()), _id_lists(ids), pa.array([len(x) // 4 for x in ids], pa.int64())]
+        return made
+    return _mapped(docs, text, "decoded string, ids array<int>, n_tokens long", (ranks, PairRanks(ranks)), start)
 
 
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
@@ -216,15 +256,16 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str
     (of the decimal ids joined by commas) and ``decoded_sha256`` (of the bytes
     that the ids decode to).  A null text counts as empty: no ids.
     """
-    def made(encoder, pieces, texts):
-        n, ids, back = [], [], []
-        for words in encoder(texts):
-            flat = [i for w in words for i in w]
-            n.append(len(flat))
-            ids.append(hashlib.sha256(",".join(map(str, flat)).encode()).hexdigest())
-            back.append(hashlib.sha256(b"".join([pieces[i] for i in flat])).hexdigest())
-        return [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())]
-    return _mapped(docs, text, "n_tokens long, ids_sha256 string, decoded_sha256 string", ranks, pattern, made)
+    def start(ranks, pairs):
+        encoder, decoder = _Encoder(ranks, pairs, pattern), _Decoder(ranks)
+        sha = lambda b: hashlib.sha256(b).hexdigest()
+
+        def made(texts):
+            ids = [np.frombuffer(x, np.int32) for x in encoder(texts)]
+            return [pa.array([len(x) for x in ids], pa.int64()), pa.array([sha(",".join(map(str, x.tolist())).encode()) for x in ids]),
+                    pa.array([sha(decoder(x)) for x in ids])]
+        return made
+    return _mapped(docs, text, "n_tokens long, ids_sha256 string, decoded_sha256 string", (ranks, PairRanks(ranks)), start)
 
 
 #: Small maps that the literal rank map is dealt into: Spark searches a map from end to end.

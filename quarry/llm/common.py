@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarry.session import scratch_folder
+
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -36,12 +37,12 @@ def small_batches(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder below ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a scratch folder is set.
+    Only a session on one machine may name none (local tests): a scratch folder is set there.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quarry-llm-"))
+        sc.setCheckpointDir(named or scratch_folder(spark))
     return sc.getCheckpointDir()
 
 

@@ -94,7 +94,7 @@ def _local_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def term_matrix(docs: DataFrame, text: str = "text", part: str = "lang") -> tuple[DataFrame, DataFrame]:
-    """(matrix, dictionary) of the documents' words, both over all documents.
+    """(matrix, dictionary) of the documents' words, both written and over all documents.
 
     ``dictionary``: ``word binary, term long``, gapless from 0.  ``matrix``: a
     CSR shard a row, with ``docs`` (doc_id, part and facts of each text),
@@ -112,7 +112,7 @@ def term_matrix(docs: DataFrame, text: str = "text", part: str = "lang") -> tupl
     codes = (places.join(dictionary, "word").groupBy("shard")
              .agg(F.sort_array(F.collect_list(F.struct("place", "term")))["term"].alias("codes")))
     matrix = local.drop("words").join(codes.hint("shuffle_hash"), "shard", "left")
-    return matrix.withColumn("terms", F.transform("terms", lambda t: F.get("codes", t))).drop("codes"), dictionary
+    return cut(matrix.withColumn("terms", F.transform("terms", lambda t: F.get("codes", t))).drop("codes")), dictionary
 
 
 def _numbered(words: DataFrame) -> DataFrame:

@@ -51,8 +51,8 @@ TEXT_LEVEL = 5
 BUCKET_NAMES = 4_000_000
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_BYTE2 = mix(np.arange(1001, 1257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_BASE, _BASE2 = np.uint64(0xD1342543DE82EF95), np.uint64(0xAF251AF3B0F025B5)
+_BYTE2 = mix(np.arange(1001, 1257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_BASE = np.uint64(0xD1342543DE82EF95)
 
 
 def cover_for(length: int) -> tuple[int, tuple[int, ...]]:
@@ -64,23 +64,48 @@ def cover_for(length: int) -> tuple[int, tuple[int, ...]]:
     return period, COVERS[period]
 
 
+class Runs:
+    """Polynomial fingerprints of the runs of 1, 2, 4 and more values, of which those of any length up to ``length``
+    are put together, at the wanted places only."""
+
+    def __init__(self, values: np.ndarray, length: int, base: np.uint64):
+        self.run, self.power, size = {1: values}, {1: base}, 1
+        with np.errstate(over="ignore"):
+            while 2 * size <= length and 2 * size <= len(values):
+                run, power = self.run[size], self.power[size]
+                self.run[2 * size], self.power[2 * size] = run[:-size] * power + run[size:], power * power
+                size *= 2
+
+    def names(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Mixed fingerprints of the ``length`` values from each place."""
+        done, out = 0, np.zeros(len(at), np.uint64)
+        with np.errstate(over="ignore"):
+            for size in self.run:
+                if length & size:
+                    part = self.run[size][at + done]
+                    out = out * self.power[size] + part if done else part
+                    done += size
+        return mix(out)
+
+
 def names(values: np.ndarray, length: int, base: np.uint64) -> np.ndarray:
     """Mixed polynomial fingerprint of each run of ``length`` values."""
-    if len(values) < length:
-        return np.empty(0, np.uint64)
-    done, power, out = 0, base, None       # out: of runs of `done`
-    run, size = values, 1                  # run: of runs of `size`, a power of two; power: base ** size
+    at = np.arange(max(0, len(values) - length + 1))
+    return Runs(values, length, base).names(at, length) if len(at) else np.empty(0, np.uint64)
+
+
+def tags(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """16 bits of a second fingerprint of the ``length`` bytes from each place: its words, each by a factor of its own.
+    The last word may overlap the one before."""
+    if not len(at):
+        return np.empty(0, np.uint16)
+    words = np.lib.stride_tricks.sliding_window_view(data, 8)
+    out = np.zeros(len(at), np.uint64)
     with np.errstate(over="ignore"):
-        while True:
-            if length & size:
-                out = run if out is None else out[:len(run) - done] * power + run[done:]
-                done += size
-            size *= 2
-            if size > length:
-                break
-            run = run[:-(size // 2)] * power + run[size // 2:]
-            power = power * power
-    return mix(out[:len(values) - length + 1])
+        for k, shift in enumerate([*range(0, length - 8, 8), length - 8]):
+            word = np.ascontiguousarray(words[at + shift]).view(np.uint64)[:, 0]
+            out = (out + word) * _BYTE2[k]
+    return (mix(out) >> np.uint64(48)).astype(np.uint16)
 
 
 @dataclass
@@ -95,15 +120,18 @@ class Block:
     def ends(self) -> np.ndarray:
         return np.cumsum(self.size)
 
-    def samples(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+    def runs(self, length: int) -> Runs:
+        return Runs(_BYTE[self.data], length, _BASE)
+
+    def samples(self, length: int, runs: Runs) -> tuple[np.ndarray, np.ndarray]:
         """Sample positions and their names."""
         period, cover = cover_for(length)
         room = length - period + 1
-        all_ = names(_BYTE[self.data], room, _BASE)
-        at = (np.arange(0, len(all_) + period, period)[:, None] + np.array(cover)).ravel()
-        at = at[at < len(all_)]
+        last = len(self.data) - room + 1
+        at = (np.arange(0, max(last, 0) + period, period)[:, None] + np.array(cover)).ravel()
+        at = at[at < last]
         at = at[at + room <= self.ends()[self.piece_of(at)]]
-        return at, all_[at]
+        return at, runs.names(at, room)
 
     def piece_of(self, at: np.ndarray) -> np.ndarray:
         """The piece of each position, for rising positions."""
@@ -113,8 +141,9 @@ class Block:
     def suffixes(self, length: int, shared: np.ndarray) -> "Suffixes":
         """The suffixes ahead of which a sample is ``shared`` (one flag for each distinct sample name, in order)."""
         period, _ = cover_for(length)
-        at, sample = self.samples(length)
-        order = np.argsort(sample, kind="stable")
+        runs = self.runs(length)
+        at, sample = self.samples(length, runs)
+        order = np.argsort(sample)
         new = np.r_[True, sample[order][1:] != sample[order][:-1]][:len(sample)]
         good = np.sort(at[order[shared[np.cumsum(new) - 1]]]) if len(at) else at
         n = max(0, len(self.data) - length + 1)
@@ -126,15 +155,14 @@ class Block:
         end = self.ends()[piece]
         fits = (take + length <= end) & (take < end - self.size[piece] + self.own[piece])
         take, piece = take[fits], piece[fits]
-        name = names(_BYTE[self.data], length, _BASE)[take]
-        tag = (names(_BYTE2[self.data], length, _BASE2)[take] >> np.uint64(48)).astype(np.uint16)
+        name, tag = runs.names(take, length), tags(self.data, take, length)
         docs, index = np.unique(self.doc, return_inverse=True)
         return Suffixes.grouped(take, name, tag, index.astype(np.int32)[piece], docs)
 
 
 def _by_name(name: np.ndarray, tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order by (name, tag), and where a new pair begins in it."""
-    order = np.argsort(name, kind="stable")
+    order = np.argsort(name)
     a, t = name[order], tag[order]
     same = a[1:] == a[:-1]
     if (same & (t[1:] != t[:-1])).any():  # one name for different strings: hardly ever
@@ -249,7 +277,8 @@ def _shared_samples(blocks: DataFrame, length: int, buckets: int) -> DataFrame:
     def named(batches):
         for b in batches:
             for row in b.itertuples():
-                _, sample = _block(row).samples(length)
+                block = _block(row)
+                _, sample = block.samples(length, block.runs(length))
                 name, n = np.unique(sample, return_counts=True)
                 of = _bucket(name, buckets)
                 rows = []
@@ -265,7 +294,7 @@ def _shared_samples(blocks: DataFrame, length: int, buckets: int) -> DataFrame:
         of = np.repeat(np.arange(len(rows)), [len(x) for x in low])
         more = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=len(x)) for m, x in zip(rows["more"], low)])
         low = np.concatenate(low)
-        order = np.argsort(low, kind="stable")
+        order = np.argsort(low)
         new = np.r_[True, low[order][1:] != low[order][:-1]]
         starts = np.flatnonzero(new)
         known = (np.diff(np.r_[starts, len(order)]) > 1) | (np.maximum.reduceat(more[order], starts) > 0)
@@ -284,11 +313,14 @@ def _older_suffixes(blocks: DataFrame, shared: DataFrame, length: int, buckets:
         rows = []
         for row in b.itertuples():
             s = _block(row).suffixes(length, _bits(flags))
-            of, docs = _bucket(s.name, buckets), _pack(s.docs)
+            of = _bucket(s.name, buckets)
             for k in np.unique(of):
                 a, z = np.searchsorted(of, [k, k + 1])
-                rows.append((k, row.block, _pack(s.name[a:z]), _pack(s.tag[a:z]), docs,
-                             _pack(s.least[a:z].astype(np.uint32))))
+                used = np.zeros(len(s.docs), bool)  # a row holds the documents that it refers to, no others
+                used[s.least[a:z]] = True
+                least = (np.cumsum(used) - 1)[s.least[a:z]]
+                rows.append((k, row.block, _pack(s.name[a:z]), _pack(s.tag[a:z]), _pack(s.docs[used]),
+                             _pack(least.astype(np.uint32))))
         return pd.DataFrame(rows, columns=["bucket", "block", "names", "tags", "docs", "least"])
 
     def sort(key, rows: pd.DataFrame) -> pd.DataFrame:

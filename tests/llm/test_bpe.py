@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import tiktoken
 
@@ -19,7 +20,8 @@ def test_fold_equals_the_library():
     rng = random.Random(5)
     words = ["".join(rng.choice("abcdefgh thein~!é漢") for _ in range(rng.randint(1, 120))) for _ in range(300)]
     pairs = bpe.PairRanks(RANKS)
-    assert pairs.fold([w.encode() for w in words]) == [bpe.fold(w.encode(), RANKS) for w in words] and pairs.fold([]) == []
+    at_once = [np.frombuffer(ids, np.int32).tolist() for ids in pairs.fold([w.encode() for w in words])]
+    assert at_once == [bpe.fold(w.encode(), RANKS) for w in words] and pairs.fold([]) == []
     for w in [*words, *[t for t in TEXTS if t]]:
         got = [i for p in __import__("regex").findall(PATTERN, w) for i in bpe.fold(p.encode(), RANKS)]
         assert got == TIKTOKEN.encode_ordinary(w)
@@ -35,7 +37,22 @@ def test_texts(spark):
     back = bpe.decode(bpe.encode(df, RANKS, PATTERN), RANKS).collect()
     for r in back:
         assert bytes(r.bytes) == (TEXTS[r.doc_id] or "").encode()
-    assert bpe.round_trip(df.limit(0), RANKS, PATTERN).count() == 0
+    both = bpe.encode_decode(df, RANKS, PATTERN).collect()
+    assert len(both) == len(TEXTS) + 1
+    for r in both:
+        assert r.decoded == (TEXTS[r.doc_id] or "") and r.ids == TIKTOKEN.encode_ordinary(r.decoded) and r.n_tokens == len(r.ids)
+    assert bpe.round_trip(df.limit(0), RANKS, PATTERN).count() == 0 and bpe.encode_decode(df.limit(0), RANKS, PATTERN).count() == 0
+
+
+def test_little_memory(monkeypatch):
+    """A worker that forgets all words at each call gives the same ids."""
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 0)
+    encoder, decoder = bpe._Encoder(RANKS, bpe.PairRanks(RANKS), PATTERN), bpe._Decoder(RANKS)
+    for t in TEXTS * 2:
+        ids = np.frombuffer(encoder([t])[0], np.int32)
+        assert ids.tolist() == TIKTOKEN.encode_ordinary(t or "") and decoder(ids) == (t or "").encode()
+    with pytest.raises(ValueError):
+        decoder(np.array([len(RANKS) + 5]))
 
 
 def test_query_equals_the_library(spark, sf):
