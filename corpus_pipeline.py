@@ -52,11 +52,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``ids`` and ``n_tokens`` of each text, and as ``text`` what the ids decode to (a null text: empty)."""
     ranks, pattern = vocabulary()
-    rest = [c for c in docs.columns if c not in ("text", "ids", "n_tokens", "_ids")]
-    encoded = bpe.encode(docs.select(*rest, "text"), ranks, pattern)
-    decoded = bpe.decode(encoded.select(*rest, "ids", F.col("ids").alias("_ids")), ranks, "_ids")
-    return decoded.select(*rest, F.decode("bytes", "UTF-8").alias("text"), "ids",
-                          F.size("ids").cast("long").alias("n_tokens"))
+    rest = [c for c in docs.columns if c not in ("text", "ids", "n_tokens")]
+    made = bpe.encode_decode(docs.select(F.struct(*rest).alias("row"), "text"), ranks, pattern)
+    return made.select("row.*", F.col("decoded").alias("text"), "ids", "n_tokens")
 
 
 STAGES = [("quality", quality_stage), ("near_dup", near_dup_stage), ("pii", pii_stage), ("mixing", mixing_stage),
