@@ -214,3 +214,30 @@ def q_scorer_binary(spark, sf):
     "UNPIVOT INCLUDE NULLS (value FOR metric IN (" + ", ".join(_REG_SQL) + "))")
 def q_scorer_regression(spark, sf):
     return finish(M.score_table(fx(spark, sf, "fx_reg"), "regression", "y_true", "y_pred", group_by="grp"))
+
+
+# ---------------------------------------------------------------- labels of any number, classes without rows
+
+_FRACTIONS = """SELECT o_orderkey AS id, CAST(o_custkey % 4 AS DOUBLE) / 4 + 1 AS t, CAST(o_orderkey % 5 AS DOUBLE) / 4 + 1 AS p FROM orders"""
+
+
+@register("confusion_fractional", f"""WITH x AS ({_FRACTIONS}),
+t AS (SELECT t AS class, COUNT(*) AS support, SUM(CASE WHEN t = p THEN 1 ELSE 0 END) AS tp FROM x GROUP BY t),
+q AS (SELECT p AS class, COUNT(*) AS n FROM x GROUP BY p)
+SELECT {r('t.class', 'class')}, tp::BIGINT AS tp, (COALESCE(n, 0) - tp)::BIGINT AS fp, (support - tp)::BIGINT AS fn, support::BIGINT AS support
+FROM t LEFT JOIN q USING (class)""")
+def q_confusion_fractional(spark, sf):
+    fx(spark, sf, "orders")  # registers the views
+    return finish(M.confusion_counts(spark.sql(_FRACTIONS), "t", "p"))
+
+
+_ABSENT = "SELECT y_true, p0, p1, p2 FROM fx_multi WHERE y_true <> 1"
+
+
+@register("log_loss_absent_class", with_fx("fx_multi") + f""", x AS ({_ABSENT})
+SELECT {r('-AVG(LN(LEAST(GREATEST(CASE y_true WHEN 0 THEN p0 ELSE p2 END, 1e-15), 1 - 1e-15)))', 'value')} FROM x""")
+def q_log_loss_absent(spark, sf):
+    """Q18 where a class of the model has no row."""
+    fx(spark, sf, "fx_multi")
+    d = spark.sql(_ABSENT).select("y_true", F.array("p0", "p1", "p2").alias("p"))
+    return finish(M.log_loss(d, "y_true", "p", classes=[0, 1, 2]))

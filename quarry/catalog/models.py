@@ -259,6 +259,21 @@ def q_grid(spark, sf):
     return finish(svr.prediction_grid(d, m, "qty", "disc", 20))
 
 
+@register("svr_contour_levels")
+def q_contours(spark, sf):
+    """The levels of the prediction surface and the grid cells that each crosses."""
+    d, m = _svr_fit(spark, sf)
+    return finish(svr.contour_levels(svr.prediction_grid(d, m, "qty", "disc", 20), 8))
+
+
+@register("svr_fit_auto")
+def q_svr_auto(spark, sf):
+    """R4 with the default kernel: predictions for every row, null where a feature is missing."""
+    d = _num(spark, sf).select(*KEY, *[F.when(F.col("l_orderkey") % 97 != 0, F.col(c)).alias(c) for c in _SVR_COLS], "y_reg")
+    m = svr.fit_svr(d, _SVR_COLS, "y_reg")
+    return finish(svr.predict_svr(d.select(*KEY, *_SVR_COLS), m), 4)
+
+
 @register("svr_stratified_support")
 def q_strat(spark, sf):
     d, m = _svr_fit(spark, sf)
@@ -455,6 +470,16 @@ def _experiment(spark, sf):
     return d.filter(F.col("is_test")), b
 
 
+@register("experiment_one_hot")
+def q_exp_one_hot(spark, sf):
+    """Y2 with indicator encoders: a grid search over folds that each fit their own, then the refit."""
+    d = fx(spark, sf, "fx_doc").select("doc_id", "n_chars", "n_spaces", "lang", "quality")
+    b, cv = experiments.run_experiment(d, "random_forest", ["n_chars", "n_spaces", "lang"], "quality", "doc_id", k=3,
+                                       grid={"n_trees": [5], "max_depth": [3, 4]}, prep={"encoder": "one_hot", "scaler": "min_max"})
+    best = F.lit(",".join(b.fitted.features))
+    return finish(search.cv_results(cv).withColumn("features", best))
+
+
 @register("experiment_predict")
 def q_exp_predict(spark, sf):
     te, b = _experiment(spark, sf)

@@ -158,7 +158,23 @@ register("scale_min_max", _scale_sql(_MM_STATS, _AFFINE))(_scaled("min_max"))
 register("scale_max_abs", _scale_sql(_MA_STATS, _AFFINE))(_scaled("max_abs"))
 register("scale_robust", _scale_sql(_RB_STATS, _AFFINE))(_scaled("robust"))
 register("scale_power")(_scaled("power"))
-register("scale_quantile")(_scaled("quantile"))
+
+
+def _quantile_sql() -> str:
+    """P10: knots, then for each value the knots around it; a value that several knots share lies in their middle."""
+    probs = "[" + ", ".join(repr(i / 999) for i in range(1000)) + "]"
+    ctes = []
+    for c in _SC:
+        ctes.append(f"""kn_{c} AS (SELECT unnest(range(1000)) AS i, unnest(QUANTILE_CONT({c}, {probs})) AS k FROM fx_num),
+di_{c} AS (SELECT k, MIN(i) AS a, MAX(i) AS b, LEAD(k) OVER (ORDER BY k) AS nk, LEAD(MIN(i)) OVER (ORDER BY k) AS na FROM kn_{c} GROUP BY k),
+un_{c} AS (SELECT x, CASE WHEN x = k THEN (a + b) / 2.0 ELSE b + (x - k) / (nk - k) * (na - b) END / 999.0 AS u
+  FROM (SELECT DISTINCT {c} AS x FROM fx_num) v ASOF JOIN di_{c} d ON v.x >= d.k)""")
+    joins = " ".join(f"JOIN un_{c} ON un_{c}.x = fx_num.{c}" for c in _SC)
+    return with_fx("fx_num") + ", " + ",\n".join(ctes) + f"\nSELECT {', '.join(_KEY)}, " + ", ".join(
+        r(f"un_{c}.u", c, 4) for c in _SC) + f" FROM fx_num {joins}"
+
+
+register("scale_quantile", _quantile_sql())(_scaled("quantile"))
 
 
 @register("inverse_robust", with_fx("fx_num") + f"SELECT {', '.join(_KEY)}, " + ", ".join(r(c, c, 4) for c in _SC) +
@@ -231,10 +247,55 @@ def q_inverse_label(spark, sf):
     return encoding.inverse_transform(encoding.transform(df, st), st)
 
 
-@register("preprocessor")
+def _preprocessor_sql() -> str:
+    """Interpolation within each part, then median and quartiles, codes and the mode of the training part."""
+    part = f"{md5_sql('event_id', 42)} / 4294967296.0 < 0.2"
+    filled = ("CASE WHEN value IS NOT NULL THEN value WHEN pp IS NOT NULL AND np IS NOT NULL "
+              "THEN pv + (nv - pv) * (pos - pp) / (np - pp) WHEN pp IS NOT NULL THEN pv ELSE nv END")
+    before = "(PARTITION BY is_test ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    after = "(PARTITION BY is_test ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    return with_fx("fx_nulls") + f""", p AS (SELECT *, {part} AS is_test,
+  ROW_NUMBER() OVER (PARTITION BY {part} ORDER BY ts, event_id) - 1 AS pos FROM fx_nulls),
+q AS (SELECT event_id, ts, is_even, value, pos, is_test, COALESCE(event_type, 'Unknown') AS et,
+  LAST_VALUE(CASE WHEN value IS NOT NULL THEN pos END IGNORE NULLS) OVER {before} AS pp, LAST_VALUE(value IGNORE NULLS) OVER {before} AS pv,
+  FIRST_VALUE(CASE WHEN value IS NOT NULL THEN pos END IGNORE NULLS) OVER {after} AS np, FIRST_VALUE(value IGNORE NULLS) OVER {after} AS nv FROM p),
+f AS (SELECT *, {filled} AS v FROM q),
+s AS (SELECT QUANTILE_CONT(v, 0.5) AS m, QUANTILE_CONT(v, 0.75) - QUANTILE_CONT(v, 0.25) AS iqr FROM f WHERE NOT is_test),
+mode AS (SELECT is_even AS e FROM f WHERE NOT is_test AND is_even IS NOT NULL GROUP BY is_even ORDER BY COUNT(*) DESC, is_even LIMIT 1),
+codes AS (SELECT et, DENSE_RANK() OVER (ORDER BY et) - 1 AS code FROM (SELECT DISTINCT et FROM f WHERE NOT is_test))
+SELECT event_id, ts, {r('(v - m) / iqr', 'value', 4)}, code::INTEGER AS event_type, COALESCE(is_even, e) AS is_even
+FROM f CROSS JOIN s CROSS JOIN mode JOIN codes USING (et) WHERE is_test"""
+
+
+@register("preprocessor", _preprocessor_sql())
 def q_preprocessor(spark, sf):
     df = fx(spark, sf, "fx_nulls").select("event_id", "ts", "value", "event_type", "is_even")
-    d = splits.train_test(df, "event_id", 0.2, 42)
+    d = splits.train_test(df, "event_id", 0.2, 42, hash_method="md5")
     st = pipeline.fit_preprocessor(d.filter(~F.col("is_test")).drop("is_test"), numeric=["value"],
                                    categorical=["event_type"], exclude=["event_id", "ts"], order_by=["ts", "event_id"])
     return finish(pipeline.apply_preprocessor(d.filter(F.col("is_test")).drop("is_test"), st), 4)
+
+
+_SETS = """SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_custkey END AS code FROM customer"""
+
+
+@register("one_hot_sparse", f"""WITH x AS ({_SETS}),
+codes AS (SELECT code::VARCHAR AS v, ROW_NUMBER() OVER (ORDER BY code::VARCHAR) - 1 AS i FROM x WHERE code IS NOT NULL)
+SELECT c_custkey, CASE WHEN i IS NULL THEN '' ELSE i::VARCHAR END AS indices, COUNT(i) OVER () AS size
+FROM x LEFT JOIN codes ON code::VARCHAR = v""")
+def q_one_hot_sparse(spark, sf):
+    """P12 with as many categories as rows: one column of indices and values."""
+    df = fx(spark, sf, "customer").selectExpr("c_custkey", "CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_custkey END AS code")
+    out = encoding.transform(df, encoding.fit_encoder(df, ["code"], "one_hot", layout="sparse"))
+    return out.select("c_custkey", F.array_join(F.col("code.indices").cast("array<string>"), ",").alias("indices"),
+                      F.col("code.size").cast("long").alias("size"))
+
+
+@register("inverse_indicators", "SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_custkey::VARCHAR END AS code FROM customer")
+def q_inverse_indicators(spark, sf):
+    """P16 of indicators, wide and sparse, for all categories."""
+    df = fx(spark, sf, "customer").selectExpr("c_custkey", "c_mktsegment", "CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_custkey END AS code")
+    wide = encoding.fit_encoder(df, ["c_mktsegment"], "one_hot")
+    sparse = encoding.fit_encoder(df, ["code"], "one_hot", layout="sparse")
+    coded = encoding.transform(encoding.transform(df, wide), sparse)
+    return encoding.inverse_transform(encoding.inverse_transform(coded, sparse), wide).select("c_custkey", "c_mktsegment", "code")

@@ -157,6 +157,53 @@ def q_pmodes(spark, sf):
     return finish(out)
 
 
+# p-values that both engines know: a share of the group's keys
+_GIVEN = """SELECT 'given' AS method, o_orderpriority || '/' || CAST(o_custkey % 9 AS STRING) AS feature,
+  AVG(o_totalprice) AS score, CAST(SUM(o_orderkey) % 1009 AS DOUBLE) / 5000.0 AS p_value
+FROM orders GROUP BY o_orderpriority, o_custkey % 9"""
+
+
+@register("select_given_pvalues", f"""WITH s AS ({_GIVEN}),
+k AS (SELECT *, COUNT(*) OVER () AS d, ROW_NUMBER() OVER (ORDER BY p_value, feature) AS pos FROM s),
+c AS (SELECT *, MAX(CASE WHEN p_value <= 0.05 * pos / d THEN p_value END) OVER () AS cut FROM k)
+SELECT 'fpr' AS mode, feature, {r('p_value', 'p_value')}, p_value < 0.05 AS selected FROM c
+UNION ALL SELECT 'fdr', feature, {r('p_value', 'p_value')}, COALESCE(p_value <= cut, FALSE) FROM c
+UNION ALL SELECT 'fwe', feature, {r('p_value', 'p_value')}, p_value < 0.05 / d FROM c""")
+def q_given_pvalues(spark, sf):
+    """the modes on p-values, over given ones."""
+    fx(spark, sf, "orders")  # registers the views
+    s = spark.sql(_GIVEN)
+    out = None
+    for mode in ("fpr", "fdr", "fwe"):
+        t = scoring.select_univariate(s, mode).select(F.lit(mode).alias("mode"), "feature", "p_value", "selected")
+        out = t if out is None else out.unionByName(t)
+    return finish(out)
+
+
+# nulls, NaN and rows without a class
+_HOLES = """SELECT CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_quantity END AS qty,
+  CASE WHEN l_orderkey % 5 = 0 THEN CAST('NaN' AS DOUBLE) ELSE l_discount + 0.0 END AS disc,
+  CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE l_returnflag END AS cls FROM lineitem"""
+
+
+def _holes_sql(method: str) -> str:
+    own = {c: raw_sql(f"(SELECT * FROM h WHERE {c} IS NOT NULL AND NOT isnan({c}) AND cls IS NOT NULL) AS t", [c], "cls", method, "classification")
+           for c in ("qty", "disc")}
+    return f"WITH h AS ({_HOLES}) SELECT feature, {r('raw', 'raw')} FROM (" + " UNION ALL ".join(f"({q})" for q in own.values()) + ")"
+
+
+def _holes(method: str, fn):
+    def q(spark, sf):
+        fx(spark, sf, "lineitem")  # registers the views
+        return finish(fn(spark.sql(_HOLES), "cls", ["qty", "disc"]).select("feature", "raw"))
+    register(f"score_{method}_holes", _holes_sql(method))(q)
+
+
+for _method, _fn in (("f_score", scoring.score_f_classif), ("mutual_info", scoring.score_mi_classif), ("chi2", scoring.score_chi2),
+                     ("chi2_contingency", scoring.chi2_contingency)):
+    _holes(_method, _fn)
+
+
 # ---------------------------------------------------------------- V rows
 
 _METHODS = ["f_score", "mutual_info", "correlation", "variance"]
@@ -277,14 +324,14 @@ from quarry.operators import relief  # noqa: E402
 
 _RELIEF = f"""WITH long AS (SELECT vec_id, label, t.i, embedding[t.i]::DOUBLE AS x FROM embeddings, range(1, 65) t(i)),
 rg AS (SELECT i, MAX(x) - MIN(x) AS rg FROM long GROUP BY i),
-anc AS (SELECT vec_id AS aid, label AS alab FROM embeddings ORDER BY {md5_sql('vec_id', 4)}, vec_id LIMIT 40),
+anc AS (SELECT vec_id AS aid, label AS alab FROM embeddings),
 pri AS (SELECT label, COUNT(*) / (SELECT COUNT(*) FROM embeddings)::DOUBLE AS prior FROM embeddings GROUP BY label),
 dist AS (SELECT a.aid, a.alab, le.vec_id, le.label,
            SUM(CASE WHEN rg.rg = 0 THEN 0 ELSE ABS(la.x - le.x) / rg.rg END) AS dist
          FROM anc a JOIN long la ON la.vec_id = a.aid JOIN long le ON le.i = la.i AND le.vec_id <> a.aid
          JOIN rg ON rg.i = la.i GROUP BY a.aid, a.alab, le.vec_id, le.label),
 nn AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY aid, label ORDER BY dist, vec_id) AS rk FROM dist) WHERE rk <= 5),
-contrib AS (SELECT la.i, CASE WHEN nn.label = nn.alab THEN -1.0 ELSE p.prior / (1 - pa.prior) END / (40 * 5)
+contrib AS (SELECT la.i, CASE WHEN nn.label = nn.alab THEN -1.0 ELSE p.prior / (1 - pa.prior) END / ((SELECT COUNT(*) FROM anc) * 5)
              * CASE WHEN rg.rg = 0 THEN 0 ELSE ABS(la.x - le.x) / rg.rg END AS c
             FROM nn JOIN long la ON la.vec_id = nn.aid JOIN long le ON le.vec_id = nn.vec_id AND le.i = la.i
             JOIN rg ON rg.i = la.i JOIN pri p ON p.label = nn.label JOIN pri pa ON pa.label = nn.alab),
@@ -295,6 +342,5 @@ SELECT feature, {r('weight', 'weight')}, ROW_NUMBER() OVER (ORDER BY weight DESC
 
 @register("relief_weights", _RELIEF)
 def q_relief(spark, sf):
-    w = relief.relief_weights(fx(spark, sf, "embeddings"), "embedding", "label", "vec_id", n_anchors=40, k=5,
-                              seed=4, hash_method="md5")
+    w = relief.relief_weights(fx(spark, sf, "embeddings"), "embedding", "label", "vec_id", k=5)
     return finish(w.withColumn("rank", F.col("rank").cast("int")))

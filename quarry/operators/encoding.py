@@ -1,10 +1,10 @@
 """Encoders (P11-P15, P16 for codes).
 
-Fitting pulls only the sorted distinct categories of each column - a list of
-``max_categories`` at most - and encodes with map literals (no join at all), so
-the data are never shuffled to encode them. Label codes of a column with more
-categories stay in a table, which is joined for codes and inverses; an indicator
-column for each of so many categories can't be made.
+The categories of all columns are one table (column, category, code, name), made by
+one distributed sort, whatever their number. Codes are joined to the rows and back;
+the table is sent to every task where its measured bytes allow, and joined by a
+shuffle beyond. Indicators come either as one column for each category (``wide``)
+or, for any number of categories, as one column of indices and values (``sparse``).
 """
 
 from __future__ import annotations
@@ -16,156 +16,205 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.cleaning import NAN_CATEGORY
+from quarry.plans.quantiles import fresh_name
 from quarry.plans.ranks import row_number_global
 from quarry.session import cut_lineage
 
 ENCODERS = ("label", "one_hot", "binarize", "multi_label")
 DEFAULT_ENCODER = "label"
-MAX_CATEGORIES = 100_000
+LAYOUTS = ("wide", "sparse")
+#: Bytes of a column's categories up to which they are sent to every task.
+BROADCAST_BYTES = 32 << 20
+#: Indicator columns of the wide layout; Spark can't plan many more, the sparse layout holds any number.
+MAX_WIDE = 10_000
 
 
 @dataclass
 class EncoderState:
     method: str
-    categories: dict = field(default_factory=dict)   # column -> sorted list of categories
+    columns: list = field(default_factory=list)
     nan_category: str = NAN_CATEGORY
-    tables: dict = field(default_factory=dict)       # column -> (category, code), beyond max_categories
+    layout: str = "wide"
+    dictionary: DataFrame | None = None            # (column, category, code, name), codes by sorted category
+    sizes: dict = field(default_factory=dict)      # column -> (categories, bytes of them)
+    nan_codes: dict = field(default_factory=dict)  # column -> code of nan_category, where it was seen
+    shown: dict = field(default_factory=dict)      # wide: column -> [(category, name)] by code
 
-    def to_rows(self):
-        return [(c, self.method, i, str(v)) for c, vals in self.categories.items() for i, v in enumerate(vals)]
+    def codes(self, column: str, category: str, code: str) -> DataFrame:
+        """(category, code) of a column under these names, marked for a broadcast where it is small."""
+        t = self.dictionary.filter(F.col("column") == column).select(F.col("category").alias(category), F.col("code").alias(code))
+        return F.broadcast(t) if self.sizes.get(column, (0, 0))[1] <= BROADCAST_BYTES else t
 
+    def names(self) -> DataFrame:
+        """(column, code, category, name): what each index of the sparse layout, or each wide column, stands for."""
+        return self.dictionary.select("column", "code", "category", "name")
 
-def fit_encoder(df: DataFrame, cols: Sequence[str], method: str = DEFAULT_ENCODER,
-                nan_category: str = NAN_CATEGORY, max_categories: int = MAX_CATEGORIES) -> EncoderState:
+
+def fit_encoder(df: DataFrame, cols: Sequence[str], method: str = DEFAULT_ENCODER, nan_category: str = NAN_CATEGORY,
+                layout: str = "wide") -> EncoderState:
+    """Categories of ``cols`` as text, without nulls; codes follow their sorted order."""
     if method not in ENCODERS:
         raise ValueError(f"unknown encoder {method!r}; expected one of {ENCODERS}")
-    st = EncoderState(method, nan_category=nan_category)
-    for c in cols:
-        src = df.select(F.explode(F.col(c)).alias("v")) if method == "multi_label" else df.select(F.col(c).alias("v"))
-        distinct = src.select(F.col("v").cast("string").alias("v")).filter(F.col("v").isNotNull()).distinct()
-        vals = distinct.limit(max_categories + 1).collect()
-        if len(vals) > max_categories and method == "label":
-            st.tables[c] = cut_lineage(row_number_global(distinct, ["v"], out="code").select(
-                F.col("v").alias("category"), F.col("code").cast("int").alias("code")))
-            continue
-        if len(vals) > max_categories:
-            raise ValueError(f"column {c} has more than {max_categories} categories")
-        st.categories[c] = sorted(r["v"] for r in vals)
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown layout {layout!r}; expected one of {LAYOUTS}")
+    cols = list(cols)
+    spark = df.sparkSession
+    if not cols:
+        return _state(spark.createDataFrame([], "column string, category string, code int, name string"), method, cols, nan_category, layout)
+    if method == "multi_label":
+        values = [F.transform(F.col(f"`{c}`"), lambda x: x.cast("string")) for c in cols]
+    else:
+        values = [F.array(F.col(f"`{c}`").cast("string")) for c in cols]
+    each = F.array(*[F.struct(F.lit(c).alias("column"), v.alias("values")) for c, v in zip(cols, values)])
+    found = (df.select(F.explode(each).alias("e")).select("e.column", F.explode("e.values").alias("category"))
+             .filter(F.col("category").isNotNull()).distinct())
+    numbered = row_number_global(found, ["category"], ["column"], out="code").select(
+        "column", "category", F.col("code").cast("int").alias("code"))
+    return _state(_named(numbered, df.columns), method, cols, nan_category, layout)
+
+
+def _named(numbered: DataFrame, taken: Sequence[str]) -> DataFrame:
+    """With a name for each category's indicator: column_category with signs as underscores; where that is taken by
+    another category (which has the name: the first) or a column of the table, the code is appended."""
+    plain = F.concat("column", F.lit("_"), F.regexp_replace("category", r"[^\p{L}\p{N}_]", "_"))
+    rows = numbered.withColumn("name", plain)
+    while True:
+        rows = cut_lineage(rows)
+        double = (rows.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("column", "code")).alias("first"))
+                  .withColumn("free", ~F.col("name").isin(*taken)).filter("n > 1 OR NOT free"))
+        if double.isEmpty():
+            return rows
+        stays = F.col("n").isNull() | (F.col("free") & (F.struct("column", "code") == F.col("first")))
+        rows = rows.join(double, "name", "left").select("column", "category", "code", F.when(stays, F.col("name")).otherwise(
+            F.concat("name", F.lit("__"), F.col("code").cast("string"))).alias("name"))
+
+
+def _state(dictionary: DataFrame, method: str, cols: list, nan_category: str, layout: str) -> EncoderState:
+    st = EncoderState(method, cols, nan_category, layout, cut_lineage(dictionary))
+    stats = st.dictionary.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("category") + 16).alias("bytes"),
+        F.max(F.when(F.col("category") == nan_category, F.col("code"))).alias("nan")).collect()  # one row per column
+    st.sizes = {r["column"]: (r["n"], r["bytes"]) for r in stats}
+    st.nan_codes = {r["column"]: r["nan"] for r in stats if r["nan"] is not None}
+    if method != "label" and layout == "wide":
+        for c, (n, _) in st.sizes.items():
+            if n > MAX_WIDE:
+                raise ValueError(f"column {c} has {n} categories: too many for one column each; use layout='sparse'")
+        st.shown = {c: [] for c in cols}
+        for r in st.dictionary.orderBy("column", "code").collect():  # what become column names
+            st.shown[r["column"]].append((r["category"], r["name"]))
     return st
 
 
-def _code_map(cats: list[str]) -> Column:
-    kv = []
-    for i, v in enumerate(cats):
-        kv += [F.lit(v), F.lit(i)]
-    return F.create_map(*kv) if kv else F.create_map().cast("map<string,int>")
+def _coded(df: DataFrame, st: EncoderState, c: str, out: str, unseen: str) -> DataFrame:
+    """``df`` with the code of column ``c``: null for null; a category that the fit didn't see becomes that of
+    ``nan_category`` or raises."""
+    text = F.col(f"`{c}`").cast("string")
+    key = fresh_name([*df.columns, out], "category")
+    fallback = (F.lit(st.nan_codes[c]) if unseen == "unknown" and c in st.nan_codes
+                else F.raise_error(F.concat(F.lit(f"unseen category in {c}: "), text)).cast("int"))
+    joined = df.join(st.codes(c, key, out), text == F.col(key), "left")
+    code = F.when(text.isNull(), F.lit(None).cast("int")).otherwise(F.coalesce(F.col(out), fallback))
+    return joined.drop(key).withColumn(out, code)
+
+
+def _coded_sets(df: DataFrame, st: EncoderState, c: str, out: str) -> DataFrame:
+    """``df`` with the sorted codes of an array column's categories; unseen ones are left out, null gives none.
+    Each different array is looked up once."""
+    texts = F.array_sort(F.array_distinct(F.transform(F.coalesce(F.col(f"`{c}`"), F.array().cast(df.schema[c].dataType)), lambda x: x.cast("string"))))
+    key, one, code = (fresh_name([*df.columns, out], n) for n in ("categories", "category", "code"))
+    given = df.withColumn(key, texts)
+    codes = st.codes(c, one + "_", code)
+    sets = (given.select(key).distinct().select(key, F.explode(key).alias(one))
+            .join(codes, F.col(one) == F.col(one + "_")).groupBy(key).agg(F.array_sort(F.collect_list(code)).alias(out)))
+    return given.join(sets, key, "left").drop(key).withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>")))
 
 
-def _safe(name: str) -> str:
-    return "".join(ch if ch.isalnum() or ch == "_" else "_" for ch in name)
+def _sparse(size: int, indices: Column) -> Column:
+    return F.struct(F.lit(size).alias("size"), indices.alias("indices"), F.transform(indices, lambda _: F.lit(1.0)).alias("values"))
+
+
+def _shown(st: EncoderState, c: str) -> list:
+    """(code, category, name) of the wide columns: of a binarized pair the second only."""
+    rows = [(i, v, n) for i, (v, n) in enumerate(st.shown[c])]
+    return rows[1:] if st.method == "binarize" and len(rows) == 2 else rows
 
 
 def transform(df: DataFrame, st: EncoderState, unseen: str = "unknown") -> DataFrame:
     """Apply the fitted encoder. ``unseen='unknown'`` maps categories not seen in
     fit to the code of ``nan_category`` when that category was seen in fit,
-    and raises otherwise; ``unseen='error'`` always raises (P15)."""
-    out = []
-    joined = {}
-    for c in [c for c in df.columns if c in st.tables]:
-        t, joined[c] = st.tables[c], f"_code_{c}"
-        given, same = f"_category_{c}", F.col(c).cast("string")
-        nan = t.filter(F.col("category") == st.nan_category).first() if unseen == "unknown" else None
-        fallback = F.lit(nan["code"]) if nan else F.raise_error(
-            F.concat(F.lit(f"unseen category in {c}: "), same)).cast("int")
-        df = df.join(t.select(F.col("category").alias(given), F.col("code").alias(joined[c])),
-                     same == F.col(given), "left").drop(given).withColumn(
-            joined[c], F.when(F.col(c).isNull(), F.lit(None).cast("int")).otherwise(F.coalesce(F.col(joined[c]), fallback)))
-    for c in df.columns:
-        if c in joined:
-            out.append(F.col(joined[c]).alias(c))
-            continue
-        if c in joined.values():
-            continue
-        if c not in st.categories:
-            out.append(F.col(c))
+    and raises otherwise; ``unseen='error'`` always raises (P15). Multi-label arrays
+    leave unseen categories out.
+
+    Label: the column holds its code. Wide: indicator columns in its place. Sparse: a
+    struct of ``size``, ``indices`` (codes) and ``values`` in its place."""
+    order, made = df.columns, {}
+    for c in [c for c in order if c in st.columns]:
+        out = made[c] = fresh_name([*df.columns, *order], f"code_{c}")
+        df = _coded_sets(df, st, c, out) if st.method == "multi_label" else _coded(df, st, c, out, unseen)
+    cols = []
+    for c in order:
+        if c not in made:
+            cols.append(F.col(f"`{c}`"))
             continue
-        cats = st.categories[c]
-        s = F.col(c).cast("string")
+        code = F.col(f"`{made[c]}`")
         if st.method == "label":
-            code = F.try_element_at(_code_map(cats), s)
-            fallback = (F.lit(cats.index(st.nan_category)) if (unseen == "unknown" and st.nan_category in cats)
-                        else F.raise_error(F.concat(F.lit(f"unseen category in {c}: "), s)).cast("int"))
-            out.append(F.when(F.col(c).isNull(), F.lit(None).cast("int"))
-                       .when(code.isNotNull(), code).otherwise(fallback).alias(c))
-        elif st.method in ("one_hot", "binarize"):
-            known = F.array(*[F.lit(v) for v in cats]) if cats else F.array().cast("array<string>")
-            use_unknown = unseen == "unknown" and st.nan_category in cats
-            mapped = F.when(F.array_contains(known, s) | F.col(c).isNull(), s).otherwise(
-                F.lit(st.nan_category) if use_unknown
-                else F.raise_error(F.concat(F.lit(f"unseen category in {c}: "), s)).cast("string"))
-            show = cats[1:] if (st.method == "binarize" and len(cats) == 2) else cats
-            for v in show:
-                out.append((mapped == F.lit(v)).cast("int").alias(f"{c}_{_safe(v)}"))
-        else:  # multi_label
-            arr = F.transform(F.col(c), lambda x: x.cast("string"))
-            for v in cats:
-                out.append(F.coalesce(F.array_contains(arr, F.lit(v)), F.lit(False)).cast("int")
-                           .alias(f"{c}_{_safe(v)}"))
-    return df.select(*out)
+            cols.append(code.alias(c))
+        elif st.layout == "sparse":
+            indices = code if st.method == "multi_label" else F.when(code.isNull(), F.array().cast("array<int>")).otherwise(F.array(code))
+            cols.append(_sparse(st.sizes.get(c, (0, 0))[0], indices).alias(c))
+        elif st.method == "multi_label":
+            cols += [F.array_contains(code, i).cast("int").alias(n) for i, _, n in _shown(st, c)]
+        else:
+            cols += [(code == i).cast("int").alias(n) for i, _, n in _shown(st, c)]
+    return df.select(*cols)
+
+
+def _decoded(df: DataFrame, st: EncoderState, c: str, code: Column, out: str) -> DataFrame:
+    """``df`` with the category of ``code``."""
+    key = fresh_name([*df.columns, out], "code")
+    return df.join(st.codes(c, out, key), code.cast("int") == F.col(key), "left").drop(key)
 
 
 def inverse_transform(df: DataFrame, st: EncoderState, cols: Sequence[str] | None = None) -> DataFrame:
-    """Label codes back to categories; the indicator columns of the other encoders
-    back to their category (one-hot, binarized) or to the array of categories (multi-label)."""
-    if st.method != "label":
-        wanted = [c for c in (cols or list(st.categories)) if c in st.categories]
-        made, used = {}, set()
+    """Codes back to categories; indicators, wide or sparse, back to their category
+    (one-hot, binarized) or to the array of categories (multi-label)."""
+    wanted = [c for c in (cols or st.columns) if c in st.columns]
+    if st.method != "label" and st.layout == "wide":
+        used, made = set(), {}
         for c in wanted:
-            cats = st.categories[c]
-            two = st.method == "binarize" and len(cats) == 2
-            names = {v: f"{c}_{_safe(v)}" for v in (cats[1:] if two else cats)}
-            used |= set(names.values())
+            rows = _shown(st, c)
+            used |= {n for _, _, n in rows}
             if st.method == "multi_label":
-                made[c] = F.filter(F.array(*[F.when(F.col(n) == 1, F.lit(v)) for v, n in names.items()]),
-                                   lambda x: x.isNotNull())
-            elif two:
-                only = F.col(names[cats[1]])
-                made[c] = F.when(only == 1, F.lit(cats[1])).when(only == 0, F.lit(cats[0]))
+                made[c] = F.filter(F.array(*[F.when(F.col(f"`{n}`") == 1, F.lit(v)) for _, v, n in rows]), lambda x: x.isNotNull())
+            elif len(rows) < len(st.shown[c]):
+                only = F.col(f"`{rows[0][2]}`")
+                made[c] = F.when(only == 1, F.lit(rows[0][1])).when(only == 0, F.lit(st.shown[c][0][0]))
             else:
-                made[c] = F.coalesce(*[F.when(F.col(n) == 1, F.lit(v)) for v, n in names.items()], F.lit(None))
-        return df.select(*[F.col(c) for c in df.columns if c not in used and c not in made],
-                         *[e.alias(c) for c, e in made.items()])
-    cols = [c for c in (cols or [*st.categories, *st.tables]) if c in df.columns]
-    order, out = df.columns, []
-    for c in [c for c in cols if c in st.tables]:
-        t = st.tables[c].select(F.col("category").alias("_category"), F.col("code").alias("_code"))
-        df = df.join(t, F.col(c).cast("int") == F.col("_code"), "left").drop(c, "_code").withColumnRenamed("_category", c)
-    df, cols = df.select(*order), [c for c in cols if c not in st.tables]
-    for c in df.columns:
-        if c in cols:
-            kv = []
-            for i, v in enumerate(st.categories[c]):
-                kv += [F.lit(i), F.lit(v)]
-            out.append(F.try_element_at(F.create_map(*kv), F.col(c).cast("int")).alias(c))
+                made[c] = F.coalesce(*[F.when(F.col(f"`{n}`") == 1, F.lit(v)) for _, v, n in rows], F.lit(None).cast("string"))
+        return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in used and c not in made], *[e.alias(c) for c, e in made.items()])
+    order, made = df.columns, {}
+    for c in [c for c in wanted if c in df.columns]:
+        out = made[c] = fresh_name([*df.columns, *order], f"category_{c}")
+        if st.method == "label":
+            df = _decoded(df, st, c, F.col(f"`{c}`"), out)
+        elif st.method == "multi_label":
+            key, i, v = (fresh_name([*df.columns, out], n) for n in ("indices", "index", "value"))
+            given = df.withColumn(key, F.col(f"`{c}`.indices"))
+            sets = _decoded(given.select(key).distinct().select(key, F.explode(key).alias(i)), st, c, F.col(i), v)
+            sets = sets.groupBy(key).agg(F.array_sort(F.collect_list(v)).alias(out))
+            df = given.join(sets, key, "left").drop(key).withColumn(out, F.coalesce(F.col(f"`{out}`"), F.array().cast("array<string>")))
         else:
-            out.append(F.col(c))
-    return df.select(*out)
+            df = _decoded(df, st, c, F.get(F.col(f"`{c}`.indices"), F.lit(0)), out)
+    return df.select(*[F.col(f"`{made[c]}`").alias(c) if c in made else F.col(f"`{c}`") for c in order])
 
 
 def encoder_table(spark, st: EncoderState) -> DataFrame:
-    out = spark.createDataFrame(st.to_rows(), "column string, method string, code int, category string")
-    for c, t in st.tables.items():
-        out = out.unionByName(t.select(F.lit(c).alias("column"), F.lit(st.method).alias("method"), "code", "category"))
-    return out
-
-
-def encoder_from_table(table: DataFrame, method: str, nan_category: str,
-                       max_categories: int = MAX_CATEGORIES) -> EncoderState:
-    st = EncoderState(method, nan_category=nan_category)
-    for r in table.groupBy("column").count().collect():
-        c, own = r["column"], table.filter(F.col("column") == r["column"])
-        if r["count"] > max_categories and method == "label":
-            st.tables[c] = own.select("category", "code")
-        else:
-            st.categories[c] = [x["category"] for x in own.orderBy("code").collect()]
-    return st
+    """The state as rows: column, method, layout, code, category, name."""
+    return st.dictionary.select("column", F.lit(st.method).alias("method"), F.lit(st.layout).alias("layout"), "code", "category", "name")
+
+
+def encoder_from_table(table: DataFrame, method: str, nan_category: str, columns: Sequence[str] | None = None,
+                       layout: str = "wide") -> EncoderState:
+    cols = list(columns) if columns is not None else sorted(r[0] for r in table.select("column").distinct().collect())
+    return _state(table.select("column", "category", "code", "name"), method, cols, nan_category, layout)

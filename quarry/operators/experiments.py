@@ -27,13 +27,6 @@ class Bundle:
     key: list
 
 
-def _prepare(df: DataFrame, st, features):
-    if st is None:
-        return df
-    keep = [c for c in df.columns if c not in features]
-    return pipeline.apply_preprocessor(df.select(*keep, *features), st)
-
-
 def run_experiment(df: DataFrame, kind: str, features: Sequence[str], label: str, key, params: dict | None = None,
                    grid=None, k: int = 5, seed: int = 42, prep: dict | None = None, refit_metric: str | None = None,
                    parallelism: int = 4):
@@ -51,8 +44,8 @@ def run_experiment(df: DataFrame, kind: str, features: Sequence[str], label: str
         cv, best, _ = search.grid_search(folded, "fold", kind, features, label, keys, grid, task, metric, prep,
                                          parallelism, refit=False)
         params = best
-    st = pipeline.fit_preprocessor(df.select(*features), numeric=features, **(prep or {})) if prep is not None else None
-    fitted = models.fit_model(_prepare(df, st, features), kind, features, label, keys, params or {})
+    train, used, st = search.prepared(df, features, prep) if prep is not None else (df, features, None)
+    fitted = models.fit_model(train, kind, used, label, keys, params or {})
     return Bundle(st, fitted, task, features, label, keys), cv
 
 
@@ -60,7 +53,7 @@ def predict(df: DataFrame, bundle: Bundle) -> DataFrame:
     """Through the fitted preprocessor; p1 is NULL for models without probabilities."""
     if bundle is None or bundle.fitted is None:
         raise NotFittedError("model is not fitted")
-    return models.predict_model(_prepare(df, bundle.prep, bundle.features), bundle.fitted)
+    return models.predict_model(df if bundle.prep is None else pipeline.apply_preprocessor(df, bundle.prep), bundle.fitted)
 
 
 def score(df: DataFrame, bundle: Bundle, json_path: str | None = None) -> DataFrame:

@@ -1,27 +1,31 @@
 """Random forest classification (T rows), grown level by level.
 
-* Features are binned once: exact midpoints between adjacent distinct values
-  when a feature has at most ``max_bins`` values, quantile edges otherwise.
+* Features are binned once, by one rule: midpoints between neighbours among a
+  feature's distinct values, evenly chosen from a mergeable sample of them, which
+  holds all of them where they are few.
 * Bootstrap = Poisson(1) weight per (row, tree) from a hash of the key - no
   row index, nothing on the driver.
-* Each depth level is ONE Spark job for ALL trees: a ``mapInPandas`` kernel
-  routes every row through every tree with the broadcast node table and emits
-  per-batch partial histograms (tree, node, feature, bin) -> class weights;
-  Spark's partial aggregation and one shuffle merge them; a window over bins
-  (partitioned by tree, node, feature - at most max_bins rows each) and
-  ``min_by`` pick the best split. Only the split table (bounded by the model
-  size) reaches the driver. Rows are re-routed from the root each level, so
-  lineage never grows; the binned table is persisted for reuse.
+* Each depth level is ONE Spark job for ALL trees of all forests that are grown
+  together (a grid search grows its candidates on all folds at once): an Arrow
+  kernel routes every row through every tree with the broadcast node table and
+  emits per-batch partial histograms (forest, tree, node, feature, bin) -> class
+  weights; Spark's partial aggregation and one shuffle merge them; a window over
+  bins (partitioned by tree, node, feature - at most max_bins rows each) and
+  ``min_by`` pick the best split. Only the split table (bounded by the models'
+  size, and by WAVE_TREES) reaches the driver. Rows are re-routed from the root
+  each level, so lineage never grows; the binned table is persisted for reuse.
 """
 
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,29 +123,59 @@ def _weights_array(keys: list[str], n_trees: int, seed: int, hash_method: str) -
 
 # ----------------------------------------------------------------------------- binning
 
+#: Distinct values of a feature, those of the smallest hashes, that its cut points are chosen from.
+SAMPLED_VALUES = 4096
+
+
+def _value_hash(x: np.ndarray) -> np.ndarray:
+    """Avalanche of the bits of doubles."""
+    h = x.view(np.uint64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return h ^ (h >> np.uint64(31))
+
+
+def sample_values(df: DataFrame, features: Sequence[str]) -> dict[str, np.ndarray]:
+    """The SAMPLED_VALUES distinct values of each feature whose hashes are smallest, sorted: an even sample of the
+    distinct values, the same for any partitions, and all of them where they are fewer. Nulls and NaN are left out."""
+    cols, n = [F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)], len(features)
+
+    def kernel(batches):
+        kept = [np.empty(0)] * n
+        for b in batches:
+            for i, c in enumerate(b.columns):
+                x = c.drop_null().to_numpy(zero_copy_only=False)
+                kept[i] = least(np.union1d(kept[i], x[~np.isnan(x)] + 0.0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(np.arange(len(kept), dtype=np.int32), [len(x) for x in kept])),
+             pa.array(np.concatenate(kept)), pa.array(np.concatenate([_value_hash(x) for x in kept]).view(np.int64))],
+            ["feature", "value", "h"])
+
+    def least(x):
+        return x if len(x) <= SAMPLED_VALUES else np.sort(x[np.argpartition(_value_hash(x), SAMPLED_VALUES)[:SAMPLED_VALUES]])
+
+    # unsigned order of the hashes, as in the kernel
+    order = Window.partitionBy("feature").orderBy(F.col("h") < 0, "h")
+    found = (df.select(*cols).mapInArrow(kernel, "feature int, value double, h long").distinct()
+             .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= SAMPLED_VALUES).select("feature", "value").collect())
+    out = {c: [] for c in features}
+    for r in found:
+        out[features[r["feature"]]].append(r["value"])
+    return {c: np.sort(np.array(v, dtype=float)) for c, v in out.items()}
+
+
+def cut_points(values: np.ndarray, max_bins: int = 64) -> np.ndarray:
+    """At most ``max_bins`` midpoints between neighbours of the sorted values, evenly chosen; all where there are no more."""
+    gaps = len(values) - 1
+    if gaps < 1:
+        return np.array([], dtype=float)
+    at = np.unique(np.round(np.linspace(0, gaps - 1, min(gaps, max_bins))).astype(int))
+    return values[at] / 2.0 + values[at + 1] / 2.0
+
+
 def fit_bins(df: DataFrame, features: Sequence[str], max_bins: int = 64) -> dict[str, np.ndarray]:
-    """Split candidates per feature: midpoints of adjacent distinct values when
-    there are at most ``max_bins`` of them, else approximate quantile edges."""
-    nd = df.agg(*[F.approx_count_distinct(F.col(c), 0.05).alias(c) for c in features]).first()
-    out = {}
-    small = [c for c in features if nd[c] <= 2 * max_bins]
-    exact = {}
-    if small:
-        # approx count <= 2 x max_bins bounds every set collected here
-        sets = df.agg(*[F.collect_set(F.col(c).cast("double")).alias(c) for c in small]).first()
-        for c in small:
-            vals = [v for v in sets[c] if v is not None and not math.isnan(v)]
-            if len(vals) <= max_bins:
-                exact[c] = np.array(sorted(vals))
-    big = [c for c in features if c not in exact]
-    if big:
-        probs = [i / max_bins for i in range(1, max_bins)]
-        q = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10000).alias(c) for c in big]).first()
-        for c in big:
-            out[c] = np.unique(np.asarray(q[c], dtype=float))
-    for c, v in exact.items():
-        out[c] = (v[:-1] + v[1:]) / 2.0 if len(v) > 1 else np.array([], dtype=float)
-    return out
+    """Split candidates per feature: cut points among its distinct values (of an even sample of SAMPLED_VALUES)."""
+    return {c: cut_points(v, max_bins) for c, v in sample_values(df, list(features)).items()}
 
 
 def _bin_expr(c: str, th: np.ndarray) -> Column:
@@ -211,147 +245,243 @@ def _route(xb: np.ndarray, feat: np.ndarray, bins: np.ndarray, left: np.ndarray,
     return node
 
 
+#: Training frames that are read and binned at once.
+PREPARED_AT_ONCE = 4
+#: Trees that are grown in the same jobs at most, which bounds the node tables on the driver and in each task.
+WAVE_TREES = 2000
+DEFAULTS = {"n_trees": 50, "max_depth": 15, "min_samples_split": 5, "min_samples_leaf": 2, "impurity": "entropy",
+            "max_features": "sqrt", "max_bins": 64, "seed": 42, "bootstrap_rows": True}
+HISTOGRAM = "forest int, tree int, node int, feature int, bin int, c0 double, c1 double"
+
+
 def fit_forest(df: DataFrame, features: Sequence[str], label: str, key: Sequence[str] | str,
                n_trees: int = 50, max_depth: int = 15, min_samples_split: int = 5, min_samples_leaf: int = 2,
                impurity: str = "entropy", max_features: str | int = "sqrt", max_bins: int = 64,
                seed: int = 42, bootstrap_rows: bool = True, hash_method: str = "xxhash64") -> Forest:
     """Grow ``n_trees`` trees level-wise; max_depth jobs in total."""
-    if impurity not in IMPURITIES:
-        raise ValueError(f"unknown impurity {impurity!r}")
-    features = list(features)
+    params = {"n_trees": n_trees, "max_depth": max_depth, "min_samples_split": min_samples_split, "min_samples_leaf": min_samples_leaf,
+              "impurity": impurity, "max_features": max_features, "max_bins": max_bins, "seed": seed, "bootstrap_rows": bootstrap_rows}
+    return fit_forests([(df, features)], label, key, [(0, params)], hash_method)[0]
+
+
+def fit_forests(trainings: Sequence[tuple[DataFrame, Sequence[str]]], label: str, key: Sequence[str] | str,
+                wanted: Sequence[tuple[int, dict]], hash_method: str = "xxhash64") -> list[Forest]:
+    """Many forests in the jobs of one: ``wanted`` holds (number of the training frame, parameters) of each.
+
+    ``trainings`` are frames with their feature columns, such as the training rows of each fold. Each (frame,
+    max_bins) is binned once; all the binned rows are one table, and a level of all forests is one job over it."""
+    wanted = [(t, {**DEFAULTS, **p}) for t, p in wanted]
+    for _, p in wanted:
+        if p["impurity"] not in IMPURITIES:
+            raise ValueError(f"unknown impurity {p['impurity']!r}")
     keys = [key] if isinstance(key, str) else list(key)
-    labels = [r[0] for r in df.select(label).distinct().limit(3).collect()]
-    if not set(labels) <= {0, 1}:
-        raise ValueError("labels must be exactly 0 and 1")
-    # one parallel, persisted copy of the needed columns feeds binning and weights
-    raw = spread(df.select(*features, label, *[k_ for k_ in keys if k_ not in features and k_ != label])) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    th = fit_bins(raw, features, max_bins)
-    d = len(features)
-    k = max(1, int(math.floor(math.sqrt(d)))) if max_features == "sqrt" else \
-        (d if max_features in (None, "all") else int(max_features))
-    rng = np.random.default_rng(seed)
-    tree_feats = [np.sort(rng.choice(d, size=min(k, d), replace=False)) for _ in range(n_trees)]
-    w = _weights_array(keys, n_trees, seed, hash_method) if bootstrap_rows else \
-        F.array_repeat(F.lit(1), n_trees).cast("array<tinyint>")
-    binned = (raw.select(F.array(*[_bin_expr(c, th[c]) for c in features]).alias("xb"),
-                         F.col(label).cast("byte").alias("y"), w.alias("w"))
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    model = Forest(features, th, impurity, [_new_tree() for _ in range(n_trees)],
-                   [list(map(int, f)) for f in tree_feats])
-    spark = df.sparkSession
-    # root counts: one aggregation over the weights (this also materialises `binned`)
-    root = binned.select("y", F.posexplode("w").alias("t", "wt")).groupBy("t").agg(
-        F.sum(F.when(F.col("y") == 0, F.col("wt")).otherwise(0)).alias("c0"),
-        F.sum(F.when(F.col("y") == 1, F.col("wt")).otherwise(0)).alias("c1")).collect()
-    rc = {r["t"]: (float(r["c0"]), float(r["c1"])) for r in root}
-    raw.unpersist()
-    active = []  # (tree, node)
-    for t in range(n_trees):
-        c0, c1 = rc.get(t, (0.0, 0.0))
-        nid = _add_node(model.trees[t], c0, c1, 0, impurity)
-        if c0 > 0 and c1 > 0 and c0 + c1 >= min_samples_split and max_depth > 0:
-            active.append((t, nid))
-    hist_schema = "tree int, node int, feature int, bin int, c0 double, c1 double"
-    for depth in range(max_depth):
-        if not active:
-            break
-        arrays = [{k_: np.asarray(v, dtype=(np.float64 if k_ in ("thr", "c0", "c1", "imp") else np.int64))
-                   for k_, v in tr.items()} for tr in model.trees]
-        act = {}
-        for t, nid in active:
-            act.setdefault(t, []).append(nid)
-        bc = spark.sparkContext.broadcast((arrays, {t: np.array(v) for t, v in act.items()}, model.tree_features))
-        dd = depth
-
-        def kernel(batches, bc=bc, dd=dd):
-            arrays_, act_, tf_ = bc.value
-            for pdf in batches:
-                xb = np.stack(pdf["xb"].to_numpy()).astype(np.int64) if len(pdf) else np.zeros((0, d), np.int64)
-                y = pdf["y"].to_numpy().astype(np.int64)
-                wt = np.stack(pdf["w"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, n_trees))
-                outs = []
-                for t, nodes in act_.items():
-                    a = arrays_[t]
-                    node = _route(xb, a["feat"], a["bin"], a["left"], a["right"], dd)
-                    pos = np.full(len(a["feat"]), -1, dtype=np.int64)
-                    pos[nodes] = np.arange(len(nodes))
-                    li = pos[node]
-                    m = (li >= 0) & (wt[:, t] > 0)
-                    if not m.any():
-                        continue
-                    fs = np.asarray(tf_[t])
-                    nb = int(max_bins) + 1
-                    sub = xb[m][:, fs]                              # rows x |fs|
-                    idx = ((li[m][:, None] * len(fs) + np.arange(len(fs))[None, :]) * nb + sub).ravel()
-                    ww = np.repeat(wt[m, t], len(fs))
-                    yy = np.repeat(y[m], len(fs))
-                    dense = len(nodes) * len(fs) * nb
-                    if dense <= (1 << 22):
-                        # small cell space: dense bincount, keep the non-empty cells
-                        c0 = np.bincount(idx, weights=ww * (yy == 0), minlength=dense)
-                        c1 = np.bincount(idx, weights=ww * (yy == 1), minlength=dense)
-                        uniq = np.nonzero((c0 > 0) | (c1 > 0))[0]
-                        c0, c1 = c0[uniq], c1[uniq]
-                    else:
-                        uniq, inv = np.unique(idx, return_inverse=True)
-                        c0 = np.bincount(inv, weights=ww * (yy == 0), minlength=len(uniq))
-                        c1 = np.bincount(inv, weights=ww * (yy == 1), minlength=len(uniq))
-                    b = uniq % nb
-                    fl = (uniq // nb) % len(fs)
-                    nl = uniq // nb // len(fs)
-                    outs.append(pd.DataFrame({"tree": np.int32(t), "node": np.asarray(nodes)[nl].astype(np.int32),
-                                              "feature": fs[fl].astype(np.int32), "bin": b.astype(np.int32),
-                                              "c0": c0, "c1": c1}))
-                if outs:
-                    yield pd.concat(outs, ignore_index=True)
-
-        hist = (binned.mapInPandas(kernel, hist_schema)
-                .groupBy("tree", "node", "feature", "bin").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")))
-        best = _best_splits(hist, impurity, min_samples_leaf).collect()
-        bc.unpersist()
-        split_of = {(r["tree"], r["node"]): r for r in best}
-        nxt = []
-        for t, nid in active:
-            r = split_of.get((t, nid))
-            tr = model.trees[t]
-            if r is None:
-                continue
-            f, b = int(r["feature"]), int(r["bin"])
-            tr["feat"][nid], tr["bin"][nid] = f, b
-            tr["thr"][nid] = float(th[features[f]][b]) if b < len(th[features[f]]) else float("inf")
-            li = _add_node(tr, r["l0"], r["l1"], depth + 1, impurity)
-            ri = _add_node(tr, r["r0"], r["r1"], depth + 1, impurity)
-            tr["left"][nid], tr["right"][nid] = li, ri
-            for ci, (a0, a1) in ((li, (r["l0"], r["l1"])), (ri, (r["r0"], r["r1"]))):
-                if a0 > 0 and a1 > 0 and a0 + a1 >= min_samples_split and depth + 1 < max_depth:
-                    nxt.append((t, ci))
-        active = nxt
+    draws: dict[tuple, int] = {}  # (bootstrap, seed) -> trees that need its weights
+    for _, p in wanted:
+        draw = (p["bootstrap_rows"], p["seed"] if p["bootstrap_rows"] else 0)
+        draws[draw] = max(draws.get(draw, 0), p["n_trees"])
+    places, at = {}, 0
+    for draw, n in draws.items():
+        places[draw], at = at, at + n
+    weights = F.concat(*[_weights_array(keys, n, seed, hash_method) if boot else F.array_repeat(F.lit(1), n).cast("array<tinyint>")
+                         for (boot, seed), n in draws.items()])
+    def copied(t):
+        """One parallel, persisted copy of the needed columns, which feeds binning and weights."""
+        df, features = trainings[t]
+        raw = spread(df.select(*dict.fromkeys([*features, label, *keys]))).persist(StorageLevel.MEMORY_AND_DISK)
+        if not {r[0] for r in raw.select(label).distinct().limit(3).collect()} <= {0, 1}:
+            raise ValueError("labels must be exactly 0 and 1")
+        return raw
+
+    # frames, and then (frame, max_bins), are prepared by a few concurrent jobs
+    with ThreadPoolExecutor(max_workers=PREPARED_AT_ONCE) as ex:
+        used = list(dict.fromkeys(t for t, _ in wanted))
+        held = dict(zip(used, ex.map(copied, used)))
+        pairs = list(dict.fromkeys((t, p["max_bins"]) for t, p in wanted))
+        cuts = list(ex.map(lambda x: fit_bins(held[x[0]], list(trainings[x[0]][1]), x[1]), pairs))
+    binned = None
+    for number, ((t, _), th) in enumerate(zip(pairs, cuts)):
+        own = held[t].select(F.lit(number).alias("part"), F.array(*[_bin_expr(c, th[c]) for c in trainings[t][1]]).alias("xb"),
+                             F.col(label).cast("byte").alias("y"), weights.alias("w"))
+        binned = own if binned is None else binned.unionByName(own)
+    models = []
+    for t, p in wanted:
+        number = pairs.index((t, p["max_bins"]))
+        draw = (p["bootstrap_rows"], p["seed"] if p["bootstrap_rows"] else 0)
+        models.append(_Growing(number, cuts[number], list(trainings[t][1]), p, places[draw]))
+    # as many partitions as the largest frame has alone
+    sizes = [raw._jdf.queryExecution().toRdd().getNumPartitions() for raw in held.values()]
+    binned = binned.coalesce(max(1, *sizes)).persist(StorageLevel.MEMORY_AND_DISK)
+    first = 0
+    while first < len(models):
+        last, trees = first, 0
+        while last < len(models) and (last == first or trees + models[last].params["n_trees"] <= WAVE_TREES):
+            trees += models[last].params["n_trees"]
+            last += 1
+        _grow(binned, models[first:last], list(held.values()))
+        first = last
     binned.unpersist()
-    model.trees = [{k_: np.asarray(v, dtype=(np.float64 if k_ in ("thr", "c0", "c1", "imp") else np.int64))
-                    for k_, v in tr.items()} for tr in model.trees]
-    return model
+    for raw in held.values():
+        raw.unpersist()
+    return [m.done() for m in models]
+
 
+class _Growing:
+    """A forest while it grows."""
 
-def _best_splits(hist: DataFrame, metric: str, min_leaf: int) -> DataFrame:
+    def __init__(self, part: int, thresholds: dict, features: list, params: dict, weights_at: int):
+        self.part, self.thresholds, self.features, self.params, self.weights_at = part, thresholds, features, params, weights_at
+        d, wanted = len(features), params["max_features"]
+        k = max(1, int(math.floor(math.sqrt(d)))) if wanted == "sqrt" else (d if wanted in (None, "all") else int(wanted))
+        rng = np.random.default_rng(params["seed"])
+        self.tree_features = [np.sort(rng.choice(d, size=min(k, d), replace=False)) for _ in range(params["n_trees"])]
+        self.trees = [_new_tree() for _ in range(params["n_trees"])]
+        self.active: list[tuple[int, int]] = []  # (tree, node)
+
+    def add(self, tree: int, c0: float, c1: float, depth: int) -> int:
+        node = _add_node(self.trees[tree], c0, c1, depth, self.params["impurity"])
+        if c0 > 0 and c1 > 0 and c0 + c1 >= self.params["min_samples_split"] and depth < self.params["max_depth"]:
+            self.active.append((tree, node))
+        return node
+
+    def split(self, tree: int, node: int, r, depth: int) -> None:
+        tr, f, b = self.trees[tree], int(r["feature"]), int(r["bin"])
+        th = self.thresholds[self.features[f]]
+        tr["feat"][node], tr["bin"][node] = f, b
+        tr["thr"][node] = float(th[b]) if b < len(th) else float("inf")
+        tr["left"][node] = self.add(tree, r["l0"], r["l1"], depth + 1)
+        tr["right"][node] = self.add(tree, r["r0"], r["r1"], depth + 1)
+
+    def done(self) -> Forest:
+        return Forest(self.features, self.thresholds, self.params["impurity"], [_arrays(tr) for tr in self.trees],
+                      [list(map(int, f)) for f in self.tree_features])
+
+
+def _arrays(tree: dict) -> dict:
+    return {k: np.asarray(v, dtype=(np.float64 if k in ("thr", "c0", "c1", "imp") else np.int64)) for k, v in tree.items()}
+
+
+def _grow(binned: DataFrame, models: list[_Growing], inputs: list[DataFrame]) -> None:
+    """All levels of the forests: one job each."""
+    spark = binned.sparkSession
+    # root counts: one aggregation over the weights (this also materialises `binned`)
+    roots = {(r["part"], r["t"]): (float(r["c0"]), float(r["c1"])) for r in
+             binned.select("part", "y", F.posexplode("w").alias("t", "wt")).groupBy("part", "t").agg(
+                 F.sum(F.when(F.col("y") == 0, F.col("wt")).otherwise(0)).alias("c0"),
+                 F.sum(F.when(F.col("y") == 1, F.col("wt")).otherwise(0)).alias("c1")).collect()}
+    for raw in inputs:
+        raw.unpersist()
+    for m in models:
+        for t in range(m.params["n_trees"]):
+            m.add(t, *roots.get((m.part, m.weights_at + t), (0.0, 0.0)), 0)
+    metrics = {m.params["impurity"] for m in models}
+    gini = F.get(F.array(*[F.lit(m.params["impurity"] == "gini") for m in models]), F.col("forest"))
+    leaf = F.get(F.array(*[F.lit(m.params["min_samples_leaf"]) for m in models]), F.col("forest"))
+    depth = 0
+    while any(m.active for m in models):
+        level = []
+        for i, m in enumerate(models):
+            act: dict[int, list[int]] = {}
+            for t, node in m.active:
+                act.setdefault(t, []).append(node)
+            level.append((i, m.part, m.weights_at, int(m.params["max_bins"]) + 1, len(m.features),
+                          [(t, _arrays(m.trees[t]), np.array(nodes), np.asarray(m.tree_features[t])) for t, nodes in act.items()]))
+        shared = spark.sparkContext.broadcast([x for x in level if x[-1]])
+        hist = (binned.mapInArrow(_level_kernel(shared, depth), HISTOGRAM)
+                .groupBy("forest", "tree", "node", "feature", "bin").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")))
+        found = _best_splits(hist, metrics.pop() if len(metrics) == 1 else gini, leaf, ("forest", "tree", "node")).collect()
+        metrics = {m.params["impurity"] for m in models}
+        shared.unpersist()
+        best = {(r["forest"], r["tree"], r["node"]): r for r in found}
+        for i, m in enumerate(models):
+            now, m.active = m.active, []
+            for t, node in now:
+                if (i, t, node) in best:
+                    m.split(t, node, best[i, t, node], depth)
+        depth += 1
+
+
+def _level_kernel(shared, depth: int):
+    """Partial histograms of the level's nodes, from Arrow buffers: no Python object for each row."""
+    def kernel(batches):
+        by_part: dict[int, list] = {}
+        for x in shared.value:
+            by_part.setdefault(x[1], []).append(x)
+        for b in batches:
+            part, y = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 2))
+            cells = []
+            for p in np.unique(part).tolist():
+                rows = np.flatnonzero(part == p)
+                if p not in by_part:
+                    continue
+                xb, wt = (_matrix(b.column(c), rows) for c in (1, 3))
+                for forest_no, _, at, n_bins, _, trees in by_part[p]:
+                    for t, arrays, nodes, fs in trees:
+                        cells += _tree_cells(xb, y[rows], wt[:, at + t], arrays, nodes, fs, n_bins, depth, forest_no, t)
+            if cells:
+                ids = [np.concatenate(x) for x in zip(*cells)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32()) for x in ids[:5]] + [pa.array(x) for x in ids[5:]],
+                                                 ["forest", "tree", "node", "feature", "bin", "c0", "c1"])
+    return kernel
+
+
+def _matrix(lists: pa.ListArray, rows: np.ndarray) -> np.ndarray:
+    """The lists of ``rows``, which are equally long, as a matrix."""
+    ends = lists.offsets.to_numpy()
+    start, values = ends[rows], lists.values.to_numpy(zero_copy_only=False)
+    return values[start[:, None] + np.arange(ends[rows[0] + 1] - start[0])[None, :]].astype(np.int64)
+
+
+def _tree_cells(xb, y, wt, arrays, nodes, fs, nb, depth, forest_no, tree) -> list:
+    """Class weights of the non-empty (node, feature, bin) cells of a tree's active nodes."""
+    node = _route(xb, arrays["feat"], arrays["bin"], arrays["left"], arrays["right"], depth)
+    pos = np.full(len(arrays["feat"]), -1, dtype=np.int64)
+    pos[nodes] = np.arange(len(nodes))
+    li = pos[node]
+    m = (li >= 0) & (wt > 0)
+    if not m.any():
+        return []
+    idx = ((li[m][:, None] * len(fs) + np.arange(len(fs))[None, :]) * nb + xb[m][:, fs]).ravel()
+    ww = np.repeat(wt[m].astype(np.float64), len(fs))
+    yy = np.repeat(y[m], len(fs))
+    dense = len(nodes) * len(fs) * nb
+    if dense <= (1 << 22):
+        # small cell space: dense bincount, keep the non-empty cells
+        c0 = np.bincount(idx, weights=ww * (yy == 0), minlength=dense)
+        c1 = np.bincount(idx, weights=ww * (yy == 1), minlength=dense)
+        uniq = np.nonzero((c0 > 0) | (c1 > 0))[0]
+        c0, c1 = c0[uniq], c1[uniq]
+    else:
+        uniq, inv = np.unique(idx, return_inverse=True)
+        c0 = np.bincount(inv, weights=ww * (yy == 0), minlength=len(uniq))
+        c1 = np.bincount(inv, weights=ww * (yy == 1), minlength=len(uniq))
+    n = len(uniq)
+    return [(np.full(n, forest_no), np.full(n, tree), nodes[uniq // nb // len(fs)], fs[(uniq // nb) % len(fs)], uniq % nb, c0, c1)]
+
+
+def _best_splits(hist: DataFrame, metric: str | Column, min_leaf: int | Column, keys: Sequence[str] = ("tree", "node")) -> DataFrame:
     """T5: cumulative class counts over bins -> weighted child impurity; both
     children >= min_samples_leaf; strictly positive gain; lowest cost, then
-    first feature, then lowest threshold."""
-    w = Window.partitionBy("tree", "node", "feature").orderBy("bin")
-    wa = Window.partitionBy("tree", "node", "feature")
+    first feature, then lowest threshold. ``metric`` may be a column: true for gini, else entropy."""
+    w = Window.partitionBy(*keys, "feature").orderBy("bin")
+    wa = Window.partitionBy(*keys, "feature")
     h = (hist.withColumn("l0", F.sum("c0").over(w.rowsBetween(Window.unboundedPreceding, 0)))
          .withColumn("l1", F.sum("c1").over(w.rowsBetween(Window.unboundedPreceding, 0)))
          .withColumn("t0", F.sum("c0").over(wa)).withColumn("t1", F.sum("c1").over(wa)))
     h = h.withColumn("r0", F.col("t0") - F.col("l0")).withColumn("r1", F.col("t1") - F.col("l1"))
+
+    def imp(a, b):
+        if isinstance(metric, str):
+            return impurity_expr(F.col(a), F.col(b), metric)
+        return F.when(metric, impurity_expr(F.col(a), F.col(b), "gini")).otherwise(impurity_expr(F.col(a), F.col(b), "entropy"))
+
     nl, nr, n = F.col("l0") + F.col("l1"), F.col("r0") + F.col("r1"), F.col("t0") + F.col("t1")
-    cost = (nl * impurity_expr(F.col("l0"), F.col("l1"), metric) +
-            nr * impurity_expr(F.col("r0"), F.col("r1"), metric)) / n
-    gain = impurity_expr(F.col("t0"), F.col("t1"), metric) - cost
+    cost = (nl * imp("l0", "l1") + nr * imp("r0", "r1")) / n
+    gain = imp("t0", "t1") - cost
     h = h.withColumn("cost", cost).withColumn("gain", gain) \
          .filter((nl >= min_leaf) & (nr >= min_leaf) & (F.col("gain") > 1e-12))
-    return h.groupBy("tree", "node").agg(
+    return h.groupBy(*keys).agg(
         F.min_by(F.struct("feature", "bin", "l0", "l1", "r0", "r1", "gain", "cost"),
-                 F.struct("cost", "feature", "bin")).alias("b")).select("tree", "node", "b.*")
+                 F.struct("cost", "feature", "bin")).alias("b")).select(*keys, "b.*")
 
 
 # ----------------------------------------------------------------------------- T7-T10
@@ -408,6 +538,30 @@ def predict_forest(df: DataFrame, model: Forest, vote: str = "soft", threshold:
     return df.mapInPandas(kernel, out_schema)
 
 
+def predict_forests(df: DataFrame, features: Sequence[str], label: str, models: Sequence[tuple[int, Forest, dict]]) -> DataFrame:
+    """(candidate_id, label, prediction, p1): every row by each of ``models`` (candidate, forest, parameters), in one pass.
+
+    Candidates that share a forest share its walk."""
+    shared = df.sparkSession.sparkContext.broadcast(list(models))
+
+    def kernel(batches):
+        for pdf in batches:
+            x = pdf[[f"f{i}" for i in range(len(features))]].to_numpy(dtype=np.float64)
+            done: dict[int, tuple] = {}
+            for candidate, forest, params in shared.value:
+                if id(forest) not in done:
+                    done[id(forest)] = _tree_leaves(forest, x)
+                labels, p1 = done[id(forest)]
+                p = p1.mean(axis=1) if len(forest.trees) else np.zeros(len(x))
+                hard = params.get("vote", "soft") == "hard"
+                ones = (labels.mean(axis=1) >= 0.5) if hard else (p >= params.get("threshold", 0.5))
+                yield pd.DataFrame({"candidate_id": np.int32(candidate), label: pdf["y"], "prediction": ones.astype(np.int32), "p1": p})
+
+    kind = df.schema[label].dataType.simpleString()
+    given = df.select(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)], F.col(label).alias("y"))
+    return given.mapInPandas(kernel, f"candidate_id int, `{label}` {kind}, prediction int, p1 double")
+
+
 def importances(spark, model: Forest) -> DataFrame:
     """Mean impurity decrease, normalised per tree, averaged over trees."""
     tot = np.zeros(len(model.features))

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from quarry.plans.ranks import row_number_global, running_sums
 from quarry.plans.joins import join_groups, join_null_safe
-from quarry.plans.quantiles import group_quantiles
+from quarry.plans.quantiles import fresh_name, group_quantiles
 from quarry.session import cut_lineage
 
 # Machine epsilon of float64 (MAPE denominator floor) and the log-loss clip.
@@ -125,9 +125,12 @@ def target_diagnostics(df: DataFrame, cols: Sequence[str], group_by=None) -> Dat
 # ----------------------------------------------------------------------------- classification
 
 def _label(df: DataFrame, c: str) -> Column:
-    """Class labels: numbers as whole numbers, any other type as it is."""
+    """Class labels: whole numbers and booleans as long, other numbers as double (so that 1 equals 1.0 but not 1.2),
+    any other type as it is."""
     kind = df.schema[c].dataType
-    return F.col(c).cast("long") if isinstance(kind, (T.NumericType, T.BooleanType)) else F.col(c)
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return F.col(c).cast("long")
+    return F.col(c).cast("double") if isinstance(kind, T.NumericType) else F.col(c)
 
 
 def confusion_counts(df: DataFrame, y_true: str, y_pred: str, group_by=None) -> DataFrame:
@@ -207,25 +210,22 @@ def accuracy_score(df, y_true, y_pred, group_by=None):
 def log_loss(df: DataFrame, y_true: str, proba: str, group_by=None, eps: float = LOG_LOSS_EPS,
              classes: Sequence | None = None) -> DataFrame:
     """Q18. ``proba`` is P(1) (double) or an array of class probabilities whose
-    positions follow the sorted distinct classes (or ``classes``)."""
+    positions follow the sorted ``classes`` of the model; without them the sorted
+    distinct classes of ``y_true``, which are the model's only if each occurs."""
     g = _g(group_by)
     dt = df.schema[proba].dataType.simpleString()
     y = F.col(y_true).cast("double")
     if dt.startswith("array"):
-        places = _class_places(df, y_true) if classes is None else None
-        if places is None:
-            classes = sorted(classes) if classes is not None else class_list(df, y_true)
-            idx = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(i + 1))])
-            j = df.withColumn("_i", F.try_element_at(idx, _label(df, y_true)))
-        else:
-            j = df.join(places, _label(df, y_true) == F.col("_class"), "left").withColumn("_i", F.col("_place") + 1)
-        pt = F.element_at(F.col(proba), F.col("_i")).cast("double")
+        klass, place = (fresh_name(df.columns, n) for n in ("class", "place"))
+        j = df.join(class_places(df, y_true, classes, klass, place), _label(df, y_true) == F.col(klass), "left")
+        pt = F.element_at(F.col(proba), F.col(place) + 1).cast("double")
         pt = F.least(F.greatest(pt, F.lit(eps)), F.lit(1 - eps))
         return _agg(j, g, (-F.avg(F.ln(pt))).alias("value"))
     p = F.least(F.greatest(F.col(proba).cast("double"), F.lit(eps)), F.lit(1 - eps))
     return _agg(df, g, (-F.avg(y * F.ln(p) + (1 - y) * F.ln(1 - p))).alias("value"))
 
 
+#: Classes that are sent to every task as a table at most; more are joined by a shuffle.
 MAX_CLASSES = 10_000
 
 
@@ -237,12 +237,19 @@ def class_list(df: DataFrame, y_true: str, max_classes: int = MAX_CLASSES) -> li
     return sorted(r["c"] for r in rows if r["c"] is not None)
 
 
-def _class_places(df: DataFrame, y_true: str) -> DataFrame | None:
-    """(_class, _place from 0) of the sorted distinct classes where they are too many for a list, else none."""
-    found = df.select(_label(df, y_true).alias("_class")).filter(F.col("_class").isNotNull()).distinct()
-    if found.limit(MAX_CLASSES + 1).count() <= MAX_CLASSES:
-        return None
-    return cut_lineage(row_number_global(found, ["_class"], out="_place").select("_class", F.col("_place").cast("int").alias("_place")))
+def class_places(df: DataFrame, y_true: str, classes: Sequence | None, klass: str, place: str) -> DataFrame:
+    """(``klass``, ``place`` from 0) of the sorted ``classes``, or of the distinct ones of ``y_true``."""
+    label = _label(df, y_true)
+    kind = df.select(label.alias("c")).schema["c"].dataType
+    if classes is None:
+        found = df.select(label.alias(klass)).filter(F.col(klass).isNotNull()).distinct()
+        few = [r[0] for r in found.limit(MAX_CLASSES + 1).collect()]
+        if len(few) > MAX_CLASSES:
+            return cut_lineage(row_number_global(found, [klass], out=place).select(klass, F.col(place).cast("int").alias(place)))
+        classes = few
+    whole = float if isinstance(kind, T.DoubleType) else int if isinstance(kind, T.LongType) else (lambda c: c)
+    schema = T.StructType([T.StructField(klass, kind), T.StructField(place, T.IntegerType())])
+    return F.broadcast(df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(sorted(map(whole, classes)))], schema))
 
 
 # ----------------------------------------------------------------------------- curves
@@ -297,27 +304,27 @@ def average_precision_score(df: DataFrame, y_true: str, score: str, group_by=Non
     return _agg(c, g, F.sum("_a").alias("value"))
 
 
-def roc_auc_ovr(df: DataFrame, y_true: str, proba: str, group_by=None, n_buckets=None) -> DataFrame:
-    """Q21: mean one-vs-rest AUC; array positions follow the sorted distinct classes."""
+def roc_auc_ovr(df: DataFrame, y_true: str, proba: str, group_by=None, n_buckets=None, classes: Sequence | None = None) -> DataFrame:
+    """Q21: mean one-vs-rest AUC; array positions follow the sorted ``classes`` of the model (without them the
+    distinct ones of ``y_true``). A class of the model without rows has no curve and is left out of the mean."""
     g = _g(group_by)
-    places = _class_places(df, y_true)
-    ex = df.select(*g, _label(df, y_true).alias("_y"), F.posexplode(F.col(proba)).alias("_pos", "_p"))
-    if places is None:
-        classes = class_list(df, y_true)
-        cmap = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(i), F.lit(c))])
-        ex = ex.withColumn("_c", F.try_element_at(cmap, F.col("_pos"))).filter(F.col("_c").isNotNull())
-    else:
-        ex = ex.join(places.withColumnRenamed("_class", "_c"), F.col("_pos") == F.col("_place"))
-    ex = ex.withColumn("_yb", (F.col("_y") == F.col("_c")).cast("int"))
-    per = roc_auc_score(ex, "_yb", "_p", group_by=[*g, "_c"], n_buckets=n_buckets)
+    klass, place, truth, score, own = (fresh_name(g, n) for n in ("class", "place", "truth", "score", "own"))
+    ex = df.select(*g, _label(df, y_true).alias(truth), F.posexplode(F.col(proba)).alias("at", score))
+    ex = ex.join(class_places(df, y_true, classes, klass, place), F.col("at") == F.col(place))
+    ex = ex.withColumn(own, (F.col(truth) == F.col(klass)).cast("int"))
+    per = roc_auc_score(ex, own, score, group_by=[*g, klass], n_buckets=n_buckets)
+    if classes is not None:
+        seen = ex.groupBy(*g, klass).agg(F.max(own).alias(own)).filter(F.col(own) == 1).drop(own)
+        per = join_null_safe(per, seen, [*g, klass], "left_semi")
     return _agg(per, g, F.avg("value").alias("value"))
 
 
 # ----------------------------------------------------------------------------- scorer
 
 def score_table(df: DataFrame, task: str, y_true: str, y_pred: str, proba: str | None = None,
-                group_by=None, beta: float = DEFAULT_BETA) -> DataFrame:
+                group_by=None, beta: float = DEFAULT_BETA, classes: Sequence | None = None) -> DataFrame:
     """Q22: all metrics of the task as a long table (group..., metric, value).
+    ``classes``: those of the model, whose sorted order the places of an array ``proba`` follow.
 
     The few columns that the metrics read are checkpointed first, so whatever
     predicted them runs once per row."""
@@ -332,7 +339,7 @@ def score_table(df: DataFrame, task: str, y_true: str, y_pred: str, proba: str |
     if task != "classification":
         raise ValueError(f"task must be regression or classification, not {task!r}")
     k = _agg(df.select(*g, y_true).distinct(), g, F.count(F.lit(1)).alias("_k"))
-    n_classes = k.agg(F.max("_k")).first()[0] or 0
+    n_classes = max(k.agg(F.max("_k")).first()[0] or 0, len(classes or ()))
     parts = []
     if n_classes > 2:
         for avg_ in ("micro", "macro", "weighted"):
@@ -344,8 +351,8 @@ def score_table(df: DataFrame, task: str, y_true: str, y_pred: str, proba: str |
         acc = classification_report(df, y_true, y_pred, g, "micro", beta)
         parts.append(_long(acc, g, ["accuracy"]))
         if proba is not None:
-            parts.append(_long(log_loss(df, y_true, proba, g).withColumnRenamed("value", "log_loss"), g, ["log_loss"]))
-            parts.append(_long(roc_auc_ovr(df, y_true, proba, g).withColumnRenamed("value", "roc_auc"), g, ["roc_auc"]))
+            parts.append(_long(log_loss(df, y_true, proba, g, classes=classes).withColumnRenamed("value", "log_loss"), g, ["log_loss"]))
+            parts.append(_long(roc_auc_ovr(df, y_true, proba, g, classes=classes).withColumnRenamed("value", "roc_auc"), g, ["roc_auc"]))
     else:
         rep = classification_report(df, y_true, y_pred, g, "binary", beta)
         parts.append(_long(rep, g, ["accuracy", "precision", "recall", "f1", "fbeta"]))

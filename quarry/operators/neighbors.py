@@ -1,17 +1,20 @@
-"""Embeddings and neighbours: PCA (E6), exact k-nearest-neighbour graph (E7),
-deterministic scatter sample (E8)."""
+"""Embeddings and neighbours: PCA (E6), k-nearest-neighbour graph (E7) by inverted
+lists or exactly, deterministic scatter sample (E8)."""
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.hashing import row_hash
+from quarry.session import cut_lineage
 
 DEFAULT_COMPONENTS = 2
 
@@ -67,28 +70,160 @@ def _nearest_pairs(qi, qv, ci, cv, k: int):
     return i[place < k], j[place < k], dist[place < k]
 
 
-def knn_graph(df: DataFrame, id_col: str, vec_col: str, k: int = 10, block_rows: int = 2048,
-              n_blocks: int | None = None) -> DataFrame:
-    """Exact k-nearest-neighbour graph (Euclidean), (id, nbr, rank, dist).
-
-    Rows are dealt into blocks by a hash of the id; every (query block,
+#: Memory of the lists' centres, which every task holds.
+CENTRE_BYTES = 64 << 20
+#: Vectors whose true neighbours tell how many lists must be looked into.
+TUNED_ON = 200
+#: Vectors that one task holds of a list, as queries and as candidates; longer lists are dealt to several tasks.
+QUERY_ROWS, LIST_ROWS = 1 << 15, 1 << 16
+
+
+def knn_graph(df: DataFrame, id_col: str, vec_col: str, k: int = 10, method: str = "lists", probes: int | None = None,
+              recall: float = 0.95, block_rows: int = 2048, n_blocks: int | None = None) -> DataFrame:
+    """K-nearest-neighbour graph (Euclidean), (id, nbr, rank, dist), equal distances by nbr.
+
+    ``lists`` (default): the square root of n centres, chosen by hash among the different vectors; each vector stands
+    in the list of its nearest centre and looks for neighbours in its ``probes`` nearest lists, so a neighbour that
+    stands in another one is missed. Without ``probes``, as many as find a share of ``recall`` of the true neighbours
+    of TUNED_ON vectors, which are compared with all others. ``exact`` compares all pairs of vectors, block by block.
+    Rows whose id or vector, or a number of it, is missing are left out. Equal vectors are one for the search, however
+    many they are."""
+    if method not in ("lists", "exact"):
+        raise ValueError(f"method must be lists or exact, not {method!r}")
+    v = F.col(vec_col).cast("array<double>")
+    base = df.select(F.col(id_col).alias("id"), v.alias("v")).filter(
+        F.col("id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull() | F.isnan(x)))
+    return _knn_lists(base, k, probes, recall) if method == "lists" else _knn_exact(base, k, block_rows, n_blocks)
+
+
+def _distances(v: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Squared distances but for a constant of each row of ``v``."""
+    return (c * c).sum(axis=1)[None, :] - 2.0 * (v @ c.T)
+
+
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+
+
+def _needed_probes(placed: DataFrame, centres: np.ndarray, k: int, recall: float) -> int:
+    """The least number of nearest lists that hold a share of ``recall`` of the neighbours of TUNED_ON vectors."""
+    tried = placed.orderBy(F.xxhash64("rep", F.lit(1)), "rep").limit(TUNED_ON).select("rep", "v").collect()
+    if not tried:
+        return 1
+    queries = np.array([r["v"] for r in tried], dtype=np.float64)
+    names = np.array([r["rep"] for r in tried])
+    shared = placed.sparkSession.sparkContext.broadcast((queries, names))
+
+    def nearest(batches):
+        q, own = shared.value
+        for b in batches:
+            if not b.num_rows:
+                continue
+            rep, home = b.column(0).to_numpy(zero_copy_only=False), b.column(2).to_numpy(zero_copy_only=False)
+            i, j, dist = _nearest_pairs(own, q, rep, _matrix(b.column(1)), k)
+            yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(dist), pa.array(home[j].astype(np.int32))], ["query", "dist", "home"])
+
+    near = placed.select("rep", "v", "home").mapInArrow(nearest, "query int, dist double, home int")
+    w = Window.partitionBy("query").orderBy("dist", "home")
+    found = near.withColumn("at", F.row_number().over(w)).filter(F.col("at") <= k).collect()  # TUNED_ON x k
+    rank = np.argsort(np.argsort(_distances(queries, centres), axis=1, kind="stable"), axis=1)
+    needed = np.sort([rank[r["query"], r["home"]] for r in found]) + 1
+    return int(needed[min(len(needed) - 1, math.ceil(recall * len(needed)) - 1)]) if len(needed) else 1
+
+
+def _knn_lists(base: DataFrame, k: int, probes: int | None, recall: float) -> DataFrame:
+    spark, kind = base.sparkSession, base.schema["id"].dataType.simpleString()
+    # different vectors, each with the k + 1 smallest ids that have it
+    order = Window.partitionBy("v").orderBy("id")
+    ids = base.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= k + 1)
+    reps = cut_lineage(ids.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+                       .withColumn("rep", F.col("ids")[0]))
+    n = reps.count()
+    width = reps.agg(F.max(F.size("v"))).first()[0] or 1
+    n_lists = max(1, min(math.isqrt(max(n - 1, 0)) + 1, CENTRE_BYTES // (8 * width)))
+    chosen = reps.orderBy(F.xxhash64("rep"), "rep").limit(n_lists).select("v").collect()  # CENTRE_BYTES at most
+    centres = np.array([r["v"] for r in chosen], dtype=np.float64).reshape(len(chosen), width)
+    shared = spark.sparkContext.broadcast(centres)
+
+    def at_home(batches):
+        for b in batches:
+            home = _distances(_matrix(b.column(1)), shared.value).argmin(axis=1) if b.num_rows else np.empty(0, int)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(home.astype(np.int32))], ["rep", "v", "home"])
+
+    def lists_of(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            d = _distances(_matrix(b.column(1)), shared.value)
+            at = np.argpartition(d, near - 1, axis=1)[:, :near].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * near), pa.array(at.ravel()))
+            yield pa.RecordBatch.from_arrays([*b.columns, lists], ["rep", "v", "home", "lists"])
+
+    placed = cut_lineage(reps.select("rep", "v").mapInArrow(at_home, f"rep {kind}, v array<double>, home int"))
+    near = max(1, min(len(chosen), probes or _needed_probes(placed, centres, k, recall)))
+    placed = placed.mapInArrow(lists_of, f"rep {kind}, v array<double>, home int, lists array<int>")
+    # a row for each list: how many tasks its queries and its candidates are dealt to
+    asked = placed.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("asked"))
+    held = placed.groupBy(F.col("home").alias("list")).agg(F.count(F.lit(1)).alias("held"))
+    parts = F.broadcast(asked.join(held, "list").select(
+        "list", F.ceil(F.col("asked") / QUERY_ROWS).cast("int").alias("q_parts"), F.ceil(F.col("held") / LIST_ROWS).cast("int").alias("c_parts")))
+
+    def lot(n_parts):
+        return F.pmod(F.xxhash64("rep"), F.col(n_parts)).cast("int")
+
+    def every(n_parts):
+        return F.explode(F.sequence(F.lit(0), F.col(n_parts) - 1))
+
+    queries = (placed.select("rep", "v", F.explode("lists").alias("list")).join(parts, "list")
+               .select("rep", "v", "list", lot("q_parts").alias("q"), every("c_parts").alias("c")))
+    candidates = (placed.select("rep", "v", F.col("home").alias("list")).join(parts, "list")
+                  .select(F.col("rep").alias("rep"), F.col("v").alias("v"), F.col("list").alias("list"), lot("c_parts").alias("c"),
+                          every("q_parts").alias("q")))
+
+    def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(c):
+            return pd.DataFrame({"rep": [], "nbr": [], "dist": []})
+        qi, ci = q["rep"].to_numpy(), c["rep"].to_numpy()
+        qv, cv = (np.stack(x["v"].to_numpy()) for x in (q, c))
+        step = max(1, (1 << 22) // len(ci))
+        found = [(qi[at:at + step], *_nearest_pairs(qi[at:at + step], qv[at:at + step], ci, cv, k)) for at in range(0, len(qi), step)]
+        return pd.concat([pd.DataFrame({"rep": own[i], "nbr": ci[j], "dist": d}) for own, i, j, d in found], ignore_index=True)
+
+    keys = ["list", "q", "c"]
+    pairs = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(search, f"rep {kind}, nbr {kind}, dist double")
+    best = Window.partitionBy("rep").orderBy("dist", "nbr")  # probes x k rows
+    near_reps = pairs.withColumn("at", F.row_number().over(best)).filter(F.col("at") <= k)
+    # the k + 1 nearest ids of each different vector: those that have it, then those of its neighbours
+    others = near_reps.join(reps.select(F.col("rep").alias("nbr"), "ids"), "nbr").select("rep", "dist", F.explode("ids").alias("nbr"))
+    own = reps.select("rep", F.lit(0.0).alias("dist"), F.explode("ids").alias("nbr"))
+    listed = Window.partitionBy("rep").orderBy("dist", "nbr")
+    lists = (own.unionByName(others).withColumn("at", F.row_number().over(listed)).filter(F.col("at") <= k + 1)
+             .groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("dist", "nbr"))).alias("near")))
+    of_vector = reps.select("v", "rep").join(lists, "rep").drop("rep")
+    mine = F.slice(F.filter("near", lambda x: x["nbr"] != F.col("id")), 1, k)
+    return (base.join(of_vector, "v").select("id", F.posexplode(mine).alias("at", "x"))
+            .select("id", F.col("x.nbr").alias("nbr"), F.col("x.dist").alias("dist"), (F.col("at") + 1).alias("rank")))
+
+
+def _knn_exact(base: DataFrame, k: int, block_rows: int, n_blocks: int | None) -> DataFrame:
+    """Rows are dealt into blocks by a hash of the id; every (query block,
     candidate block) pair is one task that computes the block's distances in
     NumPy and keeps only a partial top-k per query row; a final row_number per
     id merges the partial lists. Work is the exact n^2 distances, but memory
     per task is two blocks and the shuffled volume is n x blocks x k.
     """
-    n = df.count()
+    n = base.count()
     nb = n_blocks or max(1, -(-n // block_rows))
-    base = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
     blk = base.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int"))
     packed = blk.groupBy("b").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
-    pairs = df.sparkSession.range(nb).select(F.col("id").cast("int").alias("qb")) \
+    spark = base.sparkSession
+    pairs = spark.range(nb).select(F.col("id").cast("int").alias("qb")) \
         .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
     q = packed.select(F.col("b").alias("qb"), F.col("rows").alias("qrows"))
     c = packed.select(F.col("b").alias("cb"), F.col("rows").alias("crows"))
-    tasks = min(nb * nb, max(df.sparkSession.sparkContext.defaultParallelism * 4, 2 * nb))
+    tasks = min(nb * nb, max(spark.sparkContext.defaultParallelism * 4, 2 * nb))
     work = pairs.join(q, "qb").join(c, "cb").repartition(tasks)
-    id_type = df.schema[id_col].dataType.simpleString()
+    id_type = base.schema["id"].dataType.simpleString()
 
     def kern(batches):
         for pdf in batches:

@@ -36,6 +36,7 @@ class PreprocessorState:
     encoder: encoding.EncoderState | None = None
     unseen: str = "unknown"
     narrow: bool = False
+    types: dict = field(default_factory=dict)   # narrow: column -> type, from the rows of the fit
     fitted: bool = False
 
 
@@ -68,7 +69,7 @@ def fit_preprocessor(df: DataFrame, numeric: Sequence[str] | None = None,
                      scaler: str = scaling.DEFAULT_SCALER, encoder: str = encoding.DEFAULT_ENCODER,
                      value_map: Mapping[str, Mapping] | None = None, order_by: Sequence | None = None,
                      nan_category: str = cleaning.NAN_CATEGORY, unseen: str = "unknown",
-                     narrow: bool = False) -> PreprocessorState:
+                     narrow: bool = False, encoder_layout: str = "wide") -> PreprocessorState:
     num, cat, other = _roles(df, numeric, categorical, exclude)
     vm = dict(value_map or {})
     # value-mapped numeric columns become categories
@@ -83,24 +84,26 @@ def fit_preprocessor(df: DataFrame, numeric: Sequence[str] | None = None,
     if num:
         st.scaler = scaling.fit_scaler(clean, num, scaler)
     if cat:
-        st.encoder = encoding.fit_encoder(clean, cat, encoder, nan_category)
+        st.encoder = encoding.fit_encoder(clean, cat, encoder, nan_category, encoder_layout)
     st.fitted = True
+    if narrow:
+        st.types = readers.narrowest_types(_transformed(df, st))
     return st
 
 
+def _transformed(df: DataFrame, st: PreprocessorState) -> DataFrame:
+    out = _clean(df, st)
+    if st.scaler is not None:
+        out = scaling.transform(out, st.scaler)
+    return out if st.encoder is None else encoding.transform(out, st.encoder, st.unseen)
+
+
 def apply_preprocessor(df: DataFrame, st: PreprocessorState, dry_run: bool = False) -> DataFrame:
     if dry_run:
         return df
     if st is None or not st.fitted:
         raise NotFittedError("preprocessor is not fitted")
-    out = _clean(df, st)
-    if st.scaler is not None:
-        out = scaling.transform(out, st.scaler)
-    if st.encoder is not None:
-        out = encoding.transform(out, st.encoder, st.unseen)
-    if st.narrow:
-        out = readers.narrow_types(out)
-    return out
+    return readers.with_types(_transformed(df, st), st.types) if st.narrow else _transformed(df, st)
 
 
 def fit_transform(df: DataFrame, **kw) -> tuple[DataFrame, PreprocessorState]:
@@ -135,7 +138,8 @@ def state_tables(spark: SparkSession, st: PreprocessorState) -> tuple[dict[str,
                 value_map={c: {str(k): str(v) for k, v in m.items()} for c, m in st.value_map.items()},
                 modes={c: (v.isoformat() if hasattr(v, "isoformat") else v) for c, v in st.modes.items()},
                 order_by=st.order_by, nan_category=st.nan_category, unseen=st.unseen, narrow=st.narrow,
-                encoder_method=st.encoder.method if st.encoder else None, tables=sorted(tables))
+                types=st.types, encoder_method=st.encoder.method if st.encoder else None,
+                encoder_layout=st.encoder.layout if st.encoder else None, tables=sorted(tables))
     return tables, meta
 
 
@@ -143,11 +147,12 @@ def state_from_tables(tables: dict[str, DataFrame], meta: dict) -> PreprocessorS
     st = PreprocessorState(numeric=meta["numeric"], categorical=meta["categorical"], other=meta["other"],
                            value_map=meta["value_map"], modes=meta["modes"], order_by=meta["order_by"],
                            nan_category=meta["nan_category"], unseen=meta["unseen"], narrow=meta["narrow"],
-                           fitted=True)
+                           types=meta["types"], fitted=True)
     if "scaler" in tables:
         st.scaler = scaling.ScalerState.from_rows(tables["scaler"].collect())
     if "encoder" in tables:
-        st.encoder = encoding.encoder_from_table(tables["encoder"], meta["encoder_method"], meta["nan_category"])
+        st.encoder = encoding.encoder_from_table(tables["encoder"], meta["encoder_method"], meta["nan_category"],
+                                                 meta["categorical"], meta["encoder_layout"])
     return st
 
 

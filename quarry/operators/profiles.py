@@ -27,7 +27,7 @@ def describe_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample variance/std, min, max, quartiles per column; NaN counts as NULL.
 
     One aggregation over all columns, unpivoted on the one-row aggregate; the
-    quartiles come from one range shuffle of the stacked columns.
+    quartiles come from bin counts of the stacked columns, narrowed to the values.
     """
     exprs = []
     for i, c in enumerate(cols):

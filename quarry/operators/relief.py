@@ -1,12 +1,12 @@
 """ReliefF feature weights (F14), re-aimed for scale.
 
 As in the reference every row is an anchor (n^2 distances), unless a number of
-anchors is given, which are then chosen by hash. Anchors are broadcast batch by
-batch; each Arrow batch computes anchor x row distances (range-normalised
-Manhattan) and keeps, per (anchor, class), its exact partial top-k under the
-(distance, key) order; a row_number per (anchor, class) merges the partial lists
-exactly; one aggregation turns the neighbour differences into sums, and the
-batches' sums add up to the weights. Misses are weighted by class prior.
+anchors is given, which are then chosen by hash. Anchors and rows are dealt into
+blocks; one plan compares each block of anchors with each block of rows
+(range-normalised Manhattan distance) and keeps, per (anchor, class), the block's
+exact top-k under the (distance, key) order; a row_number per (anchor, class)
+merges the partial lists exactly; partial sums per task turn the neighbour
+differences into weights. Misses are weighted by class prior.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from typing import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,16 +26,17 @@ from quarry.plans.ranks import row_number_global
 from quarry.session import cut_lineage
 
 DEFAULT_N_FEATURES = 10
-#: Anchors that are broadcast at once.
-ANCHOR_BATCH = 256
+#: Rows of a block; a task holds one block of anchors and one of rows.
+BLOCK_ROWS = 1 << 13
 
 
 def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int | None = None, k: int = 10,
                    seed: int = 0, hash_method: str = "xxhash64", n_features: int = DEFAULT_N_FEATURES,
-                   anchor_batch: int = ANCHOR_BATCH) -> DataFrame:
+                   block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(feature, weight, rank, selected) with the top ``n_features`` selected.
     Every row is an anchor, or the first ``n_anchors`` in the order of their hashes.
-    A non-integer target is label-encoded (dense rank of its distinct values)."""
+    A non-integer target is label-encoded (dense rank of its distinct values). Rows whose
+    target, or any feature, is missing (null or NaN) are left out."""
     d, names = _vector_cols(df, cols)
     tdt = df.schema[target].dataType.simpleString()
     if tdt not in ("int", "bigint", "smallint", "tinyint"):
@@ -43,87 +45,83 @@ def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int |
         d = d.join(codes, F.col(target).cast("string") == F.col("_name"), "left").drop("_name")
     else:
         d = d.withColumn("_cls", F.col(target).cast("long"))
-    d = d.select(F.col(key).alias("_key"), "_cls", *[F.col(c).cast("double").alias(c) for c in names])
-    rng = d.agg(*[(F.max(c) - F.min(c)).alias(c) for c in names]).first()
-    rg = np.array([rng[c] or 0.0 for c in names], dtype=np.float64)
-    rg[rg == 0] = np.inf                                 # constant feature: diff 0
-    total = d.count()
-    prior = cut_lineage(d.groupBy(F.col("_cls").alias("cls")).agg((F.count(F.lit(1)) / F.lit(float(total))).alias("prior")))
-    hashed = d.withColumn("_h", row_hash("_key", seed, hash_method))
-    if n_anchors is not None and n_anchors <= anchor_batch:
-        batches = [hashed.orderBy("_h", "_key").limit(n_anchors).collect()]
-        m = len(batches[0])
-    else:
-        placed = cut_lineage(row_number_global(hashed, ["_h", "_key"], out="_place"))
-        d = placed.select(*d.columns)
-        m = total if n_anchors is None else min(n_anchors, total)
-        batches = (placed.filter(F.col("_place").between(at, min(at + anchor_batch, m) - 1)).orderBy("_place").collect()
-                   for at in range(0, m, anchor_batch))
-    sums: dict[str, float] = {}
-    for anc in batches:
-        for f, w in _weight_sums(d, names, anc, rg, prior, k, m):
-            sums[f] = sums.get(f, 0.0) + w
-    ranked = sorted(sums.items(), key=lambda t: (-t[1], t[0]))
-    return df.sparkSession.createDataFrame(
+    x = F.array(*[F.col(c).cast("double") for c in names])
+    rows = d.select(F.col(key).alias("key"), F.col("_cls").alias("cls"), x.alias("x")).filter(
+        F.col("cls").isNotNull() & ~F.exists("x", lambda v: v.isNull() | F.isnan(v)))
+    rows = cut_lineage(spread(rows))
+    spark = df.sparkSession
+    got = rows.agg(F.count(F.lit(1)).alias("n"), *[(F.max(F.col("x")[i]) - F.min(F.col("x")[i])).alias(f"r{i}") for i in range(len(names))]).first()
+    total = got["n"]
+    rg = np.array([got[f"r{i}"] or np.inf for i in range(len(names))], dtype=np.float64)  # constant feature: diff 0
+    m = total if n_anchors is None else min(n_anchors, total)
+    anchors = rows
+    if m < total:
+        anchors = rows.orderBy(row_hash("key", seed, hash_method), "key").limit(m)
+    prior = cut_lineage(rows.groupBy("cls").agg((F.count(F.lit(1)) / F.lit(float(max(total, 1)))).alias("prior")))
+
+    a_blocks, r_blocks = (max(1, -(-n // block_rows)) for n in (m, total))
+
+    def dealt(t, own, n_own, other, n_other):
+        return (t.withColumn(own, F.pmod(F.xxhash64("key"), F.lit(n_own)).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))))
+
+    key_t = rows.schema["key"].dataType.simpleString()
+    blocks = dealt(anchors, "a", a_blocks, "r", r_blocks).groupBy("a", "r").cogroup(dealt(rows, "r", r_blocks, "a", a_blocks).groupBy("a", "r"))
+    near = blocks.applyInPandas(_block_kernel(rg, k), f"anchor {key_t}, acls long, cls long, dist double, key {key_t}, diff array<double>")
+    w = Window.partitionBy("anchor", "cls").orderBy("dist", "key")   # blocks x k rows each
+    nn = near.withColumn("at", F.row_number().over(w)).filter(F.col("at") <= k).select("acls", "cls", "diff")
+    own = prior.select(F.col("cls").alias("acls"), F.col("prior").alias("aprior"))
+    nn = nn.join(prior, "cls").join(own, "acls")
+    fac = F.when(F.col("cls") == F.col("acls"), F.lit(-1.0)).otherwise(F.col("prior") / (1.0 - F.col("aprior"))) \
+        / F.lit(float(max(m, 1) * k))
+
+    def sums(batches):
+        s = np.zeros(len(names))
+        for b in batches:
+            s += b.column(0).to_numpy(zero_copy_only=False) @ b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1) \
+                if b.num_rows else 0.0
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(names), dtype=np.int32)), pa.array(s)], ["i", "w"])
+
+    part = nn.select(fac.alias("fac"), "diff").mapInArrow(sums, "i int, w double")
+    weights = {r["i"]: r["w"] for r in part.groupBy("i").agg(F.sum("w").alias("w")).collect()}  # one row per feature
+    ranked = sorted(((c, weights.get(i, 0.0)) for i, c in enumerate(names)), key=lambda t: (-t[1], t[0]))
+    return spark.createDataFrame(
         [(f, float(w), i + 1, i < n_features) for i, (f, w) in enumerate(ranked)],
         "feature string, weight double, rank int, selected boolean")
 
 
-def _weight_sums(d: DataFrame, names: Sequence[str], anc: list, rg: np.ndarray, prior: DataFrame, k: int, m: int) -> list:
-    """(feature, weight) rows of a batch of the ``m`` anchors."""
-    spark = d.sparkSession
-    A = np.array([[r[c] for c in names] for r in anc], dtype=np.float64)
-    akey = np.array([r["_key"] for r in anc])
-    acls = np.array([r["_cls"] for r in anc])
-    bc = spark.sparkContext.broadcast((A, akey, acls, rg))
-
-    def kern(batches):
-        A_, ak, ac, rg_ = bc.value
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            X = pdf[names].to_numpy(dtype=np.float64)
-            keys = pdf["_key"].to_numpy()
-            cls = pdf["_cls"].to_numpy()
-            D = np.zeros((len(A_), len(X)))                                                   # m x rows
-            for j in range(len(names)):
-                D += np.abs(A_[:, j, None] - X[None, :, j]) / rg_[j]
-            D[ak[:, None] == keys[None, :]] = np.inf                                          # not itself
-            out = []
-            for c in np.unique(cls):
-                sel = np.where(cls == c)[0]
-                Dc = D[:, sel]
-                kk = min(k, len(sel))
-                for a in range(len(A_)):
-                    dc = Dc[a]
-                    fin = np.isfinite(dc)
-                    if not fin.any():
-                        continue
-                    if kk < fin.sum():
-                        kth = np.partition(dc[fin], kk - 1)[kk - 1]
-                        cand = np.where(dc <= kth)[0]
-                    else:
-                        cand = np.where(fin)[0]
-                    order = np.lexsort((keys[sel][cand], dc[cand]))[:kk]   # exact (distance, key) order
-                    pick = sel[cand[order]]
-                    diffs = np.abs(A_[a][None, :] - X[pick]) / rg_[None, :]
-                    out.append(pd.DataFrame({"a": a, "cls": c, "dist": D[a, pick], "key": keys[pick],
-                                             "diff": list(diffs)}))
-            if out:
-                yield pd.concat(out, ignore_index=True)
-
-    key_t = d.schema["_key"].dataType.simpleString()
-    cand = spread(d).mapInPandas(kern, f"a int, cls long, dist double, key {key_t}, diff array<double>")
-    w = Window.partitionBy("a", "cls").orderBy("dist", "key")   # at most partitions x k rows each
-    nn = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-    amap = spark.createDataFrame([(i, int(c)) for i, c in enumerate(acls)], "a int, acls long")
-    nn = nn.join(F.broadcast(amap), "a").join(prior, "cls")     # anchors: small
-    ap = prior.select(F.col("cls").alias("acls"), F.col("prior").alias("aprior"))
-    nn = nn.join(ap, "acls")
-    fac = F.when(F.col("cls") == F.col("acls"), F.lit(-1.0)).otherwise(F.col("prior") / (1.0 - F.col("aprior"))) \
-        / F.lit(float(m * k))
-    body = ", ".join(f"'{nm}', diff[{i}]" for i, nm in enumerate(names))
-    long = nn.select(fac.alias("fac"), F.expr(f"stack({len(names)}, {body}) AS (feature, dv)"))
-    wts = long.groupBy("feature").agg(F.sum(F.col("fac") * F.col("dv")).alias("weight")).collect()  # d rows
-    bc.unpersist()
-    return [(r["feature"], r["weight"]) for r in wts]
+def _block_kernel(rg: np.ndarray, k: int):
+    """The k nearest rows of each class in a block, for each anchor of another block."""
+    def kernel(anchors: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(anchors) and len(rows):
+            rows = rows.sort_values("key", kind="stable")  # so that equal distances are in the order of the keys
+            X, keys, cls = np.stack(rows["x"].to_numpy()), rows["key"].to_numpy(), rows["cls"].to_numpy()
+            of_class = {c: np.flatnonzero(cls == c) for c in np.unique(cls)}
+            step = max(1, (1 << 21) // len(X))
+            for at in range(0, len(anchors), step):
+                own = anchors.iloc[at:at + step]
+                A, ak = np.stack(own["x"].to_numpy()), own["key"].to_numpy()
+                D = np.zeros((len(A), len(X)))
+                for j in range(X.shape[1]):
+                    D += np.abs(A[:, j, None] - X[None, :, j]) / rg[j]
+                D[ak[:, None] == keys[None, :]] = np.inf  # not itself
+                for c, members in of_class.items():
+                    i, pick = _least(D[:, members], k)
+                    pick = members[pick]
+                    out.append(pd.DataFrame({"anchor": ak[i], "acls": own["cls"].to_numpy()[i], "cls": c, "dist": D[i, pick],
+                                             "key": keys[pick], "diff": list(np.abs(A[i] - X[pick]) / rg[None, :])}))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame(
+            {"anchor": [], "acls": [], "cls": [], "dist": [], "key": [], "diff": []})
+    return kernel
+
+
+def _least(D: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the k least finite entries of each row, the first columns of equals."""
+    kk = min(k, D.shape[1])
+    i, j = np.nonzero((D <= np.partition(D, kk - 1, axis=1)[:, [kk - 1]]) & np.isfinite(D))
+    order = np.lexsort((j, D[i, j], i))
+    i, j = i[order], j[order]
+    first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else np.empty(0, int)
+    place = np.arange(len(i)) - np.repeat(first, np.diff(np.r_[first, len(i)]))
+    return i[place < k], j[place < k]

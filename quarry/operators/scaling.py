@@ -75,7 +75,7 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], method: str = DEFAULT_SCALER)
     P9 power (Yeo-Johnson, lambda by maximum likelihood, then standardised),
     P10 quantile (uniform output, <= 1000 knots).
 
-    Quantiles are exact (linear interpolation), from one range shuffle of all columns."""
+    Quantiles are exact (linear interpolation), by narrowing bins of all columns in the same passes."""
     if method not in SCALERS:
         raise ValueError(f"unknown scaler {method!r}; expected one of {SCALERS}")
     cols = list(cols)
@@ -271,8 +271,3 @@ def inverse_transform(df: DataFrame, st: ScalerState, cols: Sequence[str] | None
         else:
             out.append((y * F.lit(st.scale[c]) + F.lit(st.center[c])).alias(c))
     return df.select(*out)
-
-
-def scaler_table(spark, st: ScalerState) -> DataFrame:
-    return spark.createDataFrame(st.to_pandas().drop(columns=["knots"]),
-                                 "column string, method string, center double, scale double, lam double")

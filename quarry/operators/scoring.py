@@ -29,7 +29,9 @@ SCORE_SCHEMA = "method string, feature string, raw double, p_value double, score
 
 
 def _x(c: str) -> Column:
-    return F.col(c).cast("double")
+    """The column as numbers; NaN counts as missing."""
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
 
 
 def _features(df: DataFrame, target: str, features, label_cols=()) -> list[str]:
@@ -65,10 +67,10 @@ def discretize(df: DataFrame, cols: Sequence[str], n_bins: int = DEFAULT_BINS, s
             i = list(cols).index(c)
             lo, hi = mm[f"a{i}"], mm[f"b{i}"]
             if lo is None or hi == lo:
-                e = F.when(F.col(c).isNotNull(), F.lit(0))
+                e = F.when(_x(c).isNotNull(), F.lit(0))
             else:
                 w = (hi - lo) / n_bins
-                e = F.least(F.floor((_x(c) - F.lit(lo)) / F.lit(w)), F.lit(n_bins - 1))
+                e = F.when(_x(c).isNotNull(), F.least(F.floor((_x(c) - F.lit(lo)) / F.lit(w)), F.lit(n_bins - 1)))
             out.append(e.cast("int").alias(c + suffix))
             if suffix:
                 out.append(F.col(c))
@@ -78,15 +80,16 @@ def discretize(df: DataFrame, cols: Sequence[str], n_bins: int = DEFAULT_BINS, s
 
 
 def _bins_expr(lo, hi, c: str, n_bins: int) -> Column:
+    given = _x(c).isNotNull()
     if lo is None or hi == lo:
-        return F.lit(0)
+        return F.when(given, F.lit(0))
     w = (hi - lo) / n_bins
-    return F.least(F.floor((_x(c) - F.lit(lo)) / F.lit(w)), F.lit(n_bins - 1)).cast("int")
+    return F.when(given, F.least(F.floor((_x(c) - F.lit(lo)) / F.lit(w)), F.lit(n_bins - 1)).cast("int"))
 
 
 def _sd_with(a: str, b: str) -> Column:
     """Population deviation of ``a`` over the rows that also have ``b``."""
-    return F.stddev_pop(F.when(F.col(b).isNotNull(), _x(a)))
+    return F.stddev_pop(F.when(_x(b).isNotNull(), _x(a)))
 
 
 def _corr(cov: Column, sx: Column, sy: Column) -> Column:
@@ -114,7 +117,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def _moments(df: DataFrame, target: str, feats: list[str]):
     y = _x(target)
     # rows that have both the feature and the target
-    row = df.agg(*[F.count(F.when(F.col(c).isNotNull(), y)).alias(f"n{i}") for i, c in enumerate(feats)],
+    row = df.agg(*[F.count(F.when(_x(c).isNotNull(), y)).alias(f"n{i}") for i, c in enumerate(feats)],
                  *[F.covar_pop(_x(c), y).alias(f"c{i}") for i, c in enumerate(feats)],
                  *[_sd_with(c, target).alias(f"s{i}") for i, c in enumerate(feats)],
                  *[_sd_with(target, c).alias(f"t{i}") for i, c in enumerate(feats)],
@@ -178,19 +181,25 @@ def score_f_regression(df: DataFrame, target: str, features=None, label_cols=(),
 
 
 def score_f_classif(df: DataFrame, target: str, features=None, label_cols=()) -> DataFrame:
-    """one-way ANOVA F per feature from per-class counts, means and sums of squares."""
+    """one-way ANOVA F per feature from per-class counts, means and sums of squares.
+
+    A row counts for the features that it has (null and NaN are missing); rows without a class
+    are left out. The classes stay in Spark, however many they are."""
     feats = _features(df, target, features, label_cols)
-    per = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"),
-                                 *[F.avg(_x(c)).alias(f"m{i}") for i, c in enumerate(feats)],
-                                 *[(F.var_pop(_x(c)) * F.count(_x(c))).alias(f"w{i}") for i, c in enumerate(feats)]
-                                 ).collect()  # one row per class
-    n = sum(r["n"] for r in per)
-    k = len(per)
+    per = df.filter(F.col(target).isNotNull()).groupBy(target).agg(
+        *[F.count(_x(c)).alias(f"n{i}") for i, c in enumerate(feats)], *[F.avg(_x(c)).alias(f"m{i}") for i, c in enumerate(feats)],
+        *[F.var_pop(_x(c)).alias(f"v{i}") for i, c in enumerate(feats)])
+    body = ", ".join(f"{i}, n{i}, m{i}, v{i}" for i in range(len(feats)))
+    long = per.select(F.expr(f"stack({len(feats)}, {body}) AS (i, n, m, v)")).filter("n > 0")
+    own = Window.partitionBy("i")  # one partition per feature: classes rows
+    grand = F.sum(F.col("n") * F.col("m")).over(own) / F.sum("n").over(own)
+    found = {r["i"]: r for r in long.withColumn("grand", grand).groupBy("i").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.sum(F.col("n") * F.pow(F.col("m") - F.col("grand"), 2)).alias("ssb"),
+        F.sum(F.col("n") * F.col("v")).alias("ssw")).collect()}
     rows = []
     for i, c in enumerate(feats):
-        grand = sum(r["n"] * (r[f"m{i}"] or 0.0) for r in per) / n if n else float("nan")
-        ssb = sum(r["n"] * ((r[f"m{i}"] or 0.0) - grand) ** 2 for r in per)
-        ssw = sum(r[f"w{i}"] or 0.0 for r in per)
+        r = found.get(i)
+        n, k, ssb, ssw = (r["n"], r["k"], r["ssb"], r["ssw"]) if r else (0, 0, 0.0, 0.0)
         if k < 2 or n - k <= 0:
             f, p = float("nan"), float("nan")
         elif ssw == 0:

@@ -1,10 +1,12 @@
 """Cross-validation and grid search (M6-M8).
 
-Each candidate x fold fits its preprocessor on the training folds only. All
-fold predictions of a candidate are unioned and scored in ONE grouped
-metrics pass (``groupBy(fold)``). Candidates run as concurrent Spark jobs
-from a driver thread pool; forest candidates that differ only in how trees
-vote share one fitted forest per fold.
+Each candidate x fold fits its preprocessor on the training folds only. Forest
+candidates are grown together: one binned table holds the training rows of every
+fold, and a level of all (candidate, fold, tree, node) is one job over it; each
+fold is then read once for the votes of all candidates, and one grouped pass
+(``groupBy(candidate_id, fold)``) scores everything. Candidates that differ only
+in how trees vote share a forest. Candidates of other models run as concurrent
+Spark jobs from a driver thread pool, their folds scored in one pass each.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators import metrics, models, pipeline, stattests
+from quarry.operators import forest, metrics, models, pipeline, stattests
 from quarry.plans.joins import join_groups
 from quarry.session import cut_lineage
 
@@ -37,7 +39,7 @@ def expand_grid(grid: dict | Sequence[dict]) -> list[dict]:
     return out
 
 
-def _prepared(df: DataFrame, features: Sequence[str], prep: dict):
+def prepared(df: DataFrame, features: Sequence[str], prep: dict):
     """``df`` through a preprocessor fitted on its feature columns, the features that come out
     (an encoder may make several of one) and the preprocessor. Other columns stay, for an order or a key."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -49,33 +51,63 @@ def _prepared(df: DataFrame, features: Sequence[str], prep: dict):
     return out, [c for c in out.columns if c in features or c not in df.columns], st
 
 
+#: Folds that are prepared at once.
+FOLD_THREADS = 4
+
+
+def _folds(df: DataFrame, fold_col: str, features: Sequence[str], prep: dict | None) -> list:
+    """(fold, training rows, test rows, features) of each fold, through a preprocessor fitted on the training rows."""
+    def one(k):
+        train, test, used = df.filter(F.col(fold_col) != k), df.filter(F.col(fold_col) == k), list(features)
+        if prep is not None:
+            train, used, st = prepared(train, features, prep)
+            test = pipeline.apply_preprocessor(test, st)
+        return k, train, test, used
+
+    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect() if r[0] is not None)
+    with ThreadPoolExecutor(max_workers=FOLD_THREADS) as ex:
+        return list(ex.map(one, folds))
+
+
+def _forest_scores(df: DataFrame, fold_col: str, features: Sequence[str], label: str, key, cands: Sequence[dict],
+                   prep: dict | None) -> DataFrame:
+    """(candidate_id, fold, metric, value) of forest candidates, grown together on all folds."""
+    folds = _folds(df, fold_col, features, prep)
+    fits = [{k: v for k, v in c.items() if k in models.FOREST_FIT_KEYS} for c in cands]
+    distinct = list({json.dumps(f, sort_keys=True): f for f in fits}.values())
+    wanted = [(t, f) for t in range(len(folds)) for f in distinct]
+    grown = iter(forest.fit_forests([(train, used) for _, train, _, used in folds], label, key, wanted))
+    preds = None
+    for k, _, test, used in folds:
+        own = {json.dumps(f, sort_keys=True): next(grown) for f in distinct}
+        p = forest.predict_forests(test, used, label, [(i, own[json.dumps(f, sort_keys=True)], c)
+                                                       for i, (f, c) in enumerate(zip(fits, cands))])
+        p = p.withColumn("fold", F.lit(k))
+        preds = p if preds is None else preds.unionByName(p)
+    return metrics.score_table(preds, "classification", label, "prediction", "p1", group_by=["candidate_id", "fold"])
+
+
 def cross_validate(df: DataFrame, fold_col: str, kind: str, features: Sequence[str], label: str, key,
-                   params: dict, task: str, prep: dict | None = None, fitted_cache: dict | None = None) -> DataFrame:
+                   params: dict, task: str, prep: dict | None = None) -> DataFrame:
     """M6: per fold - preprocessor fitted on the other folds, model fitted,
     test fold predicted - then every metric of every fold in one pass.
-    Output (fold, metric, value)."""
-    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
+    Output (fold, metric, value). Rows without a fold are left out."""
+    if kind == "random_forest":
+        return _forest_scores(df, fold_col, features, label, key, [params], prep).drop("candidate_id")
     preds = None
-    for k in folds:
-        train = df.filter(F.col(fold_col) != k)
-        test = df.filter(F.col(fold_col) == k)
-        used = list(features)
-        if prep is not None:
-            train, used, st = _prepared(train, features, prep)
-            test = pipeline.apply_preprocessor(test, st)
-        ck = (k, json.dumps({kk: v for kk, v in params.items() if kk not in ("vote", "threshold")}, sort_keys=True))
-        if fitted_cache is not None and ck in fitted_cache:
-            fitted = models.Fitted(kind, fitted_cache[ck].model, used, params)
-        else:
-            fitted = models.fit_model(train, kind, used, label, key, params)
-            if fitted_cache is not None:
-                fitted_cache[ck] = fitted
+    for k, train, test, used in _folds(df, fold_col, features, prep):
+        fitted = models.fit_model(train, kind, used, label, key, params)
         p = models.predict_model(test, fitted).select(F.lit(k).alias("fold"), label, "prediction", "p1")
         preds = p if preds is None else preds.unionByName(p)
     has_p = task == "classification" and kind.startswith("random_forest")
     return metrics.score_table(preds, task, label, "prediction", "p1" if has_p else None, group_by="fold")
 
 
+def _params_map(params: dict):
+    return F.create_map(*[x for k_, v in sorted(params.items()) for x in (F.lit(k_), F.lit(str(v)))]) if params else \
+        F.create_map().cast("map<string,string>")
+
+
 def grid_search(df: DataFrame, fold_col: str, kind: str, features: Sequence[str], label: str, key, grid,
                 task: str, refit_metric: str = "f1", prep: dict | None = None, parallelism: int = 4,
                 refit: bool = True):
@@ -83,17 +115,18 @@ def grid_search(df: DataFrame, fold_col: str, kind: str, features: Sequence[str]
     (candidate_id, params, fold, metric, value); the best candidate has the best
     mean refit metric (first one wins ties)."""
     cands = expand_grid(grid)
-    cache: dict = {}
 
     def run(i):
-        t = cross_validate(df, fold_col, kind, features, label, key, cands[i], task, prep, cache)
-        pm = F.create_map(*[x for k_, v in sorted(cands[i].items()) for x in (F.lit(k_), F.lit(str(v)))])
-        return cut_lineage(t.select(F.lit(i).alias("candidate_id"), pm.alias("params"), "fold", "metric", "value"))
-
-    # forest candidates that share fit parameters must run in order to reuse fits
-    par = 1 if kind == "random_forest" else max(1, parallelism)
-    with ThreadPoolExecutor(max_workers=par) as ex:
-        tables = list(ex.map(run, range(len(cands))))
+        t = cross_validate(df, fold_col, kind, features, label, key, cands[i], task, prep)
+        return cut_lineage(t.select(F.lit(i).alias("candidate_id"), _params_map(cands[i]).alias("params"), "fold", "metric", "value"))
+
+    if kind == "random_forest":
+        scores = _forest_scores(df, fold_col, features, label, key, cands, prep)
+        named = F.get(F.array(*map(_params_map, cands)), F.col("candidate_id"))
+        tables = [cut_lineage(scores.select("candidate_id", named.alias("params"), "fold", "metric", "value"))]
+    else:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+            tables = list(ex.map(run, range(len(cands))))
     cv = tables[0]
     for t in tables[1:]:
         cv = cv.unionByName(t)
@@ -110,7 +143,7 @@ def grid_search(df: DataFrame, fold_col: str, kind: str, features: Sequence[str]
     if refit:
         used, st = list(features), None
         if prep is not None:
-            df, used, st = _prepared(df, features, prep)
+            df, used, st = prepared(df, features, prep)
         model = models.fit_model(df, kind, used, label, key, best_params)
         model.prep = st
     return cv, best_params, model
@@ -120,6 +153,7 @@ def cv_results(cv: DataFrame, level: float = 0.95) -> DataFrame:
     """M8: per (candidate, metric): mean, std, standard error, median, quartiles,
     CV % and the t confidence interval over folds."""
     g = ["candidate_id", "metric"]
+    cv = cut_lineage(cv.select(*g, "value"))  # several passes read it: candidates x folds x metrics rows
     d = stattests.describe_groups(cv, "value", g)
     ci = stattests.confidence_interval(cv, "value", g, level).select(*g, "lower", "upper", "margin_of_error")
     return join_groups(d, ci, g)

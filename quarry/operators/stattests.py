@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from quarry.functions import special
 from quarry.plans.joins import join_groups
-from quarry.plans.quantiles import group_quantiles
+from quarry.plans.quantiles import fresh_name, group_quantiles
 from quarry.plans.ranks import row_number_global, running_sums
 
 # Thresholds of the effect-size labels and the near-zero guards.
@@ -50,14 +50,15 @@ def describe_groups(df: DataFrame, value: str, by=None) -> DataFrame:
              F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean"),
              F.coalesce(F.stddev_samp(x), F.lit(0.0)).alias("std"),
              F.min(x).alias("min"), F.max(x).alias("max"))
-    s = join_groups(s, group_quantiles(df, value, g, [0.25, 0.5, 0.75], "_q"), g, how="left")
+    q = fresh_name([*g, *s.columns], "quartiles")
+    s = join_groups(s, group_quantiles(df, value, g, [0.25, 0.5, 0.75], q), g, how="left")
     std = F.when(F.col("n") > 1, F.col("std")).otherwise(F.lit(0.0))
     return s.select(
         *g, F.col("n").cast("long").alias("n"), "mean", std.alias("std"),
         (std / F.sqrt(F.col("n"))).alias("std_error"),
-        F.col("_q")[1].alias("median"), "min", "max",
-        F.col("_q")[0].alias("q1"), F.col("_q")[2].alias("q3"),
-        (F.col("_q")[2] - F.col("_q")[0]).alias("iqr"),
+        F.col(q)[1].alias("median"), "min", "max",
+        F.col(q)[0].alias("q1"), F.col(q)[2].alias("q3"),
+        (F.col(q)[2] - F.col(q)[0]).alias("iqr"),
         F.when(F.abs(F.col("mean")) > NEAR_ZERO, std / F.abs(F.col("mean")) * 100.0)
         .otherwise(F.lit(0.0)).alias("coefficient_of_variation"))
 

@@ -5,19 +5,21 @@ same objective, 1/2 |w|^2 + C * sum(max(0, |y - f(x)| - eps)), is minimised in
 a reduced feature space: phi(x) = k(x, L) K_LL^(-1/2) for m landmarks L (the
 Nystroem map; phi(x) = x for the linear kernel). Training is iteratively
 re-weighted least squares: every iteration is ONE pass over the data in which
-each Arrow batch adds its weighted Gram matrix and right-hand side, summed by
-Spark's built-in vector Summarizer (a JVM tree aggregation); the (m+1)^2
-system is solved on the driver. The data never leave the executors.
+each task adds its weighted Gram matrix and right-hand side; the matrices are
+cut into rows, which Spark's vector Summarizer adds by key in two steps; the
+(m+1)^2 system is solved on the driver. The data never leave the executors.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 from typing import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -136,14 +138,27 @@ def _nystroem(L: np.ndarray, kernel, gamma, coef0, degree) -> np.ndarray:
     return vecs[:, keep] / np.sqrt(vals[keep])[None, :]
 
 
-def fit_svr(df: DataFrame, cols: Sequence[str], y: str, kernel: str = "rbf", C: float = 1.0, epsilon="auto",
+#: Tasks whose partial sums are added first, before those sums are: bounds what one adding task reads.
+SUMMED_TASKS = 256
+
+
+def fit_svr(df: DataFrame, cols: Sequence[str], y: str, kernel: str = "auto", C: float = 1.0, epsilon="auto",
             gamma="scale", coef0: float = 0.0, degree: int = 3, n_landmarks: int = 200, max_iter: int = 15,
             tol: float = 1e-4, seed: int = 42, key=None, delta: float = 1e-3) -> SVRModel:
     """R4. Returns the model with the objective value of every iterate; the best
-    iterate is kept, so the recorded objective of the model never increases."""
+    iterate is kept, so the recorded objective of the model never increases.
+
+    ``kernel="auto"`` is the linear kernel. Rows with a missing (null or NaN) feature or target are
+    left out; a table without any other row raises SVRError.
+    """
+    kernel = "linear" if kernel == "auto" else kernel
     if kernel not in KERNELS:
         raise SVRError(f"unknown kernel {kernel!r}")
     cols = list(cols)
+    given = [F.col(c).cast("double") for c in dict.fromkeys([*cols, y])]
+    df = df.filter(reduce(lambda a, b: a & b, [x.isNotNull() & ~F.isnan(x) for x in given]))
+    if df.isEmpty():
+        raise SVRError("no row has all features and the target")
     g = resolve_gamma(df, cols, gamma) if kernel != "linear" else 0.0
     eps = resolve_epsilon(df, y, epsilon)
     data = spread(df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("x"),
@@ -158,18 +173,21 @@ def fit_svr(df: DataFrame, cols: Sequence[str], y: str, kernel: str = "rbf", C:
     spark = df.sparkSession
 
     def one_pass(beta: np.ndarray | None):
+        """The Gram matrix, the right side and the loss: each task's matrix is cut into its rows, which are added by key,
+        so no task reads a matrix from every other one."""
         bc = spark.sparkContext.broadcast((model, beta))
 
         def kern(batches):
+            from pyspark import TaskContext
             mdl, bt = bc.value
             A = np.zeros((r + 1, r + 1))
             c = np.zeros(r + 1)
             loss = 0.0
-            for pdf in batches:
-                if not len(pdf):
+            for b in batches:
+                if not b.num_rows:
                     continue
-                x = np.stack(pdf["x"].to_numpy())
-                yy = pdf["y"].to_numpy(dtype=np.float64)
+                x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+                yy = b.column(1).to_numpy(zero_copy_only=False)
                 ph = np.hstack([mdl.features(x), np.ones((len(x), 1))])
                 if bt is None:
                     s = np.full(len(yy), mdl.C)
@@ -182,16 +200,17 @@ def fit_svr(df: DataFrame, cols: Sequence[str], y: str, kernel: str = "rbf", C:
                     t = yy - np.sign(res) * mdl.epsilon
                 A += (ph * s[:, None]).T @ ph
                 c += ph.T @ (s * t)
-            yield pd.DataFrame({"v": [np.concatenate([A.ravel(), c, [loss]])]})
-
-        part = data.mapInPandas(kern, "v array<double>")
-        tot = part.select(Summarizer.sum(array_to_vector("v")).alias("s")) \
-                  .select(vector_to_array("s").alias("s")).first()["s"]
+            rows = [*A, c, np.array([loss])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(len(rows), dtype=np.int32)), pa.array(np.full(len(rows), TaskContext.get().partitionId() // SUMMED_TASKS, np.int32)),
+                 pa.array(rows, pa.list_(pa.float64()))], ["part", "lot", "v"])
+
+        total = Summarizer.sum(F.col("v")).alias("v")
+        part = data.mapInArrow(kern, "part int, lot int, v array<double>").select("part", "lot", array_to_vector("v").alias("v"))
+        summed = part.groupBy("part", "lot").agg(total).groupBy("part").agg(total)
+        found = {x["part"]: np.asarray(x["v"]) for x in summed.select("part", vector_to_array("v").alias("v")).collect()}
         bc.unpersist()
-        tot = np.asarray(tot)
-        A = tot[:(r + 1) ** 2].reshape(r + 1, r + 1)
-        c = tot[(r + 1) ** 2:(r + 1) ** 2 + r + 1]
-        return A, c, float(tot[-1])
+        return np.array([found[i] for i in range(r + 1)]), found[r + 1], float(found[r + 2][0])
 
     def solve(A, c):
         reg = np.eye(r + 1)
@@ -237,7 +256,7 @@ def svr_objective(df: DataFrame, model: SVRModel, y: str) -> float:
 
 
 def predict_svr(df: DataFrame, model: SVRModel, out: str = "prediction") -> DataFrame:
-    """Block-wise prediction with the broadcast landmarks and weights."""
+    """Block-wise prediction with the broadcast landmarks and weights; null where a feature is missing."""
     missing = [c for c in model.cols if c not in df.columns]
     if missing:
         raise SVRError(f"missing feature columns {missing}")
@@ -247,8 +266,11 @@ def predict_svr(df: DataFrame, model: SVRModel, out: str = "prediction") -> Data
     def kern(batches):
         m = bc.value
         for pdf in batches:
-            x = pdf[m.cols].to_numpy(dtype=np.float64)
-            pdf[out] = m.predict_np(x)
+            x = pdf[m.cols].to_numpy(dtype=np.float64, na_value=np.nan)
+            whole = ~np.isnan(x).any(axis=1)
+            p = np.full(len(x), np.nan)
+            p[whole] = m.predict_np(x[whole])
+            pdf[out] = pd.Series(p, dtype="Float64").mask(~whole)
             yield pdf
     return df.mapInPandas(kern, schema)
 
@@ -342,6 +364,27 @@ def prediction_grid(df: DataFrame, model: SVRModel, f1: str, f2: str, resolution
             .withColumn("tube_high", F.col("prediction") + model.epsilon)
 
 
+def contour_levels(grid: DataFrame, n_contours: int = 10) -> DataFrame:
+    """(level_id from 1, level) - the ``n_contours`` values that part the range of the grid's predictions evenly -
+    and for each the grid cells that the contour crosses: (level_id, level, i, j), cells by their lower corner.
+
+    A cell is crossed where its four corners aren't all on one side. A flat surface has no contours."""
+    step = (F.max("prediction") - F.min("prediction")) / (n_contours + 1)
+    levels = (grid.agg(F.min("prediction").alias("low"), step.alias("step")).filter("step > 0")
+              .select(F.explode(F.sequence(F.lit(1), F.lit(n_contours))).alias("level_id"), "low", "step")
+              .select("level_id", (F.col("low") + F.col("step") * F.col("level_id")).alias("level")))
+    # each corner belongs to up to four cells
+    shifts = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, 1) for b in (0, 1)])
+    cells = (grid.select("i", "j", "prediction", F.explode(shifts).alias("s"))
+             .groupBy((F.col("i") - F.col("s.a")).alias("i"), (F.col("j") - F.col("s.b")).alias("j"))
+             .agg(F.min("prediction").alias("low"), F.max("prediction").alias("high"), F.count(F.lit(1)).alias("corners"))
+             .filter("corners = 4"))
+    named = levels.agg(F.collect_list(F.struct("level_id", "level")).alias("levels")).withColumn("one", F.lit(1))  # one row
+    crossed = F.filter("levels", lambda x: (x["level"] > F.col("low")) & (x["level"] <= F.col("high")))
+    return (cells.withColumn("one", F.lit(1)).join(F.broadcast(named), "one")
+            .select("i", "j", F.explode(crossed).alias("x")).select("x.level_id", "x.level", "i", "j"))
+
+
 def stratified_top(df: DataFrame, pred: str, weight: str, bins: int = 5, n: int = 10,
                    key: Sequence[str] = ()) -> DataFrame:
     """Bin rows by prediction into max(bins, 5) equal-width bins, keep the

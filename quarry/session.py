@@ -31,10 +31,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder on this machine, for sessions that run on it alone and name no shared one, as in tests."""
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="quarry-ckpt-")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the setting is missing (local tests) a scratch folder is made.
+    Only a session on one machine may leave it unset: a scratch folder is made there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -43,8 +50,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
         d = d.replace("file:", "", 1) if d and d.startswith("file:") else d
     if not d:
-        # only for local runs and tests: the setting is unset, so use a scratch folder
-        d = tempfile.mkdtemp(prefix="quarry-ckpt-")
+        d = scratch_folder(spark)
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # noqa: BLE001 - some sessions treat it as a static setting

@@ -147,13 +147,13 @@ _INT_TYPES = [(T.ByteType(), -2 ** 7, 2 ** 7 - 1), (T.ShortType(), -2 ** 15, 2 *
 _FLOAT32_MAX = 3.4028234663852886e38
 
 
-def narrow_types(df: DataFrame, floats: bool = False) -> DataFrame:
-    """Narrow integer columns to byte/short/int/long from one min/max
-    aggregation; doubles become float only when ``floats`` (range-only check,
+def narrowest_types(df: DataFrame, floats: bool = False) -> dict[str, str]:
+    """The narrowest type that holds each integer column (byte/short/int/long), from one
+    min/max aggregation; float for doubles only when ``floats`` (range-only check,
     like the reference, so precision may be lost) - off by default."""
     num = [f for f in df.schema.fields if isinstance(f.dataType, (T.IntegralType, T.DoubleType, T.FloatType))]
     if not num:
-        return df
+        return {}
     mm = df.agg(*[F.min(f"`{f.name}`").alias(f"mn{i}") for i, f in enumerate(num)],
                 *[F.max(f"`{f.name}`").alias(f"mx{i}") for i, f in enumerate(num)]).first()
     target = {}
@@ -162,11 +162,17 @@ def narrow_types(df: DataFrame, floats: bool = False) -> DataFrame:
         if lo is None:
             continue
         if isinstance(f.dataType, T.IntegralType):
-            for t, a, b in _INT_TYPES:
-                if lo >= a and hi <= b:
-                    target[f.name] = t
-                    break
+            target[f.name] = next(t.simpleString() for t, a, b in _INT_TYPES if lo >= a and hi <= b)
         elif floats and isinstance(f.dataType, T.DoubleType) and max(abs(lo), abs(hi)) < _FLOAT32_MAX:
-            target[f.name] = T.FloatType()
-    return df.select(*[F.col(f"`{f.name}`").cast(target[f.name]).alias(f.name) if f.name in target
-                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+            target[f.name] = "float"
+    return target
+
+
+def with_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Columns cast to ``types``; a value that its type can't hold raises (in Spark's ANSI mode)."""
+    return df.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in df.columns])
+
+
+def narrow_types(df: DataFrame, floats: bool = False) -> DataFrame:
+    """Each column in the narrowest type that holds its values."""
+    return with_types(df, narrowest_types(df, floats))

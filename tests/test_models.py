@@ -65,3 +65,36 @@ def test_shap_sums_to_prediction(spark):
     sh = explain.shapley(df, explain.ForestScorer(m), ["a", "b"], bg, ["k"], n_permutations=4)
     chk = sh.groupBy("k").agg((F.sum("shap_value") + F.first("base_value") - F.first("prediction")).alias("d"))
     assert chk.agg(F.max(F.abs("d"))).first()[0] < 1e-9
+
+
+def test_forest_shapley_equals_all_subsets(spark):
+    """Exact values against the definition: every subset of features, against the same background; with missing values."""
+    from itertools import combinations
+    from math import factorial
+
+    rng = np.random.default_rng(6)
+    data = rng.integers(0, 6, size=(300, 4)).astype(float)
+    y = ((data[:, 0] > 2) ^ (data[:, 1] + data[:, 2] > 6)).astype(int)
+    cols = list("abcd")
+    df = spark.createDataFrame([(i, *map(float, r), int(t)) for i, (r, t) in enumerate(zip(data, y))], "k int, a double, b double, c double, d double, y int")
+    m = forest.fit_forest(df, cols, "y", "k", n_trees=4, max_depth=5, max_features=3, min_samples_leaf=1, min_samples_split=2)
+    f = explain.ForestScorer(m)
+    x, bg = data[:12].copy(), data[100:117].copy()
+    x[3, 1] = x[4, 0] = bg[2, 2] = np.nan
+
+    def value(row, subset):
+        z = bg.copy()
+        z[:, list(subset)] = row[list(subset)]
+        return f(z).mean()
+
+    want = np.zeros_like(x)
+    for r in range(len(x)):
+        for j in range(4):
+            rest = [i for i in range(4) if i != j]
+            for n in range(4):
+                for s in combinations(rest, n):
+                    want[r, j] += factorial(n) * factorial(3 - n) / 24 * (value(x[r], (*s, j)) - value(x[r], s))
+    assert np.allclose(explain.forest_shapley(m, x, bg), want, atol=1e-12)
+    sh = explain.shapley(df.filter("k < 40"), f, cols, bg, ["k"])
+    off = sh.groupBy("k").agg((F.sum("shap_value") + F.first("base_value") - F.first("prediction")).alias("d"))
+    assert off.agg(F.max(F.abs("d"))).first()[0] < 1e-12

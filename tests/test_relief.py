@@ -31,12 +31,12 @@ def rows():
 def test_every_row_is_an_anchor(spark, rows, batch):
     df = spark.createDataFrame(rows, "id long, y int, a double, b double, c double, d double")
     want = brute(np.array([r[2:] for r in rows]), np.array([r[1] for r in rows]), 4)
-    got = {r.feature: r.weight for r in relief_weights(df, list("abcd"), "y", "id", k=4, anchor_batch=batch).collect()}
+    got = {r.feature: r.weight for r in relief_weights(df, list("abcd"), "y", "id", k=4, block_rows=batch).collect()}
     assert got == pytest.approx(dict(zip("abcd", want)), abs=1e-9)
 
 
 def test_given_anchors_in_batches(spark, rows):
     df = spark.createDataFrame(rows, "id long, y int, a double, b double, c double, d double")
-    one, many = ({r.feature: r.weight for r in relief_weights(df, list("abcd"), "y", "id", n_anchors=40, anchor_batch=b)
+    one, many = ({r.feature: r.weight for r in relief_weights(df, list("abcd"), "y", "id", n_anchors=40, block_rows=b)
                   .collect()} for b in (256, 16))
     assert one == pytest.approx(many, abs=1e-9)
