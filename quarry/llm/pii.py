@@ -38,6 +38,18 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9])",
 }
 KINDS = list(PATTERNS)
+#: Leading digits and lengths of the card networks' numbers, and the blocks that they are written in.
+CARD_NUMBER = (r"^(?:4(?:[0-9]{12}|[0-9]{15}|[0-9]{18})"
+               r"|5[1-5][0-9]{14}|2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720)[0-9]{12}"
+               r"|3[47][0-9]{13}"
+               r"|3(?:0[0-5]|[68][0-9])[0-9]{11}"
+               r"|6(?:011|5[0-9]{2}|4[4-9][0-9])[0-9]{12,15}"
+               r"|35(?:2[89]|[3-8][0-9])[0-9]{12,15}"
+               r"|62[0-9]{14,17})$")
+CARD_BLOCKS = (r"^(?:[0-9]+|[0-9]{4}(?:[ \-][0-9]{4}){2}[ \-][0-9]{1,4}|[0-9]{4}(?:[ \-][0-9]{4}){3}[ \-][0-9]{1,3}"
+               r"|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{4,5})$")
+#: Leading digits of a card that stay: they name the network.
+ISSUER_DIGITS = 4
 #: The kinds that begin with a digit, a sign or a bracket share one look ahead, so letters cost one test.
 _NUMERIC = ("ip", "date", "ssn", "phone", "card")
 
@@ -155,10 +167,17 @@ def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
 
+def is_card(value: Column) -> Column:
+    """Whether digits in blocks are a card's: a network's leading digits, length and blocks, and the Luhn sum."""
+    tidy = _digits(value)
+    return value.rlike(CARD_BLOCKS) & tidy.rlike(CARD_NUMBER) & luhn_valid(tidy)
+
+
 def _card(value: Column, tweak: Column) -> Column:
+    """All but the network's digits, which every way of writing puts first, and a new check digit."""
     last = F.length(value)
     body = F.substring(value, F.lit(1), last - 1)
-    moved = _in_alphabets(body, _alphabets(body, _by_class), tweak)
+    moved = _in_alphabets(body, _alphabets(body, lambda c, i: F.when(i < ISSUER_DIGITS, F.lit("")).otherwise(_by_class(c))), tweak)
     return _let(moved, lambda m: F.concat(m, F.pmod(-_luhn(_digits(m), 1), F.lit(10)).cast("string")))
 
 
@@ -224,7 +243,6 @@ def _secret(value: Column, tweak: Column) -> Column:
 
 def _kind(value: Column) -> Column:
     """The kind of a matched value, null where its validity rule fails."""
-    tidy = _digits(value)
     out = F.when(value.contains("@"), F.lit("email")).when(value.endswith('"'), F.lit("secret"))
     out = out.when(value.rlike(rf"^({_OCTET}\.){{3}}{_OCTET}$"), F.lit("ip"))
     out = out.when(value.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})$"),
@@ -234,7 +252,7 @@ def _kind(value: Column) -> Column:
     # a run of 32 or more digits is hexadecimal too; card numbers have 19 at most
     out = out.when(value.rlike("^[0-9a-f]{32,}$"), F.lit("hex"))
     out = out.when(value.rlike(r"^(\+[0-9]{1,3}[ .\-]?)?(\([0-9]{3}\)[ .\-]?|[0-9]{3}[.\-])[0-9]{3}[ .\-][0-9]{4}$"), F.lit("phone"))
-    return out.otherwise(F.when(F.length(tidy).between(13, 19) & luhn_valid(tidy), F.lit("card")))
+    return out.otherwise(F.when(is_card(value), F.lit("card")))
 
 
 def _ssn(value: Column, tweak: Column) -> Column:
@@ -266,14 +284,14 @@ def _is(kind: str):
 
 
 def _scan(text: Column) -> Column:
-    """The pattern that finds the values of ``text`` where a card pattern's longest run fails the Luhn sum.
+    """The pattern that finds the values of ``text`` where a card pattern's longest run isn't a card's number.
 
     A shorter run in it may be a card: its numbers beside an expiry date, an order
     number and so on.  All runs of 13 to 19 digits that begin and end with a block
     of digits are tried, and those that pass stand in the pattern, longest first.
     """
     runs = F.array_distinct(F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in CARD_RUNS]))
-    return _let(F.filter(runs, lambda r: luhn_valid(_digits(r))), lambda cards: F.when(
+    return _let(F.filter(runs, is_card), lambda cards: F.when(
         F.size(cards) > 0, F.concat(F.lit(THESE_CARDS[0]), F.array_join(cards, "|"), F.lit(THESE_CARDS[1]))).otherwise(
             F.lit(NO_CARDS)))
 
@@ -288,7 +306,8 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", counts: bool = T
     With ``counts`` also ``n_<kind>`` for each kind (``KINDS``); columns of those
     names are replaced, and nothing else changes.  A text without such values,
     an empty and a null text stay as they are (all counts 0).  Numbers that fail
-    their validity rule (a card's Luhn sum, a day that the calendar lacks) stay.
+    their validity rule (a card's network, blocks and Luhn sum, a day that the calendar
+    lacks) stay.
     Of the runs of digit blocks that pass as cards the first counts, then the longest.
     Repeated rows and repeated values change alike, in all documents.
     """
