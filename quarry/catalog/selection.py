@@ -180,6 +180,30 @@ def q_given_pvalues(spark, sf):
     return finish(out)
 
 
+_MI_IN = """SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_acctbal END AS acct,
+  CAST(CASE c_mktsegment WHEN 'BUILDING' THEN 1.5 ELSE 0.25 END + c_nationkey % 3 AS DOUBLE) AS seg,
+  c_acctbal + 2000.0 * (c_nationkey % 4) AS shifted, c_nationkey % 4 AS cls FROM customer"""
+
+
+@register("score_mutual_info_neighbors", f"""WITH x AS ({_MI_IN}),
+psi AS (SELECT n, -0.57721566490153286 + coalesce(sum(1.0 / (n - 1)) FILTER (n > 1) OVER (ORDER BY n), 0.0) AS h FROM range(1, 200001) t(n)),
+v AS (SELECT c_custkey, cls, feature, x FROM (SELECT c_custkey, cls, unnest(['acct', 'seg', 'shifted']) AS feature,
+  unnest([acct, seg, shifted]) AS x FROM x) WHERE x IS NOT NULL),
+near AS (SELECT a.c_custkey, a.feature, a.x, a.cls, abs(a.x - b.x) AS d,
+  ROW_NUMBER() OVER (PARTITION BY a.feature, a.c_custkey ORDER BY abs(a.x - b.x)) AS rk, COUNT(*) OVER (PARTITION BY a.feature, a.c_custkey) + 1 AS n_cls
+  FROM v a JOIN v b ON a.feature = b.feature AND a.cls = b.cls AND a.c_custkey <> b.c_custkey),
+rad AS (SELECT c_custkey, feature, x, n_cls, d AS radius FROM near WHERE rk = 3),
+m AS (SELECT r.feature, r.c_custkey, r.n_cls, COUNT(*) AS m FROM rad r JOIN v ON v.feature = r.feature
+  AND ((r.radius > 0 AND v.x > r.x - r.radius AND v.x < r.x + r.radius) OR (r.radius = 0 AND v.x = r.x)) GROUP BY ALL),
+t AS (SELECT feature, COUNT(*) AS n, AVG((SELECT h FROM psi WHERE n = 3) - pc.h - pm.h) AS s
+  FROM m JOIN psi pc ON pc.n = m.n_cls JOIN psi pm ON pm.n = m.m GROUP BY feature)
+SELECT t.feature, {r('GREATEST(0.0, psi.h + s)', 'raw')} FROM t JOIN psi ON psi.n = t.n""")
+def q_mi_neighbors(spark, sf):
+    """F9 by nearest neighbours, against all pairs."""
+    fx(spark, sf, "customer")  # registers the views
+    return finish(scoring.score_mi_classif(spark.sql(_MI_IN), "cls", ["acct", "seg", "shifted"], estimator="neighbors").select("feature", "raw"))
+
+
 # nulls, NaN and rows without a class
 _HOLES = """SELECT CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_quantity END AS qty,
   CASE WHEN l_orderkey % 5 = 0 THEN CAST('NaN' AS DOUBLE) ELSE l_discount + 0.0 END AS disc,

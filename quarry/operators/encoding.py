@@ -70,11 +70,12 @@ def fit_encoder(df: DataFrame, cols: Sequence[str], method: str = DEFAULT_ENCODE
              .filter(F.col("category").isNotNull()).distinct())
     numbered = row_number_global(found, ["category"], ["column"], out="code").select(
         "column", "category", F.col("code").cast("int").alias("code"))
-    return _state(_named(numbered, df.columns), method, cols, nan_category, layout)
+    named = numbered.withColumn("name", F.lit(None).cast("string")) if method == "label" else _named(numbered, df.columns)
+    return _state(cut_lineage(named), method, cols, nan_category, layout)
 
 
 def _named(numbered: DataFrame, taken: Sequence[str]) -> DataFrame:
-    """With a name for each category's indicator: column_category with signs as underscores; where that is taken by
+    """A name for each category's indicator: column_category with signs as underscores; where that is taken by
     another category (which has the name: the first) or a column of the table, the code is appended."""
     plain = F.concat("column", F.lit("_"), F.regexp_replace("category", r"[^\p{L}\p{N}_]", "_"))
     rows = numbered.withColumn("name", plain)
@@ -90,7 +91,7 @@ def _named(numbered: DataFrame, taken: Sequence[str]) -> DataFrame:
 
 
 def _state(dictionary: DataFrame, method: str, cols: list, nan_category: str, layout: str) -> EncoderState:
-    st = EncoderState(method, cols, nan_category, layout, cut_lineage(dictionary))
+    st = EncoderState(method, cols, nan_category, layout, dictionary)
     stats = st.dictionary.groupBy("column").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("category") + 16).alias("bytes"),
         F.max(F.when(F.col("category") == nan_category, F.col("code"))).alias("nan")).collect()  # one row per column

@@ -462,6 +462,7 @@ def _best_splits(hist: DataFrame, metric: str | Column, min_leaf: int | Column,
     """T5: cumulative class counts over bins -> weighted child impurity; both
     children >= min_samples_leaf; strictly positive gain; lowest cost, then
     first feature, then lowest threshold. ``metric`` may be a column: true for gini, else entropy."""
+    hist = hist.repartition(*keys)  # the windows and the choice of the split share this shuffle
     w = Window.partitionBy(*keys, "feature").orderBy("bin")
     wa = Window.partitionBy(*keys, "feature")
     h = (hist.withColumn("l0", F.sum("c0").over(w.rowsBetween(Window.unboundedPreceding, 0)))

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark import StorageLevel
 
 from quarry.functions import special
+from quarry.operators import mutual_info
 from quarry.plans.joins import join_groups
 
 DEFAULT_BINS = 10
@@ -277,9 +278,16 @@ def _mi(cnt: DataFrame) -> DataFrame:
         F.sum(F.col("cnt") / F.col("n") * F.ln(F.col("cnt") * F.col("n") / (F.col("pb") * F.col("pc")))).alias("raw"))
 
 
-def score_mi_classif(df: DataFrame, target: str, features=None, label_cols=(), n_bins: int = DEFAULT_BINS) -> DataFrame:
-    """plug-in mutual information (nats) of the binned feature and the class."""
+def score_mi_classif(df: DataFrame, target: str, features=None, label_cols=(), n_bins: int = DEFAULT_BINS,
+                     estimator: str = "bins", k: int = mutual_info.NEIGHBORS) -> DataFrame:
+    """mutual information (nats) of the feature and the class: plug-in over equal-width
+    bins, or by the distances to the ``k`` nearest values of the class (``neighbors``)."""
+    if estimator not in ("bins", "neighbors"):
+        raise ValueError(f"estimator must be bins or neighbors, not {estimator!r}")
     feats = _features(df, target, features, label_cols)
+    if estimator == "neighbors":
+        rows = [("mutual_info", r["feature"], r["raw"], None, None) for r in mutual_info.knn_mutual_info(df, target, feats, k).collect()]
+        return clean_scores(_table(df.sparkSession, rows))
     rows = [("mutual_info", r["feature"], r["raw"], None, None)
             for r in _mi(_binned_counts(df, target, feats, n_bins, False)).collect()]
     return clean_scores(_table(df.sparkSession, rows))
