@@ -308,8 +308,9 @@ def kernel_stats(df: DataFrame, model: SVRModel) -> DataFrame:
         F.max("mx").alias("max"))
     r = a.first()
 
-    def nth(rank: int) -> float:
-        """The value of a rank; each pass keeps the bin that holds it."""
+    def middle(low: int, high: int) -> float:
+        """The mean of the values of two ranks, equal or neighbours; each pass keeps the bin that holds both, until they
+        part (then they are its last value and the next bin's first) or one value is left."""
         lo, hi, below = r["min"], r["max"], 0
         while True:
             def count(batches, lo=lo, hi=hi):
@@ -322,22 +323,24 @@ def kernel_stats(df: DataFrame, model: SVRModel) -> DataFrame:
                             n=("v", "size"), lo=("v", "min"), hi=("v", "max"))
             bins = rows.mapInPandas(count, "bin int, n long, lo double, hi double").groupBy("bin").agg(
                 F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).orderBy("bin").collect()
-            for b in bins:   # KERNEL_BINS at most
-                if below + b["n"] > rank:
+            for at, b in enumerate(bins):   # KERNEL_BINS at most
+                if below + b["n"] > low:
                     break
                 below += b["n"]
+            if below + b["n"] <= high:
+                return (b["hi"] + bins[at + 1]["lo"]) / 2
             if b["lo"] == b["hi"] or (b["lo"], b["hi"]) == (lo, hi):
                 return b["lo"]
             lo, hi = b["lo"], b["hi"]
 
-    low, high = (r["n"] - 1) // 2, r["n"] // 2
-    median = None
-    if r["n"]:
-        median = nth(low) if low == high else (nth(low) + nth(high)) / 2
-    mean = F.col("s") / F.col("n")
-    var = F.col("ss") / F.col("n") - mean * mean
-    return a.select("min", "max", mean.alias("mean"), F.sqrt(F.greatest(var, F.lit(0.0))).alias("std"),
-                    var.alias("var"), F.lit(median).cast("double").alias("median"))
+    n = r["n"]
+    if not n:
+        row = (None,) * 6
+    else:
+        mean = r["s"] / n
+        var = r["ss"] / n - mean * mean
+        row = (r["min"], r["max"], mean, math.sqrt(max(var, 0.0)), var, float(middle((n - 1) // 2, n // 2)))
+    return df.sparkSession.createDataFrame([row], "min double, max double, mean double, std double, var double, median double")
 
 
 # ----------------------------------------------------------------------------- R10-R13

@@ -17,7 +17,6 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
