@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
@@ -101,6 +103,21 @@ def positions(df: DataFrame, within: Sequence[str], order: Sequence[Column | str
             .drop("_part", "_at", "_base", *[f"_k{i}" for i in range(len(within) + 1)]))
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, a map over batches, that gives freed memory back to the system at its end.
+
+    Python workers serve many tasks and stay for a while, beside those of other functions.
+    """
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim:
+            trim(0)
+    return whole
+
+
 def from_texts(docs: DataFrame, text: str, declared: str, start: Callable[[], Callable[[list], list[pa.Array]]]) -> DataFrame:
     """``docs`` with columns made from each text in the place of the text.
 
@@ -120,4 +137,4 @@ def from_texts(docs: DataFrame, text: str, declared: str, start: Callable[[], Ca
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *made(b.columns[-1].to_pylist())], [*keep, *names])
 
     before = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]]
-    return kept.mapInArrow(run, ", ".join([*before, declared]))
+    return kept.mapInArrow(tidy(run), ", ".join([*before, declared]))

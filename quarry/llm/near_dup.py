@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut, from_texts, shuffle_partitions
+from quarry.llm.common import cut, from_texts, shuffle_partitions, tidy
 from quarry.llm.components import components
 from quarry.llm.words import WordHashes, mix, shingles, split_words
 
@@ -150,7 +150,7 @@ def _likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFra
                 p = p[(best >= percent / 100) | (loss < HOPELESS)]
             yield p[["a", "b"]]
 
-    return both.select("a", "b", "na", "nb", "ra", "rb").mapInPandas(run, "a binary, b binary")
+    return both.select("a", "b", "na", "nb", "ra", "rb").mapInPandas(tidy(run), "a binary, b binary")
 
 
 def _full_sets(docs: DataFrame, found: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -189,7 +189,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield p.loc[np.array(good, bool), ["a", "b"]]
 
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ia", "ib").mapInPandas(
-        run, "a binary, b binary")
+        tidy(run), "a binary, b binary")
 
 
 def _linked_within(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -257,7 +257,7 @@ def _links_within(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
             yield ended()
 
     return (rows.repartition(shuffle_partitions(spark), *group).sortWithinPartitions(*group)
-            .mapInPandas(run, "a binary, b binary"))
+            .mapInPandas(tidy(run), "a binary, b binary"))
 
 
 def _band_keys(bands: Bands) -> Column:

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import from_texts, shuffle_partitions, small_batches
+from quarry.llm.common import from_texts, shuffle_partitions, small_batches, tidy
 from quarry.llm.words import WordHashes, mix
 
 BUCKETS, DIMS, NONZERO, WINDOW = 32_768, 32, 4, 2
@@ -116,10 +116,10 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
             yield pd.DataFrame({"block": [k], "salt": [0], "wide": [True], "sums": [x.tobytes()]})
 
     schema = "block int, salt int, wide boolean, sums binary"
-    parts = docs.select(F.col(text).alias("text")).mapInPandas(partial, schema)
+    parts = docs.select(F.col(text).alias("text")).mapInPandas(tidy(partial), schema)
     n = shuffle_partitions(spark)
-    parts = parts.repartition(n, "block", "salt").mapInPandas(summed, schema)
-    parts = parts.repartition(min(n, BUCKETS // BLOCK), "block").mapInPandas(summed, schema)
+    parts = parts.repartition(n, "block", "salt").mapInPandas(tidy(summed), schema)
+    parts = parts.repartition(min(n, BUCKETS // BLOCK), "block").mapInPandas(tidy(summed), schema)
     total = np.zeros((BUCKETS + 1, DIMS))
     for r in parts.select("block", "sums").toLocalIterator():  # BUCKETS x DIMS numbers, whatever the corpus
         total[r.block * BLOCK:(r.block + 1) * BLOCK] = np.frombuffer(r.sums, np.int64).reshape(-1, DIMS)
