@@ -94,14 +94,15 @@ def _local_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def term_matrix(docs: DataFrame, text: str = "text", part: str = "lang") -> tuple[DataFrame, DataFrame]:
-    """(matrix, dictionary) of the documents' words, both written and over all documents.
+    """(matrix, dictionary) of the documents' words, both over all documents.
 
     ``dictionary``: ``word binary, term long``, gapless from 0.  ``matrix``: a
     CSR shard a row, with ``docs`` (doc_id, part and facts of each text),
     ``row_ends array<int>``, ``terms array<long>`` (numbers of the dictionary)
     and ``counts array<int>``.  Words are runs of bytes outside
     ``[\\x20\\x09-\\x0D]``.  A null text counts as empty and has an empty row;
-    repeated rows stay; an empty table gives empty tables.
+    repeated rows stay; an empty table gives empty tables.  The matrix is a plan:
+    whoever reads only its row sums doesn't pay for the renumbered columns.
     """
     small_batches(docs.sparkSession)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(part), F.lit("")).alias("part"),
@@ -112,7 +113,7 @@ def term_matrix(docs: DataFrame, text: str = "text", part: str = "lang") -> tupl
     codes = (places.join(dictionary, "word").groupBy("shard")
              .agg(F.sort_array(F.collect_list(F.struct("place", "term")))["term"].alias("codes")))
     matrix = local.drop("words").join(codes.hint("shuffle_hash"), "shard", "left")
-    return cut(matrix.withColumn("terms", F.transform("terms", lambda t: F.get("codes", t))).drop("codes")), dictionary
+    return matrix.withColumn("terms", F.transform("terms", lambda t: F.get("codes", t))).drop("codes"), dictionary
 
 
 def _numbered(words: DataFrame) -> DataFrame:
