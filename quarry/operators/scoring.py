@@ -257,8 +257,9 @@ def chi2_contingency(df: DataFrame, target: str, features=None, label_cols=(), n
     j = cnt.join(rb, ["feature", "bin"]).join(cc, ["feature", "cls"])
     n = F.sum("cnt").over(Window.partitionBy("feature"))
     j = j.withColumn("n", n)
+    cnt, rb, cc = (F.col(c).cast("double") for c in ("cnt", "rb", "cc"))  # the products exceed 64-bit integers
     agg = j.groupBy("feature").agg(
-        (F.sum(F.col("cnt") * F.col("cnt") * F.col("n") / (F.col("rb") * F.col("cc"))) - F.max("n")).alias("raw"),
+        (F.sum(cnt * cnt * F.col("n") / (rb * cc)) - F.max("n")).alias("raw"),
         F.count_distinct("bin").alias("nb"), F.count_distinct("cls").alias("nk"))
     rows = []
     for r in agg.collect():
@@ -274,8 +275,9 @@ def _mi(cnt: DataFrame) -> DataFrame:
     pc = F.sum("cnt").over(Window.partitionBy("feature", "cls"))
     n = F.sum("cnt").over(w)
     t = cnt.withColumn("pb", pb).withColumn("pc", pc).withColumn("n", n)
+    c, pb, pc = (F.col(x).cast("double") for x in ("cnt", "pb", "pc"))  # the products may exceed 64-bit integers
     return t.groupBy("feature").agg(
-        F.sum(F.col("cnt") / F.col("n") * F.ln(F.col("cnt") * F.col("n") / (F.col("pb") * F.col("pc")))).alias("raw"))
+        F.sum(c / F.col("n") * F.ln(c * F.col("n") / (pb * pc))).alias("raw"))
 
 
 def score_mi_classif(df: DataFrame, target: str, features=None, label_cols=(), n_bins: int = DEFAULT_BINS,

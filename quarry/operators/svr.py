@@ -395,6 +395,8 @@ def stratified_top(df: DataFrame, pred: str, weight: str, bins: int = 5, n: int
     from pyspark.sql import Window
     nb = max(bins, 5)
     mm = df.agg(F.min(pred).alias("a"), F.max(pred).alias("b")).first()
+    if mm["a"] is None:  # no rows, or none with a prediction: all are in one bin without a number
+        mm = {"a": 0.0, "b": 0.0}
     w = ((mm["b"] + 1e-9) - mm["a"]) / nb
     b = F.least(F.floor((F.col(pred) - F.lit(mm["a"])) / F.lit(w)), F.lit(nb - 1)).cast("int")
     win = Window.partitionBy("bin").orderBy(F.desc(F.abs(F.col(weight))), *key)
