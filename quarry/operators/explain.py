@@ -1,4 +1,7 @@
-"""Shapley explanations (X rows), exact for forests and sampled for any other model.
+"""Shapley explanations (X rows), exact for linear models and forests and sampled for any other model.
+
+A linear model's values are the same in every order of the features: weight x
+(value - background mean), which are plain columns.
 
 A forest's values come from its node tables: a leaf is reached by the features
 that come from the explained row and those that come from a background row where
@@ -27,7 +30,7 @@ from pyspark.sql import types as T
 from quarry.functions.hashing import row_hash
 from quarry.plans.joins import join_groups
 from quarry.plans.parallel import spread
-from quarry.plans.quantiles import group_quantiles
+from quarry.plans.quantiles import fresh_name, group_quantiles
 from quarry.session import cut_lineage
 
 # Reference sizes for the background sample, waterfall length and decision rows.
@@ -154,10 +157,12 @@ def shapley(df: DataFrame, f: Callable, cols: Sequence[str], bg: np.ndarray, id_
             n_permutations: int = 10, seed: int = 0, block_rows: int = 256, exact: bool = True) -> DataFrame:
     """Long table (id..., feature, value, shap_value, base_value, prediction);
     ``value`` is the explained row's feature value, so the per-feature views
-    below need no join back to the data. A forest's values are exact unless ``exact`` is
-    false; other models are sampled by ``n_permutations``."""
+    below need no join back to the data. A linear model's and a forest's values are exact unless
+    ``exact`` is false; other models are sampled by ``n_permutations``."""
     cols = list(cols)
     ids = list(id_cols)
+    if exact and isinstance(f, LinearScorer):
+        return _linear_shapley(df, f, cols, np.asarray(bg, dtype=np.float64), ids)
     closed = exact and isinstance(f, ForestScorer) and list(f.model.features) == cols
     perms = _permutations(len(cols), n_permutations, seed)
     bc = df.sparkSession.sparkContext.broadcast((f, np.asarray(bg, dtype=np.float64), perms))
@@ -195,6 +200,20 @@ def shapley(df: DataFrame, f: Callable, cols: Sequence[str], bg: np.ndarray, id_
     return spread(df.select(*ids, *cols)).mapInPandas(kern, schema)
 
 
+def _linear_shapley(df: DataFrame, f: LinearScorer, cols: list[str], bg: np.ndarray, ids: list[str]) -> DataFrame:
+    """X1 for f(x) = x . w + b: each order of the features adds w * (x - background value) for each background row. A row
+    with a missing (null or NaN) feature has neither values nor a prediction."""
+    base, means, own = float(np.mean(f(bg))), bg.mean(axis=0), fresh_name(ids, "_x")
+    row = spread(df.select(*ids, F.array(*[F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in cols]).alias(own)))
+    x = [F.col(own)[j] for j in range(len(cols))]
+    pred = sum((F.lit(float(w)) * v for w, v in zip(f.w, x)), F.lit(0.0)) + F.lit(f.b)  # null if any feature is
+    whole = pred.isNotNull()
+    parts = [F.struct(F.lit(c).alias("feature"), v.alias("value"), F.when(whole, F.lit(float(w)) * (v - F.lit(float(m)))).alias("shap_value"))
+             for c, v, w, m in zip(cols, x, f.w, means)]
+    long = row.select(*ids, F.explode(F.array(*parts)).alias("_s"), F.lit(base).alias("base_value"), pred.alias("prediction"))
+    return long.select(*ids, "_s.feature", "_s.value", "_s.shap_value", "base_value", "prediction")
+
+
 def shap_importance(shap: DataFrame) -> DataFrame:
     """Mean |shap| per feature."""
     return shap.groupBy("feature").agg(F.avg(F.abs("shap_value")).alias("mean_abs_shap"))
@@ -218,12 +237,12 @@ def shap_waterfall(shap: DataFrame, id_cols: Sequence[str], max_display: int = W
     remaining ones summed as 'rest'."""
     ids = list(id_cols)
     w = Window.partitionBy(*ids).orderBy(F.desc(F.abs("shap_value")), "feature")  # one partition per row: d values
-    r = shap.withColumn("_r", F.row_number().over(w))
-    keep = r.filter(F.col("_r") < max_display).select(*ids, "feature", "shap_value", F.col("_r").alias("position"))
-    rest = (r.filter(F.col("_r") >= max_display).groupBy(*ids)
-            .agg(F.sum("shap_value").alias("shap_value"))
-            .select(*ids, F.lit("rest").alias("feature"), "shap_value", F.lit(max_display).alias("position")))
-    return keep.unionByName(rest)
+    r = shap.select(*ids, "feature", "shap_value", F.row_number().over(w).alias("position"),
+                    F.sum("shap_value").over(w.rowsBetween(0, Window.unboundedFollowing)).alias("_rest"))
+    last = F.col("position") == max_display  # the values are computed and shuffled once, for the first ones and the rest
+    return r.filter(F.col("position") <= max_display).select(
+        *ids, F.when(last, F.lit("rest")).otherwise(F.col("feature")).alias("feature"),
+        F.when(last, F.col("_rest")).otherwise(F.col("shap_value")).alias("shap_value"), "position")
 
 
 def shap_decision(shap: DataFrame, id_cols: Sequence[str]) -> DataFrame:
@@ -270,6 +289,46 @@ def _interactions(fn: Callable, B: np.ndarray, perms, x: np.ndarray) -> np.ndarr
     return out
 
 
+def _pair_coalitions(d: int, perms) -> list[tuple[int, int, int]]:
+    """(first feature, second, features that come before both as bits) for each pair and order."""
+    out = []
+    for i in range(d):
+        for j in range(i + 1, d):
+            for p in perms:
+                pos = np.argsort(p)
+                out.append((i, j, sum(1 << int(s) for s in p[:min(pos[i], pos[j])])))
+    return out
+
+
+def _forest_interactions(leaves: list, n_trees: int, B: np.ndarray, perms, x: np.ndarray) -> np.ndarray:
+    """``_interactions`` of a forest from its leaves: a mixed row reaches a leaf where the features taken from the row and
+    those taken from the background row each pass their part of the path. Only pairs on a leaf's path interact in it."""
+    n, d = x.shape
+    index = np.zeros((d, d, n))
+    wanted = _pair_coalitions(d, perms)
+    for value, feats, lo, hi in leaves:
+        place_of = {int(c): k for k, c in enumerate(feats)}
+        pairs = [(i, j, before) for i, j, before in wanted if i in place_of and j in place_of]
+        if not value or not pairs:
+            continue
+        full = (1 << len(feats)) - 1
+        own, place = np.unique(_passes(x[:, feats], lo, hi), return_inverse=True)
+        other, times = np.unique(_passes(B[:, feats], lo, hi), return_counts=True)
+        gains: dict[tuple[int, int], np.ndarray] = {}
+        for i, j, before in pairs:
+            held = sum(1 << k for c, k in place_of.items() if before >> c & 1)
+            a, b = 1 << place_of[i], 1 << place_of[j]
+
+            def reached(taken):
+                mixed = (own[:, None] & taken) | (other[None, :] & (full & ~taken))
+                return (mixed == full) @ times
+            gain = reached(held | a | b) - reached(held | a) - reached(held | b) + reached(held)
+            gains[i, j] = gains.get((i, j), 0) + gain
+        for (i, j), gain in gains.items():
+            index[i, j] += (gain * (value / len(B)))[place]
+    return np.abs(index / (len(perms) * max(n_trees, 1))).sum(axis=2)
+
+
 def shap_interactions(df: DataFrame, f: Callable, cols: Sequence[str], bg: np.ndarray, n_permutations: int = 6,
                       seed: int = 0) -> DataFrame:
     """Sampled Shapley interaction index per feature pair,
@@ -283,13 +342,18 @@ def shap_interactions(df: DataFrame, f: Callable, cols: Sequence[str], bg: np.nd
 
     def kern(batches):
         fn, B, pm = bc.value
+        by_leaf = isinstance(fn, ForestScorer) and list(fn.model.features) == cols
+        leaves = [leaf for tree in fn.model.trees for leaf in _leaves(tree)] if by_leaf else []
         for pdf in batches:
             if not len(pdf):
                 continue
             x = pdf[cols].to_numpy(dtype=np.float64)
             acc, n = np.zeros((d, d)), len(x)
-            for x in np.array_split(x, -(-n // INTERACTION_ROWS)):
-                acc += _interactions(fn, B, pm, x)
+            if by_leaf:
+                acc += _forest_interactions(leaves, len(fn.model.trees), B, pm, x)
+            else:
+                for x in np.array_split(x, -(-n // INTERACTION_ROWS)):
+                    acc += _interactions(fn, B, pm, x)
             rows = [(cols[i], cols[j], acc[i, j], n) for i in range(d) for j in range(i + 1, d)]
             yield pd.DataFrame(rows, columns=["feature_a", "feature_b", "s", "n"])
 
