@@ -5,6 +5,9 @@
   holds all of them where they are few.
 * Bootstrap = Poisson(1) weight per (row, tree) from a hash of the key - no
   row index, nothing on the driver.
+* Where the bins allow far fewer different rows than there are, equal binned rows
+  become one with the sums of their weights, so that a level costs as much as there
+  are different ones.
 * Each depth level is ONE Spark job for ALL trees of all forests that are grown
   together (a grid search grows its candidates on all folds at once): an Arrow
   kernel routes every row through every tree with the broadcast node table and
@@ -245,6 +248,10 @@ def _route(xb: np.ndarray, feat: np.ndarray, bins: np.ndarray, left: np.ndarray,
     return node
 
 
+#: Rows for each possible binned row and class from which on equal rows are merged.
+MERGED_ROWS = 4
+#: Rows and weights that are merged at a time in a task.
+MERGED_AT_ONCE, MERGED_WEIGHTS = 1 << 20, 1 << 24
 #: Training frames that are read and binned at once.
 PREPARED_AT_ONCE = 4
 #: Trees that are grown in the same jobs at most, which bounds the node tables on the driver and in each task.
@@ -284,12 +291,16 @@ def fit_forests(trainings: Sequence[tuple[DataFrame, Sequence[str]]], label: str
         places[draw], at = at, at + n
     weights = F.concat(*[_weights_array(keys, n, seed, hash_method) if boot else F.array_repeat(F.lit(1), n).cast("array<tinyint>")
                          for (boot, seed), n in draws.items()])
+    rows: dict[int, int] = {}
+
     def copied(t):
         """One parallel, persisted copy of the needed columns, which feeds binning and weights."""
         df, features = trainings[t]
         raw = spread(df.select(*dict.fromkeys([*features, label, *keys]))).persist(StorageLevel.MEMORY_AND_DISK)
-        if not {r[0] for r in raw.select(label).distinct().limit(3).collect()} <= {0, 1}:
+        labels = raw.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(3).collect()
+        if not {r[label] for r in labels} <= {0, 1}:
             raise ValueError("labels must be exactly 0 and 1")
+        rows[t] = sum(r["n"] for r in labels)
         return raw
 
     # frames, and then (frame, max_bins), are prepared by a few concurrent jobs
@@ -302,6 +313,9 @@ def fit_forests(trainings: Sequence[tuple[DataFrame, Sequence[str]]], label: str
     for number, ((t, _), th) in enumerate(zip(pairs, cuts)):
         own = held[t].select(F.lit(number).alias("part"), F.array(*[_bin_expr(c, th[c]) for c in trainings[t][1]]).alias("xb"),
                              F.col(label).cast("byte").alias("y"), weights.alias("w"))
+        shapes = [len(th[c]) + 1 for c in trainings[t][1]]
+        if math.prod(shapes) * 2 * MERGED_ROWS <= rows[t]:
+            own = _merged(own, shapes)
         binned = own if binned is None else binned.unionByName(own)
     models = []
     for t, p in wanted:
@@ -325,6 +339,52 @@ def fit_forests(trainings: Sequence[tuple[DataFrame, Sequence[str]]], label: str
     return [m.done() for m in models]
 
 
+def _merged(binned: DataFrame, shapes: Sequence[int]) -> DataFrame:
+    """Equal (part, xb, y) as one row with the sums of their weights, within each task and then by a shuffle of what is left."""
+    def sums(part, code, weights):
+        order = np.lexsort((code, part))
+        part, code = part[order], code[order]
+        first = np.flatnonzero(np.r_[True, (np.diff(part) != 0) | (np.diff(code) != 0)])
+        return part[first], code[first], np.add.reduceat(weights[order], first, axis=0)
+
+    def kernel(read):
+        def merge(batches):
+            held, n = [], 0
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                held.append(read(b))
+                n, most = n + b.num_rows, min(MERGED_AT_ONCE, MERGED_WEIGHTS // held[0][2].shape[1])
+                if n >= most:
+                    held = [sums(*(np.concatenate(x) for x in zip(*held)))]
+                    n = len(held[0][0])
+                    if 2 * n > most:  # mostly different: hand them on
+                        yield out(*held[0])
+                        held, n = [], 0
+            if held:
+                yield out(*sums(*(np.concatenate(x) for x in zip(*held))))
+        return merge
+
+    def out(part, code, weights):
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(code) + 1, dtype=np.int32) * weights.shape[1]), pa.array(weights.ravel()))
+        return pa.RecordBatch.from_arrays([pa.array(part), pa.array(code), lists], ["part", "code", "w"])
+
+    def binned_rows(b):
+        part, y = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 2))
+        at = np.arange(b.num_rows)
+        return part, np.ravel_multi_index(_matrix(b.column(1), at).T, shapes) * 2 + y, _matrix(b.column(3), at)
+
+    def merged_rows(b):
+        return *(b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1)), _matrix(b.column(2), np.arange(b.num_rows))
+
+    schema = "part int, code long, w array<bigint>"
+    own = binned.mapInArrow(kernel(binned_rows), schema).repartition("part", "code").mapInArrow(kernel(merged_rows), schema)
+    code, xb = F.floor(F.col("code") / 2), []
+    for i, size in enumerate(shapes):
+        xb.append(F.pmod(F.floor(code / math.prod(shapes[i + 1:])), F.lit(size)).cast("short"))
+    return own.select("part", F.array(*xb).alias("xb"), F.pmod("code", F.lit(2)).cast("byte").alias("y"), "w")
+
+
 class _Growing:
     """A forest while it grows."""
 
