@@ -70,6 +70,17 @@ def _nearest_pairs(qi, qv, ci, cv, k: int):
     return i[place < k], j[place < k], dist[place < k]
 
 
+def _searched(q: pd.DataFrame, c: pd.DataFrame, name: str, k: int) -> pd.DataFrame:
+    """(name, nbr, dist): the ``k`` nearest of the vectors ``c`` for each of ``q``, a few queries at a time."""
+    if not len(q) or not len(c):
+        return pd.DataFrame({name: [], "nbr": [], "dist": []})
+    qi, ci = q[name].to_numpy(), c[name].to_numpy()
+    qv, cv = (np.stack(x["v"].to_numpy()).astype(np.float64) for x in (q, c))
+    step = max(1, (1 << 22) // len(ci))
+    found = [(qi[at:at + step], *_nearest_pairs(qi[at:at + step], qv[at:at + step], ci, cv, k)) for at in range(0, len(qi), step)]
+    return pd.concat([pd.DataFrame({name: own[i], "nbr": ci[j], "dist": d}) for own, i, j, d in found], ignore_index=True)
+
+
 #: Memory of the lists' centres, which every task holds.
 CENTRE_BYTES = 64 << 20
 #: Vectors whose true neighbours tell how many lists must be looked into.
@@ -90,7 +101,8 @@ def knn_graph(df: DataFrame, id_col: str, vec_col: str, k: int = 10, method: str
     many they are."""
     if method not in ("lists", "exact"):
         raise ValueError(f"method must be lists or exact, not {method!r}")
-    v = F.col(vec_col).cast("array<double>")
+    single = df.schema[vec_col].dataType == T.ArrayType(T.FloatType(), df.schema[vec_col].dataType.containsNull)
+    v = F.col(vec_col).cast("array<float>" if single else "array<double>")  # half the bytes in every shuffle; distances are in doubles
     base = df.select(F.col(id_col).alias("id"), v.alias("v")).filter(
         F.col("id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull() | F.isnan(x)))
     return _knn_lists(base, k, probes, recall) if method == "lists" else _knn_exact(base, k, block_rows, n_blocks)
@@ -102,7 +114,7 @@ def _distances(v: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
-    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1).astype(np.float64)
 
 
 def _needed_probes(placed: DataFrame, centres: np.ndarray, k: int, recall: float) -> int:
@@ -132,7 +144,7 @@ def _needed_probes(placed: DataFrame, centres: np.ndarray, k: int, recall: float
 
 
 def _knn_lists(base: DataFrame, k: int, probes: int | None, recall: float) -> DataFrame:
-    spark, kind = base.sparkSession, base.schema["id"].dataType.simpleString()
+    spark, kind, vec = base.sparkSession, base.schema["id"].dataType.simpleString(), base.schema["v"].dataType.simpleString()
     # different vectors, each with the k + 1 smallest ids that have it
     order = Window.partitionBy("v").orderBy("id")
     ids = base.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= k + 1)
@@ -159,9 +171,9 @@ def _knn_lists(base: DataFrame, k: int, probes: int | None, recall: float) -> Da
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * near), pa.array(at.ravel()))
             yield pa.RecordBatch.from_arrays([*b.columns, lists], ["rep", "v", "home", "lists"])
 
-    placed = cut_lineage(reps.select("rep", "v").mapInArrow(at_home, f"rep {kind}, v array<double>, home int"))
+    placed = cut_lineage(reps.select("rep", "v").mapInArrow(at_home, f"rep {kind}, v {vec}, home int"))
     near = max(1, min(len(chosen), probes or _needed_probes(placed, centres, k, recall)))
-    placed = placed.mapInArrow(lists_of, f"rep {kind}, v array<double>, home int, lists array<int>")
+    placed = placed.mapInArrow(lists_of, f"rep {kind}, v {vec}, home int, lists array<int>")
     # a row for each list: how many tasks its queries and its candidates are dealt to
     asked = placed.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("asked"))
     held = placed.groupBy(F.col("home").alias("list")).agg(F.count(F.lit(1)).alias("held"))
@@ -181,13 +193,7 @@ def _knn_lists(base: DataFrame, k: int, probes: int | None, recall: float) -> Da
                           every("q_parts").alias("q")))
 
     def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(c):
-            return pd.DataFrame({"rep": [], "nbr": [], "dist": []})
-        qi, ci = q["rep"].to_numpy(), c["rep"].to_numpy()
-        qv, cv = (np.stack(x["v"].to_numpy()) for x in (q, c))
-        step = max(1, (1 << 22) // len(ci))
-        found = [(qi[at:at + step], *_nearest_pairs(qi[at:at + step], qv[at:at + step], ci, cv, k)) for at in range(0, len(qi), step)]
-        return pd.concat([pd.DataFrame({"rep": own[i], "nbr": ci[j], "dist": d}) for own, i, j, d in found], ignore_index=True)
+        return _searched(q, c, "rep", k)
 
     keys = ["list", "q", "c"]
     pairs = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(search, f"rep {kind}, nbr {kind}, dist double")
@@ -206,41 +212,28 @@ def _knn_lists(base: DataFrame, k: int, probes: int | None, recall: float) -> Da
 
 
 def _knn_exact(base: DataFrame, k: int, block_rows: int, n_blocks: int | None) -> DataFrame:
-    """Rows are dealt into blocks by a hash of the id; every (query block,
-    candidate block) pair is one task that computes the block's distances in
-    NumPy and keeps only a partial top-k per query row; a final row_number per
-    id merges the partial lists. Work is the exact n^2 distances, but memory
-    per task is two blocks and the shuffled volume is n x blocks x k.
+    """Every vector against all others: queries and candidates are dealt into blocks by a hash of
+    the id, each (query block, candidate block) is compared in NumPy by one task and keeps a partial
+    top-k per query; a row_number per id merges the partial lists. The work is the exact n^2
+    distances. A task holds two blocks of bounded size; as each row goes to every block of the other
+    side, the blocks are as few as keep all cores at work until that size is reached.
     """
     n = base.count()
-    nb = n_blocks or max(1, -(-n // block_rows))
-    blk = base.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int"))
-    packed = blk.groupBy("b").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
-    spark = base.sparkSession
-    pairs = spark.range(nb).select(F.col("id").cast("int").alias("qb")) \
-        .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-    q = packed.select(F.col("b").alias("qb"), F.col("rows").alias("qrows"))
-    c = packed.select(F.col("b").alias("cb"), F.col("rows").alias("crows"))
-    tasks = min(nb * nb, max(spark.sparkContext.defaultParallelism * 4, 2 * nb))
-    work = pairs.join(q, "qb").join(c, "cb").repartition(tasks)
-    id_type = base.schema["id"].dataType.simpleString()
-
-    def kern(batches):
-        for pdf in batches:
-            outs = []
-            for qr, cr in zip(pdf["qrows"], pdf["crows"]):
-                qi = np.array([r["id"] for r in qr])
-                qv = np.array([r["v"] for r in qr], dtype=np.float64)
-                ci = np.array([r["id"] for r in cr])
-                cv = np.array([r["v"] for r in cr], dtype=np.float64)
-                i, j, dist = _nearest_pairs(qi, qv, ci, cv, k)
-                outs.append(pd.DataFrame({"id": qi[i], "nbr": ci[j], "dist": dist}))
-            if outs:
-                yield pd.concat(outs, ignore_index=True)
-
-    cand = work.select("qrows", "crows").mapInPandas(kern, f"id {id_type}, nbr {id_type}, dist double")
+    cores, kind = base.sparkSession.sparkContext.defaultParallelism, base.schema["id"].dataType.simpleString()
+    c_blocks = n_blocks or max(1, -(-n // LIST_ROWS))
+    q_blocks = n_blocks or max(1, -(-n // QUERY_ROWS), min(-(-n // block_rows), -(-4 * cores // c_blocks)))
+
+    def dealt(own, n_own, other, n_other):
+        return (base.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))).groupBy("q", "c"))
+
+    def compared(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        return _searched(q, c, "id", k)
+
+    near = dealt("q", q_blocks, "c", c_blocks).cogroup(dealt("c", c_blocks, "q", q_blocks)).applyInPandas(
+        compared, f"id {kind}, nbr {kind}, dist double")
     w = Window.partitionBy("id").orderBy("dist", "nbr")   # one partition per id: blocks x k rows
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def scatter_sample(df: DataFrame, cols: Sequence[str], n: int, key, seed: int = 0,

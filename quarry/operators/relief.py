@@ -5,8 +5,9 @@ anchors is given, which are then chosen by hash. Anchors and rows are dealt into
 blocks; one plan compares each block of anchors with each block of rows
 (range-normalised Manhattan distance) and keeps, per (anchor, class), the block's
 exact top-k under the (distance, key) order; a row_number per (anchor, class)
-merges the partial lists exactly; partial sums per task turn the neighbour
-differences into weights. Misses are weighted by class prior.
+merges the partial lists exactly. Only rows' numbers and distances leave a block;
+the neighbours that are left are joined with their features, and partial sums per
+task turn the differences into weights. Misses are weighted by class prior.
 """
 
 from __future__ import annotations
@@ -27,7 +28,9 @@ from quarry.session import cut_lineage
 
 DEFAULT_N_FEATURES = 10
 #: Rows of a block; a task holds one block of anchors and one of rows.
-BLOCK_ROWS = 1 << 13
+BLOCK_ROWS = 1 << 16
+#: Anchors of a block at most, and as few as make blocks for all cores.
+ANCHOR_ROWS, MIN_ANCHOR_ROWS = 1 << 13, 1 << 8
 
 
 def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int | None = None, k: int = 10,
@@ -48,7 +51,7 @@ def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int |
     x = F.array(*[F.col(c).cast("double") for c in names])
     rows = d.select(F.col(key).alias("key"), F.col("_cls").alias("cls"), x.alias("x")).filter(
         F.col("cls").isNotNull() & ~F.exists("x", lambda v: v.isNull() | F.isnan(v)))
-    rows = cut_lineage(spread(rows))
+    rows = cut_lineage(spread(rows).withColumn("row", F.monotonically_increasing_id()))
     spark = df.sparkSession
     got = rows.agg(F.count(F.lit(1)).alias("n"), *[(F.max(F.col("x")[i]) - F.min(F.col("x")[i])).alias(f"r{i}") for i in range(len(names))]).first()
     total = got["n"]
@@ -59,7 +62,9 @@ def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int |
         anchors = rows.orderBy(row_hash("key", seed, hash_method), "key").limit(m)
     prior = cut_lineage(rows.groupBy("cls").agg((F.count(F.lit(1)) / F.lit(float(max(total, 1)))).alias("prior")))
 
-    a_blocks, r_blocks = (max(1, -(-n // block_rows)) for n in (m, total))
+    # few blocks, as each row goes to every block of the other side
+    a_blocks, r_blocks = max(1, -(-m // min(ANCHOR_ROWS, block_rows))), max(1, -(-total // block_rows))
+    a_blocks = max(a_blocks, min(-(-m // MIN_ANCHOR_ROWS), -(-2 * spark.sparkContext.defaultParallelism // r_blocks)))
 
     def dealt(t, own, n_own, other, n_other):
         return (t.withColumn(own, F.pmod(F.xxhash64("key"), F.lit(n_own)).cast("int"))
@@ -67,9 +72,9 @@ def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int |
 
     key_t = rows.schema["key"].dataType.simpleString()
     blocks = dealt(anchors, "a", a_blocks, "r", r_blocks).groupBy("a", "r").cogroup(dealt(rows, "r", r_blocks, "a", a_blocks).groupBy("a", "r"))
-    near = blocks.applyInPandas(_block_kernel(rg, k), f"anchor {key_t}, acls long, cls long, dist double, key {key_t}, diff array<double>")
+    near = blocks.applyInPandas(_block_kernel(rg, k), f"anchor {key_t}, arow long, acls long, cls long, dist double, key {key_t}, row long")
     w = Window.partitionBy("anchor", "cls").orderBy("dist", "key")   # blocks x k rows each
-    nn = near.withColumn("at", F.row_number().over(w)).filter(F.col("at") <= k).select("acls", "cls", "diff")
+    nn = near.withColumn("at", F.row_number().over(w)).filter(F.col("at") <= k).select("arow", "acls", "cls", "row")
     own = prior.select(F.col("cls").alias("acls"), F.col("prior").alias("aprior"))
     nn = nn.join(prior, "cls").join(own, "acls")
     fac = F.when(F.col("cls") == F.col("acls"), F.lit(-1.0)).otherwise(F.col("prior") / (1.0 - F.col("aprior"))) \
@@ -78,11 +83,14 @@ def relief_weights(df: DataFrame, cols, target: str, key: str, n_anchors: int |
     def sums(batches):
         s = np.zeros(len(names))
         for b in batches:
-            s += b.column(0).to_numpy(zero_copy_only=False) @ b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1) \
-                if b.num_rows else 0.0
+            if b.num_rows:
+                a, x = (b.column(i).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1) for i in (1, 2))
+                s += b.column(0).to_numpy(zero_copy_only=False) @ (np.abs(a - x) / rg[None, :])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(names), dtype=np.int32)), pa.array(s)], ["i", "w"])
 
-    part = nn.select(fac.alias("fac"), "diff").mapInArrow(sums, "i int, w double")
+    nn = nn.select("arow", "row", fac.alias("fac")).join(rows.select("row", "x"), "row")
+    nn = nn.join(rows.select(F.col("row").alias("arow"), F.col("x").alias("ax")), "arow")
+    part = nn.select("fac", "ax", "x").mapInArrow(sums, "i int, w double")
     weights = {r["i"]: r["w"] for r in part.groupBy("i").agg(F.sum("w").alias("w")).collect()}  # one row per feature
     ranked = sorted(((c, weights.get(i, 0.0)) for i, c in enumerate(names)), key=lambda t: (-t[1], t[0]))
     return spark.createDataFrame(
@@ -97,11 +105,12 @@ def _block_kernel(rg: np.ndarray, k: int):
         if len(anchors) and len(rows):
             rows = rows.sort_values("key", kind="stable")  # so that equal distances are in the order of the keys
             X, keys, cls = np.stack(rows["x"].to_numpy()), rows["key"].to_numpy(), rows["cls"].to_numpy()
+            numbers = rows["row"].to_numpy()
             of_class = {c: np.flatnonzero(cls == c) for c in np.unique(cls)}
             step = max(1, (1 << 21) // len(X))
             for at in range(0, len(anchors), step):
                 own = anchors.iloc[at:at + step]
-                A, ak = np.stack(own["x"].to_numpy()), own["key"].to_numpy()
+                A, ak, ar = np.stack(own["x"].to_numpy()), own["key"].to_numpy(), own["row"].to_numpy()
                 D = np.zeros((len(A), len(X)))
                 for j in range(X.shape[1]):
                     D += np.abs(A[:, j, None] - X[None, :, j]) / rg[j]
@@ -109,10 +118,10 @@ def _block_kernel(rg: np.ndarray, k: int):
                 for c, members in of_class.items():
                     i, pick = _least(D[:, members], k)
                     pick = members[pick]
-                    out.append(pd.DataFrame({"anchor": ak[i], "acls": own["cls"].to_numpy()[i], "cls": c, "dist": D[i, pick],
-                                             "key": keys[pick], "diff": list(np.abs(A[i] - X[pick]) / rg[None, :])}))
+                    out.append(pd.DataFrame({"anchor": ak[i], "arow": ar[i], "acls": own["cls"].to_numpy()[i], "cls": c, "dist": D[i, pick],
+                                             "key": keys[pick], "row": numbers[pick]}))
         return pd.concat(out, ignore_index=True) if out else pd.DataFrame(
-            {"anchor": [], "acls": [], "cls": [], "dist": [], "key": [], "diff": []})
+            {"anchor": [], "arow": [], "acls": [], "cls": [], "dist": [], "key": [], "row": []})
     return kernel
 
 

@@ -28,3 +28,24 @@ def test_no_support_rows(spark):
     p = spark.createDataFrame([(1, 2.0, 0.5)], "id int, prediction double, excess double")
     got = svr.stratified_top(p.filter("id > 1"), "prediction", "excess", 5, 10, ["id"])
     assert got.count() == 0 and "bin" in got.columns
+
+
+def test_neighbour_shuffles_stay_narrow(spark):
+    """Floats aren't widened for the shuffles, and differences of features don't leave a block."""
+    import numpy as np
+    from quarry.operators import neighbors, relief
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.random(4).astype(np.float32)], int(i % 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, v array<float>, y int")
+    x, ids = np.array([r[1] for r in rows]), np.arange(300)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    want = {(i, k + 1): j for i in range(300) for k, j in enumerate(np.lexsort((ids, d[i]))[:3])}
+    for kw in ({"method": "exact"}, {"method": "exact", "n_blocks": 3}, {"probes": 1000}):
+        g = neighbors.knn_graph(df, "id", "v", 3, **kw)
+        assert "array<double>" not in g._jdf.queryExecution().optimizedPlan().toString()
+        assert {(r["id"], r["rank"]): r["nbr"] for r in g.collect()} == want
+    kernel = relief._block_kernel(np.ones(4), 2)
+    import pandas as pd
+    block = pd.DataFrame({"key": ids, "cls": ids % 3, "x": list(x), "row": ids})
+    assert not {"diff", "x"} & set(kernel(block, block).columns)
