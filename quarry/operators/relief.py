@@ -107,13 +107,20 @@ def _block_kernel(rg: np.ndarray, k: int):
             X, keys, cls = np.stack(rows["x"].to_numpy()), rows["key"].to_numpy(), rows["cls"].to_numpy()
             numbers = rows["row"].to_numpy()
             of_class = {c: np.flatnonzero(cls == c) for c in np.unique(cls)}
-            step = max(1, (1 << 21) // len(X))
+            step, few = (max(1, size // len(X)) for size in (1 << 21, 1 << 16))  # few: whose distances stay in a core's cache
+            columns = np.ascontiguousarray(X.T)
             for at in range(0, len(anchors), step):
                 own = anchors.iloc[at:at + step]
                 A, ak, ar = np.stack(own["x"].to_numpy()), own["key"].to_numpy(), own["row"].to_numpy()
                 D = np.zeros((len(A), len(X)))
-                for j in range(X.shape[1]):
-                    D += np.abs(A[:, j, None] - X[None, :, j]) / rg[j]
+                for a in range(0, len(A), few):
+                    part = D[a:a + few]
+                    diff = np.empty_like(part)
+                    for j in range(X.shape[1]):
+                        np.subtract(A[a:a + few, j, None], columns[None, j], out=diff)
+                        np.abs(diff, out=diff)
+                        np.divide(diff, rg[j], out=diff)
+                        part += diff
                 D[ak[:, None] == keys[None, :]] = np.inf  # not itself
                 for c, members in of_class.items():
                     i, pick = _least(D[:, members], k)
