@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import from_texts
 
 #: About what the words that a worker remembers with their ids take; beyond, it starts anew. Bounds memory only.
-REMEMBERED_BYTES = 32 << 20
+REMEMBERED_BYTES = 16 << 20
 #: Words of more bytes are folded with a heap, and never remembered.
 LONG_WORD = 64
 

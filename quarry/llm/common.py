@@ -16,9 +16,12 @@ from quarry.session import scratch_folder
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
-#: Rows in one Arrow batch at most: texts can be long, so batches stay small.
-BATCH_ROWS = 1024
+#: Rows and bytes in one Arrow batch at most: texts can be long, so batches stay small. A longer row is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
+#: Bytes of texts that a function over texts gets at once, as its words take many times their size; a longer text goes alone.
+PIECE_BYTES = 256 << 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,11 +32,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _bytes(size: str) -> int:
+    """Bytes of a size as Spark's settings give it: 67108864b, 64m, 1gb."""
+    number = size.strip().lower().removesuffix("b")
+    return int(number.rstrip("kmgtp")) << 10 * (" kmgtp".find(number[-1]) if number[-1].isalpha() else 0)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Lower the Arrow batch size where texts travel to Python workers."""
     now = int(spark.conf.get(ARROW_ROWS))
     if now <= 0 or now > BATCH_ROWS:
         spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+    now = _bytes(spark.conf.get(ARROW_BYTES))
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -118,6 +130,16 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     return whole
 
 
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows whose last column takes ``PIECE_BYTES`` at most, or of one row."""
+    if batch.num_rows < 2 or batch.columns[-1].nbytes <= PIECE_BYTES:
+        yield batch
+    else:
+        half = batch.num_rows // 2
+        yield from pieces(batch.slice(0, half))
+        yield from pieces(batch.slice(half))
+
+
 def from_texts(docs: DataFrame, text: str, declared: str, start: Callable[[], Callable[[list], list[pa.Array]]]) -> DataFrame:
     """``docs`` with columns made from each text in the place of the text.
 
@@ -133,7 +155,7 @@ def from_texts(docs: DataFrame, text: str, declared: str, start: Callable[[], Ca
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = start()
-        for b in batches:
+        for b in (piece for batch in batches for piece in pieces(batch)):
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *made(b.columns[-1].to_pylist())], [*keep, *names])
 
     before = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]]

@@ -2,11 +2,12 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 
 import public_tokenizers
-from quarry.llm import bpe
+from quarry.llm import bpe, common
 from quarry.llm.queries import QUERIES, vocabulary
 
 RANKS, PATTERN = vocabulary()
@@ -55,6 +56,23 @@ def test_little_memory(monkeypatch):
         decoder(np.array([len(RANKS) + 5]))
 
 
+def test_texts_come_in_small_pieces(spark):
+    """A function over texts never gets more than PIECE_BYTES at once, but for one text; no row is lost or changes place."""
+    lengths = [200_000 if i % 7 == 0 else 30_000 if i % 3 else 5 for i in range(100)] + [600_000, 0]
+    df = spark.createDataFrame([(i, "x" * n if n else None) for i, n in enumerate(lengths)], "doc_id int, text string").coalesce(1)
+
+    def start():
+        def made(texts):
+            held = sum(len(t or "") for t in texts)
+            return [pa.array([len(t or "") for t in texts]), pa.array([0 if len(texts) == 1 else held] * len(texts))]
+        return made
+    rows = common.from_texts(df, "text", "n long, held long", start).collect()
+    assert [(r.doc_id, r.n) for r in rows] == list(enumerate(lengths))
+    assert max(r.held for r in rows) <= common.PIECE_BYTES
+    assert [common._bytes(x) for x in ("67108864b", "64m", "1gb", "2K", "-1b", "5")] == [64 << 20, 64 << 20, 1 << 30, 2048, -1, 5]
+    assert common._bytes(spark.conf.get(common.ARROW_BYTES)) <= common.BATCH_BYTES
+
+
 def test_query_equals_the_library(spark, sf):
     texts = dict(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
     rows = QUERIES["op1_byte_bpe"](spark, sf).collect()
