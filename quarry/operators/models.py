@@ -18,6 +18,7 @@ TASK_OF = {"random_forest": "classification", "random_forest_ml": "classificatio
            "huber_regression": "regression"}
 FOREST_FIT_KEYS = ("n_trees", "max_depth", "min_samples_split", "min_samples_leaf", "impurity", "max_features",
                    "max_bins", "seed")
+SVR_FIT_KEYS = ("kernel", "C", "epsilon", "gamma", "coef0", "degree", "n_landmarks", "max_iter", "tol", "seed")
 
 
 @dataclass
@@ -39,8 +40,7 @@ def fit_model(df: DataFrame, kind: str, features: Sequence[str], label: str, key
                                  min_instances=p.get("min_samples_leaf", 2), impurity=p.get("impurity", "gini"),
                                  seed=p.get("seed", 42))
     elif kind == "svr":
-        sp = {k: v for k, v in p.items() if k in ("kernel", "C", "epsilon", "gamma", "coef0", "degree",
-                                                  "n_landmarks", "max_iter", "tol", "seed")}
+        sp = {k: v for k, v in p.items() if k in SVR_FIT_KEYS}
         m = svr.fit_svr(df, features, label, key=key, **sp)
     elif kind == "huber_regression":
         m = svr.fit_baseline_regressor(df, features, label, "huber")

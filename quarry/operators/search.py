@@ -5,8 +5,9 @@ candidates are grown together: one binned table holds the training rows of every
 fold, and a level of all (candidate, fold, tree, node) is one job over it; each
 fold is then read once for the votes of all candidates, and one grouped pass
 (``groupBy(candidate_id, fold)``) scores everything. Candidates that differ only
-in how trees vote share a forest. Candidates of other models run as concurrent
-Spark jobs from a driver thread pool, their folds scored in one pass each.
+in how trees vote share a forest. Support vector candidates share the passes over
+a fold's rows; folds run as concurrent Spark jobs. Candidates of other models run as
+concurrent Spark jobs from a driver thread pool, their folds scored in one pass each.
 """
 
 from __future__ import annotations
@@ -16,12 +17,14 @@ import json
 from concurrent.futures import ThreadPoolExecutor
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators import forest, metrics, models, pipeline, stattests
+from quarry.operators import forest, metrics, models, pipeline, stattests, svr
 from quarry.plans.joins import join_groups
+from quarry.plans.parallel import spread
 from quarry.session import cut_lineage
 
 HIGHER_IS_BETTER = {"accuracy", "precision", "recall", "f1", "fbeta", "roc_auc", "average_precision", "r2",
@@ -87,6 +90,28 @@ def _forest_scores(df: DataFrame, fold_col: str, features: Sequence[str], label:
     return metrics.score_table(preds, "classification", label, "prediction", "p1", group_by=["candidate_id", "fold"])
 
 
+def _svr_scores(df: DataFrame, fold_col: str, features: Sequence[str], label: str, key, cands: Sequence[dict],
+                task: str, prep: dict | None, parallelism: int) -> DataFrame:
+    """(candidate_id, fold, metric, value) of support vector candidates: those of a fold are fitted and predicted together."""
+    fits = [{k: v for k, v in c.items() if k in models.SVR_FIT_KEYS} for c in cands]
+    kept = prep is None  # then all folds read the same rows
+    if kept:
+        keys = [key] if isinstance(key, str) else list(key or ())
+        df = spread(df.select(*dict.fromkeys([fold_col, *features, label, *keys]))).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        folds = _folds(df, fold_col, features, prep)
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+            fitted = list(ex.map(lambda f: svr.fit_svrs(f[1], f[3], label, fits, key, kept=kept), folds))
+        preds = None
+        for (k, _, test, _), own in zip(folds, fitted):
+            p = svr.predict_svrs(test, label, list(enumerate(own))).withColumn("fold", F.lit(k))
+            preds = p if preds is None else preds.unionByName(p)
+        return metrics.score_table(preds, task, label, "prediction", None, group_by=["candidate_id", "fold"])
+    finally:
+        if kept:
+            df.unpersist()
+
+
 def cross_validate(df: DataFrame, fold_col: str, kind: str, features: Sequence[str], label: str, key,
                    params: dict, task: str, prep: dict | None = None) -> DataFrame:
     """M6: per fold - preprocessor fitted on the other folds, model fitted,
@@ -94,6 +119,8 @@ def cross_validate(df: DataFrame, fold_col: str, kind: str, features: Sequence[s
     Output (fold, metric, value). Rows without a fold are left out."""
     if kind == "random_forest":
         return _forest_scores(df, fold_col, features, label, key, [params], prep).drop("candidate_id")
+    if kind == "svr":
+        return _svr_scores(df, fold_col, features, label, key, [params], task, prep, 1).drop("candidate_id")
     preds = None
     for k, train, test, used in _folds(df, fold_col, features, prep):
         fitted = models.fit_model(train, kind, used, label, key, params)
@@ -120,8 +147,9 @@ def grid_search(df: DataFrame, fold_col: str, kind: str, features: Sequence[str]
         t = cross_validate(df, fold_col, kind, features, label, key, cands[i], task, prep)
         return cut_lineage(t.select(F.lit(i).alias("candidate_id"), _params_map(cands[i]).alias("params"), "fold", "metric", "value"))
 
-    if kind == "random_forest":
-        scores = _forest_scores(df, fold_col, features, label, key, cands, prep)
+    if kind in ("random_forest", "svr"):
+        scores = (_forest_scores(df, fold_col, features, label, key, cands, prep) if kind == "random_forest" else
+                  _svr_scores(df, fold_col, features, label, key, cands, task, prep, parallelism))
         named = F.get(F.array(*map(_params_map, cands)), F.col("candidate_id"))
         tables = [cut_lineage(scores.select("candidate_id", named.alias("params"), "fold", "metric", "value"))]
     else:

@@ -13,7 +13,7 @@ cut into rows, which Spark's vector Summarizer adds by key in two steps; the
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Sequence
 
@@ -55,8 +55,12 @@ def kernel_matrix(a: np.ndarray, b: np.ndarray, kernel: str, gamma: float, coef0
         max_base = 1e300 ** (1.0 / degree) if degree > 0 else np.inf
         return np.clip(gamma * (a @ b.T) + coef0, -max_base, max_base) ** degree
     if kernel == "rbf":
-        sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-        return np.exp(-gamma * np.maximum(sq, 0.0))
+        sq, ab = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :], a @ b.T
+        ab *= 2.0
+        sq -= ab
+        np.maximum(sq, 0.0, out=sq)
+        sq *= -gamma
+        return np.exp(sq, out=sq)
     if kernel == "sigmoid":
         return np.tanh(gamma * (a @ b.T) + coef0)
     raise SVRError(f"unknown kernel {kernel!r}")
@@ -142,6 +146,10 @@ def _nystroem(L: np.ndarray, kernel, gamma, coef0, degree) -> np.ndarray:
 SUMMED_TASKS = 256
 
 
+#: Rows whose features are computed at once: their matrices stay in a core's cache.
+BLOCK_ROWS = 2048
+
+
 def fit_svr(df: DataFrame, cols: Sequence[str], y: str, kernel: str = "auto", C: float = 1.0, epsilon="auto",
             gamma="scale", coef0: float = 0.0, degree: int = 3, n_landmarks: int = 200, max_iter: int = 15,
             tol: float = 1e-4, seed: int = 42, key=None, delta: float = 1e-3) -> SVRModel:
@@ -151,91 +159,149 @@ def fit_svr(df: DataFrame, cols: Sequence[str], y: str, kernel: str = "auto", C:
     ``kernel="auto"`` is the linear kernel. Rows with a missing (null or NaN) feature or target are
     left out; a table without any other row raises SVRError.
     """
-    kernel = "linear" if kernel == "auto" else kernel
-    if kernel not in KERNELS:
-        raise SVRError(f"unknown kernel {kernel!r}")
-    cols = list(cols)
-    given = [F.col(c).cast("double") for c in dict.fromkeys([*cols, y])]
-    df = df.filter(reduce(lambda a, b: a & b, [x.isNotNull() & ~F.isnan(x) for x in given]))
-    if df.isEmpty():
-        raise SVRError("no row has all features and the target")
-    g = resolve_gamma(df, cols, gamma) if kernel != "linear" else 0.0
-    eps = resolve_epsilon(df, y, epsilon)
-    data = spread(df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("x"),
-                            F.col(y).cast("double").alias("y"))).persist(StorageLevel.MEMORY_AND_DISK)
-    if kernel == "linear":
-        L, P = None, None
-    else:
-        L = _landmarks(df, cols, n_landmarks, seed, key)
-        P = _nystroem(L, kernel, g, coef0, degree)
-    model = SVRModel(cols, kernel, g, coef0, degree, float(C), eps, L, P, None, 0.0, [])
-    r = len(cols) if kernel == "linear" else P.shape[1]
-    spark = df.sparkSession
+    return fit_svrs(df, cols, y, [dict(kernel=kernel, C=C, epsilon=epsilon, gamma=gamma, coef0=coef0, degree=degree,
+                                       n_landmarks=n_landmarks, max_iter=max_iter, tol=tol, seed=seed)], key, delta)[0]
+
 
-    def one_pass(beta: np.ndarray | None):
-        """The Gram matrix, the right side and the loss: each task's matrix is cut into its rows, which are added by key,
-        so no task reads a matrix from every other one."""
-        bc = spark.sparkContext.broadcast((model, beta))
-
-        def kern(batches):
-            from pyspark import TaskContext
-            mdl, bt = bc.value
-            A = np.zeros((r + 1, r + 1))
-            c = np.zeros(r + 1)
-            loss = 0.0
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-                yy = b.column(1).to_numpy(zero_copy_only=False)
-                ph = np.hstack([mdl.features(x), np.ones((len(x), 1))])
-                if bt is None:
-                    s = np.full(len(yy), mdl.C)
-                    t = yy
-                else:
-                    res = yy - ph @ bt
-                    out = np.abs(res) - mdl.epsilon
-                    loss += np.maximum(out, 0.0).sum()
-                    s = np.where(out > 0, mdl.C / np.maximum(out, delta), 0.0)
-                    t = yy - np.sign(res) * mdl.epsilon
-                A += (ph * s[:, None]).T @ ph
-                c += ph.T @ (s * t)
-            rows = [*A, c, np.array([loss])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(rows), dtype=np.int32)), pa.array(np.full(len(rows), TaskContext.get().partitionId() // SUMMED_TASKS, np.int32)),
-                 pa.array(rows, pa.list_(pa.float64()))], ["part", "lot", "v"])
-
-        total = Summarizer.sum(F.col("v")).alias("v")
-        part = data.mapInArrow(kern, "part int, lot int, v array<double>").select("part", "lot", array_to_vector("v").alias("v"))
-        summed = part.groupBy("part", "lot").agg(total).groupBy("part").agg(total)
-        found = {x["part"]: np.asarray(x["v"]) for x in summed.select("part", vector_to_array("v").alias("v")).collect()}
-        bc.unpersist()
-        return np.array([found[i] for i in range(r + 1)]), found[r + 1], float(found[r + 2][0])
-
-    def solve(A, c):
+@dataclass
+class _Fit:
+    """One of the fits that share their passes."""
+    model: SVRModel
+    at: int                        # which of the distinct feature maps it uses
+    max_iter: int
+    tol: float
+    beta: np.ndarray | None = None
+    best: np.ndarray | None = None
+    best_obj: float = math.inf
+    prev: float = math.inf
+
+    def take(self, A: np.ndarray, c: np.ndarray, loss: float) -> bool:
+        """The next iterate from the sums of a pass; whether another pass is wanted."""
+        r = len(c) - 1
+        if self.beta is not None:
+            obj = 0.5 * float(self.beta[:r] @ self.beta[:r]) + self.model.C * loss
+            self.model.objective.append(obj)
+            if obj < self.best_obj:
+                self.best, self.best_obj = self.beta, obj
+            if abs(self.prev - obj) <= self.tol * max(1.0, abs(obj)):
+                return False
+            self.prev = obj
+            if not A.any():
+                return False
         reg = np.eye(r + 1)
         reg[r, r] = 1e-10
-        return np.linalg.solve(reg + A, c)
-
-    A, c, _ = one_pass(None)
-    beta = solve(A, c)
-    best, best_obj = beta, math.inf
-    prev = math.inf
-    for _ in range(max_iter):
-        A, c, loss = one_pass(beta)
-        obj = 0.5 * float(beta[:r] @ beta[:r]) + model.C * loss
-        model.objective.append(obj)
-        if obj < best_obj:
-            best, best_obj = beta, obj
-        if abs(prev - obj) <= tol * max(1.0, abs(obj)):
-            break
-        prev = obj
-        if not A.any():
-            break
-        beta = solve(A, c)
-    data.unpersist()
-    model.w, model.b = best[:r], float(best[r])
-    return model
+        self.beta = np.linalg.solve(reg + A, c)
+        if self.best is None:
+            self.best = self.beta
+        return len(self.model.objective) < self.max_iter
+
+
+def _pass(data: DataFrame, fits: dict[int, _Fit], delta: float) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+    """The Gram matrix, the right side and the loss of each fit in one pass: each task's matrices are cut into their rows,
+    which are added by key, so no task reads a matrix from every other one. Fits with the same feature map share its values."""
+    maps: dict[int, list] = {}
+    for i, f in fits.items():
+        maps.setdefault(f.at, [f.model, []])[1].append((i, f.model.C, f.model.epsilon, f.beta))
+    shared = [(replace(m, w=None, objective=[]), own) for m, own in maps.values()]
+    bc = data.sparkSession.sparkContext.broadcast(shared)
+
+    def kern(batches):
+        from pyspark import TaskContext
+        sums = {i: None for _, own in bc.value for i, *_ in own}
+        for b in batches:
+            whole = np.column_stack([x.to_numpy(zero_copy_only=False) for x in b.columns])
+            for at in range(0, len(whole), BLOCK_ROWS):
+                x, yy = np.ascontiguousarray(whole[at:at + BLOCK_ROWS, :-1]), whole[at:at + BLOCK_ROWS, -1]
+                for mdl, own in bc.value:
+                    ph = np.hstack([mdl.features(x), np.ones((len(x), 1))])
+                    for i, C, epsilon, beta in own:
+                        if sums[i] is None:
+                            sums[i] = [np.zeros((ph.shape[1], ph.shape[1])), np.zeros(ph.shape[1]), 0.0]
+                        if beta is None:
+                            s, t, used = np.full(len(yy), C), yy, ph
+                        else:
+                            res = yy - ph @ beta
+                            out = np.abs(res) - epsilon
+                            sums[i][2] += np.maximum(out, 0.0).sum()
+                            outside = np.flatnonzero(out > 0)  # the others weigh nothing
+                            s = C / np.maximum(out[outside], delta)
+                            t = yy[outside] - np.sign(res[outside]) * epsilon
+                            used = ph[outside] if len(outside) < len(ph) else ph
+                        sums[i][1] += used.T @ (s * t)
+                        used = used * np.sqrt(s)[:, None]
+                        sums[i][0] += used.T @ used
+        rows = [(i, part, v) for i, found in sums.items() if found is not None
+                for part, v in enumerate([*found[0], found[1], np.array([found[2]])])]
+        lot = TaskContext.get().partitionId() // SUMMED_TASKS
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([i for i, _, _ in rows], pa.int32()), pa.array([part for _, part, _ in rows], pa.int32()),
+             pa.array([lot] * len(rows), pa.int32()), pa.array([v for _, _, v in rows], pa.list_(pa.float64()))],
+            ["fit", "part", "lot", "v"])
+
+    total = Summarizer.sum(F.col("v")).alias("v")
+    part = data.mapInArrow(kern, "fit int, part int, lot int, v array<double>").select("fit", "part", "lot", array_to_vector("v").alias("v"))
+    summed = part.groupBy("fit", "part", "lot").agg(total).groupBy("fit", "part").agg(total)
+    found: dict[int, dict] = {i: {} for i in fits}
+    for x in summed.select("fit", "part", vector_to_array("v").alias("v")).collect():
+        found[x["fit"]][x["part"]] = np.asarray(x["v"])
+    bc.unpersist()
+    return {i: (np.array([v[p] for p in range(len(v) - 2)]), v[len(v) - 2], float(v[len(v) - 1][0])) for i, v in found.items()}
+
+
+def fit_svrs(df: DataFrame, cols: Sequence[str], y: str, fits: Sequence[dict], key=None, delta: float = 1e-3,
+             kept: bool = False) -> list[SVRModel]:
+    """R4 for several sets of parameters of ``fit_svr`` at once: each pass over the rows serves every fit that isn't ready yet,
+    and fits with the same kernel and landmarks share its values. ``kept``: the caller has persisted the rows."""
+    given = {"kernel": "auto", "C": 1.0, "epsilon": "auto", "gamma": "scale", "coef0": 0.0, "degree": 3, "n_landmarks": 200,
+             "max_iter": 15, "tol": 1e-4, "seed": 42}
+    fits = [{**given, **f} for f in fits]
+    for f in fits:
+        if unknown := set(f) - set(given):
+            raise TypeError(f"unknown parameters {sorted(unknown)}")
+        f["kernel"] = "linear" if f["kernel"] == "auto" else f["kernel"]
+        if f["kernel"] not in KERNELS:
+            raise SVRError(f"unknown kernel {f['kernel']!r}")
+    cols = list(cols)
+    own = [f"x{i}" for i in range(len(cols))]
+    doubles = [F.col(c).cast("double") for c in dict.fromkeys([*cols, y])]
+    df = df.filter(reduce(lambda a, b: a & b, [x.isNotNull() & ~F.isnan(x) for x in doubles]))
+    data = df.select(*[F.col(c).cast("double").alias(x) for c, x in zip(cols, own)],
+                     F.col(y).cast("double").alias("y"))
+    if not kept:
+        data = spread(data).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if data.isEmpty():
+            raise SVRError("no row has all features and the target")
+        once: dict = {}
+
+        def known(name, make, *by):
+            if (name, *by) not in once:
+                once[name, *by] = make()
+            return once[name, *by]
+
+        running, maps = [], {}
+        for f in fits:
+            kernel, g, L, P = f["kernel"], 0.0, None, None
+            if kernel != "linear":
+                g = known("gamma", lambda: resolve_gamma(data, own, f["gamma"]), f["gamma"])
+                L = known("landmarks", lambda: _landmarks(df, cols, f["n_landmarks"], f["seed"], key), f["n_landmarks"], f["seed"])
+            at = (kernel, g, f["coef0"], f["degree"], f["n_landmarks"], f["seed"]) if kernel != "linear" else (kernel,)
+            if L is not None:
+                P = known("proj", lambda: _nystroem(L, kernel, g, f["coef0"], f["degree"]), at)
+            eps = known("epsilon", lambda: resolve_epsilon(data, "y", f["epsilon"]), f["epsilon"])
+            model = SVRModel(cols, kernel, g, f["coef0"], f["degree"], float(f["C"]), eps, L, P, None, 0.0, [])
+            running.append(_Fit(model, maps.setdefault(at, len(maps)), f["max_iter"], f["tol"]))
+        left = dict(enumerate(running))
+        while left:
+            sums = _pass(data, left, delta)
+            left = {i: f for i, f in left.items() if f.take(*sums[i])}
+    finally:
+        if not kept:
+            data.unpersist()
+    for f in running:
+        r = len(f.best) - 1
+        f.model.w, f.model.b = f.best[:r], float(f.best[r])
+    return [f.model for f in running]
 
 
 # ----------------------------------------------------------------------------- R5-R8
@@ -275,6 +341,32 @@ def predict_svr(df: DataFrame, model: SVRModel, out: str = "prediction") -> Data
     return df.mapInPandas(kern, schema)
 
 
+def predict_svrs(df: DataFrame, label: str, models: Sequence[tuple[int, SVRModel]]) -> DataFrame:
+    """(candidate_id, label, prediction): R6 of several numbered models with the same columns in one pass over the rows."""
+    bc = df.sparkSession.sparkContext.broadcast([(i, replace(m, objective=[])) for i, m in models])
+    cols = list(models[0][1].cols)
+    missing = [c for c in cols if c not in df.columns]
+    if missing:
+        raise SVRError(f"missing feature columns {missing}")
+
+    def kern(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns[1:]])
+            whole = ~np.isnan(x).any(axis=1)
+            for i, m in bc.value:
+                p = np.full(len(x), np.nan)
+                for at in range(0, len(x), BLOCK_ROWS):
+                    rows = at + np.flatnonzero(whole[at:at + BLOCK_ROWS])
+                    p[rows] = m.predict_np(x[rows])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), i, np.int32)), b.column(0), pa.array(p, mask=~whole)],
+                                                 ["candidate_id", label, "prediction"])
+    given = df.select(F.col(label), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    return given.mapInArrow(kern, T.StructType([T.StructField("candidate_id", T.IntegerType()), given.schema[0],
+                                                T.StructField("prediction", T.DoubleType())]))
+
+
 def support_rows(df: DataFrame, y: str, pred: str, epsilon: float, tol: float = 1e-3) -> DataFrame:
     """Rows on or outside the tube (non-negligible coefficient)."""
     return df.filter(F.abs(F.col(y) - F.col(pred)) >= F.lit(float(epsilon) - tol))

@@ -98,3 +98,28 @@ def test_forest_shapley_equals_all_subsets(spark):
     sh = explain.shapley(df.filter("k < 40"), f, cols, bg, ["k"])
     off = sh.groupBy("k").agg((F.sum("shap_value") + F.first("base_value") - F.first("prediction")).alias("d"))
     assert off.agg(F.max(F.abs("d"))).first()[0] < 1e-12
+
+
+def test_svr_candidates_share_passes(spark, monkeypatch):
+    """All candidates of a fold are fitted in the same passes, to the models and scores that they have alone."""
+    from quarry.operators import search, svr
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=400), rng.normal(size=400)
+    rows = [(i, float(a[i]), float(b[i]), float(np.sin(a[i]) + 0.5 * b[i]), i % 2) for i in range(400)]
+    df = spark.createDataFrame([*rows, (400, None, 1.0, 1.0, 0), (401, 1.0, 1.0, None, 1)], "k long, a double, b double, y double, fold int")
+    grid = [{"kernel": "linear", "C": 1.0}, {"kernel": "rbf", "C": 0.5, "n_landmarks": 20}, {"kernel": "rbf", "C": 2.0, "n_landmarks": 20}]
+    alone = [svr.fit_svr(df, ["a", "b"], "y", key="k", **g) for g in grid]
+    calls, one = [], svr._pass
+    monkeypatch.setattr(svr, "_pass", lambda *x: calls.append(1) or one(*x))
+    for m, n in zip(svr.fit_svrs(df, ["a", "b"], "y", grid, "k"), alone):
+        assert np.allclose(m.objective, n.objective, rtol=1e-9) and np.allclose(m.w, n.w, rtol=1e-6, atol=1e-9) and abs(m.b - n.b) < 1e-6
+    assert len(calls) <= max(len(m.objective) for m in alone) + 1
+    calls.clear()
+    cv, best, _ = search.grid_search(df, "fold", "svr", ["a", "b"], "y", "k", [{c: [v] for c, v in g.items()} for g in grid],
+                                     "regression", "root_mean_squared_error", refit=False)
+    assert cv.count() == 3 * 2 * 11 and best["kernel"] == "rbf" and len(calls) <= 2 * 16
+    for i, g in enumerate(grid):
+        one_cv = search.cross_validate(df, "fold", "svr", ["a", "b"], "y", "k", g, "regression", prep=None)
+        want = {(r.fold, r.metric): r.value for r in one_cv.collect()}
+        got = {(r.fold, r.metric): r.value for r in cv.filter(f"candidate_id = {i}").collect()}
+        assert got.keys() == want.keys() and all(x == got[k] or abs(x - got[k]) <= 1e-6 * abs(x) for k, x in want.items() if x is not None)
